@@ -1,0 +1,171 @@
+"""Scalar column functions.
+
+All functions return ``pyspark.sql.Column`` built only from built-in
+expressions, so they stay inside whole-stage code generation (the
+title-case lambda is a JVM higher-order function, still no Python).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+__all__ = [
+    "present", "safe_int", "title_case", "conversion_rate", "region_of", "REGIONS",
+    "response_label", "response_weight", "parse_date", "DATE_FORMATS", "clean_response",
+    "numeric_prefix", "vcard_escape", "vcard_card", "client_contact_label",
+    "is_registered", "col_of",
+]
+
+
+def col_of(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+# ---------------------------------------------------------------- predicates
+def present(c: str | Column) -> Column:
+    """A phone is present when it is non-NULL and not the empty string (no trim)."""
+    c = col_of(c)
+    return c.isNotNull() & (c != F.lit(""))
+
+
+def is_registered(c: str | Column) -> Column:
+    """``lower(x) = 'registered'`` (no trim); NULL -> false."""
+    return F.coalesce(F.lower(col_of(c)) == F.lit("registered"), F.lit(False))
+
+
+# ---------------------------------------------------------------- numbers
+# A decimal / scientific literal as Python's float() accepts it (surrounding whitespace allowed).
+_FLOAT_FULL = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
+# MySQL string->number coercion reads the longest numeric prefix.
+_FLOAT_PREFIX = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
+
+
+def safe_int(c: str | Column) -> Column:
+    """``int(float(str(v)))`` with every failure -> 0 (truncates toward zero)."""
+    num = F.regexp_extract(col_of(c), _FLOAT_FULL, 1)
+    as_double = F.nullif(num, F.lit("")).try_cast("double")
+    return F.coalesce(as_double.try_cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def numeric_prefix(c: str | Column) -> Column:
+    """MySQL-style numeric coercion of text: leading numeric prefix, else 0; NULL stays NULL."""
+    c = col_of(c)
+    num = F.nullif(F.regexp_extract(c, _FLOAT_PREFIX, 1), F.lit("")).try_cast("double")
+    return F.when(c.isNotNull(), F.coalesce(num, F.lit(0.0)))
+
+
+def conversion_rate(registrations: Column, invitees: Column) -> Column:
+    """``round(reg / inv * 100, 2)``; 0 when inv <= 0."""
+    return F.when(invitees > 0, F.round(registrations / invitees * F.lit(100.0), 2)).otherwise(F.lit(0.0))
+
+
+# ---------------------------------------------------------------- text
+def title_case(c: str | Column) -> Column:
+    """Python ``str(x).strip().title()``: capitalise the first letter of every letter run."""
+    runs = F.regexp_extract_all(F.trim(col_of(c)), F.lit(r"(\p{L}+|[^\p{L}]+)"), 0)
+    return F.array_join(
+        F.transform(runs, lambda x: F.concat(F.upper(F.left(x, F.lit(1))), F.lower(F.substring(x, 2, 1 << 30)))),
+        "",
+    )
+
+
+def clean_response(c: str | Column) -> Column:
+    """F8: ``lower(trim(x))``."""
+    return F.lower(F.trim(col_of(c)))
+
+
+def response_label(c: str | Column) -> Column:
+    """title-case, then drop a leading ``<digits><space>`` prefix when text follows."""
+    t = title_case(c)
+    return F.when(t.rlike(r"^[0-9]+\s+.+$"), F.regexp_extract(t, r"^[0-9]+\s+(.+)$", 1)).otherwise(t)
+
+
+def response_weight(c: str | Column) -> Column:
+    """leading integer followed by whitespace, else 1 (NULL -> 1)."""
+    digits = F.regexp_extract(F.trim(col_of(c)), r"^([0-9]+)\s+", 1)
+    return F.coalesce(F.nullif(digits, F.lit("")).try_cast("bigint"), F.lit(1).cast("bigint"))
+
+
+def client_contact_label(client: str | Column, contact: str | Column) -> Column:
+    """``Client (Contact)``; NULL when either part is NULL (SQL CONCAT)."""
+    return F.concat(col_of(client), F.lit(" ("), col_of(contact), F.lit(")"))
+
+
+# ---------------------------------------------------------------- regions
+# Region -> city list, matched in this order, case-insensitive substring;
+# the first region with a hit wins, no hit -> 'Other', NULL -> 'Unknown'.
+REGIONS: tuple[tuple[str, tuple[str, ...]], ...] = (
+    ("North", ("Delhi", "New Delhi", "Gurugram", "Gurgaon", "Noida", "Faridabad", "Manesar", "Bawal")),
+    ("South", ("Bangalore", "Chennai", "Hyderabad", "Visakhapatnam", "Kochi", "Mangalore",
+               "Tirupati", "Chengalpattu")),
+    ("East", ("Kolkata", "Jamshedpur", "Orrisa", "Odisha")),
+    ("West", ("Mumbai", "Pune", "Ahmedabad", "Surat", "Aurangabad", "Silvassa", "Maharashtra",
+              "Nagpur", "Kota", "Udaipur", "Wasim", "Vapi")),
+)
+
+
+def region_pattern(cities: Sequence[str]) -> str:
+    return "|".join(city.lower() for city in cities)
+
+
+def region_of(c: str | Column, regions=REGIONS) -> Column:
+    """ordered case-insensitive substring match of a location to a region."""
+    c = col_of(c)
+    low = F.lower(F.trim(c))
+    expr = None
+    for name, cities in regions:
+        cond = low.rlike(region_pattern(cities))
+        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
+    return F.when(c.isNull(), F.lit("Unknown")).otherwise(expr.otherwise(F.lit("Other")))
+
+
+# ---------------------------------------------------------------- dates
+# Declared formats tried in order (unparseable -> NULL, as errors='coerce').
+DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "dd-MM-yyyy")
+
+
+def parse_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """tolerant text -> date."""
+    c = F.trim(col_of(c))
+    return F.to_date(F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]))
+
+
+# ---------------------------------------------------------------- contact cards
+def vcard_escape(c: str | Column) -> Column:
+    """trim then escape backslash, comma, semicolon, newline (literal replacements)."""
+    t = F.trim(col_of(c))
+    for a, b in (("\\", "\\\\"), (",", "\\,"), (";", "\\;"), ("\n", "\\n")):
+        t = F.replace(t, F.lit(a), F.lit(b))
+    return F.coalesce(t, F.lit(""))
+
+
+def _truthy(c: Column) -> Column:
+    return c.isNotNull() & (c != F.lit(""))
+
+
+def vcard_card(name: str | Column, designation: str | Column, client: str | Column,
+               phone: str | Column, email: str | Column) -> Column:
+    """one vCard 3.0 text: FN/N from name (designation) + client, optional TEL / EMAIL."""
+    name, designation, client, phone, email = map(col_of, (name, designation, client, phone, email))
+    first = F.concat_ws(
+        " ",
+        F.when(_truthy(name), vcard_escape(name)),
+        F.when(_truthy(designation), F.concat(F.lit("("), vcard_escape(designation), F.lit(")"))),
+    )
+    first = F.when(_truthy(name) | _truthy(designation), first).otherwise(F.lit("Unknown"))
+    last = F.when(_truthy(client), vcard_escape(client)).otherwise(F.lit("Company"))
+    tel = vcard_escape(phone)
+    mail = vcard_escape(email)
+    return F.concat_ws(
+        "\n",
+        F.lit("BEGIN:VCARD"),
+        F.lit("VERSION:3.0"),
+        F.concat(F.lit("FN:"), first, F.lit(" "), last),
+        F.concat(F.lit("N:"), last, F.lit(";"), first, F.lit(";;;")),
+        F.when(tel != F.lit(""), F.concat(F.lit("TEL;TYPE=WORK,VOICE:"), tel)),
+        F.when(mail != F.lit(""), F.concat(F.lit("EMAIL;TYPE=WORK:"), mail)),
+        F.lit("END:VCARD"),
+    )

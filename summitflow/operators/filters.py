@@ -1,0 +1,44 @@
+"""Dashboard filters: conjunctive multi-select (P5) and the cascading contact filter."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+__all__ = ["FILTER_COLUMNS", "filter_master", "cascade_filter"]
+
+# Filter-spec keys and the master columns they select on.
+FILTER_COLUMNS = {"ph": "Practice_Head", "partner": "Partner", "sector": "Sector", "loc": "Location",
+                  "resp": "Response"}
+
+
+def filter_master(master: DataFrame, filters: Mapping[str, Sequence[str]] | None) -> DataFrame:
+    """P5: keep rows whose column value is in every non-empty selection list (empty = no filter).
+
+    Selection lists come from a UI and are small literal lists -> ``isin`` (pushed to the
+    Parquet scan as an ``In`` filter when the column is a stored column).
+    """
+    out = master
+    for k, values in (filters or {}).items():
+        if values:
+            out = out.filter(F.col(FILTER_COLUMNS[k]).isin(list(values)))
+    return out
+
+
+def cascade_filter(contacts: DataFrame, filtered_master: DataFrame, head_col: str = "Practice_Head",
+                   partner_col: str = "Partner") -> DataFrame:
+    """Keep a contact when its head is among the heads of the filtered master **and** its
+    partner is among the partners — two independent semi joins, not a pair match.
+
+    NULL keys drop out on both sides.  The distinct key sets are aggregated map-side first;
+    whether a semi join is broadcast is decided by AQE from the *measured* size of the key
+    set at runtime (``spark.sql.adaptive.autoBroadcastJoinThreshold``), falling back to a
+    shuffled join when it is large — no unchecked broadcast.  An empty filtered master
+    yields no contacts.
+    """
+    heads = filtered_master.select(F.col(head_col).alias("__h")).filter(F.col("__h").isNotNull()).distinct()
+    partners = filtered_master.select(F.col(partner_col).alias("__p")).filter(F.col("__p").isNotNull()).distinct()
+    return (contacts.join(heads, F.col(head_col) == F.col("__h"), "left_semi")
+                    .join(partners, F.col(partner_col) == F.col("__p"), "left_semi"))

@@ -1,0 +1,184 @@
+"""Merge / sync operators.
+
+All are set-based rewrites of MySQL's ``INSERT IGNORE`` / ``ON DUPLICATE KEY
+UPDATE`` / per-key DELETE:
+
+* duplicates inside a batch are resolved with ``row_number()`` over the key
+  ordered by an explicit ``seq`` column (Spark plans a partial
+  ``WindowGroupLimit`` before the shuffle, so a hot key is cut to one row per
+  map task before it moves);
+* NULL keys never match (a UNIQUE index admits many NULLs), so NULL-key rows
+  are routed *around* the join — they are also the most likely hot key;
+* target and (deduplicated) source are full-outer-joined once on the key; the
+  per-row action is derived in the same pass.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+__all__ = ["keep_per_key", "insert_new_only", "upsert", "smart_sync", "sync", "sync_with_actions",
+           "sync_action_counts", "deleted_keys"]
+
+_MATCH = "__m"
+
+
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _key_expr(c: str, case_insensitive: bool) -> Column:
+    return F.lower(F.col(c)) if case_insensitive else F.col(c)
+
+
+def _nonnull(keys: list[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def keep_per_key(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[str], keep: str = "first",
+                 case_insensitive: bool = False, null_safe: bool = False) -> DataFrame:
+    """First (or last) row per key by ``seq``; ties broken by a full-row hash.
+
+    With ``null_safe=False`` rows with a NULL key are all kept (UNIQUE semantics);
+    with ``null_safe=True`` NULL is a key value like any other.
+    """
+    keys = _keys(key)
+    seqs = _keys(seq)
+    order = [F.col(s).asc_nulls_first() if keep == "first" else F.col(s).desc_nulls_last() for s in seqs]
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    w = Window.partitionBy(*[_key_expr(k, case_insensitive) for k in keys]).orderBy(*order, tie)
+    if null_safe:
+        return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    nn = _nonnull(keys)
+    ranked = df.filter(nn).withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    return ranked.unionByName(df.filter(~nn))
+
+
+def insert_new_only(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
+                    case_insensitive: bool = False) -> DataFrame:
+    """M1 (``INSERT IGNORE``): first source row per key wins, existing target rows win over
+    incoming ones, NULL-key source rows are always inserted."""
+    keys = _keys(key)
+    src = keep_per_key(source, keys, seq, "first", case_insensitive)
+    nn = _nonnull(keys)
+    tkeys = target.filter(nn).select(*[_key_expr(k, case_insensitive).alias(f"__k{i}")
+                                       for i, k in enumerate(keys)])
+    cond = [_key_expr(k, case_insensitive) == F.col(f"__k{i}") for i, k in enumerate(keys)]
+    new = src.filter(nn).join(tkeys, cond, "left_anti")
+    return target.unionByName(new, allowMissingColumns=True).unionByName(
+        src.filter(~nn), allowMissingColumns=True)
+
+
+def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
+                      delete_missing: bool = False, case_insensitive: bool = False,
+                      audit_ts: Column | None = None) -> DataFrame:
+    """Core of M2/M3: merged rows plus ``_action`` in
+    {inserted, updated, unchanged, deleted, kept, kept_null_key}.
+
+    * source: last row per key by ``seq``; on a match every *source* column overwrites
+      the target (NULL included), target-only columns keep their value;
+    * ``delete_missing``: target keys absent from the source are marked ``deleted``
+      (NULL target keys are never deleted, as ``key = NULL`` matches nothing);
+      otherwise they are ``kept``;
+    * ``audit_ts``: maintain ``Data_Insert_Time`` / ``Last_Updated`` (M10): insert time on
+      insert only, update time only when a value changed.
+    """
+    keys = _keys(key)
+    nn = _nonnull(keys)
+    src = keep_per_key(source, keys, seq, "last", case_insensitive)
+    out_cols = list(target.columns) + [c for c in source.columns if c not in set(target.columns)]
+    src_cols = set(source.columns)
+    audit = audit_ts is not None
+    if audit:
+        for c in ("Data_Insert_Time", "Last_Updated"):
+            if c not in out_cols:
+                out_cols.append(c)
+            src_cols.discard(c)
+
+    t = target.filter(nn).select(*[F.col(c).alias(f"t_{c}") for c in target.columns],
+                                 *[_key_expr(k, case_insensitive).alias(f"__k{i}") for i, k in enumerate(keys)])
+    s = src.filter(nn).select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias(_MATCH),
+                              *[_key_expr(k, case_insensitive).alias(f"__j{i}") for i, k in enumerate(keys)])
+    joined = t.join(s, [F.col(f"__k{i}") == F.col(f"__j{i}") for i in range(len(keys))], "full_outer")
+    in_t = F.col(f"__k0").isNotNull()
+    in_s = F.col(_MATCH).isNotNull()
+    changed = F.lit(False)
+    for c in src_cols:
+        if c in target.columns:
+            changed = changed | ~F.col(f"t_{c}").eqNullSafe(F.col(f"s_{c}"))
+    action = (F.when(in_t & in_s, F.when(changed, "updated").otherwise("unchanged"))
+              .when(in_s, "inserted")
+              .otherwise("deleted" if delete_missing else "kept"))
+
+    def pick(c: str) -> Column:
+        if audit and c == "Data_Insert_Time":
+            return F.when(in_t, F.col("t_Data_Insert_Time") if c in target.columns else F.lit(None)) \
+                .otherwise(audit_ts)
+        if audit and c == "Last_Updated":
+            keep = F.col("t_Last_Updated") if c in target.columns else F.lit(None)
+            return F.when(in_t & in_s & ~changed, keep).when(in_t & ~in_s, keep).otherwise(audit_ts)
+        if c in src_cols and c in target.columns:
+            return F.when(in_s, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}"))
+        if c in src_cols:
+            return F.col(f"s_{c}")
+        return F.col(f"t_{c}")
+
+    merged = joined.select(*[pick(c).alias(c) for c in out_cols], action.alias("_action"))
+
+    def passthrough(df: DataFrame, act: str) -> DataFrame:
+        cols = []
+        for c in out_cols:
+            if audit and c in ("Data_Insert_Time", "Last_Updated") and (act == "inserted" or c not in df.columns):
+                cols.append(audit_ts.alias(c) if act == "inserted" else F.lit(None).cast("timestamp").alias(c))
+            elif c in df.columns:
+                cols.append(F.col(c))
+            else:
+                cols.append(F.lit(None).alias(c))
+        return df.select(*cols, F.lit(act).alias("_action"))
+
+    null_t = passthrough(target.filter(~nn), "kept_null_key")
+    null_s = passthrough(src.filter(~nn), "inserted")
+    return merged.unionByName(null_t, allowMissingColumns=True).unionByName(null_s, allowMissingColumns=True)
+
+
+def upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
+           case_insensitive: bool = False, audit_ts: Column | None = None) -> DataFrame:
+    """M2 (``ON DUPLICATE KEY UPDATE``): last duplicate wins, every source column overwrites."""
+    return sync_with_actions(target, source, key, seq, False, case_insensitive, audit_ts).drop("_action")
+
+
+def smart_sync(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
+               case_insensitive: bool = False, audit_ts: Column | None = None) -> DataFrame:
+    """M3: delete target keys missing from the source, then upsert."""
+    r = sync_with_actions(target, source, key, seq, True, case_insensitive, audit_ts)
+    return r.filter(F.col("_action") != "deleted").drop("_action")
+
+
+def sync(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str, mode: str = "smart_sync",
+         **kw) -> DataFrame:
+    """M4: mode dispatch — ``insert`` (M1), ``upsert`` (M2), ``smart_sync`` (M3)."""
+    if mode == "insert":
+        return insert_new_only(target, source, key, seq, kw.get("case_insensitive", False))
+    if mode == "upsert":
+        return upsert(target, source, key, seq, **kw)
+    if mode == "smart_sync":
+        return smart_sync(target, source, key, seq, **kw)
+    raise ValueError(f"unknown sync mode {mode!r}")
+
+
+def sync_action_counts(actions: DataFrame) -> DataFrame:
+    """Statement feedback as ``(action, row_count)``."""
+    return actions.groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def deleted_keys(target: DataFrame, source: DataFrame, key: str, case_insensitive: bool = False) -> DataFrame:
+    """Distinct target keys absent from the non-NULL source keys (NULL never deleted)."""
+    t = target.select(F.col(key)).filter(F.col(key).isNotNull()).distinct()
+    s = source.select(_key_expr(key, case_insensitive).alias("__k")).filter(F.col("__k").isNotNull())
+    return t.join(s, _key_expr(key, case_insensitive) == F.col("__k"), "left_anti")

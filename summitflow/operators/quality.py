@@ -1,0 +1,103 @@
+"""Data-quality operators: duplicates (A15, A16, W2), reconciliation (A17, A18), pending.
+
+Skew: one phone may be shared by a third of all contacts.  Counts therefore use
+partial aggregation only; membership is returned as a *long* table (one row per
+member) rather than one concatenated string per phone, so no group is ever
+collected into a single value or task.  The top-N report (W2) is the only place a
+limit appears — it is the feature (N phones, k people each) — and its per-phone
+``row_number() <= k`` is planned with a partial ``WindowGroupLimit`` before the
+shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from summitflow.functions.scalars import client_contact_label, present
+
+__all__ = ["duplicate_phones", "duplicate_phone_people", "duplicate_phones_top", "duplicate_phone_counts",
+           "reconcile_counts", "reconcile_rows", "reconcile_registered", "pending_counts"]
+
+
+def duplicate_phones(contacts: DataFrame) -> DataFrame:
+    """Phones used more than once per role, with the number of labelled people."""
+    lab = client_contact_label("client", "name")
+    return (contacts.filter(present("phone"))
+                    .groupBy("role", "phone")
+                    .agg(F.count(F.lit(1)).alias("dup_count"), F.count(lab).alias("labelled"))
+                    .filter(F.col("dup_count") > 1))
+
+
+def duplicate_phone_people(contacts: DataFrame) -> DataFrame:
+    """A15 membership: every ``Client (Contact)`` of a duplicated phone, one row each
+    (the reference's ``GROUP_CONCAT`` list, kept whole and unaggregated).
+
+    The join to the (role, phone) count table is a shuffle join; AQE's skew-join
+    handling splits a hot phone's partition."""
+    d = duplicate_phones(contacts).select("role", "phone", "dup_count")
+    lab = client_contact_label("client", "name")
+    people = contacts.filter(present("phone")).select("role", "phone", "id", lab.alias("person")) \
+                     .filter(F.col("person").isNotNull())
+    return people.join(d, ["role", "phone"])
+
+
+def duplicate_phones_top(contacts: DataFrame, n_phones: int = 20, n_people: int = 3) -> DataFrame:
+    """The ``n_phones`` most used phones per role and the first ``n_people`` people of each
+    (sorted), with how many more there are.  Bounded output by design."""
+    d = duplicate_phones(contacts).select("role", "phone", "dup_count", "labelled")
+    wtop = Window.partitionBy("role").orderBy(F.desc("dup_count"), "phone")
+    top = d.withColumn("phone_rank", F.row_number().over(wtop)).filter(F.col("phone_rank") <= n_phones)
+    lab = client_contact_label("client", "name")
+    people = contacts.filter(present("phone")).select("role", "phone", lab.alias("person")) \
+                     .filter(F.col("person").isNotNull())
+    # at most n_phones rows per role: a size-bounded broadcast
+    sel = people.join(F.broadcast(top.select("role", "phone")), ["role", "phone"], "left_semi")
+    wp = Window.partitionBy("role", "phone").orderBy("person")
+    first = sel.withColumn("person_rank", F.row_number().over(wp)).filter(F.col("person_rank") <= n_people)
+    return (first.join(top, ["role", "phone"])
+                 .select("role", "phone_rank", "phone", "dup_count", "person_rank", "person",
+                         F.greatest(F.col("labelled") - F.lit(n_people), F.lit(0)).cast("bigint").alias("more")))
+
+
+def duplicate_phone_counts(contacts: DataFrame) -> DataFrame:
+    """Number of duplicated phones per role."""
+    return duplicate_phones(contacts).groupBy("role").agg(F.count(F.lit(1)).alias("dup_phones"))
+
+
+def _role_counts(df: DataFrame, name: str) -> DataFrame:
+    return df.groupBy("role").agg(F.count(F.lit(1)).alias(name))
+
+
+def reconcile_counts(expected: DataFrame, derived: DataFrame) -> DataFrame:
+    """Per role — eligible in master, present in derived, missing, in-sync flag."""
+    e = _role_counts(expected, "master_n")
+    d = _role_counts(derived, "derived_n")
+    j = e.join(d, "role", "full_outer")
+    mn = F.coalesce("master_n", F.lit(0).cast("bigint"))
+    dn = F.coalesce("derived_n", F.lit(0).cast("bigint"))
+    return j.select("role", mn.alias("master_n"), dn.alias("derived_n"), (mn - dn).alias("missing"),
+                    (mn == dn).alias("in_sync"))
+
+
+def reconcile_rows(expected: DataFrame, derived: DataFrame, key=("role", "id", "phone")) -> DataFrame:
+    """A17 row level: contacts missing from the derived table and rows the master no longer backs
+    (counts alone can cancel out).  Two anti joins on the key."""
+    key = list(key)
+    e = expected.select(*key)
+    d = derived.select(*key)
+    miss = e.join(d, key, "left_anti").withColumn("side", F.lit("missing_in_derived"))
+    extra = d.join(e, key, "left_anti").withColumn("side", F.lit("extra_in_derived"))
+    return miss.unionByName(extra)
+
+
+def reconcile_registered(expected: DataFrame, derived: DataFrame) -> DataFrame:
+    """Registered contacts (exact 'Registered' / 'registered') in master vs derived, per role."""
+    reg = F.col("contact_response").isin("Registered", "registered")
+    return reconcile_counts(expected.filter(reg), derived.filter(reg))
+
+
+def pending_counts(details: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Contacts not exported yet (status 0 = absent from the export ledger), per role."""
+    pend = details.join(ledger.select("role", "phone"), ["role", "phone"], "left_anti")
+    return pend.groupBy("role").agg(F.count(F.lit(1)).alias("pending"))

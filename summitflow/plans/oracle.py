@@ -1,0 +1,389 @@
+"""DuckDB twins of the registered queries (the correctness oracle).
+
+Written independently of the Spark code as plain SQL over the driver's views
+(``orders``, ``customer``, ...).  Shared *parameters* (fixture SQL, region lists,
+filter specs, date formats) are imported so both sides test the same thing.
+"""
+
+from __future__ import annotations
+
+import re
+
+from summitflow.functions.scalars import REGIONS, region_pattern
+from summitflow.plans.fixtures import CHANGE_OFFSET, MASTER_SQL
+from summitflow.plans.queries import BATCH_TS, CASCADE_SPEC, FILTER_SPEC
+from summitflow.roles import ANALYSIS_FIELDS, DETAILS_FIELDS, ROLE_ORDER, ROLES, derived_name
+
+MASTER = MASTER_SQL.format(orders="orders", customer="customer", nation="nation")
+MASTER_COLUMNS = re.findall(r" AS (\w+),?\n", MASTER)
+
+FLOAT_FULL = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
+FLOAT_PREFIX = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
+
+
+def T(x):  # title case
+    return (f"array_to_string(list_transform(regexp_extract_all(trim({x}), '(\\p{{L}}+|[^\\p{{L}}]+)', 0), "
+            f"lambda w: upper(left(w, 1)) || lower(substr(w, 2))), '')")
+
+
+def LABEL(x):
+    t = T(x)
+    return f"(CASE WHEN regexp_matches({t}, '^[0-9]+\\s+.+$') THEN regexp_extract({t}, '^[0-9]+\\s+(.+)$', 1) ELSE {t} END)"
+
+
+def WEIGHT(x):
+    return f"coalesce(try_cast(nullif(regexp_extract(trim({x}), '^([0-9]+)\\s+', 1), '') AS BIGINT), 1)"
+
+
+def SI(x):
+    return f"coalesce(try_cast(trunc(try_cast(nullif(regexp_extract({x}, '{FLOAT_FULL}', 1), '') AS DOUBLE)) AS BIGINT), 0)"
+
+
+def NP(x):
+    return (f"(CASE WHEN {x} IS NOT NULL THEN coalesce(try_cast(nullif(regexp_extract({x}, '{FLOAT_PREFIX}', 1), '') "
+            f"AS DOUBLE), 0.0) END)")
+
+
+def REGION(x):
+    whens = " ".join(f"WHEN regexp_matches(lower(trim({x})), '{region_pattern(c)}') THEN '{n}'" for n, c in REGIONS)
+    return f"(CASE WHEN {x} IS NULL THEN 'Unknown' {whens} ELSE 'Other' END)"
+
+
+def PDATE(x):
+    fmts = ["%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y/%m/%d", "%d-%m-%Y"]
+    return "CAST(coalesce(" + ", ".join(f"try_strptime(trim({x}), '{f}')" for f in fmts) + ") AS DATE)"
+
+
+def RATE(num, den):
+    return f"(CASE WHEN {den} > 0 THEN round({num} / {den} * 100.0, 2) ELSE 0.0 END)"
+
+
+def PRESENT(x):
+    return f"({x} IS NOT NULL AND {x} <> '')"
+
+
+def ESC(x):
+    return (f"coalesce(replace(replace(replace(replace(trim({x}), '\\', '\\\\'), ',', '\\,'), ';', '\\;'), "
+            f"chr(10), '\\n'), '')")
+
+
+def CARD(name, desig, client, phone, email):
+    first = (f"(CASE WHEN {PRESENT(name)} OR {PRESENT(desig)} THEN concat_ws(' ', "
+             f"CASE WHEN {PRESENT(name)} THEN {ESC(name)} END, "
+             f"CASE WHEN {PRESENT(desig)} THEN '(' || {ESC(desig)} || ')' END) ELSE 'Unknown' END)")
+    last = f"(CASE WHEN {PRESENT(client)} THEN {ESC(client)} ELSE 'Company' END)"
+    return (f"concat_ws(chr(10), 'BEGIN:VCARD', 'VERSION:3.0', 'FN:' || {first} || ' ' || {last}, "
+            f"'N:' || {last} || ';' || {first} || ';;;', "
+            f"CASE WHEN {ESC(phone)} <> '' THEN 'TEL;TYPE=WORK,VOICE:' || {ESC(phone)} END, "
+            f"CASE WHEN {ESC(email)} <> '' THEN 'EMAIL;TYPE=WORK:' || {ESC(email)} END, 'END:VCARD')")
+
+
+def fan_sql(src):
+    parts = []
+    for r in ROLE_ORDER:
+        s = ROLES[r]
+        parts.append(
+            f"SELECT '{r}' AS role, id, Client_Name AS client, Practice_Head, Partner, Sector, Response, numInvitees, "
+            f"numRegistrations, Invite_Status, {s.name} AS name, {s.designation} AS designation, {s.email} AS email, "
+            f"{s.phone} AS phone, {s.location} AS location, {s.response} AS contact_response FROM {src} "
+            f"WHERE {PRESENT(s.phone)}")
+    return " UNION ALL ".join(parts)
+
+
+def changed_sql(src):
+    """NEW image of every master row under the change feed (see fixtures.change_feed)."""
+    return (f"SELECT * REPLACE ("
+            f"CASE WHEN id % 10 = 1 THEN '+91-9' || CAST(id AS VARCHAR) WHEN id % 10 = 4 THEN '' ELSE Phone_Number END AS Phone_Number, "
+            f"CASE WHEN id % 10 = 2 THEN coalesce(Phone_Number_4, '+44-8' || CAST(id AS VARCHAR)) ELSE Phone_Number_4 END AS Phone_Number_4, "
+            f"CASE WHEN id % 10 = 5 THEN 'changed head' ELSE Practice_Head END AS Practice_Head, "
+            f"CASE WHEN id % 10 = 5 THEN 'Registered' ELSE Response_1 END AS Response_1) FROM {src}")
+
+
+SM = (f"SELECT * REPLACE ({T('Practice_Head')} AS Practice_Head, {T('Partner')} AS Partner, "
+      f"{T('Client_Name')} AS Client_Name, {T('Location')} AS Location, {T('Sector')} AS Sector, "
+      f"{LABEL('Response')} AS Response), {WEIGHT('Response')} AS Response_Weight FROM m")
+SC = (f"SELECT * REPLACE (CASE WHEN role = 'tax' THEN {T('client')} ELSE client END AS client, "
+      f"{T('Practice_Head')} AS Practice_Head, {T('Partner')} AS Partner, {T('Sector')} AS Sector, "
+      f"CASE WHEN role = 'tax' THEN {T('location')} ELSE location END AS location, {LABEL('Response')} AS Response), "
+      f"{WEIGHT('Response')} AS Response_Weight FROM c")
+
+BASE = (f"WITH m AS ({MASTER}),\n sm AS ({SM}),\n c AS ({fan_sql('m')}),\n sc AS ({SC}),\n"
+        f" u AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id) = 1),\n"
+        f" t AS (SELECT * REPLACE (CASE WHEN id % 4 = 0 THEN 'Old' ELSE Response END AS Response) FROM m WHERE id % 10 <> 3),\n"
+        f" s AS (SELECT * FROM m WHERE id % 10 <> 7),\n"
+        f" s_first AS (SELECT * FROM s WHERE Client_Name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY Client_Name ORDER BY id) = 1),\n"
+        f" s_last AS (SELECT * FROM s WHERE Client_Name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY Client_Name ORDER BY id DESC) = 1),\n"
+        f" m2 AS ({changed_sql('m')}),\n"
+        f" fm AS (SELECT * FROM m2 WHERE id % 10 <> 6),\n"
+        f" c2 AS ({fan_sql('fm')}),\n"
+        f" cu AS ({fan_sql('(SELECT * FROM m2 WHERE id % 10 IN (1, 2, 4, 5))')}),\n"
+        f" cd AS ({fan_sql('(SELECT * FROM m WHERE id % 10 = 6)')}),\n"
+        f" elig AS (SELECT * FROM u WHERE {PRESENT('phone')} AND {NP('numRegistrations')} = 1 "
+        f"AND contact_response IS NOT NULL AND {NP('contact_response')} >= 0)\n")
+
+
+def q(body):
+    return BASE + body
+
+
+def in_list(vals):
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in vals)
+
+
+def filt(spec, src="sm"):
+    cols = {"ph": "Practice_Head", "partner": "Partner", "sector": "Sector", "loc": "Location", "resp": "Response"}
+    conds = [f"{cols[k]} IN ({in_list(v)})" for k, v in spec.items() if v]
+    return f"SELECT * FROM {src}" + (" WHERE " + " AND ".join(conds) if conds else "")
+
+
+def cascade(src, fm):
+    return (f"SELECT * FROM {src} WHERE Practice_Head IN (SELECT Practice_Head FROM ({fm}) WHERE Practice_Head IS NOT NULL) "
+            f"AND Partner IN (SELECT Partner FROM ({fm}) WHERE Partner IS NOT NULL)")
+
+
+def role_region(src):
+    cl = "lower(trim(contact_response))"
+    return (f"SELECT role, region, total_invited, registered, positive_responses, registered + positive_responses AS total_confirmed, "
+            f"total_invited - (registered + positive_responses) AS unregistered, "
+            f"round((registered + positive_responses) / total_invited * 100.0, 2) AS registration_rate FROM ("
+            f"SELECT role, {REGION('location')} AS region, count(phone) AS total_invited, count_if({cl} = 'registered') AS registered, "
+            f"count_if({cl} = 'positive') AS positive_responses FROM ({src}) WHERE location IS NOT NULL GROUP BY ALL) "
+            f"WHERE registered + positive_responses > 0")
+
+
+def owner_aggs():
+    return (f"count(Client_Name) AS invites_sent, CAST(sum({SI('numInvitees')}) AS BIGINT) AS invitees, "
+            f"CAST(sum({SI('numRegistrations')}) AS BIGINT) AS registrations, count(Response) AS responses")
+
+
+def role_view_sql(role, kind):
+    spec = ROLES[role]
+    fields = ANALYSIS_FIELDS if kind == "analysis" else DETAILS_FIELDS
+    return q(f"SELECT {', '.join(f'{f} AS {derived_name(spec, f)}' for f in fields)} FROM c WHERE role = '{role}'")
+
+
+def profile_sql():
+    parts = []
+    for i, col in enumerate(MASTER_COLUMNS):
+        if col == "id":
+            parts.append(f"SELECT 'id' AS column_name, CAST({i} AS INTEGER) AS position, 'INT' AS sql_type, count(id) AS non_null, "
+                         f"CAST(NULL AS BIGINT) AS max_len, CAST(NULL AS BIGINT) AS suggested_len FROM m")
+        else:
+            ml = f"CAST(max(length({col})) AS BIGINT)"
+            parts.append(f"SELECT '{col}', CAST({i} AS INTEGER), 'VARCHAR', count({col}), {ml}, "
+                         f"CASE WHEN {ml} IS NULL THEN 255 ELSE least(CAST(floor({ml} * 1.5) AS BIGINT) + 50, 1000) END FROM m")
+    return q(" UNION ALL ".join(parts))
+
+
+def actions_sql():
+    diff = " OR ".join(f"t.{c} IS DISTINCT FROM s.{c}" for c in MASTER_COLUMNS)
+    return q("SELECT action, count(*) AS row_count FROM ("
+             f"SELECT CASE WHEN t.Client_Name IS NOT NULL AND s.Client_Name IS NOT NULL THEN "
+             f"(CASE WHEN {diff} THEN 'updated' ELSE 'unchanged' END) "
+             f"WHEN s.Client_Name IS NOT NULL THEN 'inserted' ELSE 'deleted' END AS action "
+             f"FROM (SELECT * FROM t WHERE Client_Name IS NOT NULL) t FULL OUTER JOIN s_last s ON t.Client_Name = s.Client_Name "
+             f"UNION ALL SELECT 'kept_null_key' FROM t WHERE Client_Name IS NULL "
+             f"UNION ALL SELECT 'inserted' FROM s WHERE Client_Name IS NULL) GROUP BY action")
+
+
+def update_sql(version):
+    setcols = ["client", "Practice_Head", "Partner", "Sector", "Response", "numInvitees", "numRegistrations",
+               "Invite_Status", "name", "designation", "email", "location", "contact_response"]
+    if version == "v1":
+        setcols.remove("client")
+    allc = ["role", "id", "client", "Practice_Head", "Partner", "Sector", "Response", "numInvitees",
+            "numRegistrations", "Invite_Status", "name", "designation", "email", "phone", "location", "contact_response"]
+    sel = ", ".join(f"CASE WHEN ul.phone IS NOT NULL THEN ul.{c} ELSE b.{c} END AS {c}" if c in setcols else f"b.{c} AS {c}"
+                    for c in allc)
+    return with_extra("ul AS (SELECT * FROM cu QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id DESC) = 1)",
+                      f"SELECT {sel} FROM u b LEFT JOIN ul ON b.role = ul.role AND b.phone = ul.phone")
+
+
+def with_extra(ctes, body):
+    return BASE.rstrip("\n") + ",\n " + ctes + "\n" + body
+
+
+def dup_sql():
+    return ("SELECT role, phone, count(*) AS dup_count, count(client || ' (' || name || ')') AS labelled "
+            "FROM c WHERE phone IS NOT NULL AND phone <> '' GROUP BY role, phone HAVING count(*) > 1")
+
+
+DUP_TOP = with_extra(
+    f"d AS ({dup_sql()}),\n"
+    " top AS (SELECT *, CAST(row_number() OVER (PARTITION BY role ORDER BY dup_count DESC, phone) AS INTEGER) AS phone_rank FROM d QUALIFY phone_rank <= 20),\n"
+    " p AS (SELECT c.role, c.phone, c.client || ' (' || c.name || ')' AS person FROM c SEMI JOIN top ON c.role = top.role AND c.phone = top.phone WHERE c.client IS NOT NULL AND c.name IS NOT NULL),\n"
+    " pr AS (SELECT *, CAST(row_number() OVER (PARTITION BY role, phone ORDER BY person) AS INTEGER) AS person_rank FROM p QUALIFY person_rank <= 3)",
+    "SELECT top.role, phone_rank, top.phone, dup_count, person_rank, person, CAST(greatest(labelled - 3, 0) AS BIGINT) AS more "
+    "FROM pr JOIN top ON pr.role = top.role AND pr.phone = top.phone")
+
+
+def reconcile_sql(cond=""):
+    w = f" WHERE {cond}" if cond else ""
+    return q(f"SELECT coalesce(a.role, b.role) AS role, coalesce(a.n, 0) AS master_n, coalesce(b.n, 0) AS derived_n, "
+             f"coalesce(a.n, 0) - coalesce(b.n, 0) AS missing, coalesce(a.n, 0) = coalesce(b.n, 0) AS in_sync FROM "
+             f"(SELECT role, count(*) AS n FROM c{w} GROUP BY role) a FULL OUTER JOIN "
+             f"(SELECT role, count(*) AS n FROM u{w} GROUP BY role) b ON a.role = b.role")
+
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations")
+
+_ALL5 = {"ph": ["Urgent", "High"], "partner": ["India", "Brazil", "Japan", "China"],
+         "sector": ["Building", "Automobile", "Household"],
+         "loc": ["New Delhi", "Bangalore", "Kota Bangalore", "Pune", "Paris"],
+         "resp": ["Positive", "Awaited", "Negative"]}
+_TS = f"CAST('{BATCH_TS}' AS TIMESTAMP)"
+_RESP = "(Response IS NOT NULL AND lower(Response) <> 'awaited')"
+_SUM_REG = f"sum({SI('numRegistrations')})"
+_SUM_INV = f"sum({SI('numInvitees')})"
+_CARD = CARD("name", "designation", "client", "phone", "email")
+
+ORACLE_SQL: dict[str, str] = {
+    "column_profile": profile_sql(),
+    "schema_evolve": "SELECT c_custkey, c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, "
+                     "CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer",
+    "table_inventory": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES),
+    "common_columns": q("SELECT Client_Name, Practice_Head, Partner, Sector, Location, Invite_Status, numInvitees, "
+                        "numRegistrations, Response, Tax_Contact, Designation, Email_ID, Phone_Number, Response_1 "
+                        f"FROM m WHERE {PRESENT('Phone_Number')}"),
+    "master_count": q("SELECT 'master' AS table_name, count(*) AS row_count FROM m"),
+    "clean_headers": "SELECT l_returnflag AS Return_Flag, l_linestatus AS num_Status, "
+                     "count(CASE WHEN l_discount > 0.09 THEN NULL ELSE l_tax END) AS n_tax, "
+                     "round(sum(CASE WHEN l_discount > 0.09 THEN NULL ELSE l_tax END), 4) AS sum_tax, "
+                     "round(sum(l_quantity), 4) AS sum_qty FROM lineitem GROUP BY ALL",
+    "contacts_long": q("SELECT * FROM c"),
+    **{f"analysis_{r}": role_view_sql(r, "analysis") for r in ROLE_ORDER},
+    **{f"details_{r}": role_view_sql(r, "details") for r in ROLE_ORDER},
+    "filter_all5": q(filt(_ALL5)),
+    "cascade_filter": q(cascade("sc", filt(CASCADE_SPEC))),
+    "deleted_keys": q("SELECT DISTINCT Client_Name FROM t WHERE Client_Name IS NOT NULL AND NOT EXISTS "
+                      "(SELECT 1 FROM s WHERE s.Client_Name = t.Client_Name)"),
+    "orphans": "SELECT o.* FROM orders o WHERE o.o_custkey IS NOT NULL AND NOT EXISTS "
+               "(SELECT 1 FROM customer k WHERE k.c_custkey % 10 <> 0 AND k.c_custkey = o.o_custkey)",
+    "cascade_delete": q("SELECT * FROM c WHERE client IN (SELECT Client_Name FROM m WHERE id % 10 <> 7 AND Client_Name IS NOT NULL)"),
+    "cascade_rename": q("SELECT c.* REPLACE (CASE WHEN r.old_key IS NOT NULL THEN r.new_key ELSE c.client END AS client) "
+                        "FROM c LEFT JOIN (SELECT Client_Name AS old_key, upper(Client_Name) AS new_key FROM m WHERE id % 4 = 1) r "
+                        "ON c.client = r.old_key"),
+    "insert_new_only": q("SELECT * FROM t UNION ALL SELECT * FROM s_first WHERE NOT EXISTS "
+                         "(SELECT 1 FROM t WHERE t.Client_Name = s_first.Client_Name) "
+                         "UNION ALL SELECT * FROM s WHERE Client_Name IS NULL"),
+    "upsert": q("SELECT * FROM s_last UNION ALL SELECT * FROM t WHERE Client_Name IS NOT NULL AND NOT EXISTS "
+                "(SELECT 1 FROM s_last WHERE s_last.Client_Name = t.Client_Name) "
+                "UNION ALL SELECT * FROM t WHERE Client_Name IS NULL UNION ALL SELECT * FROM s WHERE Client_Name IS NULL"),
+    "smart_sync": q("SELECT * FROM s_last UNION ALL SELECT * FROM t WHERE Client_Name IS NULL "
+                    "UNION ALL SELECT * FROM s WHERE Client_Name IS NULL"),
+    "sync_action_counts": actions_sql(),
+    "upsert_phone": with_extra(
+        f"tp AS (SELECT id, Client_Name, Tax_Contact, Phone_Number, Response_1 FROM t WHERE {PRESENT('Phone_Number')} "
+        "QUALIFY row_number() OVER (PARTITION BY Phone_Number ORDER BY id) = 1),\n"
+        f" sp AS (SELECT id, Client_Name, Tax_Contact, Phone_Number, Response_1 FROM s WHERE {PRESENT('Phone_Number')} "
+        "QUALIFY row_number() OVER (PARTITION BY Phone_Number ORDER BY id DESC) = 1)",
+        "SELECT * FROM sp UNION ALL SELECT * FROM tp WHERE NOT EXISTS (SELECT 1 FROM sp WHERE sp.Phone_Number = tp.Phone_Number)"),
+    "sync_audit": with_extra(
+        "ta AS (SELECT id, Client_Name, Response, Sector, CAST('2024-06-01 00:00:00' AS TIMESTAMP) AS Data_Insert_Time, "
+        "CAST('2024-06-01 00:00:00' AS TIMESTAMP) AS Last_Updated FROM t)",
+        f"SELECT s.id, s.Client_Name, s.Response, s.Sector, coalesce(ta.Data_Insert_Time, {_TS}) AS Data_Insert_Time, "
+        f"CASE WHEN ta.Client_Name IS NULL THEN {_TS} WHEN ta.id IS DISTINCT FROM s.id OR ta.Response IS DISTINCT FROM s.Response "
+        f"OR ta.Sector IS DISTINCT FROM s.Sector THEN {_TS} ELSE ta.Last_Updated END AS Last_Updated "
+        "FROM s_last s LEFT JOIN ta ON s.Client_Name = ta.Client_Name "
+        "UNION ALL SELECT * FROM ta WHERE Client_Name IS NULL "
+        f"UNION ALL SELECT id, Client_Name, Response, Sector, {_TS}, {_TS} FROM s WHERE Client_Name IS NULL"),
+    "unique_phone": q("SELECT * FROM u"),
+    "unique_phone_client": q("SELECT * FROM c WHERE client IS NOT NULL QUALIFY row_number() OVER "
+                             "(PARTITION BY role, phone, client ORDER BY id DESC) = 1 UNION ALL SELECT * FROM c WHERE client IS NULL"),
+    "rebuild_contacts": q("SELECT * FROM c2"),
+    "apply_changes": q("SELECT * FROM c2"),
+    "apply_insert_keep_first": q("SELECT * FROM u"),
+    "apply_insert_keep_last": q("SELECT * FROM c WHERE client IS NOT NULL QUALIFY row_number() OVER "
+                                "(PARTITION BY role, phone, client ORDER BY id DESC) = 1 UNION ALL SELECT * FROM c WHERE client IS NULL"),
+    "apply_update_v1": update_sql("v1"),
+    "apply_update_v2": update_sql("v2"),
+    "apply_delete": q("SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM cd WHERE cd.role = c.role AND cd.phone = c.phone "
+                      "AND cd.client IS NOT DISTINCT FROM c.client)"),
+    "apply_delete_phone": q("SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM cd WHERE cd.role = c.role AND cd.phone = c.phone)"),
+    "overview": q(f"SELECT count(*) AS total_clients, CAST(sum({SI('numInvitees')}) AS BIGINT) AS total_invitees, "
+                  f"CAST(sum({SI('numRegistrations')}) AS BIGINT) AS registrations, "
+                  f"{RATE(f'count_if({_RESP})', 'count(*)')} AS response_rate FROM sm"),
+    "response_weights": q("SELECT Response AS response, CAST(sum(Response_Weight) AS BIGINT) AS weight FROM sm "
+                          "WHERE Response IS NOT NULL GROUP BY Response"),
+    "sector_perf": q(f"SELECT Sector AS sector, CAST(sum({SI('numInvitees')}) AS BIGINT) AS invitees, "
+                     f"CAST(sum({SI('numRegistrations')}) AS BIGINT) AS registrations, "
+                     f"{RATE(_SUM_REG, _SUM_INV)} AS conversion FROM sm WHERE Sector IS NOT NULL GROUP BY Sector"),
+    "region_counts": q(f"SELECT {REGION('Location')} AS region, count(*) AS row_count FROM sm WHERE Location IS NOT NULL GROUP BY 1"),
+    "owner_stats_head": q(f"SELECT Practice_Head AS owner, {owner_aggs()} FROM sm WHERE Practice_Head IS NOT NULL GROUP BY 1"),
+    "owner_stats_partner": q(f"SELECT Partner AS owner, {owner_aggs()} FROM sm WHERE Partner IS NOT NULL GROUP BY 1"),
+    "owner_totals": q(f"SELECT 'Practice_Head' AS owner_type, {owner_aggs()} FROM sm WHERE Practice_Head IS NOT NULL "
+                      f"UNION ALL SELECT 'Partner' AS owner_type, {owner_aggs()} FROM sm WHERE Partner IS NOT NULL"),
+    "owner_response": with_extra(
+        "x AS (SELECT 'master' AS source, Practice_Head, Partner, Response, Response_Weight FROM sm UNION ALL "
+        f"SELECT role AS source, Practice_Head, Partner, Response, Response_Weight FROM ({cascade('sc', 'SELECT * FROM sm')})),\n"
+        " y AS (SELECT source, 'Practice_Head' AS owner_type, Practice_Head AS owner, Response, Response_Weight FROM x "
+        "UNION ALL SELECT source, 'Partner' AS owner_type, Partner AS owner, Response, Response_Weight FROM x)",
+        "SELECT source, owner_type, owner, Response AS response, CAST(sum(Response_Weight) AS BIGINT) AS weight FROM y "
+        "WHERE owner IS NOT NULL AND Response IS NOT NULL GROUP BY ALL"),
+    "owner_cross": q("SELECT pair, k1, k2, count(*) AS row_count FROM ("
+                     "SELECT 'head_sector' AS pair, Practice_Head AS k1, Sector AS k2 FROM sm UNION ALL "
+                     "SELECT 'head_location', Practice_Head, Location FROM sm UNION ALL "
+                     "SELECT 'partner_location', Partner, Location FROM sm) WHERE k1 IS NOT NULL AND k2 IS NOT NULL GROUP BY ALL"),
+    "owner_sector_rollup": q("SELECT CASE grouping(Practice_Head, Sector) WHEN 0 THEN 'sector' WHEN 1 THEN 'head' ELSE 'total' END "
+                             "AS level, Practice_Head, Sector, count(*) AS row_count FROM sm "
+                             "WHERE Practice_Head IS NOT NULL AND Sector IS NOT NULL GROUP BY ROLLUP (Practice_Head, Sector)"),
+    "role_kpis": q(f"SELECT role, count(*) AS total, count_if(lower(contact_response) = 'registered') AS registered, "
+                   f"{RATE(f'count_if({_RESP})', 'count(*)')} AS response_rate FROM sc GROUP BY role"),
+    "role_responses": q("SELECT role, Response AS response, CAST(sum(Response_Weight) AS BIGINT) AS weight FROM sc "
+                        "WHERE Response IS NOT NULL GROUP BY ALL"),
+    "role_region": q(role_region("SELECT * FROM sc")),
+    "role_region_filtered": q(role_region(cascade("sc", filt(FILTER_SPEC)))),
+    "cfo_sectors": q("SELECT Sector AS sector, count(*) AS row_count FROM sc WHERE role = 'cfo' AND Sector IS NOT NULL GROUP BY 1"),
+    "metrics": q(f"SELECT {RATE('sum(' + SI('numRegistrations') + ')', 'sum(' + SI('numInvitees') + ')')} AS conversion_rate, "
+                 f"{RATE('count(Response)', 'count(*)')} AS response_rate, count_if(Response IS NULL) AS pending_followups, "
+                 "count(Circle_Back_Dt) AS circle_backs FROM sm"),
+    "invite_trend": q(f"SELECT {PDATE('Invite_Dt')} AS invite_date, count(*) AS invites FROM sm "
+                      f"WHERE {PDATE('Invite_Dt')} IS NOT NULL GROUP BY 1"),
+    "funnel": with_extra(
+        f"a AS (SELECT count(*) AS s1, CAST(sum({SI('numInvitees')}) AS BIGINT) AS s2, count(Response) AS s3, "
+        f"CAST(sum({SI('numRegistrations')}) AS BIGINT) AS s4 FROM sm)",
+        " UNION ALL ".join(f"SELECT CAST({i} AS INTEGER) AS stage_no, '{n}' AS stage, CAST({v} AS BIGINT) AS value, "
+                           f"{RATE(v, 's1')} AS pct_initial FROM a"
+                           for i, n, v in ((1, "Total Clients", "s1"), (2, "Total Invitees", "s2"),
+                                           (3, "Responses", "s3"), (4, "Registrations", "s4")))),
+    "filter_options": q(" UNION ALL ".join(
+        f"SELECT DISTINCT '{k}' AS dimension, CAST({c} AS VARCHAR) AS value FROM sm WHERE {c} IS NOT NULL"
+        for k, c in (("ph", "Practice_Head"), ("partner", "Partner"), ("sector", "Sector"), ("loc", "Location"),
+                     ("resp", "Response")))),
+    "dup_phones": q(dup_sql()),
+    "dup_phone_people": with_extra(f"d AS ({dup_sql()})",
+                                   "SELECT c.role, c.phone, c.id, c.client || ' (' || c.name || ')' AS person, d.dup_count "
+                                   "FROM c JOIN d ON c.role = d.role AND c.phone = d.phone "
+                                   "WHERE c.client IS NOT NULL AND c.name IS NOT NULL"),
+    "dup_phones_top": DUP_TOP,
+    "dup_phone_counts": with_extra(f"d AS ({dup_sql()})", "SELECT role, count(*) AS dup_phones FROM d GROUP BY role"),
+    "reconcile": reconcile_sql(),
+    "reconcile_rows": q("SELECT role, id, phone, 'missing_in_derived' AS side FROM (SELECT role, id, phone FROM c EXCEPT ALL "
+                        "SELECT role, id, phone FROM u) UNION ALL SELECT role, id, phone, 'extra_in_derived' FROM "
+                        "(SELECT role, id, phone FROM u EXCEPT ALL SELECT role, id, phone FROM c)"),
+    "reconcile_registered": reconcile_sql("contact_response IN ('Registered', 'registered')"),
+    "names_title": q("SELECT id, " + ", ".join(f"{T(c)} AS t_{c}" for c in
+                                              ("Practice_Head", "Partner", "Client_Name", "Location", "Sector")) + " FROM m"),
+    "safe_ints": q(f"SELECT id, {SI('numInvitees')} AS invitees, {SI('numRegistrations')} AS registrations, "
+                   f"{RATE(SI('numRegistrations'), SI('numInvitees'))} AS conversion FROM m"),
+    "numeric_coercion": q(f"SELECT id, {NP('numRegistrations')} AS n_reg, {NP('Response_1')} AS n_resp1, "
+                          f"{NP('Response')} AS n_resp FROM m"),
+    "regions": q(f"SELECT id, {REGION('Location')} AS r_tax, {REGION('Location_6')} AS r_cfo, "
+                 f"{REGION('Location_12')} AS r_other FROM m"),
+    "labels_weights": q(f"SELECT id, {LABEL('Response')} AS label, {WEIGHT('Response')} AS weight, "
+                        f"{LABEL('Response_7')} AS label7, {WEIGHT('Response_7')} AS weight7 FROM m"),
+    "dates": q(f"SELECT id, {PDATE('Invite_Dt')} AS invite_date, {PDATE('Circle_Back_Dt')} AS circle_back_date FROM m"),
+    "eligible_cards": q("SELECT * FROM elig"),
+    "cards": q(f"SELECT role, id, client, name, phone, {_CARD} AS card FROM elig"),
+    "mark_exported": q("SELECT u.*, CAST(CASE WHEN e.phone IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS Contact_Created_Status, "
+                       f"CASE WHEN e.phone IS NOT NULL THEN {_TS} END AS Contact_File_Created_Time_Stamp "
+                       "FROM u LEFT JOIN (SELECT role, phone FROM elig) e ON u.role = e.role AND u.phone = e.phone"),
+    "pending": q("SELECT role, count(*) AS pending FROM u WHERE NOT EXISTS (SELECT 1 FROM elig e WHERE e.role = u.role "
+                 "AND e.phone = u.phone) GROUP BY role"),
+    "card_files": q(f"SELECT role, {_CARD} AS card FROM elig"),
+    "replicated_copy": q("SELECT * EXCLUDE (id) FROM m"),
+    "stream_changes": q("SELECT * FROM c2"),
+    "stream_trend": q(f"SELECT {PDATE('Invite_Dt')} AS invite_date, count(*) AS invites FROM sm "
+                      f"WHERE {PDATE('Invite_Dt')} IS NOT NULL GROUP BY 1"),
+}

@@ -1,0 +1,517 @@
+"""Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
+
+Every query reads the driver tables (through the master fixture view or directly),
+so its work grows with them.  Queries that exercise sinks or streams write into a
+fresh folder under the shared checkpoint root and return a read of what was written.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from summitflow.functions import scalars as S
+from summitflow.operators import contacts as C
+from summitflow.operators import export as E
+from summitflow.operators import filters as FL
+from summitflow.operators import merge as M
+from summitflow.operators import quality as Q
+from summitflow.operators import reports as R
+from summitflow.plans import fixtures as X
+from summitflow.roles import ROLE_ORDER
+from summitflow.session import work_dir
+from summitflow.sources import sinks as SK
+from summitflow.sources import tables as T
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# Fixed test parameters (shared with the oracle SQL).
+FILTER_SPEC = {"ph": ["Urgent", "High", "Medium"], "partner": ["India", "Germany", "France", "Brazil"],
+               "sector": [], "loc": [], "resp": []}
+CASCADE_SPEC = {"ph": ["Urgent", "Medium"], "partner": [], "sector": ["Building", "Machinery"],
+                "loc": [], "resp": []}
+BATCH_TS = "2025-01-01 00:00:00"
+
+
+def _m(spark, base):
+    return X.master(spark, base)
+
+
+def _sm(spark, base):
+    return C.standardize_master(_m(spark, base))
+
+
+def _c(spark, base):
+    return C.fan_out(_m(spark, base))
+
+
+def _sc(spark, base):
+    return C.standardize_contacts(_c(spark, base))
+
+
+def _details(spark, base):
+    """Details tables of the reference: UNIQUE phone per role, first insert wins."""
+    return C.unique_contacts(_c(spark, base), "phone", "first")
+
+
+# ------------------------------------------------------------------ scan / profile
+def q_column_profile(spark, base):
+    return T.column_profile(_m(spark, base))
+
+
+def q_schema_evolve(spark, base):
+    cust = T.read_table(spark, base, "customer")
+    target = cust.drop("c_mktsegment", "c_acctbal")
+    return T.evolve_schema(target, cust)
+
+
+def q_table_inventory(spark, base):
+    return T.table_inventory(T.read_tables(spark, base, T.TEST_TABLES))
+
+
+def q_common_columns(spark, base):
+    m = _m(spark, base)
+    analysis_tax = C.role_view(_c(spark, base), "tax", "analysis")
+    cols = T.common_columns(m, analysis_tax)
+    return m.filter(S.present("Phone_Number")).select(*cols)
+
+
+def q_master_count(spark, base):
+    return T.row_count(_m(spark, base), "master")
+
+
+def q_clean_headers(spark, base):
+    """S2 + S4 on a scan: odd headers cleaned, NaN -> NULL, then aggregated."""
+    li = T.read_table(spark, base, "lineitem")
+    raw = li.select(F.col("l_returnflag").alias("Return Flag"), F.col("l_linestatus").alias("# Status"),
+                    F.when(F.col("l_discount") > 0.09, F.lit(float("nan"))).otherwise(F.col("l_tax"))
+                    .alias("tax-rate"), F.col("l_quantity").alias("qty.total"))
+    df = T.nan_to_null(T.clean_headers(raw))
+    return df.groupBy("Return_Flag", "num_Status").agg(F.count("tax_rate").alias("n_tax"),
+                                                       F.sum("tax_rate").alias("sum_tax"),
+                                                       F.sum("qty_total").alias("sum_qty"))
+
+
+# ------------------------------------------------------------------ fan-out
+def q_contacts_long(spark, base):
+    return _c(spark, base)
+
+
+def _role_q(role, kind):
+    def q(spark, base):
+        return C.role_view(_c(spark, base), role, kind)
+    return q
+
+
+# ------------------------------------------------------------------ filters / joins
+def q_filter_all5(spark, base):
+    sm = _sm(spark, base)
+    spec = {"ph": ["Urgent", "High"], "partner": ["India", "Brazil", "Japan", "China"],
+            "sector": ["Building", "Automobile", "Household"],
+            "loc": ["New Delhi", "Bangalore", "Kota Bangalore", "Pune", "Paris"],
+            "resp": ["Positive", "Awaited", "Negative"]}
+    return FL.filter_master(sm, spec)
+
+
+def q_cascade_filter(spark, base):
+    sm = _sm(spark, base)
+    fm = FL.filter_master(sm, CASCADE_SPEC)
+    return FL.cascade_filter(_sc(spark, base), fm)
+
+
+def q_deleted_keys(spark, base):
+    t, s = X.sync_pair(_m(spark, base))
+    return M.deleted_keys(t, s, "Client_Name")
+
+
+def q_orphans(spark, base):
+    orders = T.read_table(spark, base, "orders")
+    cust = T.read_table(spark, base, "customer").filter(F.col("c_custkey") % 10 != 0)
+    return C.orphans(orders, cust, "o_custkey", "c_custkey")
+
+
+def q_cascade_delete(spark, base):
+    m = _m(spark, base)
+    parents = m.filter(F.col("id") % 10 != 7).select("Client_Name")
+    return C.cascade_delete(_c(spark, base), parents, "client", "Client_Name")
+
+
+def q_cascade_rename(spark, base):
+    m = _m(spark, base)
+    ren = m.filter(F.col("id") % 4 == 1).select(F.col("Client_Name").alias("old_key"),
+                                                 F.upper(F.col("Client_Name")).alias("new_key"))
+    return C.cascade_rename(_c(spark, base), ren, "client")
+
+
+# ------------------------------------------------------------------ merge
+def q_insert_new_only(spark, base):
+    t, s = X.sync_pair(_m(spark, base))
+    return M.insert_new_only(t, s, "Client_Name", "id")
+
+
+def q_upsert(spark, base):
+    t, s = X.sync_pair(_m(spark, base))
+    return M.upsert(t, s, "Client_Name", "id")
+
+
+def q_smart_sync(spark, base):
+    t, s = X.sync_pair(_m(spark, base))
+    return M.smart_sync(t, s, "Client_Name", "id")
+
+
+def q_sync_action_counts(spark, base):
+    t, s = X.sync_pair(_m(spark, base))
+    return M.sync_action_counts(M.sync_with_actions(t, s, "Client_Name", "id", delete_missing=True))
+
+
+def q_upsert_phone(spark, base):
+    """M2 on a heavily duplicated key (tax phone): last row per phone wins."""
+    t, s = X.sync_pair(_m(spark, base))
+    cols = ["id", "Client_Name", "Tax_Contact", "Phone_Number", "Response_1"]
+    t = t.filter(S.present("Phone_Number")).select(*cols)
+    s = s.filter(S.present("Phone_Number")).select(*cols)
+    return M.upsert(M.keep_per_key(t, "Phone_Number", "id", "first"), s, "Phone_Number", "id")
+
+
+def q_sync_audit(spark, base):
+    t, s = X.sync_pair(_m(spark, base))
+    cols = ["id", "Client_Name", "Response", "Sector"]
+    t = t.select(*cols, F.lit("2024-06-01 00:00:00").cast("timestamp").alias("Data_Insert_Time"),
+                 F.lit("2024-06-01 00:00:00").cast("timestamp").alias("Last_Updated"))
+    s = s.select(*cols)
+    return M.smart_sync(t, s, "Client_Name", "id", audit_ts=F.lit(BATCH_TS).cast("timestamp"))
+
+
+def q_unique_phone(spark, base):
+    return C.unique_contacts(_c(spark, base), "phone", "first")
+
+
+def q_unique_phone_client(spark, base):
+    return C.unique_contacts(_c(spark, base), "phone_client", "last")
+
+
+# ------------------------------------------------------------------ change application
+def q_rebuild_contacts(spark, base):
+    return C.rebuild_contacts(X.final_master(_m(spark, base)))
+
+
+def q_apply_changes(spark, base):
+    m = _m(spark, base)
+    return C.apply_changes(C.fan_out(m), X.change_feed(m))
+
+
+def _empty_contacts(spark, m):
+    """A freshly created (empty) derived table with the long-contacts schema."""
+    return spark.createDataFrame([], C.fan_out(m).schema)
+
+
+def q_apply_insert_keep_first(spark, base):
+    m = _m(spark, base)
+    return C.apply_insert(_empty_contacts(spark, m), X.change_feed(m), "phone", "first")
+
+
+def q_apply_insert_keep_last(spark, base):
+    m = _m(spark, base)
+    return C.apply_insert(_empty_contacts(spark, m), X.change_feed(m), "phone_client", "last")
+
+
+def q_apply_update_v1(spark, base):
+    m = _m(spark, base)
+    return C.apply_update(C.unique_contacts(C.fan_out(m), "phone", "first"), X.change_feed(m), "v1")
+
+
+def q_apply_update_v2(spark, base):
+    m = _m(spark, base)
+    return C.apply_update(C.unique_contacts(C.fan_out(m), "phone", "first"), X.change_feed(m), "v2")
+
+
+def q_apply_delete(spark, base):
+    m = _m(spark, base)
+    return C.apply_delete(C.fan_out(m), X.change_feed(m), by_client=True)
+
+
+def q_apply_delete_phone(spark, base):
+    m = _m(spark, base)
+    return C.apply_delete(C.fan_out(m), X.change_feed(m), by_client=False)
+
+
+# ------------------------------------------------------------------ reports
+def q_overview(spark, base):
+    return R.overview(_sm(spark, base))
+
+
+def q_response_weights(spark, base):
+    return R.response_weights(_sm(spark, base))
+
+
+def q_sector_perf(spark, base):
+    return R.sector_performance(_sm(spark, base))
+
+
+def q_region_counts(spark, base):
+    return R.region_counts(_sm(spark, base))
+
+
+def q_owner_stats_head(spark, base):
+    return R.owner_stats(_sm(spark, base), "Practice_Head")
+
+
+def q_owner_stats_partner(spark, base):
+    return R.owner_stats(_sm(spark, base), "Partner")
+
+
+def q_owner_totals(spark, base):
+    return R.owner_totals(_sm(spark, base))
+
+
+def q_owner_response(spark, base):
+    sm = _sm(spark, base)
+    sc = FL.cascade_filter(_sc(spark, base), sm)
+    return R.owner_response(sm, sc)
+
+
+def q_owner_cross(spark, base):
+    return R.owner_cross(_sm(spark, base))
+
+
+def q_owner_sector_rollup(spark, base):
+    return R.owner_sector_rollup(_sm(spark, base))
+
+
+def q_role_kpis(spark, base):
+    return R.role_kpis(_sc(spark, base))
+
+
+def q_role_responses(spark, base):
+    return R.role_responses(_sc(spark, base))
+
+
+def q_role_region(spark, base):
+    return R.role_region(_sc(spark, base))
+
+
+def q_role_region_filtered(spark, base):
+    """K5: dashboard path — filter master, cascade to contacts, region stats."""
+    sm = _sm(spark, base)
+    fm = FL.filter_master(sm, FILTER_SPEC)
+    return R.role_region(FL.cascade_filter(_sc(spark, base), fm))
+
+
+def q_cfo_sectors(spark, base):
+    return R.cfo_sector_counts(_sc(spark, base))
+
+
+def q_metrics(spark, base):
+    return R.metrics(_sm(spark, base))
+
+
+def q_invite_trend(spark, base):
+    return R.invite_trend(_sm(spark, base))
+
+
+def q_funnel(spark, base):
+    return R.funnel(_sm(spark, base))
+
+
+def q_filter_options(spark, base):
+    return R.filter_options(_sm(spark, base))
+
+
+# ------------------------------------------------------------------ quality
+def q_dup_phones(spark, base):
+    return Q.duplicate_phones(_c(spark, base))
+
+
+def q_dup_phone_people(spark, base):
+    return Q.duplicate_phone_people(_c(spark, base))
+
+
+def q_dup_phones_top(spark, base):
+    return Q.duplicate_phones_top(_c(spark, base), 20, 3)
+
+
+def q_dup_phone_counts(spark, base):
+    return Q.duplicate_phone_counts(_c(spark, base))
+
+
+def q_reconcile(spark, base):
+    c = _c(spark, base)
+    return Q.reconcile_counts(c, _details(spark, base))
+
+
+def q_reconcile_rows(spark, base):
+    c = _c(spark, base)
+    return Q.reconcile_rows(c, _details(spark, base))
+
+
+def q_reconcile_registered(spark, base):
+    c = _c(spark, base)
+    return Q.reconcile_registered(c, _details(spark, base))
+
+
+# ------------------------------------------------------------------ scalars
+def q_names_title(spark, base):
+    m = _m(spark, base)
+    return m.select("id", *[S.title_case(c).alias(f"t_{c}") for c in C.MASTER_TITLE_COLS])
+
+
+def q_safe_ints(spark, base):
+    m = _m(spark, base)
+    return m.select("id", S.safe_int("numInvitees").alias("invitees"),
+                    S.safe_int("numRegistrations").alias("registrations"),
+                    S.conversion_rate(S.safe_int("numRegistrations"), S.safe_int("numInvitees")).alias("conversion"))
+
+
+def q_numeric_coercion(spark, base):
+    m = _m(spark, base)
+    return m.select("id", S.numeric_prefix("numRegistrations").alias("n_reg"),
+                    S.numeric_prefix("Response_1").alias("n_resp1"),
+                    S.numeric_prefix("Response").alias("n_resp"))
+
+
+def q_regions(spark, base):
+    m = _m(spark, base)
+    return m.select("id", S.region_of("Location").alias("r_tax"), S.region_of("Location_6").alias("r_cfo"),
+                    S.region_of("Location_12").alias("r_other"))
+
+
+def q_labels_weights(spark, base):
+    m = _m(spark, base)
+    return m.select("id", S.response_label("Response").alias("label"), S.response_weight("Response").alias("weight"),
+                    S.response_label("Response_7").alias("label7"), S.response_weight("Response_7").alias("weight7"))
+
+
+def q_dates(spark, base):
+    m = _m(spark, base)
+    return m.select("id", S.parse_date("Invite_Dt").alias("invite_date"),
+                    S.parse_date("Circle_Back_Dt").alias("circle_back_date"))
+
+
+# ------------------------------------------------------------------ export
+def q_eligible_cards(spark, base):
+    return E.eligible_contacts(_details(spark, base))
+
+
+def q_cards(spark, base):
+    return E.contact_cards(E.eligible_contacts(_details(spark, base)))
+
+
+def _export_once(spark, base):
+    d = _details(spark, base)
+    root = work_dir(spark, "export")
+    ts = F.lit(BATCH_TS).cast("timestamp")
+    E.export_cards(spark, d, f"{root}/ledger", f"{root}/cards", "b1", ts)
+    return d, spark.read.parquet(f"{root}/ledger"), root
+
+
+def q_mark_exported(spark, base):
+    d, ledger, _ = _export_once(spark, base)
+    return E.mark_exported(d, ledger)
+
+
+def q_pending(spark, base):
+    d, ledger, _ = _export_once(spark, base)
+    return Q.pending_counts(d, ledger)
+
+
+def q_card_files(spark, base):
+    """S11 round trip: the written card files, read back as one card per row."""
+    _, _, root = _export_once(spark, base)
+    txt = spark.read.option("lineSep", "\n\n").text(f"{root}/cards")
+    return txt.select("role", F.col("value").alias("card"))
+
+
+# ------------------------------------------------------------------ replica
+def q_replicated_copy(spark, base):
+    m = _m(spark, base)
+    dst = work_dir(spark, "replica")
+    SK.replicate(spark, {"master": m}, dst)
+    return spark.read.parquet(f"{dst}/master")
+
+
+# ------------------------------------------------------------------ streaming
+def q_stream_changes(spark, base):
+    from summitflow.streaming.changes import stream_apply_changes
+    return stream_apply_changes(spark, base)
+
+
+def q_stream_trend(spark, base):
+    from summitflow.streaming.changes import stream_invite_trend
+    return stream_invite_trend(spark, base)
+
+
+QUERIES: dict[str, Query] = {
+    "column_profile": q_column_profile,
+    "schema_evolve": q_schema_evolve,
+    "table_inventory": q_table_inventory,
+    "common_columns": q_common_columns,
+    "master_count": q_master_count,
+    "clean_headers": q_clean_headers,
+    "contacts_long": q_contacts_long,
+    **{f"analysis_{r}": _role_q(r, "analysis") for r in ROLE_ORDER},
+    **{f"details_{r}": _role_q(r, "details") for r in ROLE_ORDER},
+    "filter_all5": q_filter_all5,
+    "cascade_filter": q_cascade_filter,
+    "deleted_keys": q_deleted_keys,
+    "orphans": q_orphans,
+    "cascade_delete": q_cascade_delete,
+    "cascade_rename": q_cascade_rename,
+    "insert_new_only": q_insert_new_only,
+    "upsert": q_upsert,
+    "smart_sync": q_smart_sync,
+    "sync_action_counts": q_sync_action_counts,
+    "upsert_phone": q_upsert_phone,
+    "sync_audit": q_sync_audit,
+    "unique_phone": q_unique_phone,
+    "unique_phone_client": q_unique_phone_client,
+    "rebuild_contacts": q_rebuild_contacts,
+    "apply_changes": q_apply_changes,
+    "apply_insert_keep_first": q_apply_insert_keep_first,
+    "apply_insert_keep_last": q_apply_insert_keep_last,
+    "apply_update_v1": q_apply_update_v1,
+    "apply_update_v2": q_apply_update_v2,
+    "apply_delete": q_apply_delete,
+    "apply_delete_phone": q_apply_delete_phone,
+    "overview": q_overview,
+    "response_weights": q_response_weights,
+    "sector_perf": q_sector_perf,
+    "region_counts": q_region_counts,
+    "owner_stats_head": q_owner_stats_head,
+    "owner_stats_partner": q_owner_stats_partner,
+    "owner_totals": q_owner_totals,
+    "owner_response": q_owner_response,
+    "owner_cross": q_owner_cross,
+    "owner_sector_rollup": q_owner_sector_rollup,
+    "role_kpis": q_role_kpis,
+    "role_responses": q_role_responses,
+    "role_region": q_role_region,
+    "role_region_filtered": q_role_region_filtered,
+    "cfo_sectors": q_cfo_sectors,
+    "metrics": q_metrics,
+    "invite_trend": q_invite_trend,
+    "funnel": q_funnel,
+    "filter_options": q_filter_options,
+    "dup_phones": q_dup_phones,
+    "dup_phone_people": q_dup_phone_people,
+    "dup_phones_top": q_dup_phones_top,
+    "dup_phone_counts": q_dup_phone_counts,
+    "reconcile": q_reconcile,
+    "reconcile_rows": q_reconcile_rows,
+    "reconcile_registered": q_reconcile_registered,
+    "names_title": q_names_title,
+    "safe_ints": q_safe_ints,
+    "numeric_coercion": q_numeric_coercion,
+    "regions": q_regions,
+    "labels_weights": q_labels_weights,
+    "dates": q_dates,
+    "eligible_cards": q_eligible_cards,
+    "cards": q_cards,
+    "mark_exported": q_mark_exported,
+    "pending": q_pending,
+    "card_files": q_card_files,
+    "replicated_copy": q_replicated_copy,
+    "stream_changes": q_stream_changes,
+    "stream_trend": q_stream_trend,
+}

@@ -1,0 +1,58 @@
+"""Session helpers: a configured SparkSession and the shared work folder.
+
+On a cluster the work folder is whatever ``spark.checkpoint.dir`` names
+(a shared filesystem path).  Only when that setting is absent — local
+tests — do we create a private temporary folder and register it.
+"""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+CHECKPOINT_CONF = "spark.checkpoint.dir"
+
+
+def get_spark(master: str | None = None, app: str = "summitflow", partitions: int | None = None) -> SparkSession:
+    """Return a session tuned for the library (AQE on, UTC, no UI)."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    cores = os.cpu_count() or 8
+    conf = {
+        "spark.sql.shuffle.partitions": str(partitions or cores),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": "16g",
+    }
+    for k, v in conf.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder for snapshots / checkpoints.
+
+    Read from ``spark.checkpoint.dir``; set a private one only when unset.
+    """
+    root = spark.conf.get(CHECKPOINT_CONF, None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="summitflow-ckpt-")
+        spark.conf.set(CHECKPOINT_CONF, root)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh, unique sub-folder of the shared checkpoint root."""
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

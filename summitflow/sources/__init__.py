@@ -1,0 +1,4 @@
+"""Scans, sources and sinks."""
+
+from summitflow.sources.tables import *  # noqa: F401,F403
+from summitflow.sources.sinks import *  # noqa: F401,F403

@@ -1,0 +1,73 @@
+"""Sinks: replica copy (S10), contact-card text files (S11), report export."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+__all__ = ["replicate_table", "replicate", "write_cards", "export_report"]
+
+
+def _existing_columns(spark: SparkSession, path: str) -> list[str] | None:
+    try:
+        return spark.read.parquet(path).columns
+    except Exception:  # target does not exist yet
+        return None
+
+
+def replicate_table(spark: SparkSession, src: DataFrame, dst_path: str, name: str,
+                    exclude: Sequence[str] = ("id",)) -> DataFrame:
+    """Copy one table to a replica location.
+
+    * columns = source ∩ existing target columns (all source columns for a new target), minus ``exclude``
+    * an empty source leaves the target untouched (status ``skipped_empty``)
+    * the copy is a partition-parallel overwrite; an ``Observation`` counts the rows written
+      in the same pass, and the copied count is checked against the source count.
+    Returns a one-row status DataFrame ``(table_name, status, source_rows, copied_rows)``.
+    """
+    target_cols = _existing_columns(spark, dst_path)
+    cols = [c for c in src.columns if c not in set(exclude) and (target_cols is None or c in target_cols)]
+    schema = "table_name string, status string, source_rows bigint, copied_rows bigint"
+    if src.isEmpty():  # reads at most one row
+        return spark.createDataFrame([(name, "skipped_empty", 0, None)], schema)
+    obs = Observation(f"replicate_{name}")
+    src.select(*cols).observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(dst_path)
+    written = obs.get["n"]
+    copied = spark.read.parquet(dst_path).count()
+    status = "ok" if copied == written else "count_mismatch"
+    return spark.createDataFrame([(name, status, int(written), int(copied))], schema)
+
+
+def replicate(spark: SparkSession, tables: dict[str, DataFrame], dst_root: str) -> DataFrame:
+    """K8: replicate several tables; one status row per table (failures reported, not raised)."""
+    schema = "table_name string, status string, source_rows bigint, copied_rows bigint"
+    out = []
+    for name, df in tables.items():
+        try:
+            out.append(replicate_table(spark, df, f"{dst_root.rstrip('/')}/{name}", name))
+        except Exception as e:  # keep going, like the reference's success/failed lists
+            out.append(spark.createDataFrame([(name, f"failed: {type(e).__name__}", None, None)], schema))
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res
+
+
+def write_cards(cards: DataFrame, path: str, card_col: str = "card", partition_col: str | None = "role") -> None:
+    """Write card text, cards separated by a blank line, one part file per task.
+
+    ``partitionBy(role)`` gives one folder per role (the reference writes one file per role);
+    the write is partition-parallel — no single-file collect.
+    """
+    w = cards.select(*( [partition_col] if partition_col else []), F.col(card_col).alias("value"))
+    writer = w.write.mode("overwrite").option("lineSep", "\n\n")
+    if partition_col:
+        writer = writer.partitionBy(partition_col)
+    writer.text(path)
+
+
+def export_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Report export (header row, parallel parts)."""
+    df.write.mode("overwrite").format(fmt).option("header", True).save(path)

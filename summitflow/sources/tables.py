@@ -1,0 +1,148 @@
+"""Table scans, header cleaning, profiling, schema evolution, inventory."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+__all__ = [
+    "TEST_TABLES", "read_table", "read_tables", "read_file", "clean_header", "clean_headers",
+    "nan_to_null", "column_profile", "evolve_schema", "table_inventory", "row_count",
+    "common_columns",
+]
+
+TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+               "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Scan one table stored as ``<base>/<name>.parquet`` (file or directory).
+
+    Column pruning and filter pushdown reach the Parquet reader because the
+    plan stays declarative.
+    """
+    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+
+
+def read_tables(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    return {n: read_table(spark, base, n) for n in names}
+
+
+def read_file(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | str | None = None,
+              header: bool = True, mode: str = "PERMISSIVE", **options) -> DataFrame:
+    """Tabular file scan (re-aimed spreadsheet load). Declare ``schema`` in production."""
+    reader = spark.read.format(fmt).option("mode", mode)
+    if fmt == "csv":
+        reader = reader.option("header", header)
+        if schema is None:
+            reader = reader.option("inferSchema", True)
+    if schema is not None:
+        reader = reader.schema(schema)
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    return reader.load(path)
+
+
+def clean_header(name: str | None, position: int, blank_rule: bool = True) -> str:
+    """Header cleaning of one column name.
+
+    blank / NaN -> ``Unnamed_Column_{i+1}``; trim; space -> ``_``; ``#`` -> ``num``;
+    ``-`` -> ``_``; any other non-alphanumeric, non-underscore char -> ``_``.
+    The key-column name gets the same replacements without the blank rule.
+    """
+    if blank_rule and (name is None or (isinstance(name, float) and name != name) or str(name).strip() == ""):
+        return f"Unnamed_Column_{position + 1}"
+    s = str(name).strip().replace(" ", "_").replace("#", "num").replace("-", "_")
+    return re.sub(r"[^a-zA-Z0-9_]", "_", s)
+
+
+def clean_headers(df: DataFrame) -> DataFrame:
+    """Apply S2 to every column (metadata-only rename, no data pass). Fails on collisions."""
+    names = [clean_header(c, i) for i, c in enumerate(df.columns)]
+    dup = {n for n in names if names.count(n) > 1}
+    if dup:
+        raise ValueError(f"header cleaning produced duplicate names: {sorted(dup)}")
+    return df.toDF(*names)
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN -> NULL on floating columns."""
+    fl = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return df.select(*[F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)).alias(c) if c in fl
+                       else F.col(c) for c in df.columns])
+
+
+def _type_name(dt: T.DataType) -> str:
+    """SQL type the reference would create for a column of this Spark type."""
+    if isinstance(dt, T.StringType):
+        return "VARCHAR"
+    if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+        return "INT"
+    if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return "FLOAT"
+    return "TEXT"
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """One-pass column profile.
+
+    Output per column: column_name, position, sql_type, non_null, max_len (text only),
+    suggested_len = least(int(1.5*max_len)+50, 1000), or 255 when no value.
+    A single aggregation (partial + final) computes every column's stats; the wide
+    row is then unpivoted with ``stack`` — no per-column scans.
+    """
+    aggs = []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        aggs.append(F.count(c).alias(f"nn_{i}"))
+        if isinstance(f.dataType, T.StringType):
+            aggs.append(F.max(F.length(c)).cast("bigint").alias(f"ml_{i}"))
+        else:
+            aggs.append(F.lit(None).cast("bigint").alias(f"ml_{i}"))
+    wide = df.agg(*aggs)
+    rows = ", ".join(
+        f"'{f.name}', {i}, '{_type_name(f.dataType)}', nn_{i}, ml_{i}" for i, f in enumerate(df.schema.fields))
+    long = wide.selectExpr(
+        f"stack({len(df.schema.fields)}, {rows}) as (column_name, position, sql_type, non_null, max_len)")
+    suggested = F.when(F.col("sql_type") != "VARCHAR", F.lit(None).cast("bigint")).when(
+        F.col("max_len").isNull(), F.lit(255).cast("bigint")).otherwise(
+        F.least(F.floor(F.col("max_len") * 1.5).cast("bigint") + 50, F.lit(1000).cast("bigint")))
+    return long.select(F.col("column_name"), F.col("position").cast("int").alias("position"), "sql_type",
+                       "non_null", "max_len", suggested.alias("suggested_len"))
+
+
+def evolve_schema(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Additive schema evolution — columns of ``source`` missing in ``target`` are added
+    (NULL-filled, source type); existing columns are never dropped or retyped."""
+    have = {c.lower() for c in target.columns}
+    extra = [f for f in source.schema.fields if f.name.lower() not in have]
+    return target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+
+
+def common_columns(a: DataFrame, b: DataFrame, exclude: Sequence[str] = ("id", "S_No", "Data_Insert_Time",
+                                                                         "Last_Updated")) -> list[str]:
+    """P11 helper: shared column names (in ``a``'s order) minus audit columns."""
+    bset = set(b.columns)
+    ex = set(exclude)
+    return [c for c in a.columns if c in bset and c not in ex]
+
+
+def row_count(df: DataFrame, name: str) -> DataFrame:
+    """``(table_name, row_count)`` as a one-row DataFrame (stays lazy)."""
+    return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+
+
+def table_inventory(tables: dict[str, DataFrame]) -> DataFrame:
+    """Existence + row count of every table, one ``unionByName`` of per-table counts.
+
+    Parquet counts are answered from footers, so this is metadata-cheap at scale.
+    """
+    parts = [row_count(df, name) for name, df in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

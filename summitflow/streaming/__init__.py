@@ -1,0 +1 @@
+"""Structured Streaming maintenance of derived tables and reports."""
