@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from summitflow.sources.tables import read_table
+from summitflow.sources.tables import read_table, spread
 
 MASTER_SQL = """
 SELECT o.o_orderkey AS id,
@@ -60,7 +60,7 @@ def master_from(spark: SparkSession, orders: DataFrame, customer: DataFrame, nat
 
 def master(spark: SparkSession, base: str) -> DataFrame:
     """The wide master fixture (one row per order)."""
-    return master_from(spark, read_table(spark, base, "orders"), read_table(spark, base, "customer"),
+    return master_from(spark, spread(read_table(spark, base, "orders")), read_table(spark, base, "customer"),
                        read_table(spark, base, "nation"))
 
 

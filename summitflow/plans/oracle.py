@@ -11,7 +11,7 @@ import re
 
 from summitflow.functions.scalars import REGIONS, region_pattern
 from summitflow.plans.fixtures import CHANGE_OFFSET, MASTER_SQL
-from summitflow.plans.queries import BATCH_TS, CASCADE_SPEC, FILTER_SPEC
+from summitflow.plans.queries import BATCH_TS, CASCADE_SPEC, FILTER_ALL5, FILTER_SPEC
 from summitflow.roles import ANALYSIS_FIELDS, DETAILS_FIELDS, ROLE_ORDER, ROLES, derived_name
 
 MASTER = MASTER_SQL.format(orders="orders", customer="customer", nation="nation")
@@ -228,10 +228,6 @@ def reconcile_sql(cond=""):
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
-_ALL5 = {"ph": ["Urgent", "High"], "partner": ["India", "Brazil", "Japan", "China"],
-         "sector": ["Building", "Automobile", "Household"],
-         "loc": ["New Delhi", "Bangalore", "Kota Bangalore", "Pune", "Paris"],
-         "resp": ["Positive", "Awaited", "Negative"]}
 _TS = f"CAST('{BATCH_TS}' AS TIMESTAMP)"
 _RESP = "(Response IS NOT NULL AND lower(Response) <> 'awaited')"
 _SUM_REG = f"sum({SI('numRegistrations')})"
@@ -254,7 +250,7 @@ ORACLE_SQL: dict[str, str] = {
     "contacts_long": q("SELECT * FROM c"),
     **{f"analysis_{r}": role_view_sql(r, "analysis") for r in ROLE_ORDER},
     **{f"details_{r}": role_view_sql(r, "details") for r in ROLE_ORDER},
-    "filter_all5": q(filt(_ALL5)),
+    "filter_all5": q(filt(FILTER_ALL5)),
     "cascade_filter": q(cascade("sc", filt(CASCADE_SPEC))),
     "deleted_keys": q("SELECT DISTINCT Client_Name FROM t WHERE Client_Name IS NOT NULL AND NOT EXISTS "
                       "(SELECT 1 FROM s WHERE s.Client_Name = t.Client_Name)"),

@@ -28,10 +28,14 @@ from summitflow.sources import tables as T
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed test parameters (shared with the oracle SQL).
-FILTER_SPEC = {"ph": ["Urgent", "High", "Medium"], "partner": ["India", "Germany", "France", "Brazil"],
+FILTER_SPEC = {"ph": ["Urgent", "High", "Medium"], "partner": ["Nation_1", "Nation_4", "Nation_9", "Nation_16"],
                "sector": [], "loc": [], "resp": []}
 CASCADE_SPEC = {"ph": ["Urgent", "Medium"], "partner": [], "sector": ["Building", "Machinery"],
                 "loc": [], "resp": []}
+FILTER_ALL5 = {"ph": ["Urgent", "High"], "partner": ["Nation_0", "Nation_3", "Nation_8", "Nation_21"],
+               "sector": ["Building", "Automobile", "Household"],
+               "loc": ["New Delhi", "Bangalore", "Kota Bangalore", "Pune", "Paris"],
+               "resp": ["Positive", "Awaited", "Negative"]}
 BATCH_TS = "2025-01-01 00:00:00"
 
 
@@ -108,11 +112,7 @@ def _role_q(role, kind):
 # ------------------------------------------------------------------ filters / joins
 def q_filter_all5(spark, base):
     sm = _sm(spark, base)
-    spec = {"ph": ["Urgent", "High"], "partner": ["India", "Brazil", "Japan", "China"],
-            "sector": ["Building", "Automobile", "Household"],
-            "loc": ["New Delhi", "Bangalore", "Kota Bangalore", "Pune", "Paris"],
-            "resp": ["Positive", "Awaited", "Negative"]}
-    return FL.filter_master(sm, spec)
+    return FL.filter_master(sm, FILTER_ALL5)
 
 
 def q_cascade_filter(spark, base):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 __all__ = [
-    "TEST_TABLES", "read_table", "read_tables", "read_file", "clean_header", "clean_headers",
+    "TEST_TABLES", "read_table", "spread", "read_tables", "read_file", "clean_header", "clean_headers",
     "nan_to_null", "column_profile", "evolve_schema", "table_inventory", "row_count",
     "common_columns",
 ]
@@ -28,6 +28,20 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an input that has fewer scan splits than the cluster has cores.
+
+    A single-row-group file is one scan task, so every per-row expression above it
+    would run on one core.  Large inputs (many files / row groups) already have
+    >= cores splits and are returned untouched — no shuffle is added at scale.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def read_tables(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:
     return {n: read_table(spark, base, n) for n in names}
 
