@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from summitflow.functions.scalars import present, response_label, response_weight, title_case
+from summitflow.operators.joins import key_join
 from summitflow.operators.merge import keep_per_key
 from summitflow.roles import (ANALYSIS_FIELDS, CLIENT_ATTRS, CONTACT_COLS, DETAILS_FIELDS, ROLE_ORDER, ROLES,
                               derived_name)
@@ -122,11 +123,13 @@ def apply_changes(contacts: DataFrame, changes: DataFrame, roles: Sequence[str]
     the full rebuild, which the reference's triggers do not guarantee (a phone that
     *appears* is never inserted there, see ``apply_update``).
 
-    Two shuffles on ``id`` (fold + anti join); state never leaves the executors.
+    The fold shuffles only the change batch (partial ``WindowGroupLimit`` first).  The set
+    of touched ids is broadcast to the anti join when its size checks out, so the large
+    contacts table is not shuffled; a huge batch falls back to a shuffled anti join.
     """
     last = _latest_change(changes)
     touched = last.select("id")
-    kept = contacts.join(touched, "id", "left_anti")
+    kept = key_join(contacts, touched, "id", "left_anti")
     new_rows = last.filter(F.col("op") != "D").select("new.*")
     return kept.unionByName(fan_out(new_rows, roles))
 

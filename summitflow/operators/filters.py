@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from summitflow.operators.joins import key_join
+
 __all__ = ["FILTER_COLUMNS", "filter_master", "cascade_filter"]
 
 # Filter-spec keys and the master columns they select on.
@@ -32,13 +34,11 @@ def cascade_filter(contacts: DataFrame, filtered_master: DataFrame, head_col: st
     """Keep a contact when its head is among the heads of the filtered master **and** its
     partner is among the partners — two independent semi joins, not a pair match.
 
-    NULL keys drop out on both sides.  The distinct key sets are aggregated map-side first;
-    whether a semi join is broadcast is decided by AQE from the *measured* size of the key
-    set at runtime (``spark.sql.adaptive.autoBroadcastJoinThreshold``), falling back to a
-    shuffled join when it is large — no unchecked broadcast.  An empty filtered master
-    yields no contacts.
+    NULL keys drop out on both sides.  The distinct key sets are aggregated map-side first
+    and broadcast only after a size check (``key_join``); a large key set falls back to a
+    shuffled semi join.  An empty filtered master yields no contacts.
     """
     heads = filtered_master.select(F.col(head_col).alias("__h")).filter(F.col("__h").isNotNull()).distinct()
     partners = filtered_master.select(F.col(partner_col).alias("__p")).filter(F.col("__p").isNotNull()).distinct()
-    return (contacts.join(heads, F.col(head_col) == F.col("__h"), "left_semi")
-                    .join(partners, F.col(partner_col) == F.col("__p"), "left_semi"))
+    out = key_join(contacts, heads, F.col(head_col) == F.col("__h"), "left_semi")
+    return key_join(out, partners, F.col(partner_col) == F.col("__p"), "left_semi")

@@ -41,6 +41,19 @@ def _nonnull(keys: list[str]) -> Column:
     return cond
 
 
+def ranked_per_key(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[str], keep: str = "first",
+                   case_insensitive: bool = False) -> DataFrame:
+    """First (or last) row per key by ``seq`` among rows with a non-NULL key; ties broken by
+    a full-row hash.  The result stays hash-partitioned by the key, so a following join on
+    the same key adds no exchange."""
+    keys = _keys(key)
+    seqs = _keys(seq)
+    order = [F.col(s).asc_nulls_first() if keep == "first" else F.col(s).desc_nulls_last() for s in seqs]
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    w = Window.partitionBy(*[_key_expr(k, case_insensitive) for k in keys]).orderBy(*order, tie)
+    return df.filter(_nonnull(keys)).withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+
+
 def keep_per_key(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[str], keep: str = "first",
                  case_insensitive: bool = False, null_safe: bool = False) -> DataFrame:
     """First (or last) row per key by ``seq``; ties broken by a full-row hash.
@@ -49,15 +62,14 @@ def keep_per_key(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[st
     with ``null_safe=True`` NULL is a key value like any other.
     """
     keys = _keys(key)
-    seqs = _keys(seq)
-    order = [F.col(s).asc_nulls_first() if keep == "first" else F.col(s).desc_nulls_last() for s in seqs]
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    w = Window.partitionBy(*[_key_expr(k, case_insensitive) for k in keys]).orderBy(*order, tie)
     if null_safe:
+        seqs = _keys(seq)
+        order = [F.col(s).asc_nulls_first() if keep == "first" else F.col(s).desc_nulls_last() for s in seqs]
+        tie = F.xxhash64(*[F.col(c) for c in df.columns])
+        w = Window.partitionBy(*[_key_expr(k, case_insensitive) for k in keys]).orderBy(*order, tie)
         return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-    nn = _nonnull(keys)
-    ranked = df.filter(nn).withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-    return ranked.unionByName(df.filter(~nn))
+    ranked = ranked_per_key(df, keys, seq, keep, case_insensitive)
+    return ranked.unionByName(df.filter(~_nonnull(keys)))
 
 
 def insert_new_only(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
@@ -65,14 +77,14 @@ def insert_new_only(target: DataFrame, source: DataFrame, key: str | Sequence[st
     """M1 (``INSERT IGNORE``): first source row per key wins, existing target rows win over
     incoming ones, NULL-key source rows are always inserted."""
     keys = _keys(key)
-    src = keep_per_key(source, keys, seq, "first", case_insensitive)
+    src = ranked_per_key(source, keys, seq, "first", case_insensitive)
     nn = _nonnull(keys)
     tkeys = target.filter(nn).select(*[_key_expr(k, case_insensitive).alias(f"__k{i}")
                                        for i, k in enumerate(keys)])
     cond = [_key_expr(k, case_insensitive) == F.col(f"__k{i}") for i, k in enumerate(keys)]
-    new = src.filter(nn).join(tkeys, cond, "left_anti")
+    new = src.join(tkeys, cond, "left_anti")
     return target.unionByName(new, allowMissingColumns=True).unionByName(
-        src.filter(~nn), allowMissingColumns=True)
+        source.filter(~nn), allowMissingColumns=True)
 
 
 def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
@@ -91,7 +103,7 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
     """
     keys = _keys(key)
     nn = _nonnull(keys)
-    src = keep_per_key(source, keys, seq, "last", case_insensitive)
+    src = ranked_per_key(source, keys, seq, "last", case_insensitive)
     out_cols = list(target.columns) + [c for c in source.columns if c not in set(target.columns)]
     src_cols = set(source.columns)
     audit = audit_ts is not None
@@ -103,7 +115,7 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
 
     t = target.filter(nn).select(*[F.col(c).alias(f"t_{c}") for c in target.columns],
                                  *[_key_expr(k, case_insensitive).alias(f"__k{i}") for i, k in enumerate(keys)])
-    s = src.filter(nn).select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias(_MATCH),
+    s = src.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias(_MATCH),
                               *[_key_expr(k, case_insensitive).alias(f"__j{i}") for i, k in enumerate(keys)])
     joined = t.join(s, [F.col(f"__k{i}") == F.col(f"__j{i}") for i in range(len(keys))], "full_outer")
     in_t = F.col(f"__k0").isNotNull()
@@ -143,7 +155,7 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
         return df.select(*cols, F.lit(act).alias("_action"))
 
     null_t = passthrough(target.filter(~nn), "kept_null_key")
-    null_s = passthrough(src.filter(~nn), "inserted")
+    null_s = passthrough(source.filter(~nn), "inserted")
     return merged.unionByName(null_t, allowMissingColumns=True).unionByName(null_s, allowMissingColumns=True)
 
 
