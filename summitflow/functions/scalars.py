@@ -134,9 +134,12 @@ def parse_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column
 
 
 # ---------------------------------------------------------------- contact cards
+_WS = " \t\n\r\x0b\x0c"
+
 def vcard_escape(c: str | Column) -> Column:
-    """trim then escape backslash, comma, semicolon, newline (literal replacements)."""
-    t = F.trim(col_of(c))
+    """strip surrounding whitespace (as Python ``str.strip``), then escape backslash,
+    comma, semicolon, newline (literal replacements)."""
+    t = F.btrim(col_of(c), F.lit(_WS))
     for a, b in (("\\", "\\\\"), (",", "\\,"), (";", "\\;"), ("\n", "\\n")):
         t = F.replace(t, F.lit(a), F.lit(b))
     return F.coalesce(t, F.lit(""))

@@ -40,4 +40,6 @@ def key_join(big: DataFrame, keys: DataFrame, on: Column | Sequence[str] | str,
     """``big`` semi/anti/inner-joined with a key set, broadcasting the key set only when its
     size is checked to be within bound."""
     kept, small = fits_broadcast(keys, max_rows)
-    return big.join(F.broadcast(kept) if small else kept, on, how)
+    out = big.join(F.broadcast(kept) if small else kept, on, how)
+    # a USING join moves the key columns first; keep the large side's column order
+    return out.select(*[big[c] for c in big.columns]) if how in ("left_semi", "left_anti") else out

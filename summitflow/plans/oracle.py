@@ -63,7 +63,7 @@ def PRESENT(x):
 
 
 def ESC(x):
-    return (f"coalesce(replace(replace(replace(replace(trim({x}), '\\', '\\\\'), ',', '\\,'), ';', '\\;'), "
+    return (f"coalesce(replace(replace(replace(replace(trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)), '\\', '\\\\'), ',', '\\,'), ';', '\\;'), "
             f"chr(10), '\\n'), '')")
 
 
