@@ -1,0 +1,125 @@
+"""Composed jobs — the user entry points (K1–K8).
+
+Jobs that change state never overwrite what they read: each run writes a new
+snapshot folder ``<root>/v=<version>`` and the caller switches to it afterwards
+(write-then-swap), so a failed or retried run leaves the previous snapshot whole.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from summitflow.operators import contacts as C
+from summitflow.operators import export as E
+from summitflow.operators import filters as FL
+from summitflow.operators import merge as M
+from summitflow.operators import quality as Q
+from summitflow.operators import reports as R
+from summitflow.roles import ROLE_ORDER
+from summitflow.sources import sinks as SK
+from summitflow.sources import tables as T
+
+__all__ = ["load_and_sync", "rebuild_contacts_job", "apply_changes_job", "standardize", "reports",
+           "export_cards_job", "find_duplicates", "reconcile", "replicate", "write_snapshot"]
+
+
+def write_snapshot(df: DataFrame, root: str, version: int | str, partition_by: Sequence[str] = ()) -> str:
+    """Write ``df`` as snapshot ``<root>/v=<version>`` (overwrite of that version only)."""
+    path = f"{root.rstrip('/')}/v={version}"
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return path
+
+
+def load_and_sync(spark: SparkSession, source: DataFrame, target: DataFrame | None, key: str, seq: str,
+                  mode: str = "smart_sync", audit_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """K1: clean headers + NaN->NULL on an incoming batch, evolve the target schema, then sync.
+
+    Returns ``(result, action_counts)``; both lazy.  ``target=None`` = first load.
+    """
+    src = T.nan_to_null(T.clean_headers(source))
+    key = T.clean_header(key, 0, blank_rule=False)
+    if target is None:
+        target = spark.createDataFrame([], src.schema)
+    target = T.evolve_schema(target, src)
+    if mode == "insert":
+        res = M.insert_new_only(target, src, key, seq)
+        counts = spark.createDataFrame([], "action string, row_count bigint")
+        return res, counts
+    acts = M.sync_with_actions(target, src, key, seq, delete_missing=(mode == "smart_sync"), audit_ts=audit_ts)
+    res = acts.filter(F.col("_action") != "deleted").drop("_action")
+    return res, M.sync_action_counts(acts)
+
+
+def rebuild_contacts_job(master: DataFrame, root: str, version: int | str, policy: str | None = None,
+                         keep: str = "first") -> str:
+    """K2: full rebuild of the derived contacts into a new snapshot (partitioned by role)."""
+    c = C.rebuild_contacts(master)
+    if policy:
+        c = C.unique_contacts(c, policy, keep)
+    return write_snapshot(c, root, version, ("role",))
+
+
+def apply_changes_job(spark: SparkSession, root: str, changes: DataFrame, version: int) -> str:
+    """K3: fold a change batch into snapshot ``v=version-1`` and write ``v=version``."""
+    current = spark.read.parquet(f"{root.rstrip('/')}/v={version - 1}")
+    return write_snapshot(C.apply_changes(current, changes), root, version, ("role",))
+
+
+def standardize(master: DataFrame, contacts: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """K4: names, response weight and label on master (and contacts)."""
+    sm = C.standardize_master(master)
+    return sm, (C.standardize_contacts(contacts) if contacts is not None else None)
+
+
+def reports(master: DataFrame, contacts: DataFrame, filters: Mapping[str, Sequence[str]] | None = None
+            ) -> dict[str, DataFrame]:
+    """K5: every dashboard report under one filter spec (lazy DataFrames).
+
+    The standardised inputs are shared by all reports; persist them (or write them
+    once) when several reports are materialised.
+    """
+    sm, sc = standardize(master, contacts)
+    fm = FL.filter_master(sm, filters)
+    fc = FL.cascade_filter(sc, fm)
+    out = {
+        "overview": R.overview(fm), "response_weights": R.response_weights(fm),
+        "sector_perf": R.sector_performance(fm), "region_counts": R.region_counts(fm),
+        "owner_stats_head": R.owner_stats(fm, "Practice_Head"), "owner_stats_partner": R.owner_stats(fm, "Partner"),
+        "owner_totals": R.owner_totals(fm), "owner_response": R.owner_response(fm, fc),
+        "owner_cross": R.owner_cross(fm), "owner_sector_rollup": R.owner_sector_rollup(fm),
+        "role_kpis": R.role_kpis(fc), "role_responses": R.role_responses(fc), "role_region": R.role_region(fc),
+        "cfo_sectors": R.cfo_sector_counts(fc), "metrics": R.metrics(fm), "invite_trend": R.invite_trend(fm),
+        "funnel": R.funnel(fm), "filter_options": R.filter_options(sm),
+    }
+    return out
+
+
+def export_cards_job(spark: SparkSession, details: DataFrame, ledger_path: str, out_path: str, batch_id: str,
+                     batch_ts: Column | None = None) -> DataFrame:
+    """K6: eligible -> cards -> files -> ledger (see ``operators.export.export_cards``)."""
+    return E.export_cards(spark, details, ledger_path, out_path, batch_id, batch_ts)
+
+
+def find_duplicates(contacts: DataFrame, top_phones: int = 20, top_people: int = 3) -> dict[str, DataFrame]:
+    """Duplicate phones, their members, the top-N report and the per-role totals."""
+    return {"dup_phones": Q.duplicate_phones(contacts), "dup_phone_people": Q.duplicate_phone_people(contacts),
+            "dup_phones_top": Q.duplicate_phones_top(contacts, top_phones, top_people),
+            "dup_phone_counts": Q.duplicate_phone_counts(contacts)}
+
+
+def reconcile(master: DataFrame, derived: DataFrame, roles: Sequence[str] = ROLE_ORDER) -> dict[str, DataFrame]:
+    """Master-vs-derived reconciliation, counts and rows."""
+    expected = C.fan_out(master, roles)
+    return {"reconcile": Q.reconcile_counts(expected, derived), "reconcile_rows": Q.reconcile_rows(expected, derived),
+            "reconcile_registered": Q.reconcile_registered(expected, derived)}
+
+
+def replicate(spark: SparkSession, tables: Mapping[str, DataFrame], dst_root: str) -> DataFrame:
+    """K8: copy tables to a replica root; one status row per table."""
+    return SK.replicate(spark, dict(tables), dst_root)

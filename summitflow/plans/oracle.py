@@ -247,6 +247,20 @@ ORACLE_SQL: dict[str, str] = {
                      "count(CASE WHEN l_discount > 0.09 THEN NULL ELSE l_tax END) AS n_tax, "
                      "round(sum(CASE WHEN l_discount > 0.09 THEN NULL ELSE l_tax END), 4) AS sum_tax, "
                      "round(sum(l_quantity), 4) AS sum_qty FROM lineitem GROUP BY ALL",
+    "csv_roundtrip": q("SELECT * FROM m"),
+    "load_and_sync": q("SELECT * FROM s_last UNION ALL SELECT * REPLACE (CAST(NULL AS VARCHAR) AS Sector) FROM t "
+                       "WHERE Client_Name IS NULL UNION ALL SELECT * FROM s WHERE Client_Name IS NULL"),
+    "load_and_sync_counts": q("SELECT action, count(*) AS row_count FROM ("
+                              "SELECT CASE WHEN t.Client_Name IS NOT NULL AND s.Client_Name IS NOT NULL THEN "
+                              "(CASE WHEN " + " OR ".join(f"t.{c} IS DISTINCT FROM s.{c}" for c in MASTER_COLUMNS) +
+                              " THEN 'updated' ELSE 'unchanged' END) WHEN s.Client_Name IS NOT NULL THEN 'inserted' "
+                              "ELSE 'kept' END AS action FROM (SELECT * FROM t WHERE Client_Name IS NOT NULL) t "
+                              "FULL OUTER JOIN s_last s ON t.Client_Name = s.Client_Name "
+                              "UNION ALL SELECT 'kept_null_key' FROM t WHERE Client_Name IS NULL "
+                              "UNION ALL SELECT 'inserted' FROM s WHERE Client_Name IS NULL) GROUP BY action"),
+    "replica_status": q("SELECT 'master' AS table_name, 'ok' AS status, count(*) AS source_rows, count(*) AS copied_rows FROM m"),
+    "deleted_keys_preview": q("SELECT DISTINCT Client_Name FROM t WHERE Client_Name IS NOT NULL AND NOT EXISTS "
+                              "(SELECT 1 FROM s WHERE s.Client_Name = t.Client_Name) ORDER BY Client_Name LIMIT 10"),
     "contacts_long": q("SELECT * FROM c"),
     **{f"analysis_{r}": role_view_sql(r, "analysis") for r in ROLE_ORDER},
     **{f"details_{r}": role_view_sql(r, "details") for r in ROLE_ORDER},

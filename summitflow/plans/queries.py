@@ -98,6 +98,35 @@ def q_clean_headers(spark, base):
                                                        F.sum("qty_total").alias("sum_qty"))
 
 
+def q_csv_roundtrip(spark, base):
+    """S12 + S1: export the master as CSV parts, scan it back with a declared schema."""
+    m = _m(spark, base)
+    path = work_dir(spark, "csv")
+    SK.export_report(m, path)
+    return T.read_file(spark, path, "csv", schema=m.schema)
+
+
+def q_load_and_sync(spark, base):
+    """K1: an incoming batch with raw headers and an extra column, synced into a target."""
+    from summitflow.plans.jobs import load_and_sync
+    t, s = X.sync_pair(_m(spark, base))
+    raw = s.withColumnRenamed("Client_Name", "Client Name").withColumnRenamed("Circle_Back_Dt", "Circle-Back_Dt")
+    res, _ = load_and_sync(spark, raw, t.drop("Sector"), "Client Name", "id", "smart_sync")
+    return res
+
+
+def q_load_and_sync_counts(spark, base):
+    from summitflow.plans.jobs import load_and_sync
+    t, s = X.sync_pair(_m(spark, base))
+    raw = s.withColumnRenamed("Client_Name", "Client Name")
+    _, counts = load_and_sync(spark, raw, t, "Client Name", "id", "upsert")
+    return counts
+
+
+def q_replica_status(spark, base):
+    return SK.replicate(spark, {"master": _m(spark, base)}, work_dir(spark, "replica"))
+
+
 # ------------------------------------------------------------------ fan-out
 def q_contacts_long(spark, base):
     return _c(spark, base)
@@ -126,6 +155,12 @@ def q_deleted_keys(spark, base):
     return M.deleted_keys(t, s, "Client_Name")
 
 
+def q_deleted_keys_preview(spark, base):
+    """The first 10 keys to delete (a preview; the limit is the feature)."""
+    t, s = X.sync_pair(_m(spark, base))
+    return M.deleted_keys(t, s, "Client_Name").orderBy("Client_Name").limit(10)
+
+
 def q_orphans(spark, base):
     orders = T.read_table(spark, base, "orders")
     cust = T.read_table(spark, base, "customer").filter(F.col("c_custkey") % 10 != 0)
@@ -449,6 +484,11 @@ QUERIES: dict[str, Query] = {
     "common_columns": q_common_columns,
     "master_count": q_master_count,
     "clean_headers": q_clean_headers,
+    "csv_roundtrip": q_csv_roundtrip,
+    "load_and_sync": q_load_and_sync,
+    "load_and_sync_counts": q_load_and_sync_counts,
+    "replica_status": q_replica_status,
+    "deleted_keys_preview": q_deleted_keys_preview,
     "contacts_long": q_contacts_long,
     **{f"analysis_{r}": _role_q(r, "analysis") for r in ROLE_ORDER},
     **{f"details_{r}": _role_q(r, "details") for r in ROLE_ORDER},

@@ -68,6 +68,11 @@ def write_cards(cards: DataFrame, path: str, card_col: str = "card", partition_c
     writer.text(path)
 
 
-def export_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Report export (header row, parallel parts)."""
-    df.write.mode("overwrite").format(fmt).option("header", True).save(path)
+def export_report(df: DataFrame, path: str, fmt: str = "csv", null_value: str = "\\N") -> None:
+    """Report export (header row, parallel parts); values are written verbatim
+    (no whitespace trimming; NULL written as ``null_value`` so it stays distinct from '')."""
+    w = df.write.mode("overwrite").format(fmt)
+    if fmt == "csv":
+        w = (w.option("header", True).option("ignoreLeadingWhiteSpace", False)
+              .option("ignoreTrailingWhiteSpace", False).option("nullValue", null_value))
+    w.save(path)

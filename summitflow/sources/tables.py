@@ -47,11 +47,12 @@ def read_tables(spark: SparkSession, base: str, names: Iterable[str]) -> dict[st
 
 
 def read_file(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | str | None = None,
-              header: bool = True, mode: str = "PERMISSIVE", **options) -> DataFrame:
+              header: bool = True, mode: str = "PERMISSIVE", null_value: str = "\\N", **options) -> DataFrame:
     """Tabular file scan (re-aimed spreadsheet load). Declare ``schema`` in production."""
     reader = spark.read.format(fmt).option("mode", mode)
     if fmt == "csv":
-        reader = reader.option("header", header)
+        reader = (reader.option("header", header).option("ignoreLeadingWhiteSpace", False)
+                        .option("ignoreTrailingWhiteSpace", False).option("nullValue", null_value))
         if schema is None:
             reader = reader.option("inferSchema", True)
     if schema is not None:
