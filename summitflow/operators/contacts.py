@@ -19,7 +19,7 @@ from summitflow.operators.merge import keep_per_key
 from summitflow.roles import (ANALYSIS_FIELDS, CLIENT_ATTRS, CONTACT_COLS, DETAILS_FIELDS, ROLE_ORDER, ROLES,
                               derived_name)
 
-__all__ = ["fan_out", "role_view", "standardize_master", "standardize_contacts", "rebuild_contacts",
+__all__ = ["fan_out", "role_view", "trigger_events", "apply_changes_by_phone", "standardize_master", "standardize_contacts", "rebuild_contacts",
            "unique_contacts", "apply_changes", "apply_insert", "apply_update", "apply_delete",
            "cascade_delete", "cascade_rename", "orphans", "MASTER_TITLE_COLS"]
 
@@ -195,6 +195,96 @@ def apply_delete(contacts: DataFrame, changes: DataFrame, by_client: bool = True
     return contacts.join(dels.select(*key).distinct(), conds, "left_anti")
 
 
+def trigger_events(changes: DataFrame, roles: Sequence[str] = ROLE_ORDER, strict_reference: bool = False
+                   ) -> DataFrame:
+    """Row-trigger semantics as key-level events ``(seq, ord, kind, <contact columns>)``.
+
+    Per change and role (one narrow pass, ``explode`` of an event array):
+    * ``D`` at (role, OLD phone, OLD client) when the OLD phone is present (U and D ops);
+    * ``U`` (insert-or-overwrite) at (role, NEW phone, NEW client) when the NEW phone is present
+      (I and U ops);
+    * ``strict_reference=True`` reproduces the reference: a U op takes the delete+upsert path
+      only when ``OLD phone != NEW phone`` is TRUE — with a NULL old phone the comparison is
+      NULL, so it emits ``X`` (update rows with NEW phone, any client, insert nothing): a phone
+      that *appears* is never inserted; and delete keys with a NULL client match nothing.
+    Within one change a delete sorts before the upsert (``ord``).
+    """
+    per_role = []
+    for r in roles:
+        spec = ROLES[r]
+        newc = F.struct(F.lit(r).alias("role"), F.col("new.id").alias("id"),
+                        F.col("new.Client_Name").alias("client"),
+                        *[F.col(f"new.{a}").alias(a) for a in CLIENT_ATTRS],
+                        *[F.col(f"new.{src}").alias(dst) for dst, src in spec.master_cols().items()])
+        per_role.append(F.struct(F.lit(r).alias("role"), F.col(f"old.{spec.phone}").alias("o_phone"),
+                                 F.col("old.Client_Name").alias("o_client"), newc.alias("n")))
+    x = changes.select("seq", "op", F.explode(F.array(*per_role)).alias("r")).select("seq", "op", "r.*")
+    op = F.col("op")
+    new_present = op.isin("I", "U") & present(F.col("n.phone"))
+    old_present = op.isin("U", "D") & present(F.col("o_phone"))
+    if strict_reference:
+        moved = F.coalesce(F.col("o_phone") != F.col("n.phone"), F.lit(False))
+        d_cond = old_present & ((op == "D") | ((op == "U") & (~new_present | moved)))
+        u_cond = new_present & ((op == "I") | moved)
+        x_cond = new_present & (op == "U") & ~moved
+    else:
+        d_cond, u_cond, x_cond = old_present, new_present, F.lit(False)
+    fields = [c for c in CONTACT_COLS if c not in ("role", "phone", "client")]
+    null_n = [F.lit(None).cast(x.schema["n"].dataType[c].dataType).alias(c) for c in fields]
+
+    def ev(kind, ord_, phone, client, payload):
+        return F.struct(F.lit(kind).alias("kind"), F.lit(ord_).alias("ord"), F.col("role"), phone.alias("phone"),
+                        client.alias("client"), *payload)
+
+    n_payload = [F.col(f"n.{c}").alias(c) for c in fields]
+    events = F.array(
+        F.when(d_cond, ev("D", 0, F.col("o_phone"), F.col("o_client"), null_n)),
+        F.when(u_cond, ev("U", 1, F.col("n.phone"), F.col("n.client"), n_payload)),
+        F.when(x_cond, ev("X", 1, F.col("n.phone"), F.col("n.client"), n_payload)),
+    )
+    return x.select("seq", F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e")).select("seq", "e.*")
+
+
+def apply_changes_by_phone(contacts: DataFrame, changes: DataFrame, roles: Sequence[str] = ROLE_ORDER,
+                           strict_reference: bool = False) -> DataFrame:
+    """M5b + M6c + M7 (v3): the reference's trigger-maintained analysis table keyed by
+    UNIQUE(role, phone, client), applied set-based.
+
+    Events are folded per key (last by ``(seq, ord)``; partial ``WindowGroupLimit`` before the
+    shuffle), touched keys are anti-joined away (size-checked broadcast), surviving upserts are
+    appended.  Fixed mode compares keys NULL-safely.  In strict mode NULL-client rows never
+    collide (plain inserts, never deleted) and ``X`` updates overwrite, for the latest ``X`` per
+    (role, phone), every row with that phone written before it (a duplicate (phone, client)
+    that MySQL would reject is kept).
+    """
+    ev = trigger_events(changes, roles, strict_reference)
+    cols = list(CONTACT_COLS)
+    du = ev.filter(F.col("kind").isin("D", "U"))
+    if strict_reference:
+        keyed = du.filter(F.col("client").isNotNull())
+        loose = du.filter((F.col("kind") == "U") & F.col("client").isNull())
+    else:
+        keyed, loose = du, None
+    last = keep_per_key(keyed, ["role", "phone", "client"], ["seq", "ord"], "last", null_safe=True)
+    keys = last.select(F.col("role").alias("__r"), F.col("phone").alias("__p"), F.col("client").alias("__c"))
+    cond = ((F.col("role") == F.col("__r")) & (F.col("phone") == F.col("__p"))
+            & F.col("client").eqNullSafe(F.col("__c")))
+    kept = key_join(contacts.select(*cols), keys, cond, "left_anti").withColumn("__seq", F.lit(None).cast("bigint"))
+    ins = last.filter(F.col("kind") == "U").select(*cols, F.col("seq").alias("__seq"))
+    if loose is not None:
+        ins = ins.unionByName(loose.select(*cols, F.col("seq").alias("__seq")))
+    res = kept.unionByName(ins)
+    if strict_reference:
+        xl = keep_per_key(ev.filter(F.col("kind") == "X"), ["role", "phone"], "seq", "last", null_safe=True)
+        xs = xl.select(F.col("role").alias("__xr"), F.col("phone").alias("__xp"), F.col("seq").alias("__xs"),
+                       *[F.col(c).alias(f"__x_{c}") for c in cols if c not in ("role", "phone")])
+        j = res.join(xs, (F.col("role") == F.col("__xr")) & (F.col("phone") == F.col("__xp")), "left")
+        hit = F.col("__xs").isNotNull() & (F.coalesce(F.col("__seq"), F.lit(-1).cast("bigint")) < F.col("__xs"))
+        res = j.select(*[F.when(hit, F.col(f"__x_{c}")).otherwise(F.col(c)).alias(c) if c not in ("role", "phone")
+                         else F.col(c) for c in cols], F.col("__seq"))
+    return res.drop("__seq")
+
+
 def cascade_delete(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """J6 ``ON DELETE CASCADE``: keep only children whose parent still exists."""
     p = parents.select(F.col(parent_key).alias("__p")).filter(F.col("__p").isNotNull())

@@ -199,6 +199,51 @@ def update_sql(version):
                       f"SELECT {sel} FROM u b LEFT JOIN ul ON b.role = ul.role AND b.phone = ul.phone")
 
 
+_CC = ["role", "id", "client", "Practice_Head", "Partner", "Sector", "Response", "numInvitees", "numRegistrations",
+       "Invite_Status", "name", "designation", "email", "phone", "location", "contact_response"]
+_PAYLOAD = [c for c in _CC if c not in ("role", "phone", "client")]
+
+
+def pr_sql():
+    """Per role and U change: OLD phone / client next to NEW phone."""
+    return " UNION ALL ".join(
+        f"SELECT m.id, '{r}' AS role, m.{ROLES[r].phone} AS o_phone, m.Client_Name AS o_client, "
+        f"m2.{ROLES[r].phone} AS n_phone FROM m JOIN m2 ON m.id = m2.id WHERE m.id % 10 IN (1, 2, 4, 5)"
+        for r in ROLE_ORDER)
+
+
+def triggers_sql(strict):
+    nulls = ", ".join(f"NULL AS {c}" for c in _PAYLOAD)
+    pay = ", ".join(f"x.{c}" for c in _PAYLOAD)
+    moved = "coalesce(pr.o_phone <> pr.n_phone, false)" if strict else "true"
+    nn = " AND o_client IS NOT NULL" if strict else ""
+    d_from_u = (f"SELECT id + {CHANGE_OFFSET} AS seq, 0 AS ord, 'D' AS kind, role, o_phone AS phone, o_client AS client, "
+                f"{nulls} FROM pr WHERE {PRESENT('o_phone')}{nn} AND (NOT {PRESENT('n_phone')} OR "
+                f"{'coalesce(o_phone <> n_phone, false)' if strict else 'true'})")
+    d_from_d = (f"SELECT id + {CHANGE_OFFSET}, 0, 'D', role, phone, client, {nulls} FROM cd"
+                + (" WHERE client IS NOT NULL" if strict else ""))
+    u_from_i = f"SELECT x.id AS seq, 1, 'U', x.role, x.phone, x.client, {pay} FROM c x"
+    u_from_u = (f"SELECT x.id + {CHANGE_OFFSET}, 1, 'U', x.role, x.phone, x.client, {pay} FROM cu x "
+                f"JOIN pr ON x.id = pr.id AND x.role = pr.role WHERE {moved}")
+    ev = " UNION ALL ".join([d_from_u, d_from_d, u_from_i, u_from_u])
+    keyed = "SELECT * FROM ev" + (" WHERE NOT (kind = 'U' AND client IS NULL)" if strict else "")
+    loose = " UNION ALL SELECT * FROM ev WHERE kind = 'U' AND client IS NULL" if strict else ""
+    ctes = (f"pr AS ({pr_sql()}),\n ev AS ({ev}),\n"
+            f" fold AS (SELECT * FROM ({keyed}) QUALIFY row_number() OVER (PARTITION BY role, phone, client "
+            f"ORDER BY seq DESC, ord DESC) = 1),\n"
+            f" res AS (SELECT * FROM fold WHERE kind = 'U'{loose})")
+    cols = ", ".join(_CC)
+    if not strict:
+        return with_extra(ctes, f"SELECT {cols} FROM res")
+    xcols = [c for c in _CC if c not in ("role", "phone")]
+    ctes += (f",\n xe AS (SELECT x.id + {CHANGE_OFFSET} AS xseq, x.* FROM cu x JOIN pr ON x.id = pr.id AND x.role = pr.role "
+             f"WHERE NOT coalesce(pr.o_phone <> pr.n_phone, false) QUALIFY row_number() OVER "
+             f"(PARTITION BY x.role, x.phone ORDER BY x.id DESC) = 1)")
+    sel = ", ".join(f"CASE WHEN xe.xseq IS NOT NULL AND res.seq < xe.xseq THEN xe.{c} ELSE res.{c} END AS {c}"
+                    if c not in ("role", "phone") else f"res.{c} AS {c}" for c in _CC)
+    return with_extra(ctes, f"SELECT {sel} FROM res LEFT JOIN xe ON res.role = xe.role AND res.phone = xe.phone")
+
+
 def with_extra(ctes, body):
     return BASE.rstrip("\n") + ",\n " + ctes + "\n" + body
 
@@ -308,6 +353,8 @@ ORACLE_SQL: dict[str, str] = {
                                 "(PARTITION BY role, phone, client ORDER BY id DESC) = 1 UNION ALL SELECT * FROM c WHERE client IS NULL"),
     "apply_update_v1": update_sql("v1"),
     "apply_update_v2": update_sql("v2"),
+    "apply_triggers": triggers_sql(False),
+    "apply_triggers_strict": triggers_sql(True),
     "apply_delete": q("SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM cd WHERE cd.role = c.role AND cd.phone = c.phone "
                       "AND cd.client IS NOT DISTINCT FROM c.client)"),
     "apply_delete_phone": q("SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM cd WHERE cd.role = c.role AND cd.phone = c.phone)"),

@@ -262,6 +262,18 @@ def q_apply_update_v2(spark, base):
     return C.apply_update(C.unique_contacts(C.fan_out(m), "phone", "first"), X.change_feed(m), "v2")
 
 
+def q_apply_triggers(spark, base):
+    """M5b/M6c/M7 v3 (fixed): trigger semantics keyed by (role, phone, client)."""
+    m = _m(spark, base)
+    return C.apply_changes_by_phone(_empty_contacts(spark, m), X.change_feed(m))
+
+
+def q_apply_triggers_strict(spark, base):
+    """Same, reproducing the reference's NULL-comparison behaviour."""
+    m = _m(spark, base)
+    return C.apply_changes_by_phone(_empty_contacts(spark, m), X.change_feed(m), strict_reference=True)
+
+
 def q_apply_delete(spark, base):
     m = _m(spark, base)
     return C.apply_delete(C.fan_out(m), X.change_feed(m), by_client=True)
@@ -512,6 +524,8 @@ QUERIES: dict[str, Query] = {
     "apply_insert_keep_last": q_apply_insert_keep_last,
     "apply_update_v1": q_apply_update_v1,
     "apply_update_v2": q_apply_update_v2,
+    "apply_triggers": q_apply_triggers,
+    "apply_triggers_strict": q_apply_triggers_strict,
     "apply_delete": q_apply_delete,
     "apply_delete_phone": q_apply_delete_phone,
     "overview": q_overview,
