@@ -178,8 +178,10 @@ def apply_update(contacts: DataFrame, changes: DataFrame, version: str = "v1",
         long_new = long_new.filter(present("phone"))
     last = keep_per_key(long_new, ["role", "phone"], "seq", "last")
     setcols = [c for c in CONTACT_COLS if c not in ("role", "phone", "id") and (version == "v2" or c != "client")]
-    n = last.select("role", "phone", *[F.col(c).alias(f"n_{c}") for c in setcols], F.lit(True).alias("__hit"))
-    j = contacts.join(n, ["role", "phone"], "left")
+    n = last.select(F.col("role").alias("__r"), F.col("phone").alias("__p"),
+                    *[F.col(c).alias(f"n_{c}") for c in setcols], F.lit(True).alias("__hit"))
+    # the update batch is broadcast when its size checks out: the table is not shuffled on a hot phone
+    j = key_join(contacts, n, (F.col("role") == F.col("__r")) & (F.col("phone") == F.col("__p")), "left")
     return j.select(*[F.when(F.col("__hit"), F.col(f"n_{c}")).otherwise(F.col(c)).alias(c) if c in setcols
                       else F.col(c) for c in contacts.columns])
 

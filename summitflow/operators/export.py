@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from summitflow.functions.scalars import numeric_prefix, present, vcard_card
+from summitflow.operators.joins import key_join
 from summitflow.sources.sinks import write_cards
 
 __all__ = ["LEDGER_SCHEMA", "eligible_contacts", "contact_cards", "mark_exported", "export_cards",
@@ -31,7 +32,7 @@ def eligible_contacts(details: DataFrame, ledger: DataFrame | None = None) -> Da
             & F.col("contact_response").isNotNull() & (numeric_prefix("contact_response") >= F.lit(0.0)))
     out = details.filter(cond)
     if ledger is not None:
-        out = out.join(ledger.select("role", "phone"), ["role", "phone"], "left_anti")
+        out = key_join(out, ledger.select("role", "phone").distinct(), ["role", "phone"], "left_anti")
     return out
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from summitflow.operators.joins import key_join
+from summitflow.operators.joins import fits_broadcast
 
 __all__ = ["FILTER_COLUMNS", "filter_master", "cascade_filter"]
 
@@ -34,11 +34,18 @@ def cascade_filter(contacts: DataFrame, filtered_master: DataFrame, head_col: st
     """Keep a contact when its head is among the heads of the filtered master **and** its
     partner is among the partners — two independent semi joins, not a pair match.
 
-    NULL keys drop out on both sides.  The distinct key sets are aggregated map-side first
-    and broadcast only after a size check (``key_join``); a large key set falls back to a
-    shuffled semi join.  An empty filtered master yields no contacts.
+    NULL keys drop out on both sides.  The distinct (head, partner) pairs are aggregated
+    map-side in one pass and persisted; both key sets are broadcast only when that pair set
+    passes the size check (``fits_broadcast``), else the semi joins shuffle.  An empty
+    filtered master yields no contacts.
     """
-    heads = filtered_master.select(F.col(head_col).alias("__h")).filter(F.col("__h").isNotNull()).distinct()
-    partners = filtered_master.select(F.col(partner_col).alias("__p")).filter(F.col("__p").isNotNull()).distinct()
-    out = key_join(contacts, heads, F.col(head_col) == F.col("__h"), "left_semi")
-    return key_join(out, partners, F.col(partner_col) == F.col("__p"), "left_semi")
+    # one pass over the filtered master: distinct (head, partner) pairs, aggregated map-side;
+    # both key sets are then derived from that small persisted set
+    pairs, small = fits_broadcast(filtered_master.select(F.col(head_col).alias("__h"), F.col(partner_col).alias("__p"))
+                                  .filter(F.col("__h").isNotNull() | F.col("__p").isNotNull()).distinct())
+    heads = pairs.select("__h").filter(F.col("__h").isNotNull()).distinct()
+    partners = pairs.select("__p").filter(F.col("__p").isNotNull()).distinct()
+    hb = F.broadcast(heads) if small else heads
+    pb = F.broadcast(partners) if small else partners
+    out = contacts.join(hb, F.col(head_col) == F.col("__h"), "left_semi")
+    return out.join(pb, F.col(partner_col) == F.col("__p"), "left_semi")

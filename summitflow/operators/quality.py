@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from summitflow.functions.scalars import client_contact_label, present
+from summitflow.operators.joins import key_join
 
 __all__ = ["duplicate_phones", "duplicate_phone_people", "duplicate_phones_top", "duplicate_phone_counts",
            "reconcile_counts", "reconcile_rows", "reconcile_registered", "pending_counts"]
@@ -33,13 +34,14 @@ def duplicate_phone_people(contacts: DataFrame) -> DataFrame:
     """A15 membership: every ``Client (Contact)`` of a duplicated phone, one row each
     (the reference's ``GROUP_CONCAT`` list, kept whole and unaggregated).
 
-    The join to the (role, phone) count table is a shuffle join; AQE's skew-join
-    handling splits a hot phone's partition."""
-    d = duplicate_phones(contacts).select("role", "phone", "dup_count")
+    The (role, phone) count table is broadcast when its size checks out; otherwise the join
+    shuffles and AQE's skew-join handling splits a hot phone's partition."""
+    d = duplicate_phones(contacts).select(F.col("role").alias("__r"), F.col("phone").alias("__p"), "dup_count")
     lab = client_contact_label("client", "name")
     people = contacts.filter(present("phone")).select("role", "phone", "id", lab.alias("person")) \
                      .filter(F.col("person").isNotNull())
-    return people.join(d, ["role", "phone"])
+    j = key_join(people, d, (F.col("role") == F.col("__r")) & (F.col("phone") == F.col("__p")), "inner")
+    return j.select("role", "phone", "id", "person", "dup_count")
 
 
 def duplicate_phones_top(contacts: DataFrame, n_phones: int = 20, n_people: int = 3) -> DataFrame:
@@ -99,5 +101,5 @@ def reconcile_registered(expected: DataFrame, derived: DataFrame) -> DataFrame:
 
 def pending_counts(details: DataFrame, ledger: DataFrame) -> DataFrame:
     """Contacts not exported yet (status 0 = absent from the export ledger), per role."""
-    pend = details.join(ledger.select("role", "phone"), ["role", "phone"], "left_anti")
+    pend = key_join(details, ledger.select("role", "phone").distinct(), ["role", "phone"], "left_anti")
     return pend.groupBy("role").agg(F.count(F.lit(1)).alias("pending"))
