@@ -25,14 +25,17 @@ DEFAULT_MAX_ROWS = 200_000
 def fits_broadcast(keys: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Persist ``keys`` and check that it has at most ``max_rows`` rows.
 
-    Returns the persisted frame and the verdict.  The check reads at most
-    ``max_rows + 1`` rows of the key set; nothing is collected to the driver.
+    Returns the frame to join with (persisted only when small) and the verdict.  The check
+    reads at most ``max_rows + 1`` rows of the key set; nothing is collected to the driver.
     """
     if max_rows is None:
         max_rows = int(keys.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
     kept = keys.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.limit(max_rows + 1).count()
-    return kept, n <= max_rows
+    if n > max_rows:  # large key set: do not pin it, let the shuffled join recompute it
+        kept.unpersist()
+        return keys, False
+    return kept, True
 
 
 def key_join(big: DataFrame, keys: DataFrame, on: Column | Sequence[str] | str, how: str = "left_semi",

@@ -120,3 +120,17 @@ def test_hot_phone_dedup_and_duplicates(spark):
     top = Q.duplicate_phones_top(c, 20, 3).filter("phone = 'hot'").collect()
     assert [r["person_rank"] for r in sorted(top, key=lambda r: r["person_rank"])] == [1, 2, 3]
     assert top[0]["more"] == 997
+
+
+def test_key_join_fallback_is_exact(spark):
+    """Above the broadcast bound the semi/anti joins shuffle and give the same rows."""
+    from summitflow.operators.joins import key_join
+
+    big = spark.range(0, 5000).withColumn("k", F.col("id") % 700)
+    keys = spark.range(0, 700, 3).withColumnRenamed("id", "k")
+    small = key_join(big, keys, "k", "left_semi", max_rows=10_000)
+    large = key_join(big, keys, "k", "left_semi", max_rows=10)
+    assert same_rows(small, large) and small.count() == big.filter(F.col("k") % 3 == 0).count()
+    anti_s = key_join(big, keys, "k", "left_anti", max_rows=10_000)
+    anti_l = key_join(big, keys, "k", "left_anti", max_rows=10)
+    assert same_rows(anti_s, anti_l) and anti_s.count() + small.count() == 5000
