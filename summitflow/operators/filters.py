@@ -16,6 +16,9 @@ FILTER_COLUMNS = {"ph": "Practice_Head", "partner": "Partner", "sector": "Sector
                   "resp": "Response"}
 
 
+ISIN_MAX = 1000
+
+
 def filter_master(master: DataFrame, filters: Mapping[str, Sequence[str]] | None) -> DataFrame:
     """P5: keep rows whose column value is in every non-empty selection list (empty = no filter).
 
@@ -24,8 +27,15 @@ def filter_master(master: DataFrame, filters: Mapping[str, Sequence[str]] | None
     """
     out = master
     for k, values in (filters or {}).items():
-        if values:
-            out = out.filter(F.col(FILTER_COLUMNS[k]).isin(list(values)))
+        if not values:
+            continue
+        col = FILTER_COLUMNS[k]
+        if len(values) <= ISIN_MAX:
+            out = out.filter(F.col(col).isin(list(values)))
+        else:
+            # a long selection: broadcast semi join; its size is the list length (a proven bound)
+            sel = master.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(values)], f"__v {master.schema[col].dataType.simpleString()}")
+            out = out.join(F.broadcast(sel), F.col(col) == F.col("__v"), "left_semi")
     return out
 
 

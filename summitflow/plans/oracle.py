@@ -283,7 +283,8 @@ ORACLE_SQL: dict[str, str] = {
     "column_profile": profile_sql(),
     "schema_evolve": "SELECT c_custkey, c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, "
                      "CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer",
-    "table_inventory": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES),
+    "table_inventory": " UNION ALL ".join([f"SELECT '{t}' AS table_name, true AS present, count(*) AS row_count FROM {t}"
+                                           for t in TABLES] + ["SELECT 'tax_summit_master_data', false, CAST(NULL AS BIGINT)"]),
     "common_columns": q("SELECT Client_Name, Practice_Head, Partner, Sector, Location, Invite_Status, numInvitees, "
                         "numRegistrations, Response, Tax_Contact, Designation, Email_ID, Phone_Number, Response_1 "
                         f"FROM m WHERE {PRESENT('Phone_Number')}"),

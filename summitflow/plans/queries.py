@@ -84,7 +84,7 @@ def q_schema_evolve(spark, base):
 
 
 def q_table_inventory(spark, base):
-    return T.table_inventory(T.read_tables(spark, base, T.TEST_TABLES))
+    return T.path_inventory(spark, base, list(T.TEST_TABLES) + ["tax_summit_master_data"])
 
 
 def q_common_columns(spark, base):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 __all__ = [
-    "TEST_TABLES", "read_table", "spread", "read_tables", "read_file", "clean_header", "clean_headers",
+    "TEST_TABLES", "read_table", "read_table_any", "table_exists", "path_inventory", "spread", "read_tables", "read_file", "clean_header", "clean_headers",
     "nan_to_null", "column_profile", "evolve_schema", "table_inventory", "row_count",
     "common_columns",
 ]
@@ -28,6 +28,22 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
+def table_exists(spark: SparkSession, base: str, name: str) -> bool:
+    """Existence check of ``<base>/<name>.parquet`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}.parquet")
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def read_table_any(spark: SparkSession, base: str, names: Sequence[str]) -> DataFrame:
+    """S7 with name fallback: the first of ``names`` that exists (e.g. ``Tax_Persons_Analysis``
+    then ``tax_persons_analysis``)."""
+    for n in names:
+        if table_exists(spark, base, n):
+            return read_table(spark, base, n)
+    raise FileNotFoundError(f"none of {list(names)} under {base}")
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin an input that has fewer scan splits than the cluster has cores.
 
@@ -151,6 +167,22 @@ def row_count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
 
 
+def path_inventory(spark: SparkSession, base: str, names: Sequence[str]) -> DataFrame:
+    """S9 with existence: ``(table_name, present, row_count)``; a missing table has
+    ``present = false`` and a NULL count."""
+    parts = []
+    for n in names:
+        if table_exists(spark, base, n):
+            parts.append(row_count(read_table(spark, base, n), n).select(
+                "table_name", F.lit(True).alias("present"), "row_count"))
+        else:
+            parts.append(spark.createDataFrame([(n, False, None)], "table_name string, present boolean, row_count bigint"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def table_inventory(tables: dict[str, DataFrame]) -> DataFrame:
     """Existence + row count of every table, one ``unionByName`` of per-table counts.
 

@@ -134,3 +134,14 @@ def test_key_join_fallback_is_exact(spark):
     anti_s = key_join(big, keys, "k", "left_anti", max_rows=10_000)
     anti_l = key_join(big, keys, "k", "left_anti", max_rows=10)
     assert same_rows(anti_s, anti_l) and anti_s.count() + small.count() == 5000
+
+
+def test_filter_long_list_equals_isin(spark):
+    """A selection longer than the isin bound takes the broadcast semi-join path, same rows."""
+    from summitflow.operators.filters import ISIN_MAX, filter_master
+
+    sm = C.standardize_master(X.master(spark, SF_SMALL))
+    padding = [f"no such head {i}" for i in range(ISIN_MAX + 5)]
+    long = filter_master(sm, {"ph": ["Urgent", "High"] + padding})
+    short = filter_master(sm, {"ph": ["Urgent", "High"]})
+    assert same_rows(long, short) and short.count() > 0
