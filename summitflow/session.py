@@ -16,6 +16,15 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def _driver_gb(cap: int = 16) -> int:
+    """Local-mode heap: 60% of physical memory, at most ``cap`` GB (the driver is the executor)."""
+    try:
+        phys = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return 4
+    return max(1, min(cap, int(phys * 0.6) >> 30))
+
+
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a data volume: shuffle partitions so each reducer gets about
     ``target_partition_bytes`` (at least 2 waves of all cores), scan splits of the same
@@ -52,7 +61,7 @@ def get_spark(master: str | None = None, app: str = "summitflow", partitions: in
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": f"{_driver_gb()}g",
     }
     if input_bytes:
         conf.update(scale_conf(input_bytes, total_cores or cores))
