@@ -18,7 +18,7 @@ from summitflow.sources.sinks import write_cards
 __all__ = ["LEDGER_SCHEMA", "eligible_contacts", "contact_cards", "mark_exported", "export_cards",
            "empty_ledger"]
 
-LEDGER_SCHEMA = "role string, phone string, exported_at timestamp, batch_id string"
+LEDGER_SCHEMA = "role string, phone string, exported_at timestamp_ntz, batch_id string"
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
@@ -57,16 +57,14 @@ def export_cards(spark: SparkSession, details: DataFrame, ledger_path: str, out_
     """K6: export job.  Writes cards (sorted by client, contact inside each role folder) and
     appends the exported keys to the ledger folder ``batch_id=<id>`` (overwritten as a
     whole -> rerunning a batch is idempotent).  Returns the ledger rows of this batch."""
-    try:
-        ledger = spark.read.parquet(ledger_path)
-    except Exception:
-        ledger = empty_ledger(spark)
+    from summitflow.plans.jobs import _path_exists
+    ledger = spark.read.parquet(ledger_path) if _path_exists(spark, ledger_path) else empty_ledger(spark)
     ledger = ledger.filter(F.col("batch_id") != batch_id)  # a rerun replaces its own batch
     elig = eligible_contacts(details, ledger)
     cards = contact_cards(elig)
     write_cards(cards.repartition("role").sortWithinPartitions("role", "client", "name"), out_path)
     ts = batch_ts if batch_ts is not None else F.current_timestamp()
-    new = elig.select("role", "phone", ts.cast("timestamp").alias("exported_at"))
+    new = elig.select("role", "phone", ts.cast("timestamp_ntz").alias("exported_at"))
     # one folder per batch: the plan above prunes this partition, so it never reads what it overwrites
     new.write.mode("overwrite").parquet(f"{ledger_path.rstrip('/')}/batch_id={batch_id}")
     return spark.read.parquet(ledger_path).filter(F.col("batch_id") == batch_id)

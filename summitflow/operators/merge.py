@@ -147,7 +147,8 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
         cols = []
         for c in out_cols:
             if audit and c in ("Data_Insert_Time", "Last_Updated") and (act == "inserted" or c not in df.columns):
-                cols.append(audit_ts.alias(c) if act == "inserted" else F.lit(None).cast("timestamp").alias(c))
+                # an untyped NULL widens to the audit column's type in the union
+                cols.append(audit_ts.alias(c) if act == "inserted" else F.lit(None).alias(c))
             elif c in df.columns:
                 cols.append(F.col(c))
             else:

@@ -146,8 +146,8 @@ def role_region(src):
     return (f"SELECT role, region, total_invited, registered, positive_responses, registered + positive_responses AS total_confirmed, "
             f"total_invited - (registered + positive_responses) AS unregistered, "
             f"round((registered + positive_responses) / total_invited * 100.0, 2) AS registration_rate FROM ("
-            f"SELECT role, {REGION('location')} AS region, count(phone) AS total_invited, count_if({cl} = 'registered') AS registered, "
-            f"count_if({cl} = 'positive') AS positive_responses FROM ({src}) WHERE location IS NOT NULL GROUP BY ALL) "
+            f"SELECT role, {REGION('location')} AS region, count(phone) AS total_invited, CAST(count_if({cl} = 'registered') AS BIGINT) AS registered, "
+            f"CAST(count_if({cl} = 'positive') AS BIGINT) AS positive_responses FROM ({src}) WHERE location IS NOT NULL GROUP BY ALL) "
             f"WHERE registered + positive_responses > 0")
 
 
@@ -386,7 +386,7 @@ ORACLE_SQL: dict[str, str] = {
     "owner_sector_rollup": q("SELECT CASE grouping(Practice_Head, Sector) WHEN 0 THEN 'sector' WHEN 1 THEN 'head' ELSE 'total' END "
                              "AS level, Practice_Head, Sector, count(*) AS row_count FROM sm "
                              "WHERE Practice_Head IS NOT NULL AND Sector IS NOT NULL GROUP BY ROLLUP (Practice_Head, Sector)"),
-    "role_kpis": q(f"SELECT role, count(*) AS total, count_if(lower(contact_response) = 'registered') AS registered, "
+    "role_kpis": q(f"SELECT role, count(*) AS total, CAST(count_if(lower(contact_response) = 'registered') AS BIGINT) AS registered, "
                    f"{RATE(f'count_if({_RESP})', 'count(*)')} AS response_rate FROM sc GROUP BY role"),
     "role_responses": q("SELECT role, Response AS response, CAST(sum(Response_Weight) AS BIGINT) AS weight FROM sc "
                         "WHERE Response IS NOT NULL GROUP BY ALL"),
@@ -394,7 +394,7 @@ ORACLE_SQL: dict[str, str] = {
     "role_region_filtered": q(role_region(cascade("sc", filt(FILTER_SPEC)))),
     "cfo_sectors": q("SELECT Sector AS sector, count(*) AS row_count FROM sc WHERE role = 'cfo' AND Sector IS NOT NULL GROUP BY 1"),
     "metrics": q(f"SELECT {RATE('sum(' + SI('numRegistrations') + ')', 'sum(' + SI('numInvitees') + ')')} AS conversion_rate, "
-                 f"{RATE('count(Response)', 'count(*)')} AS response_rate, count_if(Response IS NULL) AS pending_followups, "
+                 f"{RATE('count(Response)', 'count(*)')} AS response_rate, CAST(count_if(Response IS NULL) AS BIGINT) AS pending_followups, "
                  "count(Circle_Back_Dt) AS circle_backs FROM sm"),
     "invite_trend": q(f"SELECT {PDATE('Invite_Dt')} AS invite_date, count(*) AS invites FROM sm "
                       f"WHERE {PDATE('Invite_Dt')} IS NOT NULL GROUP BY 1"),

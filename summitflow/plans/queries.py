@@ -225,10 +225,10 @@ def q_upsert_phone(spark, base):
 def q_sync_audit(spark, base):
     t, s = X.sync_pair(_m(spark, base))
     cols = ["id", "Client_Name", "Response", "Sector"]
-    t = t.select(*cols, F.lit("2024-06-01 00:00:00").cast("timestamp").alias("Data_Insert_Time"),
-                 F.lit("2024-06-01 00:00:00").cast("timestamp").alias("Last_Updated"))
+    t = t.select(*cols, F.lit("2024-06-01 00:00:00").cast("timestamp_ntz").alias("Data_Insert_Time"),
+                 F.lit("2024-06-01 00:00:00").cast("timestamp_ntz").alias("Last_Updated"))
     s = s.select(*cols)
-    return M.smart_sync(t, s, "Client_Name", "id", audit_ts=F.lit(BATCH_TS).cast("timestamp"))
+    return M.smart_sync(t, s, "Client_Name", "id", audit_ts=F.lit(BATCH_TS).cast("timestamp_ntz"))
 
 
 def q_unique_phone(spark, base):
@@ -460,7 +460,7 @@ def q_cards(spark, base):
 def _export_once(spark, base):
     d = _details(spark, base)
     root = work_dir(spark, "export")
-    ts = F.lit(BATCH_TS).cast("timestamp")
+    ts = F.lit(BATCH_TS).cast("timestamp_ntz")
     E.export_cards(spark, d, f"{root}/ledger", f"{root}/cards", "b1", ts)
     return d, spark.read.parquet(f"{root}/ledger"), root
 

@@ -11,10 +11,11 @@ __all__ = ["replicate_table", "replicate", "write_cards", "export_report"]
 
 
 def _existing_columns(spark: SparkSession, path: str) -> list[str] | None:
-    try:
-        return spark.read.parquet(path).columns
-    except Exception:  # target does not exist yet
-        return None
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return None  # target does not exist yet
+    return spark.read.parquet(path).columns
 
 
 def replicate_table(spark: SparkSession, src: DataFrame, dst_path: str, name: str,

@@ -96,7 +96,7 @@ def test_export_twice_second_empty(spark):
     m = X.master(spark, SF_SMALL)
     d = C.unique_contacts(C.fan_out(m), "phone", "first")
     root = work_dir(spark, "export-test")
-    first = E.export_cards(spark, d, f"{root}/ledger", f"{root}/cards1", "b1", F.lit("2025-01-01").cast("timestamp"))
+    first = E.export_cards(spark, d, f"{root}/ledger", f"{root}/cards1", "b1", F.lit("2025-01-01").cast("timestamp_ntz"))
     n1 = first.count()
     assert n1 > 0
     second = E.export_cards(spark, d, f"{root}/ledger", f"{root}/cards2", "b2")
