@@ -279,6 +279,12 @@ _SUM_REG = f"sum({SI('numRegistrations')})"
 _SUM_INV = f"sum({SI('numInvitees')})"
 _CARD = CARD("name", "designation", "client", "phone", "email")
 
+_OVERVIEW = q(f"SELECT count(*) AS total_clients, CAST(sum({SI('numInvitees')}) AS BIGINT) AS total_invitees, "
+              f"CAST(sum({SI('numRegistrations')}) AS BIGINT) AS registrations, "
+              f"{RATE(f'count_if({_RESP})', 'count(*)')} AS response_rate FROM sm")
+_RESPONSE_WEIGHTS = q("SELECT Response AS response, CAST(sum(Response_Weight) AS BIGINT) AS weight FROM sm "
+                      "WHERE Response IS NOT NULL GROUP BY Response")
+
 ORACLE_SQL: dict[str, str] = {
     "column_profile": profile_sql(),
     "schema_evolve": "SELECT c_custkey, c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, "
@@ -442,6 +448,8 @@ ORACLE_SQL: dict[str, str] = {
     "card_files": q(f"SELECT role, {_CARD} AS card FROM elig"),
     "replicated_copy": q("SELECT * EXCLUDE (id) FROM m"),
     "stream_changes": q("SELECT * FROM c2"),
+    "stream_overview": _OVERVIEW,
+    "stream_response_weights": _RESPONSE_WEIGHTS,
     "stream_trend": q(f"SELECT {PDATE('Invite_Dt')} AS invite_date, count(*) AS invites FROM sm "
                       f"WHERE {PDATE('Invite_Dt')} IS NOT NULL GROUP BY 1"),
 }

@@ -501,6 +501,16 @@ def q_stream_trend(spark, base):
     return stream_invite_trend(spark, base)
 
 
+def q_stream_overview(spark, base):
+    from summitflow.streaming.changes import stream_report
+    return stream_report(spark, base, R.overview)
+
+
+def q_stream_response_weights(spark, base):
+    from summitflow.streaming.changes import stream_report
+    return stream_report(spark, base, R.response_weights)
+
+
 QUERIES: dict[str, Query] = {
     "column_profile": q_column_profile,
     "schema_evolve": q_schema_evolve,
@@ -580,4 +590,6 @@ QUERIES: dict[str, Query] = {
     "replicated_copy": q_replicated_copy,
     "stream_changes": q_stream_changes,
     "stream_trend": q_stream_trend,
+    "stream_overview": q_stream_overview,
+    "stream_response_weights": q_stream_response_weights,
 }

@@ -72,6 +72,20 @@ def stream_apply_changes(spark: SparkSession, base: str, trigger: dict | None =
     return spark.read.parquet(f"{root}/table").drop(BUCKET_COL)
 
 
+def stream_report(spark: SparkSession, base: str, report, trigger: dict | None = None) -> DataFrame:
+    """Any aggregate report of ``operators.reports`` over the streaming master, kept
+    current in complete mode; each trigger writes snapshot ``v=<batchId>``.  State is one row
+    per report group (a handful for the KPI and distribution reports)."""
+    root = work_dir(spark, "stream-report")
+    agg = report(C.standardize_master(streaming_master(spark, base)))
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/snapshots/v={batch_id}")
+
+    _run(agg.writeStream.outputMode("complete").foreachBatch(write_batch), root, trigger or {"availableNow": True})
+    return spark.read.parquet(_latest(spark, root))
+
+
 def stream_invite_trend(spark: SparkSession, base: str, trigger: dict | None = None) -> DataFrame:
     """Streaming daily invite trend (complete mode; state bounded by the number of days)."""
     root = work_dir(spark, "stream-trend")
