@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from summitflow.functions.scalars import present, response_label, response_weight, title_case
-from summitflow.operators.joins import key_join
+from summitflow.operators.joins import key_join, materialized
 from summitflow.operators.merge import keep_per_key
 from summitflow.roles import (ANALYSIS_FIELDS, CLIENT_ATTRS, CONTACT_COLS, DETAILS_FIELDS, ROLE_ORDER, ROLES,
                               derived_name)
@@ -123,13 +123,13 @@ def apply_changes(contacts: DataFrame, changes: DataFrame, roles: Sequence[str]
     the full rebuild, which the reference's triggers do not guarantee (a phone that
     *appears* is never inserted there, see ``apply_update``).
 
-    The fold shuffles only the change batch (partial ``WindowGroupLimit`` first).  The set
-    of touched ids is broadcast to the anti join when its size checks out, so the large
-    contacts table is not shuffled; a huge batch falls back to a shuffled anti join.
+    The fold shuffles only the change batch (partial ``WindowGroupLimit`` first) and is
+    checkpointed once; its id set is broadcast to the anti join when its size checks out, so
+    the large contacts table is not shuffled; a huge batch falls back to a shuffled anti join.
     """
-    last = _latest_change(changes)
+    last = materialized(_latest_change(changes))  # the folded batch, computed once
     touched = last.select("id")
-    kept = key_join(contacts, touched, "id", "left_anti")
+    kept = key_join(contacts, touched, "id", "left_anti", materialize=False)
     new_rows = last.filter(F.col("op") != "D").select("new.*")
     return kept.unionByName(fan_out(new_rows, roles))
 
@@ -267,11 +267,11 @@ def apply_changes_by_phone(contacts: DataFrame, changes: DataFrame, roles: Seque
         loose = du.filter((F.col("kind") == "U") & F.col("client").isNull())
     else:
         keyed, loose = du, None
-    last = keep_per_key(keyed, ["role", "phone", "client"], ["seq", "ord"], "last", null_safe=True)
+    last = materialized(keep_per_key(keyed, ["role", "phone", "client"], ["seq", "ord"], "last", null_safe=True))
     keys = last.select(F.col("role").alias("__r"), F.col("phone").alias("__p"), F.col("client").alias("__c"))
     cond = ((F.col("role") == F.col("__r")) & (F.col("phone") == F.col("__p"))
             & F.col("client").eqNullSafe(F.col("__c")))
-    kept = key_join(contacts.select(*cols), keys, cond, "left_anti").withColumn("__seq", F.lit(None).cast("bigint"))
+    kept = key_join(contacts.select(*cols), keys, cond, "left_anti", materialize=False).withColumn("__seq", F.lit(None).cast("bigint"))
     ins = last.filter(F.col("kind") == "U").select(*cols, F.col("seq").alias("__seq"))
     if loose is not None:
         ins = ins.unionByName(loose.select(*cols, F.col("seq").alias("__seq")))

@@ -1,8 +1,8 @@
 """Size-checked joins against key sets.
 
 A semi / anti join of a large table against a key set is broadcast only after the
-key set's size is *checked* (a bounded ``limit(n+1).count()`` over the persisted
-key set); beyond the bound it falls back to a shuffled join, where AQE's skew-join
+key set's size is *checked* (a bounded ``limit(n+1).count()`` over the key set,
+checkpointed once into the shared checkpoint folder); beyond the bound it falls back to a shuffled join, where AQE's skew-join
 handling splits hot keys.  Broadcasting avoids shuffling the large side at all —
 important when the join key is low-cardinality (a handful of practice heads would
 otherwise send a fifth of all rows to one reducer each).
@@ -12,37 +12,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["BROADCAST_MAX_ROWS_CONF", "fits_broadcast", "key_join"]
+from summitflow.session import checkpoint_root
+
+__all__ = ["BROADCAST_MAX_ROWS_CONF", "fits_broadcast", "key_join", "materialized"]
 
 BROADCAST_MAX_ROWS_CONF = "summitflow.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 200_000
 
 
-def fits_broadcast(keys: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Persist ``keys`` and check that it has at most ``max_rows`` rows.
+def fits_broadcast(keys: DataFrame, max_rows: int | None = None, materialize: bool = True
+                   ) -> tuple[DataFrame, bool]:
+    """Checkpoint ``keys`` and check that it has at most ``max_rows`` rows.
 
-    Returns the frame to join with (persisted only when small) and the verdict.  The check
-    reads at most ``max_rows + 1`` rows of the key set; nothing is collected to the driver.
+    Returns the checkpointed frame and the verdict.  The check reads at most
+    ``max_rows + 1`` rows of the key set; nothing is collected to the driver.
     """
     if max_rows is None:
         max_rows = int(keys.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
-    kept = keys.persist(StorageLevel.MEMORY_AND_DISK)
+    # a reliable checkpoint in the shared folder: computed once, lineage cut, no cache entry
+    kept = materialized(keys) if materialize else keys
     n = kept.limit(max_rows + 1).count()
-    if n > max_rows:  # large key set: do not pin it, let the shuffled join recompute it
-        kept.unpersist()
-        return keys, False
-    return kept, True
+    return kept, n <= max_rows
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared checkpoint folder (lineage cut; survives executor loss)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def key_join(big: DataFrame, keys: DataFrame, on: Column | Sequence[str] | str, how: str = "left_semi",
-             max_rows: int | None = None) -> DataFrame:
+             max_rows: int | None = None, materialize: bool = True) -> DataFrame:
     """``big`` semi/anti/inner-joined with a key set, broadcasting the key set only when its
-    size is checked to be within bound."""
-    kept, small = fits_broadcast(keys, max_rows)
+    size is checked to be within bound.  ``materialize=False`` when ``keys`` already reads
+    from a checkpoint / written table."""
+    kept, small = fits_broadcast(keys, max_rows, materialize)
     out = big.join(F.broadcast(kept) if small else kept, on, how)
     # a USING join moves the key columns first; keep the large side's column order
     return out.select(*[big[c] for c in big.columns]) if how in ("left_semi", "left_anti") else out

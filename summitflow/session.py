@@ -60,6 +60,9 @@ def get_spark(master: str | None = None, app: str = "summitflow", partitions: in
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # skip per-call Python stack capture for error context (driver-side plan-building cost)
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": f"{_driver_gb()}g",
     }
