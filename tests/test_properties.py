@@ -19,9 +19,11 @@ def py_safe_int(v):
     try:
         if v is None or v == "":
             return 0
-        return int(float(str(v)))
+        n = int(float(str(v)))
     except Exception:
         return 0
+    # counts are 64-bit here; Python's unbounded ints beyond that range map to 0 (documented)
+    return n if -(1 << 63) <= n < (1 << 63) else 0
 
 
 def py_weight(r):
