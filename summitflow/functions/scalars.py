@@ -64,12 +64,18 @@ def conversion_rate(registrations: Column, invitees: Column) -> Column:
 
 # ---------------------------------------------------------------- text
 def title_case(c: str | Column) -> Column:
-    """Python ``str(x).strip().title()``: capitalise the first letter of every letter run."""
-    runs = F.regexp_extract_all(F.trim(col_of(c)), F.lit(r"(\p{L}+|[^\p{L}]+)"), 0)
-    return F.array_join(
+    """Python ``str(x).strip().title()``: capitalise the first letter of every letter run.
+
+    Letters-and-spaces values (most names) take the native ``initcap`` fast path, which agrees
+    with ``title()`` there; anything else is split into letter / non-letter runs.
+    """
+    t = F.trim(col_of(c))
+    runs = F.regexp_extract_all(t, F.lit(r"(\p{L}+|[^\p{L}]+)"), 0)
+    general = F.array_join(
         F.transform(runs, lambda x: F.concat(F.upper(F.left(x, F.lit(1))), F.lower(F.substring(x, 2, 1 << 30)))),
         "",
     )
+    return F.when(t.rlike(r"^[\p{L} ]*$"), F.initcap(t)).otherwise(general)
 
 
 def clean_response(c: str | Column) -> Column:

@@ -78,3 +78,9 @@ def test_region_matches_ordered_scan(spark, values):
                 return name
         return "Other"
     assert run(spark, values, S.region_of) == [py_region(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet=st.sampled_from(list("abcXYZ  éÖ")), max_size=14), min_size=50, max_size=200))
+def test_title_fast_path_matches_python(spark, values):
+    assert run(spark, values, S.title_case) == [v.strip(" ").title() for v in values]
