@@ -75,15 +75,22 @@ def get_spark(master: str | None = None, app: str = "summitflow", partitions: in
     return spark
 
 
+_PRIVATE_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for snapshots / checkpoints.
 
-    Read from ``spark.checkpoint.dir``; set a private one only when unset.
+    Read from ``spark.checkpoint.dir`` (a static setting the cluster provides).  Only when the
+    session names none — local tests — a private temporary folder is registered as the
+    SparkContext checkpoint directory (the setting itself cannot be changed at runtime).
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="summitflow-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
+        key = id(spark.sparkContext)
+        if key not in _PRIVATE_ROOTS:
+            _PRIVATE_ROOTS[key] = tempfile.mkdtemp(prefix="summitflow-ckpt-")
+        root = _PRIVATE_ROOTS[key]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,13 +10,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    ckpt = tempfile.mkdtemp(prefix="summitflow-test-")
     s = (SparkSession.builder.master("local[*]").appName("summitflow-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

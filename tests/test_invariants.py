@@ -145,3 +145,33 @@ def test_filter_long_list_equals_isin(spark):
     long = filter_master(sm, {"ph": ["Urgent", "High"] + padding})
     short = filter_master(sm, {"ph": ["Urgent", "High"]})
     assert same_rows(long, short) and short.count() > 0
+
+
+def test_checkpoint_root_when_unset():
+    """No ``spark.checkpoint.dir``: a private folder is registered with the SparkContext and the
+    (static) setting is never modified."""
+    from summitflow.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+        def set(self, key, value):
+            raise AssertionError("static setting must not be modified")
+
+    class Ctx:
+        dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    s = Session()
+    root = checkpoint_root(s)
+    assert s.sparkContext.dir == root and checkpoint_root(s) == root
