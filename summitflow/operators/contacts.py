@@ -145,17 +145,26 @@ def _events_long(changes: DataFrame, image: str, roles: Sequence[str]) -> DataFr
 
 
 def apply_insert(contacts: DataFrame, changes: DataFrame, policy: str = "phone", keep: str = "first",
-                 roles: Sequence[str] = ROLE_ORDER) -> DataFrame:
+                 roles: Sequence[str] = ROLE_ORDER, overwrite_client: bool = True) -> DataFrame:
     """Trigger-style inserts of the ``I`` events into a uniquely keyed table.
 
     keep="first" -> ``INSERT IGNORE`` (existing row wins, earliest seq among new ones);
     keep="last"  -> ``ON DUPLICATE KEY UPDATE`` (latest seq wins, existing row overwritten).
+    ``overwrite_client=False`` (the duplicate-fix trigger) updates every field except the
+    client name, which stays the one first stored under the key.
     """
     ins = changes.filter(F.col("op") == "I")
     new = fan_out(ins.select("seq", "new.*"), roles, carry=("seq",))
     key = ["role", "phone"] if policy == "phone" else ["role", "phone", "client"]
     cur = contacts.withColumn("seq", F.lit(None).cast("bigint"))
     both = cur.unionByName(new)
+    if keep == "last" and not overwrite_client and "client" not in key:
+        # one partial aggregation per key: last full row and first client (skew-safe: map-side)
+        s = F.coalesce(F.col("seq"), F.lit(-1).cast("bigint"))
+        row = F.struct(*[F.col(c) for c in contacts.columns])
+        g = both.groupBy(*key).agg(F.max_by(row, s).alias("__last"), F.min_by(F.col("client"), s).alias("__c"))
+        return g.select(*[F.col("__c").alias(c) if c == "client" else F.col(f"__last.{c}").alias(c)
+                          for c in contacts.columns])
     if keep == "first":
         # existing rows carry seq NULL and sort first
         return keep_per_key(both, key, "seq", "first").drop("seq")

@@ -358,6 +358,10 @@ ORACLE_SQL: dict[str, str] = {
     "apply_insert_keep_first": q("SELECT * FROM u"),
     "apply_insert_keep_last": q("SELECT * FROM c WHERE client IS NOT NULL QUALIFY row_number() OVER "
                                 "(PARTITION BY role, phone, client ORDER BY id DESC) = 1 UNION ALL SELECT * FROM c WHERE client IS NULL"),
+    "apply_insert_keep_client": q("SELECT l.* REPLACE (f.client AS client) FROM "
+                                  "(SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id DESC) = 1) l "
+                                  "JOIN (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id) = 1) f "
+                                  "ON l.role = f.role AND l.phone = f.phone"),
     "apply_update_v1": update_sql("v1"),
     "apply_update_v2": update_sql("v2"),
     "apply_triggers": triggers_sql(False),

@@ -264,6 +264,12 @@ def q_apply_insert_keep_last(spark, base):
     return C.apply_insert(_empty_contacts(spark, m), X.change_feed(m), "phone_client", "last")
 
 
+def q_apply_insert_keep_client(spark, base):
+    """M5b duplicate-fix variant: latest row per phone, client name kept from the first insert."""
+    m = _m(spark, base)
+    return C.apply_insert(_empty_contacts(spark, m), X.change_feed(m), "phone", "last", overwrite_client=False)
+
+
 def q_apply_update_v1(spark, base):
     m = _m(spark, base)
     return C.apply_update(C.unique_contacts(C.fan_out(m), "phone", "first"), X.change_feed(m), "v1")
@@ -544,6 +550,7 @@ QUERIES: dict[str, Query] = {
     "apply_changes": q_apply_changes,
     "apply_insert_keep_first": q_apply_insert_keep_first,
     "apply_insert_keep_last": q_apply_insert_keep_last,
+    "apply_insert_keep_client": q_apply_insert_keep_client,
     "apply_update_v1": q_apply_update_v1,
     "apply_update_v2": q_apply_update_v2,
     "apply_triggers": q_apply_triggers,
