@@ -70,3 +70,63 @@ def test_merges_match_simulation(spark, t_kv, s_kv):
     assert as_set(M.insert_new_only(tdf, sdf, "k", "seq").collect()) == sorted(sim_insert_ignore(t, s), key=str)
     assert as_set(M.upsert(tdf, sdf, "k", "seq").collect()) == sorted(sim_upsert(t, s), key=str)
     assert as_set(M.smart_sync(tdf, sdf, "k", "seq").collect()) == sorted(sim_smart_sync(t, s), key=str)
+
+
+# ---------------------------------------------------------------- trigger fold (fixed mode)
+PHONES = st.sampled_from([None, "", "p1", "p2", "p3"])
+CLIENTS = st.sampled_from([None, "A", "B"])
+
+
+def _master_row(i, client, phone):
+    from summitflow.plans.oracle import MASTER_COLUMNS
+
+    row = {c: None for c in MASTER_COLUMNS}
+    row.update(id=i, Client_Name=client, Phone_Number=phone, Tax_Contact=f"n{i}", Response_1="r")
+    return row
+
+
+def sim_triggers(events):
+    """Row triggers, one event at a time, on a table keyed by (phone, client) (NULL-safe)."""
+    table = {}
+    present = lambda p: p is not None and p != ""
+    for seq, op, old, new in sorted(events, key=lambda e: e[0]):
+        if op in ("U", "D") and old and present(old["Phone_Number"]):
+            table.pop((old["Phone_Number"], old["Client_Name"]), None)
+        if op in ("I", "U") and new and present(new["Phone_Number"]):
+            table[(new["Phone_Number"], new["Client_Name"])] = (new["id"], new["Tax_Contact"])
+    return sorted(((p, c, i, n) for (p, c), (i, n) in table.items()), key=str)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["I", "U", "D"]), st.integers(0, 3), CLIENTS, PHONES), min_size=1,
+                max_size=12))
+def test_trigger_fold_matches_sequential(spark, ops):
+    from pyspark.sql import functions as F
+
+    from summitflow.operators import contacts as C
+    from summitflow.plans import fixtures as X
+
+    m0 = X.master(spark, "/root/testdata/sf0.001").limit(0)
+    struct_type = m0.select(F.struct(*m0.columns).alias("r")).schema["r"].dataType
+    state, events = {}, []
+    for seq, (op, i, client, phone) in enumerate(ops):
+        old = state.get(i)
+        if op == "I" and old is None:
+            new = _master_row(i, client, phone)
+            events.append((seq, "I", None, new))
+            state[i] = new
+        elif op == "U" and old is not None:
+            new = _master_row(i, client, phone)
+            events.append((seq, "U", old, new))
+            state[i] = new
+        elif op == "D" and old is not None:
+            events.append((seq, "D", old, None))
+            del state[i]
+    if not events:
+        return
+    df = spark.createDataFrame([(s, o, (n or od)["id"], od, n) for s, o, od, n in events],
+                               f"seq long, op string, id long, old {struct_type.simpleString()}, "
+                               f"new {struct_type.simpleString()}")
+    got = C.apply_changes_by_phone(spark.createDataFrame([], C.fan_out(m0).schema), df, roles=("tax",))
+    got = sorted(((r["phone"], r["client"], r["id"], r["name"]) for r in got.collect()), key=str)
+    assert got == sim_triggers(events)
