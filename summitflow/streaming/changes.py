@@ -13,7 +13,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from summitflow.operators import contacts as C
 from summitflow.operators import reports as R
