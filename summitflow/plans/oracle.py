@@ -454,6 +454,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_changes": q("SELECT * FROM c2"),
     "stream_overview": _OVERVIEW,
     "stream_response_weights": _RESPONSE_WEIGHTS,
+    "stream_role_region": q(role_region("SELECT * FROM sc")),
     "stream_trend": q(f"SELECT {PDATE('Invite_Dt')} AS invite_date, count(*) AS invites FROM sm "
                       f"WHERE {PDATE('Invite_Dt')} IS NOT NULL GROUP BY 1"),
 }

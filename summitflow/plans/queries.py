@@ -517,6 +517,11 @@ def q_stream_response_weights(spark, base):
     return stream_report(spark, base, R.response_weights)
 
 
+def q_stream_role_region(spark, base):
+    from summitflow.streaming.changes import stream_report
+    return stream_report(spark, base, R.role_region, source="contacts")
+
+
 QUERIES: dict[str, Query] = {
     "column_profile": q_column_profile,
     "schema_evolve": q_schema_evolve,
@@ -599,4 +604,5 @@ QUERIES: dict[str, Query] = {
     "stream_trend": q_stream_trend,
     "stream_overview": q_stream_overview,
     "stream_response_weights": q_stream_response_weights,
+    "stream_role_region": q_stream_role_region,
 }

@@ -71,12 +71,15 @@ def stream_apply_changes(spark: SparkSession, base: str, trigger: dict | None =
     return spark.read.parquet(f"{root}/table").drop(BUCKET_COL)
 
 
-def stream_report(spark: SparkSession, base: str, report, trigger: dict | None = None) -> DataFrame:
-    """Any aggregate report of ``operators.reports`` over the streaming master, kept
-    current in complete mode; each trigger writes snapshot ``v=<batchId>``.  State is one row
-    per report group (a handful for the KPI and distribution reports)."""
+def stream_report(spark: SparkSession, base: str, report, trigger: dict | None = None,
+                  source: str = "master") -> DataFrame:
+    """Any aggregate report of ``operators.reports`` over the streaming master
+    (``source="master"``) or its streaming contact fan-out (``source="contacts"``), kept current
+    in complete mode; each trigger writes snapshot ``v=<batchId>``.  State is one row per report
+    group (a handful for the KPI, distribution and region reports)."""
     root = work_dir(spark, "stream-report")
-    agg = report(C.standardize_master(streaming_master(spark, base)))
+    sm = streaming_master(spark, base)
+    agg = report(C.standardize_master(sm) if source == "master" else C.standardize_contacts(C.fan_out(sm)))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/snapshots/v={batch_id}")
