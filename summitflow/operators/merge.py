@@ -93,8 +93,9 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
     """Core of M2/M3: merged rows plus ``_action`` in
     {inserted, updated, unchanged, deleted, kept, kept_null_key}.
 
-    * source: last row per key by ``seq``; on a match every *source* column overwrites
-      the target (NULL included), target-only columns keep their value;
+    * source: last row per key by ``seq``; on a match every *source* column except the key
+      overwrites the target (NULL included), target-only columns and the stored key keep
+      their value;
     * ``delete_missing``: target keys absent from the source are marked ``deleted``
       (NULL target keys are never deleted, as ``key = NULL`` matches nothing);
       otherwise they are ``kept``;
@@ -122,7 +123,7 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
     in_s = F.col(_MATCH).isNotNull()
     changed = F.lit(False)
     for c in src_cols:
-        if c in target.columns:
+        if c in target.columns and c not in keys:  # the update clause never touches the key
             changed = changed | ~F.col(f"t_{c}").eqNullSafe(F.col(f"s_{c}"))
     action = (F.when(in_t & in_s, F.when(changed, "updated").otherwise("unchanged"))
               .when(in_s, "inserted")
@@ -135,6 +136,9 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
         if audit and c == "Last_Updated":
             keep = F.col("t_Last_Updated") if c in target.columns else F.lit(None)
             return F.when(in_t & in_s & ~changed, keep).when(in_t & ~in_s, keep).otherwise(audit_ts)
+        if c in keys and c in target.columns:
+            # a matched row keeps its stored key (differs only in case under case_insensitive)
+            return F.when(in_t, F.col(f"t_{c}")).otherwise(F.col(f"s_{c}"))
         if c in src_cols and c in target.columns:
             return F.when(in_s, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}"))
         if c in src_cols:

@@ -206,3 +206,13 @@ def test_operators_same_result_on_shuffle_fallback(spark):
             assert sorted(map(tuple, df.collect()), key=str) == sorted(map(tuple, fast[k]), key=str), k
     finally:
         spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
+
+
+def test_case_insensitive_upsert_keeps_stored_key(spark):
+    tgt = spark.createDataFrame([("ACME", 1, "old")], "k string, seq int, v string")
+    src = spark.createDataFrame([("Acme", 2, "new"), ("acme", 3, "newer"), ("Beta", 4, "b")],
+                                "k string, seq int, v string")
+    got = sorted(tuple(r) for r in M.upsert(tgt, src, "k", "seq", case_insensitive=True).collect())
+    assert got == [("ACME", 3, "newer"), ("Beta", 4, "b")]
+    acts = {r["_action"] for r in M.sync_with_actions(tgt, tgt, "k", "seq").collect()}
+    assert acts == {"unchanged"}
