@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from summitflow.functions.scalars import client_contact_label, present
-from summitflow.operators.joins import key_join
+from summitflow.operators.joins import key_join, materialized
 
 __all__ = ["duplicate_phones", "duplicate_phone_people", "duplicate_phones_top", "duplicate_phone_counts",
            "reconcile_counts", "reconcile_rows", "reconcile_registered", "pending_counts"]
@@ -49,15 +49,15 @@ def duplicate_phones_top(contacts: DataFrame, n_phones: int = 20, n_people: int
     (sorted), with how many more there are.  Bounded output by design."""
     d = duplicate_phones(contacts).select("role", "phone", "dup_count", "labelled")
     wtop = Window.partitionBy("role").orderBy(F.desc("dup_count"), "phone")
-    top = d.withColumn("phone_rank", F.row_number().over(wtop)).filter(F.col("phone_rank") <= n_phones)
+    # at most n_phones rows per role: computed once, then a size-bounded broadcast to both joins
+    top = materialized(d.withColumn("phone_rank", F.row_number().over(wtop)).filter(F.col("phone_rank") <= n_phones))
     lab = client_contact_label("client", "name")
     people = contacts.filter(present("phone")).select("role", "phone", lab.alias("person")) \
                      .filter(F.col("person").isNotNull())
-    # at most n_phones rows per role: a size-bounded broadcast
     sel = people.join(F.broadcast(top.select("role", "phone")), ["role", "phone"], "left_semi")
     wp = Window.partitionBy("role", "phone").orderBy("person")
     first = sel.withColumn("person_rank", F.row_number().over(wp)).filter(F.col("person_rank") <= n_people)
-    return (first.join(top, ["role", "phone"])
+    return (first.join(F.broadcast(top), ["role", "phone"])
                  .select("role", "phone_rank", "phone", "dup_count", "person_rank", "person",
                          F.greatest(F.col("labelled") - F.lit(n_people), F.lit(0)).cast("bigint").alias("more")))
 
