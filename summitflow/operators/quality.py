@@ -84,13 +84,14 @@ def reconcile_counts(expected: DataFrame, derived: DataFrame) -> DataFrame:
 
 def reconcile_rows(expected: DataFrame, derived: DataFrame, key=("role", "id", "phone")) -> DataFrame:
     """A17 row level: contacts missing from the derived table and rows the master no longer backs
-    (counts alone can cancel out).  Two anti joins on the key."""
+    (counts alone can cancel out).  One full outer join on the key (keys are unique per row)."""
     key = list(key)
-    e = expected.select(*key)
-    d = derived.select(*key)
-    miss = e.join(d, key, "left_anti").withColumn("side", F.lit("missing_in_derived"))
-    extra = d.join(e, key, "left_anti").withColumn("side", F.lit("extra_in_derived"))
-    return miss.unionByName(extra)
+    e = expected.select(*key, F.lit(True).alias("__e"))
+    d = derived.select(*key, F.lit(True).alias("__d"))
+    # one full outer join classifies both directions (each side shuffled once)
+    j = e.join(d, key, "full_outer").filter(F.col("__e").isNull() | F.col("__d").isNull())
+    side = F.when(F.col("__d").isNull(), "missing_in_derived").otherwise("extra_in_derived")
+    return j.select(*key, side.alias("side"))
 
 
 def reconcile_registered(expected: DataFrame, derived: DataFrame) -> DataFrame:
