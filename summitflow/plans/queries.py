@@ -41,14 +41,16 @@ BATCH_TS = "2025-01-01 00:00:00"
 
 # Analysed fixture plans (lazy DataFrames, no data) are built once per session and input
 # folder and shared by every query, like views a dashboard registers once.
-_PLANS: dict[tuple[int, str, str], DataFrame] = {}
+_PLANS: dict[tuple[str, str, str], tuple[SparkSession, DataFrame]] = {}
 
 
 def _plan(spark, base, name, build):
-    key = (id(spark._jsparkSession), base, name)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
+    key = (spark.sparkContext.applicationId, base, name)
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not spark:  # a new session never reuses another's plans
+        hit = (spark, build())
+        _PLANS[key] = hit
+    return hit[1]
 
 
 def _m(spark, base):
