@@ -289,7 +289,8 @@ def apply_changes_by_phone(contacts: DataFrame, changes: DataFrame, roles: Seque
         xl = keep_per_key(ev.filter(F.col("kind") == "X"), ["role", "phone"], "seq", "last", null_safe=True)
         xs = xl.select(F.col("role").alias("__xr"), F.col("phone").alias("__xp"), F.col("seq").alias("__xs"),
                        *[F.col(c).alias(f"__x_{c}") for c in cols if c not in ("role", "phone")])
-        j = res.join(xs, (F.col("role") == F.col("__xr")) & (F.col("phone") == F.col("__xp")), "left")
+        # X updates per phone: broadcast when the size checks out, so a hot phone is not shuffled
+        j = key_join(res, xs, (F.col("role") == F.col("__xr")) & (F.col("phone") == F.col("__xp")), "left")
         hit = F.col("__xs").isNotNull() & (F.coalesce(F.col("__seq"), F.lit(-1).cast("bigint")) < F.col("__xs"))
         res = j.select(*[F.when(hit, F.col(f"__x_{c}")).otherwise(F.col(c)).alias(c) if c not in ("role", "phone")
                          else F.col(c) for c in cols], F.col("__seq"))
