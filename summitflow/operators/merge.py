@@ -114,50 +114,61 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
                 out_cols.append(c)
             src_cols.discard(c)
 
-    t = target.filter(nn).select(*[F.col(c).alias(f"t_{c}") for c in target.columns],
-                                 *[_key_expr(k, case_insensitive).alias(f"__k{i}") for i, k in enumerate(keys)])
-    s = src.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias(_MATCH),
-                              *[_key_expr(k, case_insensitive).alias(f"__j{i}") for i, k in enumerate(keys)])
+    # projections are built as SQL expression strings: one call per projection instead of
+    # several per column (driver-side plan-building cost on wide tables)
+    def q(c: str) -> str:
+        return "`" + c.replace("`", "``") + "`"
+
+    def kx(c: str) -> str:
+        return f"lower({q(c)})" if case_insensitive else q(c)
+
+    t = target.filter(nn).selectExpr(*[f"{q(c)} AS {q('t_' + c)}" for c in target.columns],
+                                     *[f"{kx(k)} AS {q(f'__k{i}')}" for i, k in enumerate(keys)])
+    s = src.selectExpr(*[f"{q(c)} AS {q('s_' + c)}" for c in source.columns], f"true AS {q(_MATCH)}",
+                       *[f"{kx(k)} AS {q(f'__j{i}')}" for i, k in enumerate(keys)])
     joined = t.join(s, [F.col(f"__k{i}") == F.col(f"__j{i}") for i in range(len(keys))], "full_outer")
-    in_t = F.col(f"__k0").isNotNull()
-    in_s = F.col(_MATCH).isNotNull()
-    changed = F.lit(False)
-    for c in src_cols:
-        if c in target.columns and c not in keys:  # the update clause never touches the key
-            changed = changed | ~F.col(f"t_{c}").eqNullSafe(F.col(f"s_{c}"))
-    action = (F.when(in_t & in_s, F.when(changed, "updated").otherwise("unchanged"))
-              .when(in_s, "inserted")
-              .otherwise("deleted" if delete_missing else "kept"))
-
-    def pick(c: str) -> Column:
+    if audit:
+        joined = joined.withColumn("__ts", audit_ts)
+    in_t = "`__k0` IS NOT NULL"
+    in_s = f"{q(_MATCH)} IS NOT NULL"
+    diffs = [f"NOT ({q('t_' + c)} <=> {q('s_' + c)})" for c in sorted(src_cols)
+             if c in target.columns and c not in keys]  # the update clause never touches the key
+    changed = "(" + (" OR ".join(diffs) if diffs else "false") + ")"
+    action = (f"CASE WHEN {in_t} AND {in_s} THEN (CASE WHEN {changed} THEN 'updated' ELSE 'unchanged' END) "
+              f"WHEN {in_s} THEN 'inserted' ELSE '{'deleted' if delete_missing else 'kept'}' END")
+
+    def pick(c: str) -> str:
+        tc, sc = q("t_" + c), q("s_" + c)
         if audit and c == "Data_Insert_Time":
-            return F.when(in_t, F.col("t_Data_Insert_Time") if c in target.columns else F.lit(None)) \
-                .otherwise(audit_ts)
+            return f"CASE WHEN {in_t} THEN {tc if c in target.columns else 'NULL'} ELSE `__ts` END"
         if audit and c == "Last_Updated":
-            keep = F.col("t_Last_Updated") if c in target.columns else F.lit(None)
-            return F.when(in_t & in_s & ~changed, keep).when(in_t & ~in_s, keep).otherwise(audit_ts)
+            keep = tc if c in target.columns else "NULL"
+            return (f"CASE WHEN {in_t} AND {in_s} AND NOT {changed} THEN {keep} "
+                    f"WHEN {in_t} AND NOT ({in_s}) THEN {keep} ELSE `__ts` END")
         if c in keys and c in target.columns:
             # a matched row keeps its stored key (differs only in case under case_insensitive)
-            return F.when(in_t, F.col(f"t_{c}")).otherwise(F.col(f"s_{c}"))
+            return f"CASE WHEN {in_t} THEN {tc} ELSE {sc} END"
         if c in src_cols and c in target.columns:
-            return F.when(in_s, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}"))
+            return f"CASE WHEN {in_s} THEN {sc} ELSE {tc} END"
         if c in src_cols:
-            return F.col(f"s_{c}")
-        return F.col(f"t_{c}")
+            return sc
+        return tc
 
-    merged = joined.select(*[pick(c).alias(c) for c in out_cols], action.alias("_action"))
+    merged = joined.selectExpr(*[f"{pick(c)} AS {q(c)}" for c in out_cols], f"{action} AS `_action`")
 
     def passthrough(df: DataFrame, act: str) -> DataFrame:
+        if audit:
+            df = df.withColumn("__ts", audit_ts)
         cols = []
         for c in out_cols:
             if audit and c in ("Data_Insert_Time", "Last_Updated") and (act == "inserted" or c not in df.columns):
                 # an untyped NULL widens to the audit column's type in the union
-                cols.append(audit_ts.alias(c) if act == "inserted" else F.lit(None).alias(c))
+                cols.append(f"{'`__ts`' if act == 'inserted' else 'NULL'} AS {q(c)}")
             elif c in df.columns:
-                cols.append(F.col(c))
+                cols.append(q(c))
             else:
-                cols.append(F.lit(None).alias(c))
-        return df.select(*cols, F.lit(act).alias("_action"))
+                cols.append(f"NULL AS {q(c)}")
+        return df.selectExpr(*cols, f"'{act}' AS `_action`")
 
     null_t = passthrough(target.filter(~nn), "kept_null_key")
     null_s = passthrough(source.filter(~nn), "inserted")
