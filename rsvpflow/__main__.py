@@ -1,4 +1,4 @@
-"""Command line: ``python -m summitflow <command> ...``.
+"""Command line: ``python -m rsvpflow <command> ...``.
 
   reports  --master PATH [--contacts PATH] --out DIR [--filters JSON] [--standardized]
            every dashboard report under one filter spec, exported as CSV parts per report
@@ -15,11 +15,11 @@ import argparse
 import json
 import sys
 
-from summitflow.session import get_spark
+from rsvpflow.session import get_spark
 
 
 def main(argv: list[str] | None = None) -> int:
-    p = argparse.ArgumentParser(prog="summitflow")
+    p = argparse.ArgumentParser(prog="rsvpflow")
     sub = p.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("reports")
     r.add_argument("--master", required=True)
@@ -42,9 +42,9 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     spark = get_spark()
-    from summitflow.operators import contacts as C
-    from summitflow.plans import jobs as J
-    from summitflow.sources.sinks import export_report
+    from rsvpflow.operators import contacts as C
+    from rsvpflow.plans import jobs as J
+    from rsvpflow.sources.sinks import export_report
 
     if args.cmd == "reports":
         master = spark.read.parquet(args.master)

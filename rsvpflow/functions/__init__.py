@@ -1,3 +1,3 @@
 """Scalar functions (F1–F12) as native Column expressions — no Python UDFs."""
 
-from summitflow.functions.scalars import *  # noqa: F401,F403
+from rsvpflow.functions.scalars import *  # noqa: F401,F403

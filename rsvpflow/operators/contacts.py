@@ -13,10 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from summitflow.functions.scalars import present, response_label, response_weight, title_case
-from summitflow.operators.joins import key_join, materialized
-from summitflow.operators.merge import keep_per_key
-from summitflow.roles import (ANALYSIS_FIELDS, CLIENT_ATTRS, CONTACT_COLS, DETAILS_FIELDS, ROLE_ORDER, ROLES,
+from rsvpflow.functions.scalars import present, response_label, response_weight, title_case
+from rsvpflow.operators.joins import key_join, materialized
+from rsvpflow.operators.merge import keep_per_key
+from rsvpflow.roles import (ANALYSIS_FIELDS, CLIENT_ATTRS, CONTACT_COLS, DETAILS_FIELDS, ROLE_ORDER, ROLES,
                               derived_name)
 
 __all__ = ["fan_out", "role_view", "trigger_events", "apply_changes_by_phone", "standardize_master", "standardize_contacts", "rebuild_contacts",

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from summitflow.functions.scalars import numeric_prefix, present, vcard_card
-from summitflow.operators.joins import key_join
-from summitflow.sources.sinks import write_cards
+from rsvpflow.functions.scalars import numeric_prefix, present, vcard_card
+from rsvpflow.operators.joins import key_join
+from rsvpflow.sources.sinks import write_cards
 
 __all__ = ["LEDGER_SCHEMA", "eligible_contacts", "contact_cards", "mark_exported", "export_cards",
            "empty_ledger"]
@@ -57,7 +57,7 @@ def export_cards(spark: SparkSession, details: DataFrame, ledger_path: str, out_
     """K6: export job.  Writes cards (sorted by client, contact inside each role folder) and
     appends the exported keys to the ledger folder ``batch_id=<id>`` (overwritten as a
     whole -> rerunning a batch is idempotent).  Returns the ledger rows of this batch."""
-    from summitflow.plans.jobs import _path_exists
+    from rsvpflow.plans.jobs import _path_exists
     ledger = spark.read.parquet(ledger_path) if _path_exists(spark, ledger_path) else empty_ledger(spark)
     ledger = ledger.filter(F.col("batch_id") != batch_id)  # a rerun replaces its own batch
     elig = eligible_contacts(details, ledger)

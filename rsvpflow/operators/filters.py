@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from summitflow.operators.joins import fits_broadcast
+from rsvpflow.operators.joins import fits_broadcast
 
 __all__ = ["FILTER_COLUMNS", "filter_master", "cascade_filter"]
 

@@ -15,11 +15,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from summitflow.session import checkpoint_root
+from rsvpflow.session import checkpoint_root
 
 __all__ = ["BROADCAST_MAX_ROWS_CONF", "fits_broadcast", "key_join", "materialized"]
 
-BROADCAST_MAX_ROWS_CONF = "summitflow.broadcast.maxRows"
+BROADCAST_MAX_ROWS_CONF = "rsvpflow.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 200_000
 
 

@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from summitflow.functions.scalars import client_contact_label, present
-from summitflow.operators.joins import key_join, materialized
+from rsvpflow.functions.scalars import client_contact_label, present
+from rsvpflow.operators.joins import key_join, materialized
 
 __all__ = ["duplicate_phones", "duplicate_phone_people", "duplicate_phones_top", "duplicate_phone_counts",
            "reconcile_counts", "reconcile_rows", "reconcile_registered", "pending_counts"]

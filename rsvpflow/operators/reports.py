@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from summitflow.functions.scalars import (clean_response, conversion_rate, is_registered, parse_date,
+from rsvpflow.functions.scalars import (clean_response, conversion_rate, is_registered, parse_date,
                                           region_of, safe_int)
 
 __all__ = ["overview", "response_weights", "sector_performance", "region_counts", "owner_stats",
@@ -191,7 +191,7 @@ def funnel(sm: DataFrame) -> DataFrame:
 
 def filter_options(sm: DataFrame) -> DataFrame:
     """Sorted distinct non-NULL values of each filter dimension."""
-    from summitflow.operators.filters import FILTER_COLUMNS
+    from rsvpflow.operators.filters import FILTER_COLUMNS
     dims = F.array(*[F.struct(F.lit(k).alias("dimension"), F.col(c).cast("string").alias("value"))
                      for k, c in FILTER_COLUMNS.items()])
     return (sm.select(F.explode(dims).alias("d")).select("d.*").filter(F.col("value").isNotNull())

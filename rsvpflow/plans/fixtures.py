@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from summitflow.sources.tables import read_table, spread
+from rsvpflow.sources.tables import read_table, spread
 
 MASTER_SQL = """
 SELECT o.o_orderkey AS id,

@@ -12,15 +12,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from summitflow.operators import contacts as C
-from summitflow.operators import export as E
-from summitflow.operators import filters as FL
-from summitflow.operators import merge as M
-from summitflow.operators import quality as Q
-from summitflow.operators import reports as R
-from summitflow.roles import ROLE_ORDER
-from summitflow.sources import sinks as SK
-from summitflow.sources import tables as T
+from rsvpflow.operators import contacts as C
+from rsvpflow.operators import export as E
+from rsvpflow.operators import filters as FL
+from rsvpflow.operators import merge as M
+from rsvpflow.operators import quality as Q
+from rsvpflow.operators import reports as R
+from rsvpflow.roles import ROLE_ORDER
+from rsvpflow.sources import sinks as SK
+from rsvpflow.sources import tables as T
 
 __all__ = ["standardize_job", "load_and_sync", "rebuild_contacts_job", "apply_changes_job", "bucket_of", "write_bucketed",
            "apply_changes_bucketed", "standardize", "reports",

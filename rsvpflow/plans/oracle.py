@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import re
 
-from summitflow.functions.scalars import REGIONS, region_pattern
-from summitflow.plans.fixtures import CHANGE_OFFSET, MASTER_SQL
-from summitflow.plans.queries import BATCH_TS, CASCADE_SPEC, FILTER_ALL5, FILTER_SPEC
-from summitflow.roles import ANALYSIS_FIELDS, DETAILS_FIELDS, ROLE_ORDER, ROLES, derived_name
+from rsvpflow.functions.scalars import REGIONS, region_pattern
+from rsvpflow.plans.fixtures import CHANGE_OFFSET, MASTER_SQL
+from rsvpflow.plans.queries import BATCH_TS, CASCADE_SPEC, FILTER_ALL5, FILTER_SPEC
+from rsvpflow.roles import ANALYSIS_FIELDS, DETAILS_FIELDS, ROLE_ORDER, ROLES, derived_name
 
 MASTER = MASTER_SQL.format(orders="orders", customer="customer", nation="nation")
 MASTER_COLUMNS = re.findall(r" AS (\w+),?\n", MASTER)
@@ -290,7 +290,7 @@ ORACLE_SQL: dict[str, str] = {
     "schema_evolve": "SELECT c_custkey, c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, "
                      "CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer",
     "table_inventory": " UNION ALL ".join([f"SELECT '{t}' AS table_name, true AS present, count(*) AS row_count FROM {t}"
-                                           for t in TABLES] + ["SELECT 'tax_summit_master_data', false, CAST(NULL AS BIGINT)"]),
+                                           for t in TABLES] + ["SELECT 'master_archive', false, CAST(NULL AS BIGINT)"]),
     "common_columns": q("SELECT Client_Name, Practice_Head, Partner, Sector, Location, Invite_Status, numInvitees, "
                         "numRegistrations, Response, Tax_Contact, Designation, Email_ID, Phone_Number, Response_1 "
                         f"FROM m WHERE {PRESENT('Phone_Number')}"),

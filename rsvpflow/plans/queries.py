@@ -12,18 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from summitflow.functions import scalars as S
-from summitflow.operators import contacts as C
-from summitflow.operators import export as E
-from summitflow.operators import filters as FL
-from summitflow.operators import merge as M
-from summitflow.operators import quality as Q
-from summitflow.operators import reports as R
-from summitflow.plans import fixtures as X
-from summitflow.roles import ROLE_ORDER
-from summitflow.session import work_dir
-from summitflow.sources import sinks as SK
-from summitflow.sources import tables as T
+from rsvpflow.functions import scalars as S
+from rsvpflow.operators import contacts as C
+from rsvpflow.operators import export as E
+from rsvpflow.operators import filters as FL
+from rsvpflow.operators import merge as M
+from rsvpflow.operators import quality as Q
+from rsvpflow.operators import reports as R
+from rsvpflow.plans import fixtures as X
+from rsvpflow.roles import ROLE_ORDER
+from rsvpflow.session import work_dir
+from rsvpflow.sources import sinks as SK
+from rsvpflow.sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,7 +86,7 @@ def q_schema_evolve(spark, base):
 
 
 def q_table_inventory(spark, base):
-    return T.path_inventory(spark, base, list(T.TEST_TABLES) + ["tax_summit_master_data"])
+    return T.path_inventory(spark, base, list(T.TEST_TABLES) + ["master_archive"])
 
 
 def q_common_columns(spark, base):
@@ -122,7 +122,7 @@ def q_csv_roundtrip(spark, base):
 
 def q_load_and_sync(spark, base):
     """K1: an incoming batch with raw headers and an extra column, synced into a target."""
-    from summitflow.plans.jobs import load_and_sync
+    from rsvpflow.plans.jobs import load_and_sync
     t, s = X.sync_pair(_m(spark, base))
     raw = s.withColumnRenamed("Client_Name", "Client Name").withColumnRenamed("Circle_Back_Dt", "Circle-Back_Dt")
     res, _ = load_and_sync(spark, raw, t.drop("Sector"), "Client Name", "id", "smart_sync")
@@ -130,7 +130,7 @@ def q_load_and_sync(spark, base):
 
 
 def q_load_and_sync_counts(spark, base):
-    from summitflow.plans.jobs import load_and_sync
+    from rsvpflow.plans.jobs import load_and_sync
     t, s = X.sync_pair(_m(spark, base))
     raw = s.withColumnRenamed("Client_Name", "Client Name")
     _, counts = load_and_sync(spark, raw, t, "Client Name", "id", "upsert")
@@ -500,27 +500,27 @@ def q_replicated_copy(spark, base):
 
 # ------------------------------------------------------------------ streaming
 def q_stream_changes(spark, base):
-    from summitflow.streaming.changes import stream_apply_changes
+    from rsvpflow.streaming.changes import stream_apply_changes
     return stream_apply_changes(spark, base)
 
 
 def q_stream_trend(spark, base):
-    from summitflow.streaming.changes import stream_invite_trend
+    from rsvpflow.streaming.changes import stream_invite_trend
     return stream_invite_trend(spark, base)
 
 
 def q_stream_overview(spark, base):
-    from summitflow.streaming.changes import stream_report
+    from rsvpflow.streaming.changes import stream_report
     return stream_report(spark, base, R.overview)
 
 
 def q_stream_response_weights(spark, base):
-    from summitflow.streaming.changes import stream_report
+    from rsvpflow.streaming.changes import stream_report
     return stream_report(spark, base, R.response_weights)
 
 
 def q_stream_role_region(spark, base):
-    from summitflow.streaming.changes import stream_report
+    from rsvpflow.streaming.changes import stream_report
     return stream_report(spark, base, R.role_region, source="contacts")
 
 

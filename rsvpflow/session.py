@@ -42,7 +42,7 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     }
 
 
-def get_spark(master: str | None = None, app: str = "summitflow", partitions: int | None = None,
+def get_spark(master: str | None = None, app: str = "rsvpflow", partitions: int | None = None,
               input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
     """Return a session tuned for the library (AQE on, UTC, no UI).
 
@@ -89,7 +89,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         key = id(spark.sparkContext)
         if key not in _PRIVATE_ROOTS:
-            _PRIVATE_ROOTS[key] = tempfile.mkdtemp(prefix="summitflow-ckpt-")
+            _PRIVATE_ROOTS[key] = tempfile.mkdtemp(prefix="rsvpflow-ckpt-")
         root = _PRIVATE_ROOTS[key]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)

@@ -14,11 +14,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from summitflow.operators import contacts as C
-from summitflow.operators import reports as R
-from summitflow.plans import fixtures as X
-from summitflow.session import work_dir
-from summitflow.sources.tables import read_table
+from rsvpflow.operators import contacts as C
+from rsvpflow.operators import reports as R
+from rsvpflow.plans import fixtures as X
+from rsvpflow.session import work_dir
+from rsvpflow.sources.tables import read_table
 
 
 def stream_table(spark: SparkSession, base: str, name: str, files_per_trigger: int = 1) -> DataFrame:
@@ -59,7 +59,7 @@ def stream_apply_changes(spark: SparkSession, base: str, trigger: dict | None =
     the batch, not with the table.  A replayed batch rewrites the same buckets with the same
     content (idempotent).
     """
-    from summitflow.plans.jobs import BUCKET_COL, apply_changes_bucketed
+    from rsvpflow.plans.jobs import BUCKET_COL, apply_changes_bucketed
 
     root = work_dir(spark, "stream-changes")
     events = X.change_feed(streaming_master(spark, base))

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    s = (SparkSession.builder.master("local[*]").appName("summitflow-tests")
+    s = (SparkSession.builder.master("local[*]").appName("rsvpflow-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from summitflow.functions import scalars as S
-from summitflow.sources.tables import clean_header
+from rsvpflow.functions import scalars as S
+from rsvpflow.sources.tables import clean_header
 
 
 def one_col(spark, values, fn, typ="string"):

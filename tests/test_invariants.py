@@ -2,13 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from summitflow.operators import contacts as C
-from summitflow.operators import export as E
-from summitflow.operators import merge as M
-from summitflow.operators import quality as Q
-from summitflow.operators import reports as R
-from summitflow.plans import fixtures as X
-from summitflow.session import work_dir
+from rsvpflow.operators import contacts as C
+from rsvpflow.operators import export as E
+from rsvpflow.operators import merge as M
+from rsvpflow.operators import quality as Q
+from rsvpflow.operators import reports as R
+from rsvpflow.plans import fixtures as X
+from rsvpflow.session import work_dir
 from tests.conftest import SF_MID, SF_SMALL
 
 
@@ -124,7 +124,7 @@ def test_hot_phone_dedup_and_duplicates(spark):
 
 def test_key_join_fallback_is_exact(spark):
     """Above the broadcast bound the semi/anti joins shuffle and give the same rows."""
-    from summitflow.operators.joins import key_join
+    from rsvpflow.operators.joins import key_join
 
     big = spark.range(0, 5000).withColumn("k", F.col("id") % 700)
     keys = spark.range(0, 700, 3).withColumnRenamed("id", "k")
@@ -138,7 +138,7 @@ def test_key_join_fallback_is_exact(spark):
 
 def test_filter_long_list_equals_isin(spark):
     """A selection longer than the isin bound takes the broadcast semi-join path, same rows."""
-    from summitflow.operators.filters import ISIN_MAX, filter_master
+    from rsvpflow.operators.filters import ISIN_MAX, filter_master
 
     sm = C.standardize_master(X.master(spark, SF_SMALL))
     padding = [f"no such head {i}" for i in range(ISIN_MAX + 5)]
@@ -150,7 +150,7 @@ def test_filter_long_list_equals_isin(spark):
 def test_checkpoint_root_when_unset():
     """No ``spark.checkpoint.dir``: a private folder is registered with the SparkContext and the
     (static) setting is never modified."""
-    from summitflow.session import checkpoint_root
+    from rsvpflow.session import checkpoint_root
 
     class Conf:
         def get(self, key, default=None):
@@ -179,8 +179,8 @@ def test_checkpoint_root_when_unset():
 
 def test_operators_same_result_on_shuffle_fallback(spark):
     """Forcing the key-set size check to fail (shuffled joins) changes no result."""
-    from summitflow.operators import filters as FL
-    from summitflow.operators.joins import BROADCAST_MAX_ROWS_CONF
+    from rsvpflow.operators import filters as FL
+    from rsvpflow.operators.joins import BROADCAST_MAX_ROWS_CONF
 
     m = X.master(spark, SF_SMALL)
     sm, c = C.standardize_master(m), C.fan_out(m)

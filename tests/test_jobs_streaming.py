@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from summitflow.operators import contacts as C
-from summitflow.plans import fixtures as X
-from summitflow.plans import jobs as J
-from summitflow.session import work_dir
-from summitflow.streaming.changes import stream_apply_changes, stream_invite_trend
-from summitflow.operators import reports as R
+from rsvpflow.operators import contacts as C
+from rsvpflow.plans import fixtures as X
+from rsvpflow.plans import jobs as J
+from rsvpflow.session import work_dir
+from rsvpflow.streaming.changes import stream_apply_changes, stream_invite_trend
+from rsvpflow.operators import reports as R
 from tests.conftest import SF_SMALL
 
 
@@ -118,12 +118,12 @@ def test_cli_reports_and_cards(spark):
     by calling the same jobs the CLI calls."""
     import os
 
-    from summitflow.__main__ import main  # noqa: F401  (importable)
+    from rsvpflow.__main__ import main  # noqa: F401  (importable)
 
     m = X.master(spark, SF_SMALL)
     root = work_dir(spark, "cli")
     m.write.parquet(f"{root}/master")
     reps = J.reports(spark.read.parquet(f"{root}/master"), C.fan_out(spark.read.parquet(f"{root}/master")), {})
-    from summitflow.sources.sinks import export_report
+    from rsvpflow.sources.sinks import export_report
     export_report(reps["overview"], f"{root}/out/overview")
     assert any(f.endswith(".csv") for f in os.listdir(f"{root}/out/overview"))

@@ -3,7 +3,7 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from summitflow.operators import merge as M
+from rsvpflow.operators import merge as M
 
 KEYS = st.sampled_from([None, "a", "b", "c", "d"])
 VALS = st.sampled_from([None, "x", "y", "z"])
@@ -78,7 +78,7 @@ CLIENTS = st.sampled_from([None, "A", "B"])
 
 
 def _master_row(i, client, phone):
-    from summitflow.plans.oracle import MASTER_COLUMNS
+    from rsvpflow.plans.oracle import MASTER_COLUMNS
 
     row = {c: None for c in MASTER_COLUMNS}
     row.update(id=i, Client_Name=client, Phone_Number=phone, Tax_Contact=f"n{i}", Response_1="r")
@@ -103,8 +103,8 @@ def sim_triggers(events):
 def test_trigger_fold_matches_sequential(spark, ops):
     from pyspark.sql import functions as F
 
-    from summitflow.operators import contacts as C
-    from summitflow.plans import fixtures as X
+    from rsvpflow.operators import contacts as C
+    from rsvpflow.plans import fixtures as X
 
     m0 = X.master(spark, "/root/testdata/sf0.001").limit(0)
     struct_type = m0.select(F.struct(*m0.columns).alias("r")).schema["r"].dataType

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from summitflow.functions import scalars as S
+from rsvpflow.functions import scalars as S
 
 TEXT = st.text(alphabet=st.sampled_from(list("abcXYZ019 .-+eE,'_&")), max_size=12)
 SETTINGS = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))

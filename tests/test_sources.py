@@ -6,9 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from summitflow.session import work_dir
-from summitflow.sources import sinks as SK
-from summitflow.sources import tables as T
+from rsvpflow.session import work_dir
+from rsvpflow.sources import sinks as SK
+from rsvpflow.sources import tables as T
 
 
 def test_profile_lengths_and_empty_column(spark):
