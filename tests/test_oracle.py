@@ -5,13 +5,14 @@ import pytest
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import oracle_sql
+from rsvpflow.plans.queries import QUERIES
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_oracle():
-    missing = set(queries()) - set(oracle_sql())
+    missing = set(QUERIES) - set(oracle_sql())
     assert not missing, missing
 
 

@@ -5,6 +5,7 @@ import pytest
 from tests.conftest import SF_SMALL
 
 from __spark_entry__ import queries
+from rsvpflow.plans.queries import QUERIES
 
 # queries that run writes / streams while being built
 SKIP = {"stream_changes", "stream_trend", "stream_overview", "stream_response_weights", "stream_role_region", "replicated_copy", "replica_status", "mark_exported", "pending",
@@ -17,7 +18,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP))
 def test_no_cross_join_no_python(spark, name):
     plan = plan_of(queries()[name](spark, SF_SMALL))
     bad = [f for f in FORBIDDEN if f in plan]
