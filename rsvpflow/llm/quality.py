@@ -75,6 +75,8 @@ def bad_line(line: str, ws: list[bytes]) -> bool:
         return True
     if n >= 4 and 3 * sum(w.endswith((b"!!", b"??", b"***", b"###", b"%%%", b"$$$", b"&&&")) for w in ws) > n:
         return True
+    if n >= 6 and 5 * sum(a == b for a, b in zip(ws, ws[1:])) > 2 * n:  # stuttering
+        return True
     # navigation: items between separators, or a short line that ends no sentence
     if n >= 3 and 4 * sum(w in SEPARATORS for w in ws) >= n:
         return True
