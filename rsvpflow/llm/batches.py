@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _ATOMS = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(),
@@ -33,6 +35,8 @@ def slices(batch: pa.RecordBatch, chars: int, rows: int) -> Iterator[pa.RecordBa
     for col in batch.columns:
         if pa.types.is_string(col.type) or pa.types.is_large_string(col.type) or pa.types.is_binary(col.type):
             size += np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64)
+        elif pa.types.is_list(col.type) or pa.types.is_large_list(col.type):
+            size += 8 * np.asarray(pc.fill_null(pc.list_value_length(col), 0), dtype=np.int64)
     lo = 0
     total = np.cumsum(size)
     while lo < batch.num_rows:
@@ -61,6 +65,31 @@ def map_slices(df: DataFrame, fn: Callable, ddl: str, setup: Callable | None = N
     return df.mapInArrow(run, ddl)
 
 
+def share(spark: SparkSession, value) -> Callable:
+    """Send a bounded value to the tasks once per executor; the result is a ``setup`` that gives it back.
+
+    It travels as bytes that carry their classes, so executors need not have this package.
+    """
+    box = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(box.value)
+
+
+def keep_rows(df: DataFrame, keep: Callable, column: str, setup: Callable | None = None, chars: int = 1 << 20) -> DataFrame:
+    """The rows of ``df``, all columns as they are, for which ``keep(values of column, state)`` is true.
+
+    Columns are taken by place, so names that clash only in case do no harm.
+    """
+    at = df.columns.index(column)
+
+    def run(batches):
+        state = setup() if setup else None
+        for batch in batches:
+            for part in slices(batch, chars, 4096):
+                yield part.filter(pa.array(keep(part.column(at).to_pylist(), state), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def words(text: str | None) -> list[bytes]:
     """Words as UTF-8 bytes; ``bytes.split`` cuts at exactly the ASCII blanks."""
     return text.encode("utf-8", "replace").split() if text else []
