@@ -3,8 +3,8 @@
 A run of consecutive lines with ``min_words`` words or more that also stands, line by line, in an earlier document is
 deleted from the later one.
 
-1. Every line is hashed (blanks folded); lines without words are left out.  From every line starts a window, the
-   shortest run of consecutive lines with ``min_words`` words.  Windows of lines are rare where single lines are not:
+1. Every line is hashed (blanks folded); lines without words are left out.  From every line starts a window and up to
+   every line goes one, the shortest run of consecutive lines with ``min_words`` words.  Windows of lines are rare where single lines are not:
    a line that stands in a third of all documents shares no window unless its neighbours repeat as well.
 2. Documents overlap through shared windows.  A later document is paired with the first holder of each window it
    shares: links are as many as shared windows, never all pairs of a group.
@@ -50,17 +50,29 @@ def line_keys(text: str | None) -> tuple[list[int], list[int], list[int]]:
 
 
 def windows(sizes: list[int], min_words: int) -> list[tuple[int, int]]:
-    """[start, end) of the shortest run from each line that has ``min_words`` words."""
-    out, end, total = [], 0, 0
+    """[start, end) of the shortest runs with ``min_words`` words from each line and up to each line.
+
+    Any longer run is the union of such windows inside it: a line too near to its end for a window of its own lies in
+    the window that ends there.
+    """
+    out, end, total = set(), 0, 0
     for start in range(len(sizes)):
         while end < len(sizes) and total < min_words:
             total += sizes[end]
             end += 1
         if total < min_words:
             break
-        out.append((start, end))
+        out.add((start, end))
         total -= sizes[start]
-    return out
+    start, total = 0, 0
+    for end in range(len(sizes)):
+        total += sizes[end]
+        while total - sizes[start] >= min_words:
+            total -= sizes[start]
+            start += 1
+        if total >= min_words:
+            out.add((start, end + 1))
+    return sorted(out)
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
