@@ -1,8 +1,8 @@
 """Scalar column functions.
 
 All functions return ``pyspark.sql.Column`` built only from built-in
-expressions, so they stay inside whole-stage code generation (the
-title-case lambda is a JVM higher-order function, still no Python).
+expressions, on the JVM without Python.  All but the general case
+of title-casing (an interpreted higher-order function) take part in code generation.
 """
 
 from __future__ import annotations
@@ -16,14 +16,31 @@ __all__ = [
     "present", "safe_int", "title_case", "conversion_rate", "region_of", "REGIONS",
     "response_label", "response_weight", "parse_date", "DATE_FORMATS", "clean_response",
     "numeric_prefix", "vcard_escape", "vcard_card", "client_contact_label",
-    "is_registered", "col_of",
+    "is_registered", "col_of", "strip", "round2", "WHITESPACE", "WS_CLASS",
 ]
 
+# The characters that Python's str.strip() removes and its \\s matches.
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+              "\u200a\u2028\u2029\u202f\u205f\u3000")
+#: The same set as a regular-expression class.
+WS_CLASS = (r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+
 
 def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c: str | Column) -> Column:
+    """Python ``str.strip()``: all Unicode white space, not blanks alone."""
+    return F.btrim(col_of(c), F.lit(WHITESPACE))
+
+
+def round2(c: Column) -> Column:
+    """Two decimals, ties to even (``rint(x * 100) / 100``; Python's ``round`` looks at the binary value instead, which
+    differs by 0.01 where a third decimal 5 has no exact binary form)."""
+    return F.bround(c * F.lit(100.0), 0) / F.lit(100.0)
+
+
 # ---------------------------------------------------------------- predicates
 def present(c: str | Column) -> Column:
     """A phone is present when it is non-NULL and not the empty string (no trim)."""
@@ -58,8 +75,8 @@ def numeric_prefix(c: str | Column) -> Column:
 
 
 def conversion_rate(registrations: Column, invitees: Column) -> Column:
-    """``round(reg / inv * 100, 2)``; 0 when inv <= 0."""
-    return F.when(invitees > 0, F.round(registrations / invitees * F.lit(100.0), 2)).otherwise(F.lit(0.0))
+    """``round(reg / inv * 100, 2)``, ties to even; 0 when inv <= 0."""
+    return F.when(invitees > 0, round2(registrations / invitees * F.lit(100.0))).otherwise(F.lit(0.0))
 
 
 # ---------------------------------------------------------------- text
@@ -69,7 +86,7 @@ def title_case(c: str | Column) -> Column:
     Letters-and-spaces values (most names) take the native ``initcap`` fast path, which agrees
     with ``title()`` there; anything else is split into letter / non-letter runs.
     """
-    t = F.trim(col_of(c))
+    t = strip(c)
     runs = F.regexp_extract_all(t, F.lit(r"(\p{L}+|[^\p{L}]+)"), 0)
     general = F.array_join(
         F.transform(runs, lambda x: F.concat(F.upper(F.left(x, F.lit(1))), F.lower(F.substring(x, 2, 1 << 30)))),
@@ -80,18 +97,19 @@ def title_case(c: str | Column) -> Column:
 
 def clean_response(c: str | Column) -> Column:
     """F8: ``lower(trim(x))``."""
-    return F.lower(F.trim(col_of(c)))
+    return F.lower(strip(c))
 
 
 def response_label(c: str | Column) -> Column:
     """title-case, then drop a leading ``<digits><space>`` prefix when text follows."""
     t = title_case(c)
-    return F.when(t.rlike(r"^[0-9]+\s+.+$"), F.regexp_extract(t, r"^[0-9]+\s+(.+)$", 1)).otherwise(t)
+    pattern = rf"^[0-9]+{WS_CLASS}+([^\n]+)$"
+    return F.when(t.rlike(pattern), F.regexp_extract(t, pattern, 1)).otherwise(t)
 
 
 def response_weight(c: str | Column) -> Column:
     """leading integer followed by whitespace, else 1 (NULL -> 1)."""
-    digits = F.regexp_extract(F.trim(col_of(c)), r"^([0-9]+)\s+", 1)
+    digits = F.regexp_extract(strip(c), rf"^([0-9]+){WS_CLASS}+", 1)
     return F.coalesce(F.nullif(digits, F.lit("")).try_cast("bigint"), F.lit(1).cast("bigint"))
 
 
@@ -120,7 +138,7 @@ def region_pattern(cities: Sequence[str]) -> str:
 def region_of(c: str | Column, regions=REGIONS) -> Column:
     """ordered case-insensitive substring match of a location to a region."""
     c = col_of(c)
-    low = F.lower(F.trim(c))
+    low = F.lower(strip(c))
     expr = None
     for name, cities in regions:
         cond = low.rlike(region_pattern(cities))
@@ -129,23 +147,24 @@ def region_of(c: str | Column, regions=REGIONS) -> Column:
 
 
 # ---------------------------------------------------------------- dates
-# Declared formats tried in order (unparseable -> NULL, as errors='coerce').
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "dd-MM-yyyy")
+# Declared formats tried in order, month first before day first (unparseable -> NULL, as errors='coerce').
+DATE_FORMATS = ("yyyy-M-d", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d'T'H:m:s.SSS", "yyyy/M/d", "M/d/yyyy", "M-d-yyyy", "d/M/yyyy",
+                "d-M-yyyy", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "yyyyMMdd")
 
 
 def parse_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """tolerant text -> date."""
-    c = F.trim(col_of(c))
+    """tolerant text -> date; month names in any case."""
+    c = F.initcap(F.lower(strip(c)))
+    c = F.regexp_replace(c, "(?<=[0-9])t(?=[0-9])", "T")  # ISO separator, lowered above
+    c = F.when(c.rlike("^[0-9]{1,2}-[a-z]{3}-[0-9]{4}$"), F.concat_ws("-", F.split(c, "-")[0], F.initcap(F.split(c, "-")[1]), F.split(c, "-")[2])).otherwise(c)
     return F.to_date(F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]))
 
 
 # ---------------------------------------------------------------- contact cards
-_WS = " \t\n\r\x0b\x0c"
-
 def vcard_escape(c: str | Column) -> Column:
     """strip surrounding whitespace (as Python ``str.strip``), then escape backslash,
     comma, semicolon, newline (literal replacements)."""
-    t = F.btrim(col_of(c), F.lit(_WS))
+    t = strip(c)
     for a, b in (("\\", "\\\\"), (",", "\\,"), (";", "\\;"), ("\n", "\\n")):
         t = F.replace(t, F.lit(a), F.lit(b))
     return F.coalesce(t, F.lit(""))
@@ -168,6 +187,7 @@ def vcard_card(name: str | Column, designation: str | Column, client: str | Colu
     last = F.when(_truthy(client), vcard_escape(client)).otherwise(F.lit("Company"))
     tel = vcard_escape(phone)
     mail = vcard_escape(email)
+    # The lines of the vCard 3.0 format.
     return F.concat_ws(
         "\n",
         F.lit("BEGIN:VCARD"),

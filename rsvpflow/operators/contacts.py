@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rsvpflow.functions.scalars import present, response_label, response_weight, title_case
@@ -20,7 +20,7 @@ from rsvpflow.roles import (ANALYSIS_FIELDS, CLIENT_ATTRS, CONTACT_COLS, DETAILS
                               derived_name)
 
 __all__ = ["fan_out", "role_view", "trigger_events", "apply_changes_by_phone", "standardize_master", "standardize_contacts", "rebuild_contacts",
-           "unique_contacts", "apply_changes", "apply_insert", "apply_update", "apply_delete",
+           "unique_contacts", "apply_changes", "applied_seq", "apply_insert", "apply_update", "apply_delete",
            "cascade_delete", "cascade_rename", "orphans", "MASTER_TITLE_COLS"]
 
 # Master columns the dashboard title-cases.
@@ -31,19 +31,17 @@ def fan_out(master: DataFrame, roles: Sequence[str] = ROLE_ORDER, client_col: st
             key_col: str = "id", carry: Sequence[str] = ()) -> DataFrame:
     """The three repeated contact groups -> one long table, present phones only.
 
-    One scan, no shuffle: each master row becomes an array of role structs that is
-    filtered for a present phone *before* ``explode``, so absent contacts never
-    materialise.
+    One scan, no shuffle: each master row becomes an array of role structs; ``explode`` and the filter for a present
+    phone run in one generated stage.
     """
     structs = []
     for r in roles:
         spec = ROLES[r]
         structs.append(F.struct(F.lit(r).alias("role"),
                                 *[F.col(src).alias(dst) for dst, src in spec.master_cols().items()]))
-    per_row = F.filter(F.array(*structs), lambda s: present(s["phone"]))
     exploded = master.select(F.col(key_col).alias("id"), F.col(client_col).alias("client"),
                              *[F.col(c) for c in CLIENT_ATTRS], *[F.col(c) for c in carry],
-                             F.explode(per_row).alias("__c"))
+                             F.explode(F.array(*structs)).alias("__c")).filter(present("__c.phone"))
     return exploded.select(
         *[F.col(f"__c.{c}").alias(c) if c in ("role", "name", "designation", "email", "phone", "location",
                                               "contact_response") else F.col(c) for c in CONTACT_COLS],
@@ -92,15 +90,16 @@ def standardize_contacts(contacts: DataFrame) -> DataFrame:
 
 
 def unique_contacts(contacts: DataFrame, policy: str = "phone", keep: str = "first",
-                    seq: str = "id") -> DataFrame:
+                    seq: str = "id", unique_seq: bool = True) -> DataFrame:
     """M9: apply a uniqueness policy to the long table.
 
     ``policy="phone"`` -> UNIQUE(role, phone); ``"phone_client"`` -> UNIQUE(role, phone, client).
     ``keep="first"`` models ``INSERT IGNORE`` (M5a), ``"last"`` ``ON DUPLICATE KEY UPDATE`` (M5b).
-    A NULL client never collides (UNIQUE admits many NULLs).
+    A NULL client never collides (UNIQUE admits many NULLs).  ``seq`` is unique per role in a fan-out; pass
+    ``unique_seq=False`` for tables where it is not, and ties go by a hash of the whole row.
     """
     key = ["role", "phone"] if policy == "phone" else ["role", "phone", "client"]
-    return keep_per_key(contacts, key, seq, keep)
+    return keep_per_key(contacts, key, seq, keep, unique_seq=unique_seq)
 
 
 def rebuild_contacts(master: DataFrame, roles: Sequence[str] = ROLE_ORDER) -> DataFrame:
@@ -113,7 +112,15 @@ def _latest_change(changes: DataFrame) -> DataFrame:
     return keep_per_key(changes, "id", "seq", "last", null_safe=True)
 
 
-def apply_changes(contacts: DataFrame, changes: DataFrame, roles: Sequence[str] = ROLE_ORDER) -> DataFrame:
+def applied_seq(applied: DataFrame | None, changes: DataFrame) -> DataFrame:
+    """(id, seq): the largest event applied to each id so far, deleted ids included."""
+    new = changes.select("id", "seq")
+    both = new if applied is None else applied.select("id", "seq").unionByName(new)
+    return both.groupBy("id").agg(F.max("seq").alias("seq"))
+
+
+def apply_changes(contacts: DataFrame, changes: DataFrame, roles: Sequence[str] = ROLE_ORDER,
+                  applied: DataFrame | None = None) -> DataFrame:
     """K3 / M5–M7 (fixed behaviour): apply a change feed ``(seq, op, id, old, new)`` to the
     long contacts table keyed by (role, id).
 
@@ -123,11 +130,18 @@ def apply_changes(contacts: DataFrame, changes: DataFrame, roles: Sequence[str]
     the full rebuild, which the reference's triggers do not guarantee (a phone that
     *appears* is never inserted there, see ``apply_update``).
 
+    ``applied`` (see ``applied_seq``) names the event last applied to each id, deletes included: events that are not
+    newer are dropped, so batches may arrive in any order.
+
     The fold shuffles only the change batch (partial ``WindowGroupLimit`` first) and is
     checkpointed once; its id set is broadcast to the anti join when its size checks out, so
     the large contacts table is not shuffled; a huge batch falls back to a shuffled anti join.
     """
-    last = materialized(_latest_change(changes))  # the folded batch, computed once
+    last = _latest_change(changes.select("seq", "op", "id", "new"))
+    if applied is not None:
+        seen = applied.select(F.col("id").alias("__id"), F.col("seq").alias("__seq"))
+        last = last.join(seen, F.col("id") == F.col("__id"), "left").filter(F.col("__seq").isNull() | (F.col("seq") > F.col("__seq"))).drop("__id", "__seq")
+    last = materialized(last)  # the folded batch, computed once
     touched = last.select("id")
     kept = key_join(contacts, touched, "id", "left_anti", materialize=False)
     new_rows = last.filter(F.col("op") != "D").select("new.*")
@@ -152,24 +166,41 @@ def apply_insert(contacts: DataFrame, changes: DataFrame, policy: str = "phone",
     keep="last"  -> ``ON DUPLICATE KEY UPDATE`` (latest seq wins, existing row overwritten).
     ``overwrite_client=False`` (the duplicate-fix trigger) updates every field except the
     client name, which stays the one first stored under the key.
+
+    Nothing is ever deleted: the batch is folded by key, rows of the table change in place or not at all, and keys the
+    table lacks are appended.  The table itself is not shuffled while the folded batch passes the size check.
     """
     ins = changes.filter(F.col("op") == "I")
     new = fan_out(ins.select("seq", "new.*"), roles, carry=("seq",))
     key = ["role", "phone"] if policy == "phone" else ["role", "phone", "client"]
-    cur = contacts.withColumn("seq", F.lit(None).cast("bigint"))
-    both = cur.unionByName(new)
-    if keep == "last" and not overwrite_client and "client" not in key:
+    cols = contacts.columns
+    keep_client = keep == "last" and not overwrite_client and "client" not in key
+    if keep_client:
         # one partial aggregation per key: last full row and first client (skew-safe: map-side)
-        s = F.coalesce(F.col("seq"), F.lit(-1).cast("bigint"))
-        row = F.struct(*[F.col(c) for c in contacts.columns])
-        g = both.groupBy(*key).agg(F.max_by(row, s).alias("__last"), F.min_by(F.col("client"), s).alias("__c"))
-        return g.select(*[F.col("__c").alias(c) if c == "client" else F.col(f"__last.{c}").alias(c)
-                          for c in contacts.columns])
+        g = new.groupBy(*key).agg(F.max_by(F.struct(*cols), F.col("seq")).alias("__last"), F.min_by(F.struct("client"), F.col("seq")).alias("__c"))
+        fold = g.select(*[F.col("__c.client").alias(c) if c == "client" else F.col(f"__last.{c}").alias(c) for c in cols])
+    else:
+        fold = keep_per_key(new, key, "seq", keep).select(*cols)
+    fold = materialized(fold)
+    names = {k: f"__k_{k}" for k in key}
+    on = [F.col(k) == F.col(names[k]) for k in key]  # a NULL client equals nothing, as in a UNIQUE key
+    taken = key_join(contacts.select(*key), fold.select(*[F.col(k).alias(names[k]) for k in key]), _all(on), "left_semi",
+                     materialize=False).distinct()
+    fresh = fold.join(taken.select(*[F.col(k).alias(names[k]) for k in key]), _all(on), "left_anti")
     if keep == "first":
-        # existing rows carry seq NULL and sort first
-        return keep_per_key(both, key, "seq", "first").drop("seq")
-    return keep_per_key(both.withColumn("seq", F.coalesce("seq", F.lit(-1).cast("bigint"))),
-                        key, "seq", "last").drop("seq")
+        return contacts.unionByName(fresh)
+    setcols = [c for c in cols if c not in key and not (keep_client and c == "client")]
+    hit = fold.select(*[F.col(k).alias(names[k]) for k in key], *[F.col(c).alias(f"__n_{c}") for c in setcols], F.lit(True).alias("__hit"))
+    j = key_join(contacts, hit, _all(on), "left", materialize=False)
+    changed = j.select(*[F.when(F.col("__hit"), F.col(f"__n_{c}")).otherwise(F.col(c)).alias(c) if c in setcols else F.col(c) for c in cols])
+    return changed.unionByName(fresh)
+
+
+def _all(conds: Sequence) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
 
 
 def apply_update(contacts: DataFrame, changes: DataFrame, version: str = "v1",
@@ -263,38 +294,63 @@ def apply_changes_by_phone(contacts: DataFrame, changes: DataFrame, roles: Seque
 
     Events are folded per key (last by ``(seq, ord)``; partial ``WindowGroupLimit`` before the
     shuffle), touched keys are anti-joined away (size-checked broadcast), surviving upserts are
-    appended.  Fixed mode compares keys NULL-safely.  In strict mode NULL-client rows never
-    collide (plain inserts, never deleted) and ``X`` updates overwrite, for the latest ``X`` per
-    (role, phone), every row with that phone written before it (a duplicate (phone, client)
-    that MySQL would reject is kept).
+    appended.  Fixed mode compares keys NULL-safely; strict mode see ``_apply_strict``.
     """
     ev = trigger_events(changes, roles, strict_reference)
-    cols = list(CONTACT_COLS)
-    du = ev.filter(F.col("kind").isin("D", "U"))
     if strict_reference:
-        keyed = du.filter(F.col("client").isNotNull())
-        loose = du.filter((F.col("kind") == "U") & F.col("client").isNull())
-    else:
-        keyed, loose = du, None
-    last = materialized(keep_per_key(keyed, ["role", "phone", "client"], ["seq", "ord"], "last", null_safe=True))
+        return _apply_strict(contacts, ev)
+    cols = list(CONTACT_COLS)
+    last = materialized(keep_per_key(ev, ["role", "phone", "client"], ["seq", "ord"], "last", null_safe=True))
     keys = last.select(F.col("role").alias("__r"), F.col("phone").alias("__p"), F.col("client").alias("__c"))
     cond = ((F.col("role") == F.col("__r")) & (F.col("phone") == F.col("__p"))
             & F.col("client").eqNullSafe(F.col("__c")))
-    kept = key_join(contacts.select(*cols), keys, cond, "left_anti", materialize=False).withColumn("__seq", F.lit(None).cast("bigint"))
-    ins = last.filter(F.col("kind") == "U").select(*cols, F.col("seq").alias("__seq"))
-    if loose is not None:
-        ins = ins.unionByName(loose.select(*cols, F.col("seq").alias("__seq")))
-    res = kept.unionByName(ins)
-    if strict_reference:
-        xl = keep_per_key(ev.filter(F.col("kind") == "X"), ["role", "phone"], "seq", "last", null_safe=True)
-        xs = xl.select(F.col("role").alias("__xr"), F.col("phone").alias("__xp"), F.col("seq").alias("__xs"),
-                       *[F.col(c).alias(f"__x_{c}") for c in cols if c not in ("role", "phone")])
-        # X updates per phone: broadcast when the size checks out, so a hot phone is not shuffled
-        j = key_join(res, xs, (F.col("role") == F.col("__xr")) & (F.col("phone") == F.col("__xp")), "left")
-        hit = F.col("__xs").isNotNull() & (F.coalesce(F.col("__seq"), F.lit(-1).cast("bigint")) < F.col("__xs"))
-        res = j.select(*[F.when(hit, F.col(f"__x_{c}")).otherwise(F.col(c)).alias(c) if c not in ("role", "phone")
-                         else F.col(c) for c in cols], F.col("__seq"))
-    return res.drop("__seq")
+    kept = key_join(contacts.select(*cols), keys, cond, "left_anti", materialize=False)
+    return kept.unionByName(last.filter(F.col("kind") == "U").select(*cols))
+
+
+def _apply_strict(contacts: DataFrame, ev: DataFrame) -> DataFrame:
+    """Strict trigger mode: ``X`` rewrites the client of every row that has its phone at that moment.
+
+    All events of a phone concern its own rows only, so each (role, phone) history is cut into segments that an ``X``
+    opens.  Inside a segment deletes and upserts fold per client as usual (a NULL client never collides: its upserts
+    are inserts, its deletes match nothing).  Rows of a phone become one row at an ``X`` (UNIQUE(phone, client) allows
+    no more).  Whether there is a row when the last ``X`` comes follows from the last segment before it that decides:
+    one that leaves an upserted client alive, or one that deletes the client which its opening ``X`` had set.
+
+    The segment number is a running count over a phone's events, so one phone's events of a batch are sorted together
+    (they spill, but are not dealt over tasks); the fixed mode has no such step.
+    """
+    cols, rp = list(CONTACT_COLS), ["role", "phone"]
+    opens = F.sum((F.col("kind") == "X").cast("int")).over(Window.partitionBy(*rp).orderBy("seq", "ord"))
+    e = materialized(ev.withColumn("seg", opens))
+    final = e.groupBy(*rp).agg(F.max("seg").alias("last_seg"))
+    fold = keep_per_key(e.filter(F.col("kind").isin("D", "U") & F.col("client").isNotNull()), [*rp, "seg", "client"], ["seq", "ord"],
+                        "last", null_safe=True)
+    fold = fold.select(*cols, "seg", "kind")
+    loose = e.filter((F.col("kind") == "U") & F.col("client").isNull()).select(*cols, "seg", "kind")
+    xs = e.filter(F.col("kind") == "X")
+
+    key0 = fold.filter("seg = 0").select(*[F.col(c).alias(f"__{c}") for c in (*rp, "client")])
+    same0 = (F.col("role") == F.col("__role")) & (F.col("phone") == F.col("__phone")) & (F.col("client") == F.col("__client"))
+    stored = key_join(contacts.select(*cols), key0, same0, "left_anti")
+    moved = final.filter("last_seg > 0").select(*rp)
+
+    # what each segment decides: 1 a row is there, 0 none, NULL as before
+    wrote = fold.unionByName(loose).groupBy(*rp, "seg").agg(F.max((F.col("kind") == "U").cast("int")).alias("put"))
+    x_key = xs.select(*rp, "seg", "client")
+    gone = x_key.join(fold.filter("kind = 'D'").select(*rp, "seg", "client"), [*rp, "seg", "client"], "left_semi").select(*rp, "seg", F.lit(0).alias("d"))
+    # phones in use at the start are semi joined with the few that an X touches
+    begin = (stored.select(*rp).join(moved, rp, "left_semi").distinct().select(*rp, F.lit(0).alias("seg"), F.lit(1).alias("d")))
+    votes = (wrote.filter("put = 1").select(*rp, "seg", F.lit(1).alias("d")).unionByName(gone).unionByName(begin)
+             .groupBy(*rp, "seg").agg(F.max("d").alias("d")))
+    alive = (votes.join(final, rp).filter("seg < last_seg").groupBy(*rp).agg(F.max_by("d", "seg").alias("d")).filter("d = 1").select(*rp))
+
+    touched = fold.select(*rp, "seg", "client")
+    carried = (xs.join(final, rp).filter("seg = last_seg").join(alive, rp, "left_semi")
+               .join(touched, [*rp, "seg", "client"], "left_anti").select(*cols))
+    put = fold.filter("kind = 'U'").unionByName(loose).join(final, rp).filter("seg = last_seg").select(*cols)
+    untouched = stored.join(moved, rp, "left_anti").select(*cols)
+    return untouched.unionByName(put).unionByName(carried)
 
 
 def cascade_delete(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:
@@ -304,9 +360,12 @@ def cascade_delete(children: DataFrame, parents: DataFrame, child_key: str, pare
 
 
 def cascade_rename(children: DataFrame, renames: DataFrame, child_key: str, old_col: str = "old_key",
-                   new_col: str = "new_key") -> DataFrame:
+                   new_col: str = "new_key", seq: str | None = None) -> DataFrame:
     """J6 ``ON UPDATE CASCADE``: rewrite a child's parent key through a rename map."""
-    r = renames.select(F.col(old_col).alias("__old"), F.col(new_col).alias("__new"))
+    # one rename per key, the last by ``seq`` (or the largest new key): the map never multiplies children
+    order = F.struct(F.col(seq), F.col(new_col)) if seq else F.col(new_col)
+    r = (renames.filter(F.col(old_col).isNotNull()).groupBy(F.col(old_col).alias("__old"))
+         .agg(F.max_by(F.col(new_col), order).alias("__new")))
     j = children.join(r, F.col(child_key) == F.col("__old"), "left")
     return j.select(*[F.when(F.col("__old").isNotNull(), F.col("__new")).otherwise(F.col(c)).alias(c)
                       if c == child_key else F.col(c) for c in children.columns])

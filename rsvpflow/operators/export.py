@@ -8,11 +8,13 @@ keyed by a batch id so a rerun of the same batch overwrites instead of duplicati
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rsvpflow.functions.scalars import numeric_prefix, present, vcard_card
-from rsvpflow.operators.joins import key_join
+from rsvpflow.operators.joins import key_join, materialized
 from rsvpflow.sources.sinks import write_cards
 
 __all__ = ["LEDGER_SCHEMA", "eligible_contacts", "contact_cards", "mark_exported", "export_cards",
@@ -54,20 +56,22 @@ def mark_exported(details: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def export_cards(spark: SparkSession, details: DataFrame, ledger_path: str, out_path: str, batch_id: str,
                  batch_ts: Column | None = None) -> DataFrame:
-    """K6: export job.  Writes cards (sorted by client, contact inside each role folder) and
-    appends the exported keys to the ledger folder ``batch_id=<id>`` (overwritten as a
-    whole -> rerunning a batch is idempotent).  Returns the ledger rows of this batch."""
+    """K6: export job.  Writes the cards of a batch to ``<out>/batch_id=<id>/role=<role>`` (sorted by client,
+    contact inside each role folder), then its keys to ``<ledger>/batch_id=<id>``.  Other batches' folders are never
+    touched, and a rerun replaces its own, so it is idempotent.  Eligibility is worked out once and staged; cards and
+    ledger come from the same rows.  Returns the ledger rows of this batch."""
     from rsvpflow.plans.jobs import _path_exists
-    ledger = spark.read.parquet(ledger_path) if _path_exists(spark, ledger_path) else empty_ledger(spark)
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch_id):
+        raise ValueError(f"batch id {batch_id!r}: letters, digits, '_', '.' and '-' only (it names a folder)")
+    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path) if _path_exists(spark, ledger_path) else empty_ledger(spark)
     ledger = ledger.filter(F.col("batch_id") != batch_id)  # a rerun replaces its own batch
-    elig = eligible_contacts(details, ledger)
+    elig = materialized(eligible_contacts(details, ledger).select("role", "id", "client", "name", "phone", "designation", "email"))
     cards = contact_cards(elig)
     # range partitioning on the sort key: balanced tasks (a role may hold a third of all cards),
     # each task's output sorted (O1); the writer splits it into role folders
     order = ["role", "client", "name", "phone"]
-    write_cards(cards.repartitionByRange(*order).sortWithinPartitions(*order), out_path)
+    write_cards(cards.repartitionByRange(*order).sortWithinPartitions(*order), f"{out_path.rstrip('/')}/batch_id={batch_id}")
     ts = batch_ts if batch_ts is not None else F.current_timestamp()
     new = elig.select("role", "phone", ts.cast("timestamp_ntz").alias("exported_at"))
-    # one folder per batch: the plan above prunes this partition, so it never reads what it overwrites
     new.write.mode("overwrite").parquet(f"{ledger_path.rstrip('/')}/batch_id={batch_id}")
-    return spark.read.parquet(ledger_path).filter(F.col("batch_id") == batch_id)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path).filter(F.col("batch_id") == batch_id)

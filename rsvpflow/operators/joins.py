@@ -1,9 +1,9 @@
 """Size-checked joins against key sets.
 
 A semi / anti join of a large table against a key set is broadcast only after the
-key set's size is *checked* (a bounded ``limit(n+1).count()`` over the key set,
-checkpointed once into the shared checkpoint folder); beyond the bound it falls back to a shuffled join, where AQE's skew-join
-handling splits hot keys.  Broadcasting avoids shuffling the large side at all —
+key set's size is *checked*: rows and bytes are observed by the job that checkpoints the key set into the shared folder
+(no extra pass, no single task); beyond the bound it falls back to a shuffled join, where AQE's skew-join handling
+splits hot keys.  Broadcasting avoids shuffling the large side at all —
 important when the join key is low-cardinality (a handful of practice heads would
 otherwise send a fifth of all rows to one reducer each).
 """
@@ -12,30 +12,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rsvpflow.session import checkpoint_root
 
-__all__ = ["BROADCAST_MAX_ROWS_CONF", "fits_broadcast", "key_join", "materialized"]
+__all__ = ["BROADCAST_MAX_ROWS_CONF", "BROADCAST_MAX_BYTES_CONF", "fits_broadcast", "key_join", "materialized"]
 
 BROADCAST_MAX_ROWS_CONF = "rsvpflow.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES_CONF = "rsvpflow.broadcast.maxBytes"
+DEFAULT_MAX_BYTES = 64 << 20
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row: its texts and 16 bytes for every column."""
+    total = F.lit(16 * len(df.columns)).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+    return total
 
 
 def fits_broadcast(keys: DataFrame, max_rows: int | None = None, materialize: bool = True
                    ) -> tuple[DataFrame, bool]:
-    """Checkpoint ``keys`` and check that it has at most ``max_rows`` rows.
+    """Checkpoint ``keys`` and check that it is within the row and byte bounds.
 
-    Returns the checkpointed frame and the verdict.  The check reads at most
-    ``max_rows + 1`` rows of the key set; nothing is collected to the driver.
+    Returns the checkpointed frame and the verdict.  Rows and bytes are observed while the key set is written (or,
+    for one that is written already, in a pass that keeps nothing); only the two numbers reach the driver.
     """
+    conf = keys.sparkSession.conf
     if max_rows is None:
-        max_rows = int(keys.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
-    # a reliable checkpoint in the shared folder: computed once, lineage cut, no cache entry
-    kept = materialized(keys) if materialize else keys
-    n = kept.limit(max_rows + 1).count()
-    return kept, n <= max_rows
+        max_rows = int(conf.get(BROADCAST_MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
+    max_bytes = int(conf.get(BROADCAST_MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES)))
+    seen = Observation()
+    watched = keys.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(keys)).alias("bytes"))
+    if materialize:
+        kept = materialized(watched)
+    else:
+        kept = keys
+        watched.write.format("noop").mode("overwrite").save()
+    got = seen.get
+    return kept, got["n"] <= max_rows and (got["bytes"] or 0) <= max_bytes
 
 
 def materialized(df: DataFrame) -> DataFrame:

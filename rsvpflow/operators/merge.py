@@ -42,20 +42,20 @@ def _nonnull(keys: list[str]) -> Column:
 
 
 def ranked_per_key(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[str], keep: str = "first",
-                   case_insensitive: bool = False) -> DataFrame:
+                   case_insensitive: bool = False, unique_seq: bool = False) -> DataFrame:
     """First (or last) row per key by ``seq`` among rows with a non-NULL key; ties broken by
-    a full-row hash.  The result stays hash-partitioned by the key, so a following join on
+    a full-row hash (left out, so that columns can be pruned, where ``unique_seq`` says there are none).  The result stays hash-partitioned by the key, so a following join on
     the same key adds no exchange."""
     keys = _keys(key)
     seqs = _keys(seq)
     order = [F.col(s).asc_nulls_first() if keep == "first" else F.col(s).desc_nulls_last() for s in seqs]
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    w = Window.partitionBy(*[_key_expr(k, case_insensitive) for k in keys]).orderBy(*order, tie)
+    tie = [] if unique_seq else [F.xxhash64(*[F.col(c) for c in df.columns])]
+    w = Window.partitionBy(*[_key_expr(k, case_insensitive) for k in keys]).orderBy(*order, *tie)
     return df.filter(_nonnull(keys)).withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
 def keep_per_key(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[str], keep: str = "first",
-                 case_insensitive: bool = False, null_safe: bool = False) -> DataFrame:
+                 case_insensitive: bool = False, null_safe: bool = False, unique_seq: bool = False) -> DataFrame:
     """First (or last) row per key by ``seq``; ties broken by a full-row hash.
 
     With ``null_safe=False`` rows with a NULL key are all kept (UNIQUE semantics);
@@ -65,26 +65,30 @@ def keep_per_key(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[st
     if null_safe:
         seqs = _keys(seq)
         order = [F.col(s).asc_nulls_first() if keep == "first" else F.col(s).desc_nulls_last() for s in seqs]
-        tie = F.xxhash64(*[F.col(c) for c in df.columns])
-        w = Window.partitionBy(*[_key_expr(k, case_insensitive) for k in keys]).orderBy(*order, tie)
+        tie = [] if unique_seq else [F.xxhash64(*[F.col(c) for c in df.columns])]
+        w = Window.partitionBy(*[_key_expr(k, case_insensitive) for k in keys]).orderBy(*order, *tie)
         return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-    ranked = ranked_per_key(df, keys, seq, keep, case_insensitive)
+    ranked = ranked_per_key(df, keys, seq, keep, case_insensitive, unique_seq)
     return ranked.unionByName(df.filter(~_nonnull(keys)))
 
 
-def insert_new_only(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
-                    case_insensitive: bool = False) -> DataFrame:
-    """M1 (``INSERT IGNORE``): first source row per key wins, existing target rows win over
-    incoming ones, NULL-key source rows are always inserted."""
+def new_rows(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
+             case_insensitive: bool = False) -> DataFrame:
+    """The source rows that ``INSERT IGNORE`` would add: the first per key that the target lacks, and NULL keys."""
     keys = _keys(key)
-    src = ranked_per_key(source, keys, seq, "first", case_insensitive)
     nn = _nonnull(keys)
+    src = ranked_per_key(source, keys, seq, "first", case_insensitive)
     tkeys = target.filter(nn).select(*[_key_expr(k, case_insensitive).alias(f"__k{i}")
                                        for i, k in enumerate(keys)])
     cond = [_key_expr(k, case_insensitive) == F.col(f"__k{i}") for i, k in enumerate(keys)]
-    new = src.join(tkeys, cond, "left_anti")
-    return target.unionByName(new, allowMissingColumns=True).unionByName(
-        source.filter(~nn), allowMissingColumns=True)
+    return src.join(tkeys, cond, "left_anti").unionByName(source.filter(~nn))
+
+
+def insert_new_only(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
+                    case_insensitive: bool = False) -> DataFrame:
+    """M1 (``INSERT IGNORE``): first source row per key wins, existing target rows win over
+    incoming ones, NULL-key source rows are always inserted."""
+    return target.unionByName(new_rows(target, source, key, seq, case_insensitive), allowMissingColumns=True)
 
 
 def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,

@@ -57,7 +57,8 @@ def duplicate_phones_top(contacts: DataFrame, n_phones: int = 20, n_people: int
     sel = people.join(F.broadcast(top.select("role", "phone")), ["role", "phone"], "left_semi")
     wp = Window.partitionBy("role", "phone").orderBy("person")
     first = sel.withColumn("person_rank", F.row_number().over(wp)).filter(F.col("person_rank") <= n_people)
-    return (first.join(F.broadcast(top), ["role", "phone"])
+    # every ranked phone stays, with a NULL person when nobody is labelled; both sides are bounded by the report
+    return (top.join(first, ["role", "phone"], "left")
                  .select("role", "phone_rank", "phone", "dup_count", "person_rank", "person",
                          F.greatest(F.col("labelled") - F.lit(n_people), F.lit(0)).cast("bigint").alias("more")))
 
@@ -72,25 +73,32 @@ def _role_counts(df: DataFrame, name: str) -> DataFrame:
 
 
 def reconcile_counts(expected: DataFrame, derived: DataFrame) -> DataFrame:
-    """Per role — eligible in master, present in derived, missing, in-sync flag."""
+    """Per role and in total (role ``total``) — eligible in master, present in derived, missing, in-sync flag."""
     e = _role_counts(expected, "master_n")
     d = _role_counts(derived, "derived_n")
     j = e.join(d, "role", "full_outer")
     mn = F.coalesce("master_n", F.lit(0).cast("bigint"))
     dn = F.coalesce("derived_n", F.lit(0).cast("bigint"))
-    return j.select("role", mn.alias("master_n"), dn.alias("derived_n"), (mn - dn).alias("missing"),
-                    (mn == dn).alias("in_sync"))
+    per = j.select("role", mn.alias("master_n"), dn.alias("derived_n"))
+    total = per.agg(F.sum("master_n").alias("master_n"), F.sum("derived_n").alias("derived_n"))
+    both = per.unionByName(total.select(F.lit("total").alias("role"), F.coalesce("master_n", F.lit(0).cast("bigint")).alias("master_n"),
+                                        F.coalesce("derived_n", F.lit(0).cast("bigint")).alias("derived_n")))
+    return both.select("*", (F.col("master_n") - F.col("derived_n")).alias("missing"),
+                       (F.col("master_n") == F.col("derived_n")).alias("in_sync"))
 
 
 def reconcile_rows(expected: DataFrame, derived: DataFrame, key=("role", "id", "phone")) -> DataFrame:
-    """A17 row level: contacts missing from the derived table and rows the master no longer backs
-    (counts alone can cancel out).  One full outer join on the key (keys are unique per row)."""
+    """A17 row level: contacts missing from the derived table, rows the master no longer backs and rows whose
+    other values differ (counts alone can cancel out).  One full outer join on the key (keys are unique per row);
+    the other columns travel as one hash."""
     key = list(key)
-    e = expected.select(*key, F.lit(True).alias("__e"))
-    d = derived.select(*key, F.lit(True).alias("__d"))
+    rest = [c for c in expected.columns if c not in key and c in derived.columns]
+    e = expected.select(*key, F.xxhash64(*rest).alias("__e"))
+    d = derived.select(*key, F.xxhash64(*rest).alias("__d"))
     # one full outer join classifies both directions (each side shuffled once)
-    j = e.join(d, key, "full_outer").filter(F.col("__e").isNull() | F.col("__d").isNull())
-    side = F.when(F.col("__d").isNull(), "missing_in_derived").otherwise("extra_in_derived")
+    j = e.join(d, key, "full_outer").filter(~F.col("__e").eqNullSafe(F.col("__d")))
+    side = (F.when(F.col("__d").isNull(), "missing_in_derived").when(F.col("__e").isNull(), "extra_in_derived")
+            .otherwise("changed"))
     return j.select(*key, side.alias("side"))
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rsvpflow.functions.scalars import (clean_response, conversion_rate, is_registered, parse_date,
+from rsvpflow.functions.scalars import (clean_response, conversion_rate, is_registered, parse_date, round2,
                                           region_of, safe_int)
 
 __all__ = ["overview", "response_weights", "sector_performance", "region_counts", "owner_stats",
@@ -24,7 +24,7 @@ OWNERS = ("Practice_Head", "Partner")
 
 
 def _rate(num: Column, den: Column) -> Column:
-    return F.when(den > 0, F.round(num / den * F.lit(100.0), 2)).otherwise(F.lit(0.0))
+    return F.when(den > 0, round2(num / den * F.lit(100.0))).otherwise(F.lit(0.0))
 
 
 def _responded(resp: Column) -> Column:
@@ -149,7 +149,7 @@ def role_region(sc: DataFrame) -> DataFrame:
     return (g.select("role", "region", "total_invited", "registered", "positive_responses",
                      confirmed.alias("total_confirmed"),
                      (F.col("total_invited") - confirmed).alias("unregistered"),
-                     F.round(confirmed / F.col("total_invited") * F.lit(100.0), 2).alias("registration_rate"))
+                     round2(confirmed / F.col("total_invited") * F.lit(100.0)).alias("registration_rate"))
              .filter(F.col("total_confirmed") > 0)
              .orderBy(F.desc("total_confirmed"), "role", "region"))
 

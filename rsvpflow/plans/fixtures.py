@@ -19,18 +19,18 @@ SELECT o.o_orderkey AS id,
  CASE WHEN o.o_orderkey % 41 = 0 THEN NULL ELSE lower(substr(o.o_orderpriority, 3)) END AS Practice_Head,
  CASE WHEN o.o_orderkey % 43 = 0 THEN NULL ELSE ' ' || n.n_name || ' ' END AS Partner,
  lower(c.c_mktsegment) AS Sector,
- CASE o.o_custkey % 9 WHEN 0 THEN 'Navi Mumbai' WHEN 1 THEN 'new delhi' WHEN 2 THEN 'Bangalore' WHEN 3 THEN 'KOLKATA' WHEN 4 THEN 'Paris' WHEN 5 THEN 'Kota Bangalore' WHEN 6 THEN NULL WHEN 7 THEN ' Pune ' ELSE 'vapi' END AS Location,
+ CASE WHEN o.o_orderkey % 71 = 0 THEN chr(9) || 'pune' || chr(160) ELSE CASE o.o_custkey % 9 WHEN 0 THEN 'Navi Mumbai' WHEN 1 THEN 'new delhi' WHEN 2 THEN 'Bangalore' WHEN 3 THEN 'KOLKATA' WHEN 4 THEN 'Paris' WHEN 5 THEN 'Kota Bangalore' WHEN 6 THEN NULL WHEN 7 THEN ' Pune ' ELSE 'vapi' END END AS Location,
  o.o_orderstatus AS Invite_Status,
- CASE WHEN o.o_orderkey % 13 = 0 THEN 'not a date' WHEN o.o_orderkey % 17 = 0 THEN NULL ELSE substr(CAST(o.o_orderdate AS STRING), 1, 10) END AS Invite_Dt,
+ CASE WHEN o.o_orderkey % 13 = 0 THEN 'not a date' WHEN o.o_orderkey % 17 = 0 THEN NULL WHEN o.o_orderkey % 19 = 0 THEN '12/25/2024' WHEN o.o_orderkey % 23 = 0 THEN '05-03-2024' WHEN o.o_orderkey % 29 = 0 THEN ' 25-Dec-2024' WHEN o.o_orderkey % 31 = 0 THEN substr(CAST(o.o_orderdate AS STRING), 1, 10) || 'T10:11:12' WHEN o.o_orderkey % 37 = 0 THEN '25-12-2024' ELSE substr(CAST(o.o_orderdate AS STRING), 1, 10) END AS Invite_Dt,
  CASE WHEN o.o_orderkey % 5 = 0 THEN substr(CAST(o.o_orderdate AS STRING), 1, 10) END AS Circle_Back_Dt,
  CASE o.o_orderkey % 11 WHEN 0 THEN 'abc' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '4.9' WHEN 4 THEN ' 12 ' ELSE CAST(o.o_orderkey % 20 AS STRING) END AS numInvitees,
  CASE o.o_orderkey % 6 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THEN '2' WHEN 3 THEN ' 1' WHEN 4 THEN '1x' ELSE NULL END AS numRegistrations,
- CASE o.o_orderkey % 8 WHEN 0 THEN '2 positive' WHEN 1 THEN 'Positive' WHEN 2 THEN 'Awaited' WHEN 3 THEN 'awaited' WHEN 4 THEN NULL WHEN 5 THEN '3  Negative' WHEN 6 THEN 'Registered' ELSE '0 Positive' END AS Response,
+ CASE WHEN o.o_orderkey % 59 = 0 THEN chr(9) || '2 positive' || chr(9) WHEN o.o_orderkey % 61 = 0 THEN 'Registered' || chr(160) WHEN o.o_orderkey % 67 = 0 THEN '3' || chr(160) || 'positive' ELSE CASE o.o_orderkey % 8 WHEN 0 THEN '2 positive' WHEN 1 THEN 'Positive' WHEN 2 THEN 'Awaited' WHEN 3 THEN 'awaited' WHEN 4 THEN NULL WHEN 5 THEN '3  Negative' WHEN 6 THEN 'Registered' ELSE '0 Positive' END END AS Response,
  'Tax ' || CAST(o.o_custkey AS STRING) AS Tax_Contact,
  CASE WHEN o.o_orderkey % 3 = 0 THEN NULL ELSE 'VP, Tax; India' END AS Designation,
  't' || CAST(o.o_custkey AS STRING) || '@x.test' AS Email_ID,
  CASE o.o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE '+91-' || CAST(o.o_custkey AS STRING) END AS Phone_Number,
- CASE o.o_orderkey % 5 WHEN 0 THEN 'Registered' WHEN 1 THEN ' registered ' WHEN 2 THEN 'Positive' WHEN 3 THEN '-1 No' ELSE NULL END AS Response_1,
+ CASE o.o_orderkey % 5 WHEN 0 THEN 'Registered' WHEN 1 THEN ' registered ' WHEN 2 THEN 'Positive' WHEN 3 THEN '-1 No' ELSE CASE WHEN o.o_orderkey % 3 = 0 THEN chr(9) || 'positive' || chr(160) END END AS Response_1,
  CASE WHEN o.o_orderkey % 10 = 0 THEN NULL ELSE 'Cfo ' || CAST(o.o_orderkey AS STRING) END AS CFO_Name,
  'CFO' AS Designation_2,
  CASE WHEN o.o_orderkey % 4 = 0 THEN NULL ELSE 'c' || CAST(o.o_orderkey AS STRING) || '@x.test' END AS Email_ID_3,
@@ -49,9 +49,9 @@ JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 """
 
 # Change feed (op I/U/D with seq): every master row is inserted with seq = id, then
-# with seq = id + CHANGE_OFFSET: id%10=1 tax phone changed, id%10=2 cfo phone NULL -> value,
+# with seq = id + CHANGE_OFFSET (above every id): id%10=1 tax phone changed, id%10=2 cfo phone NULL -> value,
 # id%10=4 tax phone value -> '', id%10=5 only attributes changed; id%10=6 deleted.
-CHANGE_OFFSET = 10_000_000
+CHANGE_OFFSET = 1 << 62
 
 
 def master_from(spark: SparkSession, orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def change_feed(m: DataFrame) -> DataFrame:
     k = F.col("id") % 10
     null_row = F.lit(None).cast(m.select(old.alias("r")).schema["r"].dataType)
     ev = lambda seq, op, o, n: F.struct(seq.alias("seq"), F.lit(op).alias("op"), o.alias("old"), n.alias("new"))
-    later = F.col("id") + F.lit(CHANGE_OFFSET)
+    later = F.col("id") + F.lit(CHANGE_OFFSET).cast("bigint")
     events = F.array(
         ev(F.col("id"), "I", null_row, old),
         F.when(k.isin(1, 2, 4, 5), ev(later, "U", old, new)).when(k == 6, ev(later, "D", old, null_row)),

@@ -22,8 +22,7 @@ from rsvpflow.roles import ROLE_ORDER
 from rsvpflow.sources import sinks as SK
 from rsvpflow.sources import tables as T
 
-__all__ = ["standardize_job", "load_and_sync", "rebuild_contacts_job", "apply_changes_job", "bucket_of", "write_bucketed",
-           "apply_changes_bucketed", "standardize", "reports",
+__all__ = ["standardize_job", "load_and_sync", "rebuild_contacts_job", "apply_changes_job", "standardize", "reports",
            "export_cards_job", "find_duplicates", "reconcile", "replicate", "write_snapshot"]
 
 
@@ -38,21 +37,29 @@ def write_snapshot(df: DataFrame, root: str, version: int | str, partition_by: S
 
 
 def load_and_sync(spark: SparkSession, source: DataFrame, target: DataFrame | None, key: str, seq: str,
-                  mode: str = "smart_sync", audit_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
+                  mode: str = "smart_sync", audit_ts: Column | None = None, case_insensitive: bool = False
+                  ) -> tuple[DataFrame, DataFrame]:
     """K1: clean headers + NaN->NULL on an incoming batch, evolve the target schema, then sync.
 
-    Returns ``(result, action_counts)``; both lazy.  ``target=None`` = first load.
+    Returns ``(result, action_counts)``; both lazy.  ``target=None`` = first load.  Column names ignore case and keep
+    the target's spelling; ``key`` and ``seq`` may be given as in the raw header.  Mode ``insert`` counts source rows as
+    ``inserted`` or ``ignored``.
     """
     src = T.nan_to_null(T.clean_headers(source))
-    key = T.clean_header(key, 0, blank_rule=False)
     if target is None:
         target = spark.createDataFrame([], src.schema)
+    src = T.align_names(src, target)
     target = T.evolve_schema(target, src)
+    spelled = {c.lower(): c for c in src.columns}
+    key, seq = (spelled[T.clean_header(c, 0, blank_rule=False).lower()] for c in (key, seq))
     if mode == "insert":
-        res = M.insert_new_only(target, src, key, seq)
-        counts = spark.createDataFrame([], "action string, row_count bigint")
-        return res, counts
-    acts = M.sync_with_actions(target, src, key, seq, delete_missing=(mode == "smart_sync"), audit_ts=audit_ts)
+        new = M.new_rows(target, src, key, seq, case_insensitive)
+        tally = (new.agg(F.count(F.lit(1)).alias("n")).select(F.explode(F.array(
+            F.struct(F.lit("inserted").alias("action"), F.col("n").alias("n")), F.struct(F.lit("ignored").alias("action"), (-F.col("n")).alias("n")))).alias("x"))
+            .select("x.*").unionByName(src.agg(F.count(F.lit(1)).alias("n")).select(F.lit("ignored").alias("action"), "n")))
+        counts = tally.groupBy("action").agg(F.sum("n").alias("row_count"))
+        return target.unionByName(new, allowMissingColumns=True), counts
+    acts = M.sync_with_actions(target, src, key, seq, delete_missing=(mode == "smart_sync"), case_insensitive=case_insensitive, audit_ts=audit_ts)
     res = acts.filter(F.col("_action") != "deleted").drop("_action")
     return res, M.sync_action_counts(acts)
 
@@ -67,23 +74,17 @@ def rebuild_contacts_job(master: DataFrame, root: str, version: int | str, polic
 
 
 def apply_changes_job(spark: SparkSession, root: str, changes: DataFrame, version: int) -> str:
-    """K3: fold a change batch into snapshot ``v=version-1`` and write ``v=version``."""
-    current = spark.read.parquet(f"{root.rstrip('/')}/v={version - 1}")
-    return write_snapshot(C.apply_changes(current, changes), root, version, ("role",))
+    """K3: fold a change batch into snapshot ``v=version-1`` and write ``v=version``.
 
-
-BUCKET_COL = "bucket"
-
-
-def bucket_of(key: str, n_buckets: int) -> Column:
-    """Stable hash bucket of a key column."""
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)).cast("int")
-
-
-def write_bucketed(df: DataFrame, path: str, n_buckets: int, key: str = "id") -> None:
-    """Write a table as ``bucket=<b>`` folders of ``xxhash64(key) mod n_buckets`` (one file set per bucket)."""
-    (df.withColumn(BUCKET_COL, bucket_of(key, n_buckets)).repartition(BUCKET_COL)
-       .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
+    The last event applied to each id is kept beside the snapshots (``applied/v=<version>``), so an older event that
+    comes in a later batch changes nothing.
+    """
+    root = root.rstrip("/")
+    current = spark.read.parquet(f"{root}/v={version - 1}")
+    before = f"{root}/applied/v={version - 1}"
+    applied = spark.read.parquet(before) if _path_exists(spark, before) else None
+    write_snapshot(C.applied_seq(applied, changes), f"{root}/applied", version)
+    return write_snapshot(C.apply_changes(current, changes, applied=applied), root, version, ("role",))
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -92,49 +93,6 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _delete_dirs(spark: SparkSession, paths: Sequence[str]) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
-
-
-def apply_changes_bucketed(spark: SparkSession, table_path: str, changes: DataFrame, n_buckets: int,
-                           stage_dir: str, roles: Sequence[str] = ROLE_ORDER) -> None:
-    """K3 at scale: copy-on-write of only the buckets a change batch touches.
-
-    1. fold the batch (last event per id) and stage it (cuts lineage; a retried write
-       recomputes nothing upstream);
-    2. read only the touched buckets (semi join with the touched-bucket set, at most
-       ``n_buckets`` rows — a proven bound — so the scan is partition-pruned), drop the
-       changed ids, append the fan-out of the NEW images, stage the result;
-    3. overwrite exactly those buckets from the stage (dynamic partition overwrite);
-       buckets the batch emptied are removed (folder names only).
-    Re-running a batch is idempotent, so a failure between steps is repaired by a replay.
-    The table is never read and overwritten in one plan.
-    """
-    fold = C._latest_change(changes).withColumn(BUCKET_COL, bucket_of("id", n_buckets))
-    fold.write.mode("overwrite").parquet(f"{stage_dir}/fold")
-    fold = spark.read.schema(fold.schema).parquet(f"{stage_dir}/fold")
-    touched = fold.select(BUCKET_COL).distinct()
-    new_rows = C.fan_out(fold.filter(F.col("op") != "D").select("new.*"), roles) \
-        .withColumn(BUCKET_COL, bucket_of("id", n_buckets))
-    if _path_exists(spark, table_path):
-        cur = spark.read.parquet(table_path).join(F.broadcast(touched), BUCKET_COL, "left_semi")
-        kept = cur.join(fold.select("id"), "id", "left_anti").select(*new_rows.columns)
-        out = kept.unionByName(new_rows)
-    else:
-        out = new_rows
-    out.repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(f"{stage_dir}/buckets")
-    staged = spark.read.schema(out.schema).parquet(f"{stage_dir}/buckets")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(BUCKET_COL).parquet(table_path))
-    # touched buckets with no rows left: at most n_buckets small integers
-    emptied = touched.join(staged.select(BUCKET_COL).distinct(), BUCKET_COL, "left_anti")
-    _delete_dirs(spark, [f"{table_path.rstrip('/')}/{BUCKET_COL}={r[0]}" for r in emptied.toLocalIterator()])
-
-
 def standardize(master: DataFrame, contacts: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """K4: names, response weight and label on master (and contacts)."""
     sm = C.standardize_master(master)

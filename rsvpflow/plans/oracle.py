@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from rsvpflow.functions.scalars import REGIONS, region_pattern
+from rsvpflow.functions.scalars import REGIONS
 from rsvpflow.plans.fixtures import CHANGE_OFFSET, MASTER_SQL
 from rsvpflow.plans.queries import BATCH_TS, CASCADE_SPEC, FILTER_ALL5, FILTER_SPEC
 from rsvpflow.roles import ANALYSIS_FIELDS, DETAILS_FIELDS, ROLE_ORDER, ROLES, derived_name
@@ -21,18 +21,28 @@ FLOAT_FULL = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
 FLOAT_PREFIX = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
 
 
+# What Python's str.strip() removes and \\s matches, as code points and as an RE2 class.
+_BLANK = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+_BLANKS = " || ".join(f"chr({n})" for n in _BLANK)
+_BLANK_CLASS = "[" + "".join(f"\\x{{{n:x}}}" for n in _BLANK) + "]"
+
+
+def STRIP(x):
+    return f"trim({x}, {_BLANKS})"
+
+
 def T(x):  # title case
-    return (f"array_to_string(list_transform(regexp_extract_all(trim({x}), '(\\p{{L}}+|[^\\p{{L}}]+)', 0), "
+    return (f"array_to_string(list_transform(regexp_extract_all({STRIP(x)}, '(\\p{{L}}+|[^\\p{{L}}]+)', 0), "
             f"lambda w: upper(left(w, 1)) || lower(substr(w, 2))), '')")
 
 
 def LABEL(x):
     t = T(x)
-    return f"(CASE WHEN regexp_matches({t}, '^[0-9]+\\s+.+$') THEN regexp_extract({t}, '^[0-9]+\\s+(.+)$', 1) ELSE {t} END)"
+    return f"(CASE WHEN regexp_matches({t}, '^[0-9]+{_BLANK_CLASS}+.+$') THEN regexp_extract({t}, '^[0-9]+{_BLANK_CLASS}+(.+)$', 1) ELSE {t} END)"
 
 
 def WEIGHT(x):
-    return f"coalesce(try_cast(nullif(regexp_extract(trim({x}), '^([0-9]+)\\s+', 1), '') AS BIGINT), 1)"
+    return f"coalesce(try_cast(nullif(regexp_extract({STRIP(x)}, '^([0-9]+){_BLANK_CLASS}+', 1), '') AS BIGINT), 1)"
 
 
 def SI(x):
@@ -45,17 +55,19 @@ def NP(x):
 
 
 def REGION(x):
-    whens = " ".join(f"WHEN regexp_matches(lower(trim({x})), '{region_pattern(c)}') THEN '{n}'" for n, c in REGIONS)
+    whens = " ".join("WHEN " + " OR ".join(f"contains(lower({STRIP(x)}), '{city.lower()}')" for city in c) + f" THEN '{n}'"
+                     for n, c in REGIONS)
     return f"(CASE WHEN {x} IS NULL THEN 'Unknown' {whens} ELSE 'Other' END)"
 
 
 def PDATE(x):
-    fmts = ["%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y/%m/%d", "%d-%m-%Y"]
-    return "CAST(coalesce(" + ", ".join(f"try_strptime(trim({x}), '{f}')" for f in fmts) + ") AS DATE)"
+    fmts = ["%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M:%S.%g", "%Y/%m/%d", "%m/%d/%Y", "%m-%d-%Y",
+            "%d/%m/%Y", "%d-%m-%Y", "%d-%b-%Y", "%d %b %Y", "%b %d, %Y", "%Y%m%d"]
+    return "CAST(coalesce(" + ", ".join(f"try_strptime({STRIP(x)}, '{f}')" for f in fmts) + ") AS DATE)"
 
 
 def RATE(num, den):
-    return f"(CASE WHEN {den} > 0 THEN round({num} / {den} * 100.0, 2) ELSE 0.0 END)"
+    return f"(CASE WHEN {den} > 0 THEN round_even({num} / {den} * 100.0 * 100.0, 0) / 100.0 ELSE 0.0 END)"
 
 
 def PRESENT(x):
@@ -63,7 +75,7 @@ def PRESENT(x):
 
 
 def ESC(x):
-    return (f"coalesce(replace(replace(replace(replace(trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)), '\\', '\\\\'), ',', '\\,'), ';', '\\;'), "
+    return (f"coalesce(replace(replace(replace(replace({STRIP(x)}, '\\', '\\\\'), ',', '\\,'), ';', '\\;'), "
             f"chr(10), '\\n'), '')")
 
 
@@ -107,7 +119,7 @@ SC = (f"SELECT * REPLACE (CASE WHEN role = 'tax' THEN {T('client')} ELSE client
       f"CASE WHEN role = 'tax' THEN {T('location')} ELSE location END AS location, {LABEL('Response')} AS Response), "
       f"{WEIGHT('Response')} AS Response_Weight FROM c")
 
-BASE = (f"WITH m AS ({MASTER}),\n sm AS ({SM}),\n c AS ({fan_sql('m')}),\n sc AS ({SC}),\n"
+BASE = (f"WITH m AS MATERIALIZED ({MASTER}),\n sm AS ({SM}),\n c AS ({fan_sql('m')}),\n sc AS ({SC}),\n"
         f" u AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id) = 1),\n"
         f" t AS (SELECT * REPLACE (CASE WHEN id % 4 = 0 THEN 'Old' ELSE Response END AS Response) FROM m WHERE id % 10 <> 3),\n"
         f" s AS (SELECT * FROM m WHERE id % 10 <> 7),\n"
@@ -118,6 +130,9 @@ BASE = (f"WITH m AS ({MASTER}),\n sm AS ({SM}),\n c AS ({fan_sql('m')}),\n sc AS
         f" c2 AS ({fan_sql('fm')}),\n"
         f" cu AS ({fan_sql('(SELECT * FROM m2 WHERE id % 10 IN (1, 2, 4, 5))')}),\n"
         f" cd AS ({fan_sql('(SELECT * FROM m WHERE id % 10 = 6)')}),\n"
+        f" bp AS (SELECT * REPLACE ('stored' AS designation) FROM u WHERE id % 3 = 0),\n"
+        f" bpc AS (SELECT * REPLACE ('stored' AS designation) FROM (SELECT * FROM c WHERE client IS NULL UNION ALL SELECT * FROM c WHERE client IS NOT NULL "
+        f"QUALIFY row_number() OVER (PARTITION BY role, phone, client ORDER BY id) = 1) WHERE id % 3 = 0),\n"
         f" elig AS (SELECT * FROM u WHERE {PRESENT('phone')} AND {NP('numRegistrations')} = 1 "
         f"AND contact_response IS NOT NULL AND {NP('contact_response')} >= 0)\n")
 
@@ -142,10 +157,10 @@ def cascade(src, fm):
 
 
 def role_region(src):
-    cl = "lower(trim(contact_response))"
+    cl = f"lower({STRIP('contact_response')})"
     return (f"SELECT role, region, total_invited, registered, positive_responses, registered + positive_responses AS total_confirmed, "
             f"total_invited - (registered + positive_responses) AS unregistered, "
-            f"round((registered + positive_responses) / total_invited * 100.0, 2) AS registration_rate FROM ("
+            f"round_even((registered + positive_responses) / total_invited * 100.0 * 100.0, 0) / 100.0 AS registration_rate FROM ("
             f"SELECT role, {REGION('location')} AS region, count(phone) AS total_invited, CAST(count_if({cl} = 'registered') AS BIGINT) AS registered, "
             f"CAST(count_if({cl} = 'positive') AS BIGINT) AS positive_responses FROM ({src}) WHERE location IS NOT NULL GROUP BY ALL) "
             f"WHERE registered + positive_responses > 0")
@@ -213,35 +228,49 @@ def pr_sql():
 
 
 def triggers_sql(strict):
+    """Row triggers applied one by one per phone, written as segments between X events (see the reference's order)."""
     nulls = ", ".join(f"NULL AS {c}" for c in _PAYLOAD)
     pay = ", ".join(f"x.{c}" for c in _PAYLOAD)
     moved = "coalesce(pr.o_phone <> pr.n_phone, false)" if strict else "true"
     nn = " AND o_client IS NOT NULL" if strict else ""
-    d_from_u = (f"SELECT id + {CHANGE_OFFSET} AS seq, 0 AS ord, 'D' AS kind, role, o_phone AS phone, o_client AS client, "
-                f"{nulls} FROM pr WHERE {PRESENT('o_phone')}{nn} AND (NOT {PRESENT('n_phone')} OR "
-                f"{'coalesce(o_phone <> n_phone, false)' if strict else 'true'})")
-    d_from_d = (f"SELECT id + {CHANGE_OFFSET}, 0, 'D', role, phone, client, {nulls} FROM cd"
-                + (" WHERE client IS NOT NULL" if strict else ""))
-    u_from_i = f"SELECT x.id AS seq, 1, 'U', x.role, x.phone, x.client, {pay} FROM c x"
-    u_from_u = (f"SELECT x.id + {CHANGE_OFFSET}, 1, 'U', x.role, x.phone, x.client, {pay} FROM cu x "
-                f"JOIN pr ON x.id = pr.id AND x.role = pr.role WHERE {moved}")
-    ev = " UNION ALL ".join([d_from_u, d_from_d, u_from_i, u_from_u])
-    keyed = "SELECT * FROM ev" + (" WHERE NOT (kind = 'U' AND client IS NULL)" if strict else "")
-    loose = " UNION ALL SELECT * FROM ev WHERE kind = 'U' AND client IS NULL" if strict else ""
-    ctes = (f"pr AS ({pr_sql()}),\n ev AS ({ev}),\n"
-            f" fold AS (SELECT * FROM ({keyed}) QUALIFY row_number() OVER (PARTITION BY role, phone, client "
-            f"ORDER BY seq DESC, ord DESC) = 1),\n"
-            f" res AS (SELECT * FROM fold WHERE kind = 'U'{loose})")
+    parts = [
+        f"SELECT id + {CHANGE_OFFSET} AS seq, 0 AS ord, 'D' AS kind, role, o_phone AS phone, o_client AS client, "
+        f"{nulls} FROM pr WHERE {PRESENT('o_phone')}{nn} AND (NOT {PRESENT('n_phone')} OR "
+        f"{'coalesce(o_phone <> n_phone, false)' if strict else 'true'})",
+        f"SELECT id + {CHANGE_OFFSET}, 0, 'D', role, phone, client, {nulls} FROM cd" + (" WHERE client IS NOT NULL" if strict else ""),
+        f"SELECT x.id AS seq, 1, 'U', x.role, x.phone, x.client, {pay} FROM c x",
+        f"SELECT x.id + {CHANGE_OFFSET}, 1, 'U', x.role, x.phone, x.client, {pay} FROM cu x "
+        f"JOIN pr ON x.id = pr.id AND x.role = pr.role WHERE {moved}"]
+    if strict:
+        parts.append(f"SELECT x.id + {CHANGE_OFFSET}, 1, 'X', x.role, x.phone, x.client, {pay} FROM cu x "
+                     f"JOIN pr ON x.id = pr.id AND x.role = pr.role WHERE NOT {moved}")
+    # the events of even ids, on a table in use
+    ev = f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE (seq & {CHANGE_OFFSET - 1}) % 2 = 0"
     cols = ", ".join(_CC)
     if not strict:
-        return with_extra(ctes, f"SELECT {cols} FROM res")
-    xcols = [c for c in _CC if c not in ("role", "phone")]
-    ctes += (f",\n xe AS (SELECT x.id + {CHANGE_OFFSET} AS xseq, x.* FROM cu x JOIN pr ON x.id = pr.id AND x.role = pr.role "
-             f"WHERE NOT coalesce(pr.o_phone <> pr.n_phone, false) QUALIFY row_number() OVER "
-             f"(PARTITION BY x.role, x.phone ORDER BY x.id DESC) = 1)")
-    sel = ", ".join(f"CASE WHEN xe.xseq IS NOT NULL AND res.seq < xe.xseq THEN xe.{c} ELSE res.{c} END AS {c}"
-                    if c not in ("role", "phone") else f"res.{c} AS {c}" for c in _CC)
-    return with_extra(ctes, f"SELECT {sel} FROM res LEFT JOIN xe ON res.role = xe.role AND res.phone = xe.phone")
+        ctes = (f"pr AS ({pr_sql()}),\n ev AS ({ev}),\n fold AS (SELECT * FROM ev QUALIFY row_number() OVER "
+                f"(PARTITION BY role, phone, client ORDER BY seq DESC, ord DESC) = 1)")
+        return with_extra(ctes, f"SELECT {cols} FROM fold WHERE kind = 'U' UNION ALL SELECT {cols} FROM bpc b WHERE NOT EXISTS "
+                          "(SELECT 1 FROM fold WHERE fold.role = b.role AND fold.phone = b.phone AND fold.client IS NOT DISTINCT FROM b.client)")
+    ctes = (f"pr AS ({pr_sql()}),\n ev AS MATERIALIZED (SELECT *, sum(CASE WHEN kind = 'X' THEN 1 ELSE 0 END) OVER "
+            f"(PARTITION BY role, phone ORDER BY seq, ord) AS seg FROM ({ev})),\n"
+            " fin AS (SELECT role, phone, max(seg) AS s FROM ev GROUP BY ALL),\n"
+            " fold AS MATERIALIZED (SELECT * FROM ev WHERE kind <> 'X' AND client IS NOT NULL QUALIFY row_number() OVER "
+            "(PARTITION BY role, phone, seg, client ORDER BY seq DESC, ord DESC) = 1),\n"
+            " ups AS (SELECT * FROM fold WHERE kind = 'U' UNION ALL SELECT * FROM ev WHERE kind = 'U' AND client IS NULL),\n"
+            " st AS (SELECT * FROM bpc b WHERE NOT EXISTS (SELECT 1 FROM fold f WHERE f.seg = 0 AND f.role = b.role AND f.phone = b.phone AND f.client = b.client)),\n"
+            " dec AS (SELECT role, phone, seg, 1 AS d FROM ups UNION ALL SELECT role, phone, 0, 1 FROM st UNION ALL "
+            "SELECT x.role, x.phone, x.seg, 0 FROM ev x JOIN fold f ON x.kind = 'X' AND f.kind = 'D' AND x.role = f.role AND x.phone = f.phone "
+            "AND x.seg = f.seg AND x.client = f.client),\n"
+            " one AS (SELECT role, phone, seg, max(d) AS d FROM dec GROUP BY ALL),\n"
+            " alive AS (SELECT one.role, one.phone FROM one JOIN fin ON one.role = fin.role AND one.phone = fin.phone WHERE seg < s "
+            "GROUP BY ALL HAVING arg_max(d, seg) = 1)")
+    c = lambda t: ", ".join(f"{t}.{x}" for x in _CC)
+    return with_extra(ctes, f"SELECT {c('u')} FROM ups u JOIN fin ON u.role = fin.role AND u.phone = fin.phone AND u.seg = fin.s "
+                      f"UNION ALL SELECT {c('x')} FROM ev x JOIN fin ON x.kind = 'X' AND x.role = fin.role AND x.phone = fin.phone AND x.seg = fin.s "
+                      "JOIN alive a ON a.role = x.role AND a.phone = x.phone WHERE NOT EXISTS (SELECT 1 FROM fold f WHERE f.role = x.role "
+                      "AND f.phone = x.phone AND f.seg = x.seg AND f.client = x.client) "
+                      f"UNION ALL SELECT {c('b')} FROM st b WHERE NOT EXISTS (SELECT 1 FROM fin WHERE s > 0 AND fin.role = b.role AND fin.phone = b.phone)")
 
 
 def with_extra(ctes, body):
@@ -258,16 +287,19 @@ DUP_TOP = with_extra(
     " top AS (SELECT *, CAST(row_number() OVER (PARTITION BY role ORDER BY dup_count DESC, phone) AS INTEGER) AS phone_rank FROM d QUALIFY phone_rank <= 20),\n"
     " p AS (SELECT c.role, c.phone, c.client || ' (' || c.name || ')' AS person FROM c SEMI JOIN top ON c.role = top.role AND c.phone = top.phone WHERE c.client IS NOT NULL AND c.name IS NOT NULL),\n"
     " pr AS (SELECT *, CAST(row_number() OVER (PARTITION BY role, phone ORDER BY person) AS INTEGER) AS person_rank FROM p QUALIFY person_rank <= 3)",
-    "SELECT top.role, phone_rank, top.phone, dup_count, person_rank, person, CAST(greatest(labelled - 3, 0) AS BIGINT) AS more "
-    "FROM pr JOIN top ON pr.role = top.role AND pr.phone = top.phone")
+    "SELECT top.role, phone_rank, top.phone, dup_count, pr.person_rank, pr.person, CAST(greatest(labelled - 3, 0) AS BIGINT) AS more "
+    "FROM top LEFT JOIN pr ON pr.role = top.role AND pr.phone = top.phone")
 
 
 def reconcile_sql(cond=""):
     w = f" WHERE {cond}" if cond else ""
-    return q(f"SELECT coalesce(a.role, b.role) AS role, coalesce(a.n, 0) AS master_n, coalesce(b.n, 0) AS derived_n, "
+    per = (f"SELECT coalesce(a.role, b.role) AS role, coalesce(a.n, 0) AS master_n, coalesce(b.n, 0) AS derived_n, "
              f"coalesce(a.n, 0) - coalesce(b.n, 0) AS missing, coalesce(a.n, 0) = coalesce(b.n, 0) AS in_sync FROM "
              f"(SELECT role, count(*) AS n FROM c{w} GROUP BY role) a FULL OUTER JOIN "
-             f"(SELECT role, count(*) AS n FROM u{w} GROUP BY role) b ON a.role = b.role")
+           f"(SELECT role, count(*) AS n FROM u{w} GROUP BY role) b ON a.role = b.role")
+    return with_extra(f"rec AS ({per})", "SELECT * FROM rec UNION ALL SELECT 'total', CAST(coalesce(sum(master_n), 0) AS BIGINT), "
+                      "CAST(coalesce(sum(derived_n), 0) AS BIGINT), CAST(coalesce(sum(missing), 0) AS BIGINT), "
+                      "coalesce(sum(master_n), 0) = coalesce(sum(derived_n), 0) FROM rec")
 
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -310,6 +342,11 @@ ORACLE_SQL: dict[str, str] = {
                               "FULL OUTER JOIN s_last s ON t.Client_Name = s.Client_Name "
                               "UNION ALL SELECT 'kept_null_key' FROM t WHERE Client_Name IS NULL "
                               "UNION ALL SELECT 'inserted' FROM s WHERE Client_Name IS NULL) GROUP BY action"),
+    "load_and_sync_insert_counts": with_extra(
+        "i AS (SELECT Client_Name FROM s_first WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.Client_Name = s_first.Client_Name) "
+        "UNION ALL SELECT Client_Name FROM s WHERE Client_Name IS NULL)",
+        "SELECT 'inserted' AS action, (SELECT count(*) FROM i) AS row_count UNION ALL "
+        "SELECT 'ignored', (SELECT count(*) FROM s) - (SELECT count(*) FROM i)"),
     "replica_status": q("SELECT 'master' AS table_name, 'ok' AS status, count(*) AS source_rows, count(*) AS copied_rows FROM m"),
     "deleted_keys_preview": q("SELECT DISTINCT Client_Name FROM t WHERE Client_Name IS NOT NULL AND NOT EXISTS "
                               "(SELECT 1 FROM s WHERE s.Client_Name = t.Client_Name) ORDER BY Client_Name LIMIT 10"),
@@ -324,7 +361,7 @@ ORACLE_SQL: dict[str, str] = {
                "(SELECT 1 FROM customer k WHERE k.c_custkey % 10 <> 0 AND k.c_custkey = o.o_custkey)",
     "cascade_delete": q("SELECT * FROM c WHERE client IN (SELECT Client_Name FROM m WHERE id % 10 <> 7 AND Client_Name IS NOT NULL)"),
     "cascade_rename": q("SELECT c.* REPLACE (CASE WHEN r.old_key IS NOT NULL THEN r.new_key ELSE c.client END AS client) "
-                        "FROM c LEFT JOIN (SELECT Client_Name AS old_key, upper(Client_Name) AS new_key FROM m WHERE id % 4 = 1) r "
+                        "FROM c LEFT JOIN (SELECT DISTINCT Client_Name AS old_key, upper(Client_Name) AS new_key FROM m WHERE id % 4 = 1) r "
                         "ON c.client = r.old_key"),
     "insert_new_only": q("SELECT * FROM t UNION ALL SELECT * FROM s_first WHERE NOT EXISTS "
                          "(SELECT 1 FROM t WHERE t.Client_Name = s_first.Client_Name) "
@@ -355,13 +392,20 @@ ORACLE_SQL: dict[str, str] = {
                              "(PARTITION BY role, phone, client ORDER BY id DESC) = 1 UNION ALL SELECT * FROM c WHERE client IS NULL"),
     "rebuild_contacts": q("SELECT * FROM c2"),
     "apply_changes": q("SELECT * FROM c2"),
-    "apply_insert_keep_first": q("SELECT * FROM u"),
-    "apply_insert_keep_last": q("SELECT * FROM c WHERE client IS NOT NULL QUALIFY row_number() OVER "
-                                "(PARTITION BY role, phone, client ORDER BY id DESC) = 1 UNION ALL SELECT * FROM c WHERE client IS NULL"),
-    "apply_insert_keep_client": q("SELECT l.* REPLACE (f.client AS client) FROM "
-                                  "(SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id DESC) = 1) l "
-                                  "JOIN (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id) = 1) f "
-                                  "ON l.role = f.role AND l.phone = f.phone"),
+    "apply_insert_keep_first": with_extra(
+        "n AS (SELECT * FROM c WHERE id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id) = 1)",
+        "SELECT * FROM bp UNION ALL SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM bp WHERE bp.role = n.role AND bp.phone = n.phone)"),
+    "apply_insert_keep_last": with_extra(
+        "n AS (SELECT * FROM c WHERE id % 2 = 0 AND client IS NOT NULL QUALIFY row_number() OVER (PARTITION BY role, phone, client ORDER BY id DESC) = 1)",
+        "SELECT * FROM n UNION ALL SELECT * FROM c WHERE id % 2 = 0 AND client IS NULL UNION ALL SELECT * FROM bpc b WHERE NOT EXISTS "
+        "(SELECT 1 FROM n WHERE n.role = b.role AND n.phone = b.phone AND n.client = b.client)"),
+    "apply_insert_keep_client": with_extra(
+        "l AS (SELECT * FROM c WHERE id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id DESC) = 1),\n"
+        " f AS (SELECT * FROM c WHERE id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id) = 1)",
+        "SELECT l.* REPLACE (CASE WHEN bp.phone IS NOT NULL THEN bp.client ELSE f.client END AS client) FROM l "
+        "JOIN f ON l.role = f.role AND l.phone = f.phone LEFT JOIN bp ON l.role = bp.role AND l.phone = bp.phone "
+        "UNION ALL SELECT * FROM bp WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.role = bp.role AND l.phone = bp.phone)"),
+    "apply_changes_out_of_order": q("SELECT * FROM c2 WHERE id % 3 <> 0 OR id % 10 IN (1, 2, 4, 5)"),
     "apply_update_v1": update_sql("v1"),
     "apply_update_v2": update_sql("v2"),
     "apply_triggers": triggers_sql(False),
@@ -450,11 +494,15 @@ ORACLE_SQL: dict[str, str] = {
     "pending": q("SELECT role, count(*) AS pending FROM u WHERE NOT EXISTS (SELECT 1 FROM elig e WHERE e.role = u.role "
                  "AND e.phone = u.phone) GROUP BY role"),
     "card_files": q(f"SELECT role, {_CARD} AS card FROM elig"),
+    "cards_two_batches": q(f"SELECT CASE WHEN id % 2 = 0 THEN 'b1' ELSE 'b2' END AS batch_id, role, {_CARD} AS card FROM elig"),
     "replicated_copy": q("SELECT * EXCLUDE (id) FROM m"),
     "stream_changes": q("SELECT * FROM c2"),
+    "stream_changes_out_of_order": q("SELECT * FROM c2"),
     "stream_overview": _OVERVIEW,
     "stream_response_weights": _RESPONSE_WEIGHTS,
     "stream_role_region": q(role_region("SELECT * FROM sc")),
     "stream_trend": q(f"SELECT {PDATE('Invite_Dt')} AS invite_date, count(*) AS invites FROM sm "
                       f"WHERE {PDATE('Invite_Dt')} IS NOT NULL GROUP BY 1"),
+    "stream_trend_windowed": q(f"SELECT {PDATE('Invite_Dt')} AS invite_date, count(*) AS invites FROM sm "
+                      f"WHERE {PDATE('Invite_Dt')} IS NOT NULL GROUP BY 1"),
 }

@@ -137,6 +137,15 @@ def q_load_and_sync_counts(spark, base):
     return counts
 
 
+def q_load_and_sync_insert_counts(spark, base):
+    """M12 in mode insert; raw headers in other case and with blanks, ``seq`` among them."""
+    from rsvpflow.plans.jobs import load_and_sync
+    t, s = X.sync_pair(_m(spark, base))
+    raw = s.withColumnRenamed("Client_Name", "client Name").withColumnRenamed("id", "Row Id")
+    _, counts = load_and_sync(spark, raw, t.withColumnRenamed("id", "Row_ID"), "client Name", "Row Id", "insert")
+    return counts
+
+
 def q_replica_status(spark, base):
     return SK.replicate(spark, {"master": _m(spark, base)}, work_dir(spark, "replica"))
 
@@ -191,7 +200,8 @@ def q_cascade_rename(spark, base):
     m = _m(spark, base)
     ren = m.filter(F.col("id") % 4 == 1).select(F.col("Client_Name").alias("old_key"),
                                                  F.upper(F.col("Client_Name")).alias("new_key"))
-    return C.cascade_rename(_c(spark, base), ren, "client")
+    stale = ren.select("old_key", F.concat(F.col("new_key"), F.lit("?")).alias("new_key"), F.lit(0).alias("seq"))
+    return C.cascade_rename(_c(spark, base), ren.withColumn("seq", F.lit(1)).unionByName(stale), "client", seq="seq")
 
 
 # ------------------------------------------------------------------ merge
@@ -256,20 +266,38 @@ def _empty_contacts(spark, m):
     return spark.createDataFrame([], C.fan_out(m).schema)
 
 
+def _stored(contacts, policy):
+    """A derived table in use: a third of the contacts, recognisable by their designation."""
+    return C.unique_contacts(contacts, policy, "first").filter(F.col("id") % 3 == 0).withColumn("designation", F.lit("stored"))
+
+
+def _even(feed):
+    return feed.filter(F.col("id") % 2 == 0)
+
+
 def q_apply_insert_keep_first(spark, base):
     m = _m(spark, base)
-    return C.apply_insert(_empty_contacts(spark, m), X.change_feed(m), "phone", "first")
+    return C.apply_insert(_stored(C.fan_out(m), "phone"), _even(X.change_feed(m)), "phone", "first")
 
 
 def q_apply_insert_keep_last(spark, base):
     m = _m(spark, base)
-    return C.apply_insert(_empty_contacts(spark, m), X.change_feed(m), "phone_client", "last")
+    return C.apply_insert(_stored(C.fan_out(m), "phone_client"), _even(X.change_feed(m)), "phone_client", "last")
 
 
 def q_apply_insert_keep_client(spark, base):
     """M5b duplicate-fix variant: latest row per phone, client name kept from the first insert."""
     m = _m(spark, base)
-    return C.apply_insert(_empty_contacts(spark, m), X.change_feed(m), "phone", "last", overwrite_client=False)
+    return C.apply_insert(_stored(C.fan_out(m), "phone"), _even(X.change_feed(m)), "phone", "last", overwrite_client=False)
+
+
+def q_apply_changes_out_of_order(spark, base):
+    """K3: updates and deletes arrive a batch before the inserts of the same rows (two thirds of them)."""
+    m = _m(spark, base)
+    feed = X.change_feed(m)
+    later = feed.filter(F.col("seq") >= X.CHANGE_OFFSET)
+    first = feed.filter((F.col("seq") < X.CHANGE_OFFSET) & (F.col("id") % 3 != 0))
+    return C.apply_changes(C.apply_changes(_empty_contacts(spark, m), later), first, applied=C.applied_seq(None, later))
 
 
 def q_apply_update_v1(spark, base):
@@ -285,13 +313,13 @@ def q_apply_update_v2(spark, base):
 def q_apply_triggers(spark, base):
     """M5b/M6c/M7 v3 (fixed): trigger semantics keyed by (role, phone, client)."""
     m = _m(spark, base)
-    return C.apply_changes_by_phone(_empty_contacts(spark, m), X.change_feed(m))
+    return C.apply_changes_by_phone(_stored(C.fan_out(m), "phone_client"), _even(X.change_feed(m)))
 
 
 def q_apply_triggers_strict(spark, base):
     """Same, reproducing the reference's NULL-comparison behaviour."""
     m = _m(spark, base)
-    return C.apply_changes_by_phone(_empty_contacts(spark, m), X.change_feed(m), strict_reference=True)
+    return C.apply_changes_by_phone(_stored(C.fan_out(m), "phone_client"), _even(X.change_feed(m)), strict_reference=True)
 
 
 def q_apply_delete(spark, base):
@@ -490,6 +518,17 @@ def q_card_files(spark, base):
     return txt.select("role", F.col("value").alias("card"))
 
 
+def q_cards_two_batches(spark, base):
+    """Two batches into one output; the first one's cards stay."""
+    d = _details(spark, base)
+    root = work_dir(spark, "export")
+    ts = F.lit(BATCH_TS).cast("timestamp_ntz")
+    E.export_cards(spark, d.filter(F.col("id") % 2 == 0), f"{root}/ledger", f"{root}/cards", "b1", ts)
+    E.export_cards(spark, d, f"{root}/ledger", f"{root}/cards", "b2", ts)
+    txt = spark.read.option("lineSep", "\n\n").text(f"{root}/cards")
+    return txt.select("batch_id", "role", F.col("value").alias("card"))
+
+
 # ------------------------------------------------------------------ replica
 def q_replicated_copy(spark, base):
     m = _m(spark, base)
@@ -504,6 +543,22 @@ def q_stream_changes(spark, base):
     return stream_apply_changes(spark, base)
 
 
+def q_stream_changes_out_of_order(spark, base):
+    """Several micro-batches, the updates and deletes of a row before its insert, with compactions."""
+    from rsvpflow.streaming.changes import stream_apply_changes
+    feed = X.change_feed(_m(spark, base))
+    path = work_dir(spark, "feed")
+    feed.filter(F.col("seq") >= X.CHANGE_OFFSET).repartition(2, "id").write.parquet(path)
+    feed.filter(F.col("seq") < X.CHANGE_OFFSET).repartition(3, "id").write.mode("append").parquet(path)
+    events = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return stream_apply_changes(spark, base, events, compact_every=2)
+
+
+def q_stream_trend_windowed(spark, base):
+    from rsvpflow.streaming.changes import stream_invite_trend_windowed
+    return stream_invite_trend_windowed(spark, base)
+
+
 def q_stream_trend(spark, base):
     from rsvpflow.streaming.changes import stream_invite_trend
     return stream_invite_trend(spark, base)
@@ -534,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "load_and_sync": q_load_and_sync,
     "load_and_sync_counts": q_load_and_sync_counts,
+    "load_and_sync_insert_counts": q_load_and_sync_insert_counts,
     "replica_status": q_replica_status,
     "deleted_keys_preview": q_deleted_keys_preview,
     "contacts_long": q_contacts_long,
@@ -555,6 +611,7 @@ QUERIES: dict[str, Query] = {
     "unique_phone_client": q_unique_phone_client,
     "rebuild_contacts": q_rebuild_contacts,
     "apply_changes": q_apply_changes,
+    "apply_changes_out_of_order": q_apply_changes_out_of_order,
     "apply_insert_keep_first": q_apply_insert_keep_first,
     "apply_insert_keep_last": q_apply_insert_keep_last,
     "apply_insert_keep_client": q_apply_insert_keep_client,
@@ -601,9 +658,12 @@ QUERIES: dict[str, Query] = {
     "mark_exported": q_mark_exported,
     "pending": q_pending,
     "card_files": q_card_files,
+    "cards_two_batches": q_cards_two_batches,
     "replicated_copy": q_replicated_copy,
     "stream_changes": q_stream_changes,
+    "stream_changes_out_of_order": q_stream_changes_out_of_order,
     "stream_trend": q_stream_trend,
+    "stream_trend_windowed": q_stream_trend_windowed,
     "stream_overview": q_stream_overview,
     "stream_response_weights": q_stream_response_weights,
     "stream_role_region": q_stream_role_region,

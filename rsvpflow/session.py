@@ -8,6 +8,7 @@ tests — do we create a private temporary folder and register it.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -87,6 +88,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set: on a cluster it must name a folder that all executors share")
         key = id(spark.sparkContext)
         if key not in _PRIVATE_ROOTS:
             _PRIVATE_ROOTS[key] = tempfile.mkdtemp(prefix="rsvpflow-ckpt-")

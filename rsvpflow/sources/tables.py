@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import types as T
 
 __all__ = [
     "TEST_TABLES", "read_table", "read_table_any", "table_exists", "path_inventory", "spread", "read_tables", "read_file", "clean_header", "clean_headers",
-    "nan_to_null", "column_profile", "evolve_schema", "table_inventory", "row_count",
+    "nan_to_null", "align_names", "column_profile", "evolve_schema", "table_inventory", "row_count",
     "common_columns",
 ]
 
@@ -85,21 +84,28 @@ def clean_header(name: str | None, position: int, blank_rule: bool = True) -> st
     ``-`` -> ``_``; any other non-alphanumeric, non-underscore char -> ``_``.
     The key-column name gets the same replacements without the blank rule.
     """
-    if blank_rule and (name is None or (isinstance(name, float) and name != name) or str(name).strip() == ""):
+    if blank_rule and (name is None or str(name).strip() == "" or str(name).lower() == "nan"):
         return f"Unnamed_Column_{position + 1}"
     s = str(name).strip().replace(" ", "_").replace("#", "num").replace("-", "_")
-    return re.sub(r"[^a-zA-Z0-9_]", "_", s)
+    return "".join(c if c.isalnum() or c == "_" else "_" for c in s)  # letters of any script stay
 
 
 def clean_headers(df: DataFrame) -> DataFrame:
     """Apply S2 to every column (metadata-only rename, no data pass). Fails on collisions."""
     names = [clean_header(c, i) for i, c in enumerate(df.columns)]
-    dup = {n for n in names if names.count(n) > 1}
+    low = [n.lower() for n in names]  # column names ignore case
+    dup = {n for n in names if low.count(n.lower()) > 1}
     if dup:
         raise ValueError(f"header cleaning produced duplicate names: {sorted(dup)}")
     return df.toDF(*names)
 
 
+def align_names(df: DataFrame, target: DataFrame) -> DataFrame:
+    """``df`` with its columns spelled as in ``target`` where they differ in case only."""
+    spelled = {c.lower(): c for c in target.columns}
+    return df.toDF(*[spelled.get(c.lower(), c) for c in df.columns])
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN -> NULL on floating columns."""
     fl = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}

@@ -1,31 +1,36 @@
 """Streaming jobs.
 
-* T1 ``stream_apply_changes``: master rows arrive as a file stream; each row's change
-  events are generated in-stream (narrow), and every micro-batch folds its events into
-  a bucketed contacts table inside ``foreachBatch`` (copy-on-write of touched buckets).
-* T3 ``stream_invite_trend``: the daily invite trend kept up to date by a streaming
-  aggregation (state = one counter per calendar day, so it stays bounded).
-* T2/T4: ``trigger`` is a parameter (``processingTime="60 seconds"`` in service,
-  ``availableNow`` in tests); the change stream rewrites only touched hash buckets and the
-  trend writes snapshot ``v=<batchId>`` — a replayed batch rewrites the same data.
+* T1 ``start_change_stream`` / ``stream_apply_changes``: master rows arrive as a file stream; each row's change
+  events are generated in-stream (narrow), and every micro-batch appends what it changed to a delta table
+  (``deltas.py``), which is merged on read by the largest ``seq`` of an id and compacted every few batches.
+* T3 ``stream_invite_trend``: the daily invite trend kept up to date by a streaming aggregation in complete mode;
+  ``stream_invite_trend_windowed``: the same with a watermark and one-day windows, so that state is bounded by the
+  watermark and a trigger writes only the days that changed.
+* T2/T4: ``trigger`` is a parameter (``processingTime="60 seconds"`` in service, where ``start_change_stream`` returns
+  the running ``StreamingQuery``; ``availableNow`` in tests); a replayed batch rewrites its own folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from rsvpflow.functions.scalars import parse_date
 from rsvpflow.operators import contacts as C
 from rsvpflow.operators import reports as R
 from rsvpflow.plans import fixtures as X
 from rsvpflow.session import work_dir
 from rsvpflow.sources.tables import read_table
+from rsvpflow.streaming.deltas import append_changes, compact, current_contacts
 
 
 def stream_table(spark: SparkSession, base: str, name: str, files_per_trigger: int = 1) -> DataFrame:
-    """A parquet table as a file stream (glob, so a single-file table works too)."""
+    """A parquet table as a file stream."""
     schema = read_table(spark, base, name).schema
+    # a glob of this one name: a file and a folder of files are both found, ``<name>_old.parquet`` is not
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(f"{base.rstrip('/')}/{name}*.parquet"))
+            .parquet(f"{base.rstrip('/')}/{{{name}}}.parquet"))
 
 
 def streaming_master(spark: SparkSession, base: str) -> DataFrame:
@@ -41,6 +46,19 @@ def _run(query_builder, root: str, trigger: dict) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+def _write_snapshot(spark: SparkSession, batch: DataFrame, folder: str, batch_id: int) -> None:
+    """Write ``v=<batchId>`` and remove all but it and the one before (a reader may still hold that)."""
+    batch.write.mode("overwrite").parquet(f"{folder}/v={batch_id}")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(conf)
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("v=") and int(name[2:]) < batch_id - 1:
+            fs.delete(st.getPath(), True)
+
+
 def _latest(spark: SparkSession, root: str) -> str:
     """Folder of the newest snapshot (driver-side listing of folder names only)."""
     jvm = spark.sparkContext._jvm
@@ -50,25 +68,49 @@ def _latest(spark: SparkSession, root: str) -> str:
     return f"{root}/snapshots/v={max(versions)}"
 
 
-def stream_apply_changes(spark: SparkSession, base: str, trigger: dict | None = None,
-                         n_buckets: int = 64) -> DataFrame:
-    """Change-driven maintenance of the long contacts table; returns the table.
+def start_change_stream(spark: SparkSession, events: DataFrame, root: str, trigger: dict | None = None,
+                        compact_every: int = 50) -> StreamingQuery:
+    """Apply a streaming change feed ``(seq, op, id, old, new)`` to the delta table ``<root>/table``.
 
-    Each micro-batch folds its events into a bucketed table, rewriting only the buckets
-    its changed ids hash to (``jobs.apply_changes_bucketed``) — work per trigger grows with
-    the batch, not with the table.  A replayed batch rewrites the same buckets with the same
-    content (idempotent).
+    Returns the running query; by default it triggers every 60 seconds until it is stopped.  Work per trigger follows
+    the batch; every ``compact_every`` batches the deltas are merged into the base.
     """
-    from rsvpflow.plans.jobs import BUCKET_COL, apply_changes_bucketed
+    def apply_batch(batch: DataFrame, batch_id: int) -> None:
+        append_changes(spark, f"{root}/table", batch, batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            compact(spark, f"{root}/table", batch_id)
 
+    return (events.writeStream.foreachBatch(apply_batch).option("checkpointLocation", f"{root}/_checkpoint")
+            .trigger(**(trigger or {"processingTime": "60 seconds"})).start())
+
+
+def stream_apply_changes(spark: SparkSession, base: str, events: DataFrame | None = None, compact_every: int = 50) -> DataFrame:
+    """All changes that are there now, applied in micro-batches; returns the contacts table."""
     root = work_dir(spark, "stream-changes")
-    events = X.change_feed(streaming_master(spark, base))
+    feed = X.change_feed(streaming_master(spark, base)) if events is None else events
+    q = start_change_stream(spark, feed, root, {"availableNow": True}, compact_every)
+    q.awaitTermination()
+    return current_contacts(spark, f"{root}/table")
 
-    def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        apply_changes_bucketed(spark, f"{root}/table", batch, n_buckets, f"{root}/stage/b={batch_id}")
 
-    _run(events.writeStream.foreachBatch(apply_batch), root, trigger or {"availableNow": True})
-    return spark.read.parquet(f"{root}/table").drop(BUCKET_COL)
+def stream_invite_trend_windowed(spark: SparkSession, base: str, delay: str = "36500 days") -> DataFrame:
+    """Invites per day with a watermark and one-day windows (update mode).
+
+    State is one counter per day not older than ``delay`` before the latest invite; a row that comes later than that is
+    dropped by the watermark, as is its purpose.  Each trigger writes the days it changed to ``b=<batchId>``; of a
+    day's rows the one of the last batch counts.
+    """
+    root = work_dir(spark, "stream-trend-windowed")
+    days = C.standardize_master(streaming_master(spark, base)).select(parse_date("Invite_Dt").cast("timestamp").alias("ts"))
+    counted = (days.filter("ts is not null").withWatermark("ts", delay).groupBy(F.window("ts", "1 day"))
+               .agg(F.count(F.lit(1)).alias("invites")).select(F.to_date("window.start").alias("invite_date"), "invites"))
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{root}/days/b={batch_id}")
+
+    _run(counted.writeStream.outputMode("update").foreachBatch(write_batch), root, {"availableNow": True})
+    rows = spark.read.parquet(f"{root}/days/b=*")
+    return rows.groupBy("invite_date").agg(F.max_by("invites", "batch").alias("invites"))
 
 
 def stream_report(spark: SparkSession, base: str, report, trigger: dict | None = None,
@@ -82,7 +124,7 @@ def stream_report(spark: SparkSession, base: str, report, trigger: dict | None =
     agg = report(C.standardize_master(sm) if source == "master" else C.standardize_contacts(C.fan_out(sm)))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/snapshots/v={batch_id}")
+        _write_snapshot(spark, batch, f"{root}/snapshots", batch_id)
 
     _run(agg.writeStream.outputMode("complete").foreachBatch(write_batch), root, trigger or {"availableNow": True})
     return spark.read.parquet(_latest(spark, root))
@@ -94,7 +136,7 @@ def stream_invite_trend(spark: SparkSession, base: str, trigger: dict | None = N
     trend = R.invite_trend(C.standardize_master(streaming_master(spark, base)))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/snapshots/v={batch_id}")
+        _write_snapshot(spark, batch, f"{root}/snapshots", batch_id)
 
     _run(trend.writeStream.outputMode("complete").foreachBatch(write_batch), root,
          trigger or {"availableNow": True})

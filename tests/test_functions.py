@@ -73,3 +73,31 @@ def test_dates(spark):
 def test_header_clean():
     assert [clean_header(h, i) for i, h in enumerate(["", "Client Name", "# Invitees", "Circle-Back", "a.b"])] == [
         "Unnamed_Column_1", "Client_Name", "num_Invitees", "Circle_Back", "a_b"]
+
+
+def test_strip_is_python_strip(spark):
+    vals = ["\tjohn smith\n", "\u00a0x\u2003", " \x1f a b \x85", "\u3000", ""]
+    assert one_col(spark, vals, S.strip) == [v.strip() for v in vals]
+    assert one_col(spark, vals, S.title_case) == [v.strip().title() for v in vals]
+    assert one_col(spark, ["\n2 positive", "2\u00a0positive", "\t7\tx"], S.response_weight) == [2, 2, 7]
+    assert one_col(spark, ["\n2 positive", "2\u00a0positive", "Registered\n"], S.response_label) == ["Positive", "Positive", "Registered"]
+    assert one_col(spark, ["Registered\n", " \u00a0POSITIVE"], S.clean_response) == ["registered", "positive"]
+
+
+def test_dates_month_first_and_names(spark):
+    vals = ["05-03-2024", "25-03-2024", "12/25/2024", "25-Dec-2024", "25-DEC-2024", "25 dec 2024", "Dec 25, 2024", "2024-12-25T10:11:12",
+            "2024-12-25 10:11:12", "20241225", "2024/1/5", "nonsense", "13/13/2024", None]
+    assert [d and str(d) for d in one_col(spark, vals, S.parse_date)] == [
+        "2024-05-03", "2024-03-25", "2024-12-25", "2024-12-25", "2024-12-25", "2024-12-25", "2024-12-25", "2024-12-25", "2024-12-25",
+        "2024-12-25", "2024-01-05", None, None, None]
+
+
+def test_rates_round_like_python(spark):
+    pairs = [(1, 800), (1, 32), (3, 800), (7, 800), (2, 3), (0, 5)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a long, b long").orderBy("i")
+    assert [r[0] for r in df.select(S.conversion_rate(F.col("a"), F.col("b"))).collect()] == [round(a / b * 100, 2) for a, b in pairs]
+
+
+def test_headers_of_any_script():
+    assert clean_header("nan", 3) == "Unnamed_Column_4"
+    assert clean_header("Größe", 0) == "Größe" and clean_header("名前", 0) == "名前" and clean_header("a#b c-d.e", 0) == "anumb_c_d_e"

@@ -6,7 +6,8 @@ from rsvpflow.operators import contacts as C
 from rsvpflow.plans import fixtures as X
 from rsvpflow.plans import jobs as J
 from rsvpflow.session import work_dir
-from rsvpflow.streaming.changes import stream_apply_changes, stream_invite_trend
+from rsvpflow.streaming.changes import start_change_stream, stream_apply_changes, stream_invite_trend, stream_invite_trend_windowed
+from rsvpflow.streaming.deltas import append_changes, compact, current_contacts
 from rsvpflow.operators import reports as R
 from tests.conftest import SF_SMALL
 
@@ -66,35 +67,79 @@ def test_replicate_empty_source_leaves_target(spark):
     assert spark.read.parquet(f"{dst}/master").count() == m.count()
 
 
-def test_bucketed_apply_in_batches(spark):
-    """Copy-on-write of touched buckets, batch by batch, equals the full rebuild; replay is idempotent."""
+def test_delta_table_any_order_replay_and_compaction(spark):
+    """Batches in any order, replayed and compacted, equal the rebuild; a delete outlives an older event."""
     m = X.master(spark, SF_SMALL)
-    root = work_dir(spark, "bucketed")
-    J.write_bucketed(C.fan_out(m), f"{root}/table", 16)
-    feed = X.change_feed(m).filter(F.col("seq") >= X.CHANGE_OFFSET)
-    part1 = feed.filter(F.col("id") % 2 == 0)
-    part2 = feed.filter(F.col("id") % 2 == 1)
-    J.apply_changes_bucketed(spark, f"{root}/table", part1, 16, f"{root}/stage/1")
-    J.apply_changes_bucketed(spark, f"{root}/table", part1, 16, f"{root}/stage/1r")  # replay
-    J.apply_changes_bucketed(spark, f"{root}/table", part2, 16, f"{root}/stage/2")
-    got = spark.read.parquet(f"{root}/table").drop("bucket")
-    assert same_rows(got, C.rebuild_contacts(X.final_master(m)))
+    feed = X.change_feed(m)
+    root = work_dir(spark, "deltas")
+    later, first = feed.filter(F.col("seq") >= X.CHANGE_OFFSET), feed.filter(F.col("seq") < X.CHANGE_OFFSET)
+    want = C.rebuild_contacts(X.final_master(m))
+    append_changes(spark, root, later.filter("id % 2 = 0"), 0)
+    append_changes(spark, root, first, 1)
+    assert compact(spark, root) == 1
+    append_changes(spark, root, first, 2)  # older events once more
+    append_changes(spark, root, later.filter("id % 2 = 1"), 3)
+    append_changes(spark, root, later.filter("id % 2 = 1"), 3)  # replay
+    assert same_rows(current_contacts(spark, root), want)
+    assert compact(spark, root) == 3 and compact(spark, root) == 3
+    assert same_rows(current_contacts(spark, root), want)
+
+
+def test_delta_write_follows_the_batch(spark):
+    """A batch of 1 % of the rows writes 1 % of the rows."""
+    m = X.master(spark, SF_SMALL)
+    feed = X.change_feed(m)
+    root = work_dir(spark, "deltas")
+    append_changes(spark, root, feed, 0)
+    few = feed.filter((F.col("seq") >= X.CHANGE_OFFSET) & (F.col("id") % 100 == 1))
+    append_changes(spark, root, few, 1)
+    wrote, table = spark.read.parquet(f"{root}/delta/b=1").count(), spark.read.parquet(f"{root}/delta/b=0").count()
+    assert wrote == few.select("id").distinct().count() and wrote <= 0.03 * table
+
+
+def test_change_stream_runs_until_stopped(spark):
+    """With a processing-time trigger the running query comes back; T4: a restart goes on from its checkpoint."""
+    feed = X.change_feed(X.master(spark, SF_SMALL))
+    src, root = work_dir(spark, "feed"), work_dir(spark, "service")
+    feed.filter("id % 2 = 0").coalesce(1).write.parquet(src)
+    events = spark.readStream.schema(feed.schema).parquet(src)
+    q = start_change_stream(spark, events, root, {"processingTime": "1 second"})
+    q.processAllAvailable()
+    assert q.isActive
+    q.stop()
+    feed.filter("id % 2 = 1").coalesce(1).write.mode("append").parquet(src)
+    q = start_change_stream(spark, events, root, {"processingTime": "1 second"})
+    q.processAllAvailable()
+    q.stop()
+    assert same_rows(current_contacts(spark, f"{root}/table"), C.rebuild_contacts(X.final_master(X.master(spark, SF_SMALL))))
+
+
+def test_windowed_trend_equals_batch(spark):
+    m = X.master(spark, SF_SMALL)
+    assert same_rows(stream_invite_trend_windowed(spark, SF_SMALL), R.invite_trend(C.standardize_master(m)))
 
 
-def test_bucketed_apply_empties_bucket(spark):
-    rows = [(1, "I", 1), (2, "I", 2)]
+def test_empty_insert_batch_changes_nothing(spark):
     m = X.master(spark, SF_SMALL)
-    feed = X.change_feed(m)
-    root = work_dir(spark, "bucketed-empty")
-    one = feed.filter((F.col("op") == "I") & (F.col("id") == 1))
-    J.apply_changes_bucketed(spark, f"{root}/table", one, 4, f"{root}/s0")
-    assert spark.read.parquet(f"{root}/table").count() > 0
-    gone = one.select((F.col("seq") + 1).alias("seq"), F.lit("D").alias("op"), "id", F.col("new").alias("old"),
-                      F.lit(None).cast(one.schema["new"].dataType).alias("new"))
-    J.apply_changes_bucketed(spark, f"{root}/table", gone, 4, f"{root}/s1")
-    import os
-    left = [d for d in os.listdir(f"{root}/table") if d.startswith("bucket=")]
-    assert left == []
+    table = C.fan_out(m)  # not unique: nothing may be lost all the same
+    none = X.change_feed(m).limit(0)
+    for policy, keep, client in (("phone", "first", True), ("phone_client", "last", True), ("phone", "last", False)):
+        assert same_rows(C.apply_insert(table, none, policy, keep, overwrite_client=client), table)
+
+
+def test_cards_are_sorted_within_parts(spark):
+    """O1: each part file of a role lists its cards by client, then contact."""
+    import glob
+
+    d = C.unique_contacts(C.fan_out(X.master(spark, SF_SMALL)), "phone", "first")
+    root = work_dir(spark, "export")
+    J.export_cards_job(spark, d, f"{root}/ledger", f"{root}/cards", "2025-01-01")
+    parts = glob.glob(f"{root.removeprefix('file://')}/cards/batch_id=2025-01-01/role=*/part-*")
+    assert parts
+    for p in parts:
+        cards = [c for c in open(p, encoding="utf-8").read().split("\n\n") if c.strip()]
+        clients = [next(x for x in c.split("\n") if x.startswith("N:"))[2:].split(";")[0] for c in cards]
+        assert clients == sorted(clients, key=lambda x: (x != "Company", x))
 
 
 def test_standardize_job_then_reports(spark):

@@ -1,5 +1,6 @@
 """Merge operators vs a row-by-row simulation of the reference's MySQL statements."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -97,10 +98,34 @@ def sim_triggers(events):
     return sorted(((p, c, i, n) for (p, c), (i, n) in table.items()), key=str)
 
 
+def sim_strict(events):
+    """Strict mode, one event at a time: an attribute update rewrites whatever row has the phone, NULL clients never
+    collide, and the rows of a phone become one when their client is rewritten (UNIQUE key)."""
+    table = []  # [phone, client, id, name]
+    present = lambda p: p is not None and p != ""
+
+    def delete(phone, client):
+        table[:] = [r for r in table if not (client is not None and r[0] == phone and r[1] == client)]
+
+    for seq, op, old, new in sorted(events, key=lambda e: e[0]):
+        o, n = old and old["Phone_Number"], new and new["Phone_Number"]
+        moved = o is not None and n is not None and o != n
+        row = new and [n, new["Client_Name"], new["id"], new["Tax_Contact"]]
+        if present(o) and (op == "D" or (op == "U" and (not present(n) or moved))):
+            delete(o, old["Client_Name"])
+        if present(n) and (op == "I" or (op == "U" and moved)):
+            delete(n, new["Client_Name"])
+            table.append(row)
+        elif present(n) and op == "U" and any(r[0] == n for r in table):
+            table[:] = [r for r in table if r[0] != n] + [row]
+    return sorted((tuple(r) for r in table), key=str)
+
+
+@pytest.mark.parametrize("strict", [False, True])
 @SETTINGS
-@given(st.lists(st.tuples(st.sampled_from(["I", "U", "D"]), st.integers(0, 3), CLIENTS, PHONES), min_size=1,
-                max_size=12))
-def test_trigger_fold_matches_sequential(spark, ops):
+@given(ops=st.lists(st.tuples(st.sampled_from(["I", "U", "U", "D"]), st.integers(0, 3), CLIENTS, PHONES), min_size=1,
+                    max_size=12))
+def test_trigger_fold_matches_sequential(spark, ops, strict):
     from pyspark.sql import functions as F
 
     from rsvpflow.operators import contacts as C
@@ -127,6 +152,23 @@ def test_trigger_fold_matches_sequential(spark, ops):
     df = spark.createDataFrame([(s, o, (n or od)["id"], od, n) for s, o, od, n in events],
                                f"seq long, op string, id long, old {struct_type.simpleString()}, "
                                f"new {struct_type.simpleString()}")
-    got = C.apply_changes_by_phone(spark.createDataFrame([], C.fan_out(m0).schema), df, roles=("tax",))
+    got = C.apply_changes_by_phone(spark.createDataFrame([], C.fan_out(m0).schema), df, roles=("tax",), strict_reference=strict)
     got = sorted(((r["phone"], r["client"], r["id"], r["name"]) for r in got.collect()), key=str)
-    assert got == sim_triggers(events)
+    assert got == (sim_strict if strict else sim_triggers)(events)
+
+
+def test_strict_probes(spark):
+    """A row whose client an update rewrote is deleted under its new client only."""
+    from pyspark.sql import functions as F
+
+    from rsvpflow.operators import contacts as C
+    from rsvpflow.plans import fixtures as X
+
+    m0 = X.master(spark, "/root/testdata/sf0.001").limit(0)
+    kind = m0.select(F.struct(*m0.columns).alias("r")).schema["r"].dataType.simpleString()
+    a, b0, b1 = _master_row(1, "A", "p"), _master_row(2, "B", None), _master_row(2, "B", "p")
+    start = [(0, "I", 1, None, a), (1, "I", 2, None, b0), (2, "U", 2, b0, b1)]
+    for end, want in (((3, "D", 1, a, None), [("p", "B")]), ((3, "D", 2, b1, None), [])):
+        df = spark.createDataFrame(start + [end], f"seq long, op string, id long, old {kind}, new {kind}")
+        got = C.apply_changes_by_phone(spark.createDataFrame([], C.fan_out(m0).schema), df, roles=("tax",), strict_reference=True)
+        assert [(r["phone"], r["client"]) for r in got.collect()] == want
