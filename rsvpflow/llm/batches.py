@@ -36,7 +36,8 @@ def slices(batch: pa.RecordBatch, chars: int, rows: int) -> Iterator[pa.RecordBa
         if pa.types.is_string(col.type) or pa.types.is_large_string(col.type) or pa.types.is_binary(col.type):
             size += np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64)
         elif pa.types.is_list(col.type) or pa.types.is_large_list(col.type):
-            size += 8 * np.asarray(pc.fill_null(pc.list_value_length(col), 0), dtype=np.int64)
+            length = np.asarray(pc.fill_null(pc.list_value_length(col), 0), dtype=np.int64)
+            size += length * (1 + col.nbytes // max(1, int(length.sum())))
     lo = 0
     total = np.cumsum(size)
     while lo < batch.num_rows:

@@ -69,38 +69,66 @@ def curve_position(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return hilbert_key(cells.astype(np.int64))
 
 
-class _Pieces(dict):
-    """Token ids of a blank-delimited chunk as little-endian uint32 bytes; emptied when it holds ``most`` chunks."""
+class Memo(dict):
+    """``make(key)`` of the keys seen last: when ``most`` are held they become the old generation, looked up before making."""
 
-    def __init__(self, tok, most: int = 200_000):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.tok, self.most = tok, most
-
-    def learn(self, chunks: set[bytes]) -> None:
-        new = [c for c in chunks if c not in self]
-        if not new:
-            return
-        if len(self) + len(new) > self.most:
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-            new = list(chunks)
-        for c, enc in zip(new, self.tok.encode_batch([c.decode("utf-8", "replace") for c in new], add_special_tokens=False)):
-            self[c] = np.asarray(enc.ids, dtype="<u4").tobytes()
+        self[key] = value
+        return value
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else the next from U+0100."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) if b in plain else chr(256 + b - sum(p < b for p in plain)) for b in range(256)}
 
 
-def _make_pieces(blob: str) -> _Pieces:
-    import os
+def chunk_encoder(blob: str, most: int = 150_000):
+    """A memo from a blank-delimited chunk (UTF-8) to its token ids as little-endian uint32 bytes.
+
+    This vocabulary's tokenizer lower-cases, splits by its pattern and encodes the pieces one by one; it never joins
+    across blanks.  So a chunk of letters below U+0130, where lower-casing and normalization depend on no neighbour, is
+    split by the same pattern here and its pieces go to the library's model; other chunks, and those that may spell a
+    special token, go through the whole library tokenizer.
+    """
+    import json
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import regex
     from tokenizers import Tokenizer
 
-    return _Pieces(Tokenizer.from_str(blob))
+    tok = Tokenizer.from_str(blob)
+    pattern = json.loads(blob)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+    split, letters, model = regex.compile(pattern).findall, _byte_letters(), tok.model
+    pack = lambda ids: np.asarray(ids, dtype="<u4").tobytes()
+
+    def piece(p: str) -> bytes:
+        return pack([t.id for t in model.tokenize(p if p.isascii() and p.isprintable() else p.encode("utf-8").decode("latin-1").translate(letters))])
+
+    pieces = Memo(piece, most)
+
+    def chunk(c: bytes) -> bytes:
+        text = c.decode("utf-8", "replace")
+        if (c.isascii() or max(text) < "\u0130") and "<|" not in text:
+            low = text.lower()
+            return pieces[low] if low.isalpha() else b"".join([pieces[p] for p in split(low)])
+        return pack(tok.encode(text, add_special_tokens=False).ids)
+
+    return Memo(chunk, most)
 
 
-def _tokenize(cols: dict, cache: _Pieces) -> dict:
-    split = [words(t) for t in cols["text"]]  # this tokenizer never joins across blanks, so chunks encode alone
-    cache.learn(set().union(*split))
+def _tokenize(cols: dict, encode: Memo) -> dict:
     close = np.array([CLOSE], dtype="<u4").tobytes()
-    raw = [b"".join(map(cache.__getitem__, ws)) + close for ws in split]
+    raw = [b"".join(map(encode.__getitem__, words(t))) + close for t in cols["text"]]
     lengths = np.array([len(r) // 4 for r in raw], dtype=np.int64)
     ids = np.frombuffer(b"".join(raw), dtype="<u4")
     narrow = ids.astype("<u2") if int(ids.max(initial=0)) < 65536 else ids
@@ -112,7 +140,7 @@ def _tokenize(cols: dict, cache: _Pieces) -> dict:
 def tokens_on_curve(docs: DataFrame, tokenizer_json: str) -> DataFrame:
     """(doc_id, hkey, wide, ids): token ids as little-endian integers of ``wide`` bytes, closing id included."""
     blob = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_json).read_text(encoding="utf-8"))
-    return map_slices(id_text(docs), _tokenize, "doc_id long, hkey long, wide int, ids binary", setup=lambda: _make_pieces(blob.value))
+    return map_slices(id_text(docs), _tokenize, "doc_id long, hkey long, wide int, ids binary", setup=lambda: chunk_encoder(blob.value))
 
 
 def cut(documents: Iterator[tuple], length: int) -> Iterator[tuple]:

@@ -303,3 +303,20 @@ def test_pages_equal_articles(spark):
         texts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in parts]
         assert got[r.page_id].text == "\n".join(t for t in texts if t)
         assert got[r.page_id].n_chars == len(got[r.page_id].text)
+
+
+def test_chunks_encode_like_the_library():
+    from pathlib import Path
+
+    from tokenizers import Tokenizer
+
+    from rsvpflow.llm.batches import words
+
+    blob = Path(queries.tokenizer_path("word_bpe_49k.json")).read_text(encoding="utf-8")
+    tok, encode, rng = Tokenizer.from_str(blob), packing.chunk_encoder(blob, most=50), random.Random(15)
+    bits = ["a", "the", "É", "é", "ñ", "'s", "'LL", "'", "1", "２", "½", "ª", "!", "?!", "<|endoftext|>", "<|", "|>", "ß", "İ", "ı", "Σ", "ς", "́",
+            "é", " ", " ", "中", "😀", "ﬁ", "µ", "×", " ", "\n", "​", "ÿ", "Ā", "Ð", "\x00", "\x01", "\x1f", "\x7f", "\x85", "­", "﻿"]
+    for _ in range(8000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 12)))
+        got = np.frombuffer(b"".join(encode[w] for w in words(text)), "<u4").tolist()
+        assert got == tok.encode(text, add_special_tokens=False).ids, repr(text)
