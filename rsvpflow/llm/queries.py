@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rsvpflow.llm import chat, decontaminate, extract, language, lines, neardup, packing, private, quality, toxicity
 from rsvpflow.llm.batches import crc_mod
+from rsvpflow.llm.oracle import ORACLE_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,7 +67,8 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), size=4)
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES = {"op1_language": op1_language, "op2_extract": op2_extract, "op3_toxicity": op3_toxicity, "op4_private": op4_private,
            "op5_decontaminate": op5_decontaminate, "op6_lines": op6_lines, "op7_packing": op7_packing, "op8_quality": op8_quality,
            "op9_chat": op9_chat, "op10_neardup": op10_neardup}
-ORACLE_SQL: dict[str, str] = {}
