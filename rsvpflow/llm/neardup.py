@@ -7,10 +7,11 @@
 3. In every bucket each class is paired with the smallest one only.  Pairs whose signatures agree too little are dropped
    (5 standard deviations below the threshold), the others are confirmed on their full sets.
 4. Confirmed links make components by alternating large-star and small-star.
-5. Where a bucket still holds several components besides its centre, the classes of different components are compared by
-   signature in tiles of bounded size (the largest component's members only against the others), and confirmed like
-   before.  Classes already connected need no further comparison: it could not change a component.  So a component
-   is what all links above the threshold give, without writing out the pairs of a group.
+5. Where a bucket still holds several components besides its centre, the members of different components are compared
+   in tiles of bounded size (the largest component's only against the others): by signature, then on their full sets.
+   A tile returns no more links than join the components it can join.  Classes already connected need no further
+   comparison: it could not change a component.  So components are what all links above the threshold give, and
+   the pairs of a group are never written out.
 
 Defined cases: fewer than ``size`` words make one shingle of the whole sequence; no words or null text give an empty set,
 linked with nothing; rows with one id are one node, linked by any of their texts; a null id never represents a class that
@@ -31,6 +32,7 @@ from rsvpflow.session import checkpoint_root
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 TILE = 128
+TILE_SHINGLES = 1 << 20
 
 
 class _WordHash(dict):
@@ -109,11 +111,14 @@ def _features(cols: dict, state: dict) -> dict:
     return out
 
 
+def _agree_share(share: np.ndarray, n: int, threshold: float) -> np.ndarray:
+    """Shares of equal bytes, of ``n``, that pairs at the threshold reach: five standard deviations of slack."""
+    return share >= threshold - 5.3 * (threshold * (1 - threshold) / n) ** 0.5
+
+
 def _agree(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
-    """Pairs of one-byte signatures that may reach the threshold: five standard deviations of slack."""
-    n = a.shape[-1]
-    least = threshold - 5.3 * (threshold * (1 - threshold) / n) ** 0.5
-    return (a == b).sum(axis=-1) >= least * n
+    """Pairs of one-byte signatures that may reach the threshold."""
+    return _agree_share((a == b).mean(axis=-1), a.shape[-1], threshold)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -150,13 +155,19 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
+def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(id, s): full shingle sets of the given ids, as sorted 64-bit hashes."""
     def sets(cols, cache):
         x, sizes = shingle_sets(cols["text"], size, cache)
         at = starts_of(sizes)
         return {"id": cols["id"], "s": [x[i:i + n].tobytes() for i, n in zip(at.tolist(), sizes.tolist())]}
 
+    texts = docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").select("id", "text")
+    return map_slices(texts, sets, "id long, s binary", setup=_WordHash).filter("octet_length(s) > 0")
+
+
+def _confirm(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
     def check(cols, _):
         out = {"a": [], "b": []}
         for a, b, x, y in zip(cols["a"], cols["b"], cols["sa"], cols["sb"]):
@@ -167,9 +178,6 @@ def _confirm(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) ->
                 out["b"].append(b)
         return out
 
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").select("id", "text")
-    full = map_slices(texts, sets, "id long, s binary", setup=_WordHash).filter("octet_length(s) > 0").checkpoint()
     one = full.select(F.col("id").alias("a"), F.col("s").alias("sa"))
     two = full.select(F.col("id").alias("b"), F.col("s").alias("sb"))
     return map_slices(pairs.join(two, "b").join(one, "a").select("a", "b", "sa", "sb"), check, "a long, b long").distinct()
@@ -181,12 +189,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
     texts = id_text(docs)
     feats = map_slices(texts, _features, "doc_id long, n_shingles long, key binary, sig binary, buckets array<long>",
                        setup=lambda: {"size": size, "bands": bands, "rows": rows, "cache": _WordHash()}).checkpoint()
-    classes = feats.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    reps = (feats.join(classes, "key").filter("doc_id = rep").select("rep", "sig", "buckets")
-            .dropDuplicates(["rep", "sig"]))
-    sigs = reps.select(F.col("rep").alias("id"), "sig")
+    # equal sets have equal signatures, so any member's will do; copies meet before the shuffle
+    classes = (feats.filter("key is not null").groupBy("key")
+               .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("buckets").alias("buckets"))
+               .checkpoint())
+    sigs = classes.filter("rep is not null").select(F.col("rep").alias("id"), "n", "sig")
 
-    banded = reps.select(F.col("rep").alias("id"), F.explode("buckets").alias("bucket"))
+    banded = classes.filter("rep is not null").select(F.col("rep").alias("id"), F.explode("buckets").alias("bucket"))
     centres = banded.groupBy("bucket").agg(F.min("id").alias("c"), F.max("id").alias("last")).filter("c != last")
     star = banded.join(centres.select("bucket", "c"), "bucket").filter("id != c").checkpoint()
 
@@ -200,64 +209,107 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
     pairs = star.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
     signed = (pairs.join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
               .join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a"))
-    links = _confirm(map_slices(signed.select("a", "b", "sa", "sb"), filter_signatures, "a long, b long").distinct().checkpoint(),
-                     texts, size, threshold).checkpoint()
+    likely = map_slices(signed.select("a", "b", "sa", "sb"), filter_signatures, "a long, b long").distinct().checkpoint()
+    ids = star.select("id").unionByName(star.select(F.col("c").alias("id"))).distinct()
+    full = _sets(texts, ids, size).checkpoint()  # once, for both rounds of confirmation
+    links = _confirm(likely, full, threshold).checkpoint()
     comp = components(links)
 
-    more = _confirm(_open_pairs(star, comp, sigs, threshold).checkpoint(), texts, size, threshold).checkpoint()
+    more = _open_links(star, comp, sigs, full, threshold).checkpoint()
     if not more.isEmpty():
         comp = components(links.unionByName(more))
 
-    label = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
+    label = classes.select("key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
     alone = comp.select(F.col("node").alias("doc_id"), F.col("component").alias("of"))
-    full = feats.filter("key is not null").select("doc_id", "n_shingles", "key").join(label, "key").select("doc_id", "n_shingles", "component_id")
+    found = feats.filter("key is not null").select("doc_id", "n_shingles", "key").join(label, "key").select("doc_id", "n_shingles", "component_id")
     none = (feats.filter("key is null").select("doc_id", "n_shingles").join(alone, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("of", "doc_id").alias("component_id")))
-    return full.unionByName(none).withColumn("kept", F.expr("doc_id <=> component_id"))
+    return found.unionByName(none).withColumn("kept", F.expr("doc_id <=> component_id"))
 
 
-def _open_pairs(star: DataFrame, comp: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
-    """Pairs from different components that share a bucket, are not its centre and agree in signature."""
+def spanning_links(left: list, right: list, same: bool, threshold: float) -> list[tuple[int, int]]:
+    """Links between members of different components that join all components which the given pairs can join.
+
+    Members are (id, comp, sig, s); pairs are those of ``left`` and ``right`` (``same``: of one list with itself).
+    Pairs whose signatures agree are compared on their full sets, but for those already joined through others here.
+    """
+    p, q = (np.stack([np.frombuffer(m["sig"], np.uint8) for m in side]) for side in (left, right))
+    cp, cq = (np.array([m["comp"] for m in side]) for side in (left, right))
+    score = np.stack([(p[i][None, :] == q).mean(axis=1) for i in range(len(left))])
+    ok = _agree_share(score, p.shape[1], threshold) & (cp[:, None] != cq[None, :])
+    if same:
+        ok &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
+    i_all, j_all = np.nonzero(ok)
+    if not len(i_all):
+        return []
+    sp, sq = ([np.frombuffer(m["s"], np.uint64) for m in side] for side in (left, right))
+    common = None
+    if len(i_all) > len(left) + len(right):  # many: all intersections at once, as a product of incidence matrices
+        used = [sp[i] for i in range(len(left))] + [sq[j] for j in range(len(right))]
+        words, inv = np.unique(np.concatenate(used), return_inverse=True)
+        if len(words) * len(used) <= 1 << 24:
+            m = np.zeros((len(used), len(words)), np.float32)
+            m[np.repeat(np.arange(len(used)), [len(u) for u in used]), inv] = 1
+            common = m[:len(left)] @ m[len(left):].T
+            sizes = m.sum(axis=1)
+            ok &= common >= threshold * (sizes[:len(left), None] + sizes[None, len(left):] - common) - 1e-4
+            i_all, j_all = np.nonzero(ok)
+    boss: dict[int, int] = {}
+
+    def find(x):
+        while boss.get(x, x) != x:
+            x = boss[x]
+        return x
+
+    out = []
+    for k in np.argsort(-score[i_all, j_all], kind="stable").tolist():
+        i, j = int(i_all[k]), int(j_all[k])
+        a, b = find(int(cp[i])), find(int(cq[j]))
+        if a == b:
+            continue
+        both = round(float(common[i, j])) if common is not None else len(np.intersect1d(sp[i], sq[j], assume_unique=True))
+        if both >= threshold * (len(sp[i]) + len(sq[j]) - both) - 1e-9:
+            boss[max(a, b)] = min(a, b)
+            out.append((left[i]["id"], right[j]["id"]))
+    return out
+
+
+def _open_links(star: DataFrame, comp: DataFrame, sigs: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between different components whose members share a bucket of which neither is the centre."""
     known = star.join(comp.select(F.col("node").alias("id"), "component"), "id", "left").select(
         "bucket", "id", F.coalesce("component", "id").alias("comp"))
-    per_comp = known.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("x"))
-    per = (per_comp.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("n", "comp")).alias("top"),
-                                          F.sum("n").alias("n"), F.sum("x").alias("x")).filter("lo != hi"))
-    # buckets of one membership are compared once
-    todo = per.groupBy("n", "x").agg(F.min(F.struct("bucket", "top")).alias("b")).select(
+    mixed = (known.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("bucket"))
+    rows = known.join(mixed, "bucket", "left_semi").join(sigs.select("id", "n"), "id")
+    per_comp = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("w"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("x"))
+    per = per_comp.groupBy("bucket").agg(F.max(F.struct("n", "comp", "w")).alias("top"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.sum("x").alias("x"))
+    # buckets of one membership are compared once; a tile side has about TILE members and TILE_SHINGLES shingles
+    parts = lambda n, w: F.greatest(F.ceil(n / TILE), F.ceil(w / TILE_SHINGLES)).cast("long")
+    todo = per.groupBy("n", "x").agg(F.min_by(F.struct("bucket", "top", "w"), F.col("bucket")).alias("b")).select(
         F.col("b.bucket").alias("bucket"), F.col("b.top.comp").alias("main"),
-        F.ceil((F.col("n") - F.col("b.top.n")) / TILE).alias("nx"), F.ceil(F.col("b.top.n") / TILE).alias("ny"))
-    spread = known.join(todo, "bucket")
+        parts(F.col("n") - F.col("b.top.n"), F.col("b.w") - F.col("b.top.w")).alias("nx"), parts(F.col("b.top.n"), F.col("b.top.w")).alias("ny"))
     at = lambda n: F.pmod(F.xxhash64("id"), n)
-    others = spread.filter("comp != main").withColumn("i", at(F.col("nx"))).join(sigs, "id")
-    largest = spread.filter("comp = main").withColumn("i", at(F.col("ny"))).join(sigs, "id")
-    cols = ["bucket", "x", "y", "side", "id", "comp", "sig"]
-    # tile (x, y) of the others among themselves, x <= y, and tile (x, -1 - y) of the others and the largest component
-    tiles = (others.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nx") - 1)).alias("k"))
-             .select("bucket", F.least("i", "k").alias("x"), F.greatest("i", "k").alias("y"), F.when(F.col("i") <= F.col("k"), 0).otherwise(1).alias("side"), "id", "comp", "sig")
-             .unionByName(others.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ny") - 1)).alias("k"))
-                          .select("bucket", F.col("i").alias("x"), (-1 - F.col("k")).alias("y"), F.lit(0).alias("side"), "id", "comp", "sig"))
-             .unionByName(largest.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nx") - 1)).alias("k"))
-                          .select("bucket", F.col("k").alias("x"), (-1 - F.col("i")).alias("y"), F.lit(1).alias("side"), "id", "comp", "sig"))
-             .select(*cols))
-    grouped = tiles.groupBy("bucket", "x", "y").agg(F.collect_list(F.struct("side", "id", "comp", "sig")).alias("members"))
+    zero = F.lit(0).cast("long")
+    spread = rows.select("bucket", "id", "comp").join(todo, "bucket").withColumn("rest", F.col("comp") != F.col("main"))
+    others = spread.filter("rest").withColumn("i", at(F.col("nx")))
+    largest = spread.filter("not rest").withColumn("i", at(F.col("ny")))
+    # tile (x, y), x <= y, of the others among themselves, and tile (x, -1 - y) of the others and the largest component
+    tiles = (others.select("*", F.explode(F.sequence(zero, F.col("nx") - 1)).alias("k"))
+             .select("bucket", F.least("i", "k").alias("x"), F.greatest("i", "k").alias("y"), (F.col("i") > F.col("k")).alias("right"), "id", "comp")
+             .unionByName(others.select("*", F.explode(F.sequence(zero, F.col("ny") - 1)).alias("k"))
+                          .select("bucket", F.col("i").alias("x"), (-1 - F.col("k")).alias("y"), F.lit(False).alias("right"), "id", "comp"))
+             .unionByName(largest.select("*", F.explode(F.sequence(zero, F.col("nx") - 1)).alias("k"))
+                          .select("bucket", F.col("k").alias("x"), (-1 - F.col("i")).alias("y"), F.lit(True).alias("right"), "id", "comp")))
+    filled = tiles.join(sigs.select("id", "sig"), "id").join(full, "id")
+    grouped = filled.groupBy("bucket", "x", "y").agg(F.collect_list(F.struct("right", "id", "comp", "sig", "s")).alias("members"))
 
     def compare(cols, _):
-        out = {"a": [], "b": []}
+        out = []
         for x, y, members in zip(cols["x"], cols["y"], cols["members"]):
-            left = [m for m in members if m["side"] == 0]
-            right = left if x == y else [m for m in members if m["side"] == 1]
-            if not left or not right:
-                continue
-            p, q = (np.stack([np.frombuffer(m["sig"], np.uint8) for m in s]) for s in (left, right))
-            cp, cq = (np.array([m["comp"] for m in s]) for s in (left, right))
-            ip, iq = (np.array([m["id"] for m in s]) for s in (left, right))
-            for i in range(len(left)):
-                ok = _agree(p[i][None, :], q, threshold) & (cq != cp[i])
-                for j in np.flatnonzero(ok).tolist():
-                    out["a"].append(int(min(ip[i], iq[j])))
-                    out["b"].append(int(max(ip[i], iq[j])))
-        return out
+            left = [m for m in members if not m["right"]]
+            right = left if x == y else [m for m in members if m["right"]]
+            if left and right:
+                out += spanning_links(left, right, x == y, threshold)
+        return {"a": [min(e) for e in out], "b": [max(e) for e in out]}
 
     return map_slices(grouped, compare, "a long, b long", rows=64).distinct()
 
