@@ -54,3 +54,32 @@ def test_scan_prunes_columns(spark):
     plan = plan_of(queries()["invite_trend"](spark, SF_SMALL))
     scans = [l for l in plan.split("\n") if "FileScan parquet" in l and "orders" in l]
     assert scans and all("o_totalprice" not in l for l in scans)
+
+
+def test_fan_out_is_generated_code(spark):
+    from rsvpflow.operators import contacts as C
+    from rsvpflow.plans import fixtures as X
+
+    df = C.fan_out(X.master(spark, SF_SMALL))
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert any("Generate explode" in line and "*(" in line for line in text.splitlines()), text
+
+
+def test_reconcile_reads_key_columns_only(spark):
+    plan = plan_of(QUERIES["reconcile"](spark, SF_SMALL))
+    assert "o_orderpriority" not in plan and "c_mktsegment" not in plan
+
+
+def test_broadcast_has_row_and_byte_bounds(spark):
+    from rsvpflow.operators import joins as JN
+
+    keys = spark.range(1000).selectExpr("cast(id as string) as k", "repeat('x', 1000) as payload")
+    big = spark.range(5000).selectExpr("cast(id as string) as k")
+    assert JN.fits_broadcast(keys)[1] and not JN.fits_broadcast(keys, 999)[1]
+    spark.conf.set(JN.BROADCAST_MAX_BYTES_CONF, "1000000")
+    try:
+        assert not JN.fits_broadcast(keys)[1] and not JN.fits_broadcast(keys, materialize=False)[1]
+        assert JN.key_join(big, keys, "k").count() == 1000
+    finally:
+        spark.conf.unset(JN.BROADCAST_MAX_BYTES_CONF)
