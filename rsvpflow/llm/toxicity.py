@@ -18,7 +18,6 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import numpy as np
@@ -30,41 +29,55 @@ from rsvpflow.llm.batches import id_text, keep_rows, map_slices, share
 SCHEMA = "doc_id long, score double, predicted int, similarity double, evidence array<long>"
 BLOCK = 64
 PREFIXES = (4, 5, 6, 7)
-_WORD = re.compile(r"[^\W\d_]+")
+#: Maps every ASCII byte but letters to a blank; bytes of longer characters stay.
+_TO_BLANK = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
-def terms(text: str | None) -> Counter:
-    """Counts of words (w:) and of the first four to seven letters of longer ones (p:)."""
-    out: Counter = Counter()
-    if text:
-        for w, n in Counter(_WORD.findall(text.lower())).items():
-            out["w:" + w] += n
-            for size in PREFIXES:
-                if len(w) > size:
-                    out["p:" + w[:size]] += n
-    return out
+def tokens(text: str | None) -> list[bytes]:
+    """Lower-cased words: runs of ASCII letters and of characters beyond ASCII, as UTF-8."""
+    return text.lower().encode("utf-8", "replace").translate(_TO_BLANK).split() if text else []
+
+
+def names(word: bytes) -> list[str]:
+    """The features of a word: itself (w:) and, of longer ones, the first four to seven letters (p:)."""
+    s = word.decode("utf-8", "replace")
+    return ["w:" + s] + ["p:" + s[:n] for n in PREFIXES if len(s) > n]
 
 
 class Features:
-    """Term numbers of a word, kept for the words of the last texts; emptied when it holds ``most`` words."""
+    """Feature numbers of texts.  Words without a feature are remembered as a set, up to ``most`` of them."""
+
+    def __init__(self, vocab: dict[str, int], most: int = 300_000):
+        self.vocab, self.most, self.known, self.none = vocab, most, {}, set()
+
+    def _words(self, ws: list[bytes]) -> list[bytes]:
+        """The distinct words that have features."""
+        out = []
+        for w in set(ws).difference(self.none):
+            if w not in self.known:
+                got = tuple(self.vocab[t] for t in names(w) if t in self.vocab)
+                if not got:
+                    if len(self.none) >= self.most:
+                        self.none.clear()
+                    self.none.add(w)
+                    continue
+                if len(self.known) >= self.most:
+                    self.known.clear()
+                self.known[w] = got
+            out.append(w)
+        return out
 
-    def __init__(self, vocab: dict[str, int], most: int = 200_000):
-        self.vocab, self.most, self.cache = vocab, most, {}
+    def present(self, text: str | None) -> set[int]:
+        return {t for w in self._words(tokens(text)) for t in self.known[w]}
 
     def __call__(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = {}
-        if not text:
-            return out
-        cache, vocab = self.cache, self.vocab
-        for w in _WORD.findall(text.lower()):
-            got = cache.get(w)
-            if got is None:
-                if len(cache) >= self.most:
-                    cache.clear()
-                names = ["w:" + w] + ["p:" + w[:n] for n in PREFIXES if len(w) > n]
-                got = cache[w] = tuple(vocab[t] for t in names if t in vocab)
-            for t in got:
-                out[t] = out.get(t, 0) + 1
+        ws, out = tokens(text), {}
+        hit = self._words(ws)
+        if hit:
+            count = Counter(filter(set(hit).__contains__, ws))
+            for w in sorted(hit):
+                for t in self.known[w]:
+                    out[t] = out.get(t, 0) + count[w]
         return out
 
 
@@ -163,11 +176,11 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column, per_class: int =
     def presence(cols, _):
         yes, no, n1, n0 = Counter(), Counter(), 0, 0
         for t, y in zip(cols["text"], cols["y"]):
-            (yes if y else no).update(terms(t).keys())
+            (yes if y else no).update({x for w in set(tokens(t)) for x in names(w)})
             n1, n0 = n1 + (y == 1), n0 + (y == 0)
         yes[""], no[""] = n1, n0
-        names = list(yes.keys() | no.keys())
-        return {"t": names, "a": [yes[t] for t in names], "b": [no[t] for t in names]}
+        keys = list(yes.keys() | no.keys())
+        return {"t": keys, "a": [yes[t] for t in keys], "b": [no[t] for t in keys]}
 
     seen = (map_slices(sample.filter("index").select("text", "y"), presence, "t string, a long, b long")
             .groupBy("t").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
@@ -185,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column, per_class: int =
     def frequencies(cols, features):
         df: Counter = Counter()
         for t in cols["text"]:
-            df.update(features(t).keys())
+            df.update(features.present(t))
         df[-1] += len(cols["text"])
         return {"t": list(df), "n": list(df.values())}
 
