@@ -42,6 +42,10 @@ def test_quality_counts_equal_plain_version(spark, clash):
     assert got == sorted(((i, *plain_quality(t)) for i, t in rows), key=str)
 
 
+def test_quality_of_nothing(spark):
+    assert quality.quality_rules(docs_table(spark, hard_rows()).limit(0)).count() == 0
+
+
 def test_quality_on_documents(spark):
     rows = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = queries.op8_quality(spark, SF).collect()
