@@ -65,8 +65,6 @@ ANALYSIS_FIELDS = ("client", "Practice_Head", "Partner", "Invite_Status", "numIn
 DETAILS_FIELDS = ("client", "numRegistrations", "name", "designation", "email", "phone",
                   "contact_response")
 
-AUDIT_COLS = ("id", "S_No", "Data_Insert_Time", "Last_Updated")
-
 
 def derived_name(spec: RoleSpec, field: str) -> str:
     """Name of a long-table field inside the role's derived table."""

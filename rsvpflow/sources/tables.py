@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 __all__ = [
-    "TEST_TABLES", "read_table", "read_table_any", "table_exists", "path_inventory", "spread", "read_tables", "read_file", "clean_header", "clean_headers",
-    "nan_to_null", "align_names", "column_profile", "evolve_schema", "table_inventory", "row_count",
+    "TEST_TABLES", "read_table", "read_table_any", "table_exists", "path_inventory", "read_file", "clean_header", "clean_headers",
+    "nan_to_null", "align_names", "column_profile", "evolve_schema", "row_count",
     "common_columns",
 ]
 
@@ -43,24 +43,6 @@ def read_table_any(spark: SparkSession, base: str, names: Sequence[str]) -> Data
     raise FileNotFoundError(f"none of {list(names)} under {base}")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an input that has fewer scan splits than the cluster has cores.
-
-    A single-row-group file is one scan task, so every per-row expression above it
-    would run on one core.  Large inputs (many files / row groups) already have
-    >= cores splits and are returned untouched — no shuffle is added at scale.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
-
-
-def read_tables(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    return {n: read_table(spark, base, n) for n in names}
-
-
 def read_file(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | str | None = None,
               header: bool = True, mode: str = "PERMISSIVE", null_value: str = "\\N", **options) -> DataFrame:
     """Tabular file scan (re-aimed spreadsheet load). Declare ``schema`` in production."""
@@ -187,15 +169,3 @@ def path_inventory(spark: SparkSession, base: str, names: Sequence[str]) -> Data
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def table_inventory(tables: dict[str, DataFrame]) -> DataFrame:
-    """Existence + row count of every table, one ``unionByName`` of per-table counts.
-
-    Parquet counts are answered from footers, so this is metadata-cheap at scale.
-    """
-    parts = [row_count(df, name) for name, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

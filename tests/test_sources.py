@@ -51,3 +51,27 @@ def test_export_report_roundtrip_keeps_null_vs_empty(spark):
     SK.export_report(df, path)
     back = T.read_file(spark, path, "csv", schema=df.schema).first()
     assert tuple(back) == ("", None, " pad ")
+
+
+def test_table_name_fallback(spark):
+    import pytest
+
+    from rsvpflow.session import work_dir
+    from rsvpflow.sources.tables import read_table_any
+
+    base = work_dir(spark, "names")
+    spark.range(3).write.parquet(f"{base}/tax_persons_analysis.parquet")
+    assert read_table_any(spark, base, ["Tax_Persons_Analysis", "tax_persons_analysis"]).count() == 3
+    with pytest.raises(FileNotFoundError):
+        read_table_any(spark, base, ["other"])
+
+
+def test_load_and_sync_resolves_names_without_case(spark):
+    from rsvpflow.plans.jobs import load_and_sync
+
+    target = spark.createDataFrame([("A", 1, "old")], "client_name string, row_no long, v string")
+    raw = spark.createDataFrame([("a", 2, "new"), ("B", 3, "b")], "`Client Name` string, `Row No` long, V string")
+    res, counts = load_and_sync(spark, raw, target, "Client Name", "Row No", "upsert", case_insensitive=True)
+    assert res.columns == target.columns and sorted(map(tuple, res.collect())) == [("A", 2, "new"), ("B", 3, "b")]
+    _, counts = load_and_sync(spark, raw, target, "Client Name", "Row No", "insert", case_insensitive=True)
+    assert {r["action"]: r["row_count"] for r in counts.collect()} == {"inserted": 1, "ignored": 1}
