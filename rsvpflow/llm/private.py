@@ -31,6 +31,7 @@ SCHEMA = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_DIGIT = re.compile(r"[0-9]")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -82,6 +83,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             out.append((start, 0, m.end()))
             last = m.end()
         at = text.find("@", max(at + 1, last))
+    if not _DIGIT.search(text):  # the other kinds consist of digits
+        return out
     for m in _DOTTED.finditer(text):  # a maximal dotted number: addresses are its parts, four at a time
         if m.group().count(".") < 3:
             continue
@@ -104,8 +107,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def wide_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates of the wider patterns that touch no base span."""
     out = []
+    digit = _DIGIT.search(text) is not None
+    may = {"email": any(c in text for c in "[({"), "ip": text.count(":") >= 7, "card": digit, "phone": digit}
     for name, pattern in _WIDE:
-        if name == "email" and "at" not in text and "@" not in text and "AT" not in text:
+        if not may[name]:  # the pattern needs what the text lacks
             continue
         for m in pattern.finditer(text):
             out.append((m.start(), KINDS.index(name), m.end()))
