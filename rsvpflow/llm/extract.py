@@ -3,14 +3,17 @@
 1. A page is read into blocks of text in page order.  Markup, scripts, styles and elements that announce menus, headers,
    footers, sidebars, notices, adverts, forms or comments (by tag, role, class or id) leave no block; a block knows
    whether it stands inside an article element.
-2. Pages are range-sorted by (host, hash of the page id), so a host of any size is dealt over many tasks, and each run of
-   pages of one host is taken in chunks of at most ``chunk_pages`` pages.  The token streams of a chunk's distinct pages
-   are concatenated and their suffixes sorted (prefix doubling) to a depth of ``depth`` tokens.  Equal neighbours in that
-   order are substrings of at least ``depth`` tokens that repeat; those on enough distinct pages are boilerplate of the
-   host.  Longer repeats are covered by their windows.
-3. A block whose tokens are covered by boilerplate is removed; blocks with unique runs stay.  Inside an article a repeat
-   must stand on half of the chunk's pages, at least eight, elsewhere on a fifth, at least three.  If a page has article
-   blocks, only those remain.
+2. Read pages are range-sorted by (host, hash of the page id), so a host of any size is dealt over many tasks, and stored.
+   Each run of pages of one host is taken in chunks of at most ``chunk_pages`` pages.  The suffixes of a chunk's pages are
+   sorted to a depth of ``depth`` tokens, by a 64-bit hash of those tokens, which gives (host, hash, pages of the chunk).
+   Chunks only sum up: the pages of a substring are added over all chunks of the host, also where a chunk has it once, and
+   what repeats is decided on the host's distinct pages.  Longer repeats are covered by their windows.
+3. Inside an article a repeat must stand on half of the host's pages, at least eight, elsewhere on a fifth, at least three
+   and at most ``enough``.  A substring on half of a host's pages is on half of the pages of some chunk, so on hosts that
+   have articles only, those substrings are searched first and only they are counted; if they are too many to send to the
+   tasks, and on all other hosts, all substrings are counted.
+4. A block whose tokens are covered by boilerplate is removed; blocks with unique runs stay.  If a page has article blocks,
+   only those remain.
 
 Defined cases: null html counts as empty and gives an empty text; pages with null url, id or no host are a host of their
 own; repeated pages count once towards boilerplate and give a row each; extra columns are ignored; an empty table gives
@@ -19,6 +22,7 @@ an empty result.  Pages are read whole, however long; a task holds one chunk.
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
 
@@ -27,8 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rsvpflow.llm.batches import arrow_schema, slices
+from rsvpflow.llm.batches import arrow_schema, map_slices, share, slices
+from rsvpflow.operators.joins import fits_broadcast, key_join, materialized
+from rsvpflow.session import work_dir
 
+DEPTH = 8
+#: Salts of a host's substring where the boilerplate is too large to send to the tasks.
+SALTS = 16
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long, n_boilerplate long"
 
 _TAG = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
@@ -147,98 +156,219 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
     return out
 
 
-def boilerplate(streams: list[list[list[str]]], strong: list[list[bool]], depth: int = 8, share: float = 0.2, least: int = 3) -> list[list[bool]]:
-    """Blocks of each page that boilerplate covers.
+class Suffixes:
+    """Hashes of the first ``DEPTH`` tokens of a page's suffixes; 1 ends a block and 0 the page."""
 
-    ``streams`` has the tokens of each block of each page; ``strong`` marks blocks that need a repeat on half of the
-    pages, at least eight.  Suffixes of the concatenated streams are sorted to ``depth`` tokens by prefix doubling.
-    """
-    out = [[False] * len(page) for page in streams]
-    seen: dict[tuple, int] = {}
-    twin = [seen.setdefault(tuple(tuple(b) for b in page), i) for i, page in enumerate(streams)]
-    pages = sorted(set(twin))
-    if len(pages) < least:
-        return out
-    number: dict[str, int] = {}
-    toks, page_of, block_of = [], [], []
-    for p in pages:
-        for b, body in enumerate(streams[p]):
-            ids = [number.setdefault(w, len(number) + 2) for w in body] + [1]  # 1 ends a block, 0 a page
-            toks += ids
-            page_of += [p] * len(ids)
-            block_of += [b] * len(ids)
+    def __init__(self, most: int = 500_000):
+        self.known: dict[str, int] = {}
+        self.most = most
+
+    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(token hashes, block numbers) of a page; the end of the page has block -1."""
+        if len(self.known) > self.most:
+            self.known.clear()
+        known, toks, sizes = self.known, [], []
+        for text in texts:
+            ws = text.split()
+            for w in ws:
+                if w not in known:
+                    known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little") | 2
+            toks += [known[w] for w in ws]
+            toks.append(1)
+            sizes.append(len(ws) + 1)
         toks.append(0)
-        page_of.append(p)
-        block_of.append(-1)
-    page_at, block_at = np.array(page_of), np.array(block_of)
-    rank = np.array(toks, dtype=np.int64)
-    n, width = len(rank), 1
-    if n <= depth:
-        return out
-    while width < depth:
-        step = min(width, depth - width)
-        pair = rank[:-step] * (int(rank.max()) + 1) + rank[step:]
-        rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-        width += step
-    inside = np.flatnonzero(page_at[:len(rank)] == page_at[depth - 1:])
-    order = inside[np.argsort(rank[inside], kind="stable")]  # the suffix array, sorted to the depth
-    group = rank[order]
-    pair = np.unique(np.stack([group, page_at[order]], axis=1), axis=0)
-    spread = np.bincount(pair[:, 0], minlength=len(rank) + 1)  # distinct pages of each substring
-    count = spread[rank[inside]]
-    for strict in (False, True):
-        need = max(8, len(pages) / 2) if strict else max(least, share * len(pages))
-        start = inside[count >= need]
-        cover = np.zeros(n + 1, dtype=np.int64)
-        np.add.at(cover, start, 1)
-        np.add.at(cover, start + depth, -1)
-        covered = np.cumsum(cover[:-1]) > 0
-        word = np.array(toks) > 1
-        key = page_at * (int(block_at.max(initial=0)) + 2) + block_at + 1
-        uniq, inv = np.unique(key, return_inverse=True)
-        total, hit = np.bincount(inv, weights=word), np.bincount(inv, weights=word & covered)
-        gone = set(uniq[(total > 0) & (hit >= 0.8 * total)].tolist())
-        for p in pages:
-            for b in range(len(streams[p])):
-                if strong[p][b] == strict and p * (int(block_at.max(initial=0)) + 2) + b + 1 in gone:
-                    out[p][b] = True
-    return [out[t] for t in twin]
-
-
-def _chunk(rows: list[tuple]) -> list[tuple]:
-    parsed = [blocks(r[2]) for r in rows]
-    gone = boilerplate([[t.split() for t, _ in page] for page in parsed], [[a for _, a in page] for page in parsed])
-    out = []
-    for (page_id, url, _), page, drop in zip(rows, parsed, gone):
-        left = [(t, a) for (t, a), d in zip(page, drop) if not d]
-        text = "\n".join(t for t, a in left if a or not any(x for _, x in left))
-        out.append((page_id, url, text, len(text), len(page), sum(drop)))
-    return out
+        return np.array(toks, dtype=np.uint64), np.append(np.repeat(np.arange(len(sizes)), sizes), -1)
+
+    def __call__(self, toks: np.ndarray) -> np.ndarray:
+        n = len(toks) - DEPTH + 1
+        if n <= 0:
+            return np.zeros(0, dtype=np.int64)
+        out = np.zeros(n, dtype=np.uint64)
+        for j in range(DEPTH):
+            out = out * np.uint64(0x9E3779B97F4A7C15) + toks[j:j + n]
+            out ^= out >> np.uint64(29)
+        return out.view(np.int64)
+
+
+def covered(toks: np.ndarray, block: np.ndarray, flags: bytes, start: np.ndarray, strict: np.ndarray) -> list[bool]:
+    """Blocks of a page that boilerplate covers, given the places where it starts; article blocks need a strict one."""
+    out = np.zeros(len(flags), dtype=bool)
+    if not len(flags) or not len(start):
+        return out.tolist()
+    word = toks > 1
+    total = np.bincount(block[:-1], weights=word[:-1], minlength=len(flags))
+    for kind in (False, True):
+        at = start[strict] if kind else start
+        cover = np.zeros(len(toks) + DEPTH + 1, dtype=np.int64)
+        np.add.at(cover, at, 1)
+        np.add.at(cover, at + DEPTH, -1)
+        hit = np.bincount(block[:-1], weights=(word & (np.cumsum(cover)[:len(toks)] > 0))[:-1], minlength=len(flags))
+        out |= (total > 0) & (hit >= 0.8 * total) & (np.frombuffer(flags, np.uint8) == kind)
+    return out.tolist()
+
+
+def _unpack(blob: bytes, size: int) -> list[str]:
+    text = pa.Codec("zstd").decompress(blob, size, asbytes=True).decode("utf-8") if size else ""
+    return text.split("\n") if text else []
 
 
-def main_text(pages: DataFrame, chunk_pages: int = 32, chunk_chars: int = 1 << 21) -> DataFrame:
-    """One row per page: page_id, url, text, n_chars, n_blocks, n_boilerplate."""
+def _read(pages: DataFrame) -> DataFrame:
+    """The blocks of every page, stored by range of (host, hash of the page id)."""
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"),
         F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit("")).alias("host"))
-    dealt = rows.withColumn("h", F.xxhash64("page_id", "url")).repartitionByRange("host", "h").sortWithinPartitions("host", "h", "html")
 
-    def run(batches):
-        out = arrow_schema(SCHEMA)
+    def read(cols, suffixes):
+        out = {"page_id": cols["page_id"], "url": cols["url"], "host": cols["host"], "flags": [], "blob": [], "size": [], "c": []}
+        codec = pa.Codec("zstd")
+        for body in cols["html"]:
+            got = blocks(body)
+            raw = "\n".join(t for t, _ in got).encode("utf-8", "replace")
+            out["flags"].append(bytes(a for _, a in got))
+            out["blob"].append(codec.compress(raw, asbytes=True) if raw else b"")
+            out["size"].append(len(raw))
+            out["c"].append(hashlib.blake2b(suffixes.tokens([t for t, _ in got])[0].tobytes(), digest_size=16).digest())
+        return out
+
+    parsed = map_slices(rows, read, "page_id long, url string, host string, flags binary, blob binary, size long, c binary", setup=Suffixes)
+    path = work_dir(pages.sparkSession, "pages")
+    (parsed.withColumn("hk", F.xxhash64("host")).withColumn("h", F.xxhash64("page_id", "url")).drop("host")
+     .repartitionByRange("hk", "h").sortWithinPartitions("hk", "h").withColumn("rid", F.monotonically_increasing_id())
+     .write.parquet(path))
+    return pages.sparkSession.read.parquet(path)
 
-        def emit(chunk):
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*_chunk(chunk)), out)], schema=out)
 
+def _substrings(pages: DataFrame, emit, setup, chunk_pages: int, chunk_chars: int) -> DataFrame:
+    """(hk, w, n) of chunks of consecutive pages of a host; ``emit(hk, host's pages, weak, chunk's pages, w, n, state)`` chooses."""
+    ddl = "hk long, w long, n long"
+
+    def run(batches):
+        out, suffixes, state = arrow_schema(ddl), Suffixes(), setup()
         chunk, host, size = [], None, 0
+
+        def done():
+            w, n = np.unique(np.concatenate(chunk), return_counts=True)
+            keep = emit(*host, len(chunk), w, n, state)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(int(keep.sum()), host[0])), pa.array(w[keep]), pa.array(n[keep])], schema=out)
+
         for batch in batches:
             for part in slices(batch, chunk_chars, 256):
-                for page_id, url, body, of in zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "html", "host"))):
-                    if chunk and (of != host or len(chunk) >= chunk_pages or size + len(body or "") > chunk_chars):
-                        yield emit(chunk)
+                for hk, pages_, weak, blob, length in zip(*(part.column(c).to_pylist() for c in ("hk", "pages", "weak", "blob", "size"))):
+                    if chunk and (host[0] != hk or len(chunk) >= chunk_pages or size + length > chunk_chars):
+                        yield done()
                         chunk, size = [], 0
-                    chunk.append((page_id, url, body))
-                    host, size = of, size + len(body or "")
+                    chunk.append(np.unique(suffixes(suffixes.tokens(_unpack(blob, length))[0])))
+                    host, size = (hk, pages_, weak), size + length
         if chunk:
-            yield emit(chunk)
+            yield done()
+
+    return pages.select("hk", "pages", "weak", "blob", "size").mapInArrow(run, ddl)
+
+
+def repeats(stored: DataFrame, least: int, share_: float, enough: int, chunk_pages: int, chunk_chars: int, max_rows: int | None) -> DataFrame:
+    """(hk, w, strict): substrings that are boilerplate of their host."""
+    spark = stored.sparkSession
+    weak = F.length(F.regexp_replace(F.hex("flags"), "01", "")) > 0
+    groups = stored.groupBy("hk", "c").agg(F.min("rid").alias("first"), F.count(F.lit(1)).alias("copies"), F.max(weak).alias("weak"))
+    hosts = materialized(groups.groupBy("hk").agg(F.count(F.lit(1)).alias("pages"), F.max("weak").alias("weak"))
+                         .filter((F.col("pages") >= least) & (F.col("weak") | (F.col("pages") >= 8))))
+    again = (stored.select("rid", "hk", "c").join(groups.filter("copies > 1").select("hk", "c", "first"), ["hk", "c"])
+             .filter("rid != first").select("rid"))
+    once = key_join(stored, again, ["rid"], "left_anti", max_rows)
+    known = key_join(once, hosts, ["hk"], "inner", max_rows, materialize=False)
+
+    def halves(hk, pages, weak, n_chunk, w, n, _):
+        return n >= max(8, pages / 2) if n_chunk == pages else 2 * n >= n_chunk
+
+    found = _substrings(known.filter("not weak"), halves, lambda: None, chunk_pages, chunk_chars).select("hk", "w").distinct()
+    found, small = fits_broadcast(found, max_rows)
+    picked = _by_host(spark, found.withColumn("strict", F.lit(True))) if small else None
+
+    def counted(hk, pages, weak, n_chunk, w, n, state):
+        if n_chunk == pages:  # the whole host
+            return n >= (max(least, min(share_ * pages, enough)) if weak else max(8, pages / 2))
+        if weak or state is None:
+            return np.ones(len(w), dtype=bool)
+        return np.isin(w, state[hk][0]) if hk in state else np.zeros(len(w), dtype=bool)
+
+    if small:  # hosts without a candidate are done
+        known = known.join(F.broadcast(found.select("hk").distinct().withColumn("some", F.lit(True))), "hk", "left").filter("weak or some")
+    sums = (_substrings(known, counted, picked or (lambda: None), chunk_pages, chunk_chars)
+            .groupBy("hk", "w").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+    sums = sums.join(hosts, "hk")
+    strict = F.col("n") >= F.greatest(F.lit(8.0), F.col("pages") / 2)
+    loose = F.col("n") >= F.greatest(F.lit(float(least)), F.least(share_ * F.col("pages"), F.lit(float(enough))))
+    return sums.withColumn("strict", strict).filter(F.col("strict") | (F.col("weak") & loose)).select("hk", "w", "strict")
+
+
+def _by_host(spark, rows: DataFrame):
+    """A small set of (hk, w, strict) for the tasks: host -> (sorted hashes, strict)."""
+    got: dict[int, list] = {}
+    for r in rows.collect():  # within the bounds of a broadcast
+        got.setdefault(r["hk"], []).append((r["w"], r["strict"]))
+    sets = {}
+    for hk, pairs in got.items():
+        pairs.sort()
+        sets[hk] = np.array([w for w, _ in pairs], dtype=np.int64), np.array([s for _, s in pairs], dtype=bool)
+    return share(spark, sets)
+
+
+def _write(cols, n, suffixes, start, strict, out):
+    texts, flags = _unpack(cols["blob"][n], cols["size"][n]), cols["flags"][n]
+    toks, block = suffixes.tokens(texts)
+    at, hard = (start, strict) if not callable(start) else start(suffixes(toks))
+    drop = covered(toks, block, flags, at, hard)
+    left = [(t, a) for t, a, d in zip(texts, flags, drop) if not d]
+    only = any(a for _, a in left)
+    text = "\n".join(t for t, a in left if a or not only)
+    for k, v in zip(out, (cols["page_id"][n], cols["url"][n], text, len(text), len(flags), sum(drop))):
+        out[k].append(v)
+
+
+def main_text(pages: DataFrame, chunk_pages: int = 32, chunk_chars: int = 1 << 21, least: int = 3, share_: float = 0.2, enough: int = 7,
+              max_rows: int | None = None) -> DataFrame:
+    """One row per page: page_id, url, text, n_chars, n_blocks, n_boilerplate.
+
+    ``max_rows`` bounds the sets that are sent to the tasks whole; larger ones are joined.
+    """
+    spark, stored = pages.sparkSession, _read(pages)
+    gone, small = fits_broadcast(repeats(stored, least, share_, enough, chunk_pages, chunk_chars, max_rows), max_rows)
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    if small:
+        sets = _by_host(spark, gone)
+
+        def cover(cols, state):
+            found, suffixes = state
+            out = {k: [] for k in names}
+            for n, hk in enumerate(cols["hk"]):
+                def start(hashes, hk=hk):
+                    ws, strict = found.get(hk, (np.zeros(0, np.int64), np.zeros(0, bool)))
+                    at = np.flatnonzero(np.isin(hashes, ws))
+                    return at, strict[np.searchsorted(ws, hashes[at])]
+                _write(cols, n, suffixes, start, None, out)
+            return out
+
+        return map_slices(stored.select("hk", "page_id", "url", "flags", "blob", "size"), cover, SCHEMA, setup=lambda: (sets(), Suffixes()))
+
+    def places(cols, suffixes):
+        out = {"rid": [], "hk": [], "w": [], "at": []}
+        for rid, hk, blob, size in zip(cols["rid"], cols["hk"], cols["blob"], cols["size"]):
+            hashes = suffixes(suffixes.tokens(_unpack(blob, size))[0])
+            out["rid"] += [rid] * len(hashes)
+            out["hk"] += [hk] * len(hashes)
+            out["w"] += hashes.tolist()
+            out["at"] += range(len(hashes))
+        return out
+
+    def cover_joined(cols, suffixes):
+        out = {k: [] for k in names}
+        for n, (at, strict) in enumerate(zip(cols["at"], cols["strict"])):
+            _write(cols, n, suffixes, np.array(at or [], dtype=np.int64), np.array(strict or [], dtype=bool), out)
+        return out
 
-    return dealt.select("page_id", "url", "html", "host").mapInArrow(run, SCHEMA)
+    salted = gone.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hits = (map_slices(stored.select("rid", "hk", "blob", "size"), places, "rid long, hk long, w long, at long", setup=Suffixes, rows=256)
+            .withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int")).join(salted, ["hk", "w", "salt"])
+            .groupBy("rid").agg(F.collect_list(F.struct("at", "strict")).alias("hit"))
+            .select("rid", F.col("hit.at").alias("at"), F.col("hit.strict").alias("strict")))
+    return map_slices(stored.select("rid", "page_id", "url", "flags", "blob", "size").join(hits, "rid", "left").drop("rid"), cover_joined, SCHEMA, setup=Suffixes)

@@ -290,6 +290,30 @@ def test_boilerplate_is_removed_across_pages_of_a_host(spark):
     assert extract.main_text(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("max_rows", [None, 3])
+def test_boilerplate_is_decided_on_the_whole_host(spark, max_rows):
+    rng = random.Random(16)
+    fresh = lambda n: " ".join("u%d" % rng.randint(0, 10 ** 9) for _ in range(n))
+    notice, rare, once, inside = (" ".join(f"{c}{i}" for i in range(12)) for c in ("notice", "rare", "once", "inside"))
+    rows = []
+    for i in range(66):  # 66 pages in chunks of 4: the last chunk has two; the rare notice is on 8 pages, one a chunk or two at most
+        own = fresh(20)
+        extra = (f"<div>{rare}</div>" if i % 8 == 0 and i < 64 else "") + (f"<div>{once}</div>" if i in (3, 40) else "")
+        rows.append((i, f"http://a.example.com/{i}", page(f"<div>{own}</div><div>{notice}</div>{extra}"), own + (f"\n{once}" if i in (3, 40) else "")))
+    for i in range(100, 110):  # each page is longer than a chunk
+        own = fresh(3000)
+        rows.append((i, f"http://long.example.com/{i}", page(f"<div>{own}</div><div>{notice}</div>"), own))
+    for i in range(200, 240):  # articles only: on half of the pages or more a repeat goes, on fewer it stays
+        own = fresh(20)
+        rows.append((i, f"http://art.example.com/{i}", page(f"<article><p>{own}</p>" + (f"<p>{inside}</p>" if i % 4 else "") + (f"<p>{rare}</p>" if i % 4 == 1 else "") + "</article>"),
+                     own + (f"\n{rare}" if i % 4 == 1 else "")))
+    rows += [(300 + i, "http://twin.example.com/", page(f"<div>{once}</div><div>{rare}</div>"), f"{once}\n{rare}") for i in range(12)]  # one page, twelve times
+    table = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r for r in extract.main_text(table, chunk_pages=4, chunk_chars=8000, max_rows=max_rows).collect()}
+    assert len(got) == len(rows)
+    assert {i for i, _, _, text in rows if got[i].text != text} == set()
+
+
 def test_pages_equal_articles(spark):
     """Articles of the given pages by a plain reading of their one layout."""
     import html
