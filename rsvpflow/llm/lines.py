@@ -11,7 +11,10 @@ deleted from the later one.
 3. Each pair is aligned by patience diff (lines unique on both sides, longest increasing chain, recursion into the gaps),
    and aligned blocks of ``min_words`` words or more are marked.  A window of the pair that the alignment left over,
    such as a block that moved, is aligned with its first place in the earlier document and extended.
-4. The marks of all pairs are united and the marked lines leave the later document.
+4. With ``line_words``, shorter repeats go as well: a window of ``line_words`` words or more, mostly a single line, that
+   at most ``rare_docs`` documents hold leaves every document but the first that holds it.  Only what is short or
+   frequent, as counted over all documents, stays.
+5. The marks of all pairs and windows are united and the marked lines leave the later document.
 
 Earlier means a smaller (doc_id, text hash); null ids come last.
 
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rsvpflow.llm.batches import id_text, map_slices, slices
+from rsvpflow.operators.joins import fits_broadcast, key_join, materialized
 from rsvpflow.session import checkpoint_root
 
 SCHEMA = "doc_id long, text string, n_lines long, n_removed long"
@@ -159,7 +163,41 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return id_text(docs).select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("id"), F.xxhash64("text").alias("h"))
 
 
-def removed_lines(docs: DataFrame, min_words: int = 40) -> DataFrame:
+def _rare_windows(once: DataFrame, line_words: int, rare_docs: int) -> DataFrame:
+    """(id, h, drop): positions of the lines in rare windows that an earlier document has; ``once`` has each document once."""
+    def found(keys, sizes):
+        raw, at = [k.to_bytes(8, "little", signed=True) for k in keys], {}
+        for s, e in windows(sizes, line_words):
+            w = int.from_bytes(hashlib.blake2b(b"".join(raw[s:e]), digest_size=8).digest(), "little", signed=True)
+            at.setdefault(w, set()).update(range(s, e))
+        return at
+
+    def names(cols, _):
+        out = {"id": [], "h": [], "w": []}
+        for i, h, keys, sizes in zip(cols["id"], cols["h"], cols["keys"], cols["sizes"]):
+            got = found(keys, sizes)
+            out["id"] += [i] * len(got)
+            out["h"] += [h] * len(got)
+            out["w"] += got
+        return out
+
+    def places(cols, _):
+        out = {"id": [], "h": [], "w": [], "drop": []}
+        for i, h, keys, sizes, pos in zip(cols["id"], cols["h"], cols["keys"], cols["sizes"], cols["pos"]):
+            for w, at in found(keys, sizes).items():
+                for k, v in zip(out, (i, h, w, [pos[j] for j in sorted(at)])):
+                    out[k].append(v)
+        return out
+
+    held = materialized(map_slices(once.select("id", "h", "keys", "sizes"), names, "id long, h long, w long")
+                        .groupBy("w").agg(F.min(F.struct("id", "h")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    # frequent windows go before the join: their rows would meet in one task
+    light = key_join(map_slices(once, places, "id long, h long, w long, drop array<int>"), held.filter(F.col("n") > rare_docs).select("w"), "w", "left_anti")
+    rare, small = fits_broadcast(held.filter(F.col("n") <= rare_docs).select("w", "first.id", "first.h").toDF("w", "fid", "fh"))
+    return light.join(F.broadcast(rare) if small else rare, "w").filter("id != fid or h != fh").select("id", "h", "drop")
+
+
+def removed_lines(docs: DataFrame, min_words: int = 40, line_words: int | None = None, rare_docs: int = 100) -> DataFrame:
     """(id, h, drop): positions of the lines that leave each later document that loses any."""
     checkpoint_root(docs.sparkSession)
 
@@ -195,6 +233,8 @@ def removed_lines(docs: DataFrame, min_words: int = 40) -> DataFrame:
     early = once.select(F.col("id").alias("fid"), F.col("h").alias("fh"), F.col("keys").alias("early"))
     both = pairs.join(early, ["fid", "fh"]).join(once, ["id", "h"]).select("id", "h", "early", "keys", "sizes", "pos")
     marks = map_slices(both, align, "id long, h long, drop array<int>", rows=256)
+    if line_words is not None:
+        marks = marks.unionByName(_rare_windows(once, line_words, rare_docs))
     return marks.select("id", "h", F.explode("drop").alias("p")).groupBy("id", "h").agg(F.collect_set("p").alias("drop"))
 
 
@@ -203,7 +243,7 @@ def _without(text: str | None, drop) -> str | None:
     return "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone) if gone and text is not None else text
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 40) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = 40, line_words: int | None = None, rare_docs: int = 100) -> DataFrame:
     """One row per document: its text without the lines that an earlier document already has."""
     def write(cols, _):
         out = {f.split()[0]: [] for f in SCHEMA.split(", ")}
@@ -212,7 +252,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 40) -> DataFrame:
                 out[k].append(v)
         return out
 
-    joined = _keyed(docs).join(removed_lines(docs, min_words), ["id", "h"], "left")
+    joined = _keyed(docs).join(removed_lines(docs, min_words, line_words, rare_docs), ["id", "h"], "left")
     return map_slices(joined.select("doc_id", "text", "drop"), write, SCHEMA)
 
 

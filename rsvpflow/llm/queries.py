@@ -46,7 +46,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(_table(spark, sf_dir, "documents"))
+    return lines.dedup_lines(_table(spark, sf_dir, "documents"), line_words=10)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,6 +123,31 @@ def test_line_dedup_moved_blocks_and_copies(spark):
     assert sorted((x.doc_id, x.text, x.n_chars) for x in out.collect()) == [(1, rows[0][1], len(rows[0][1])), (2, f"y\n{r}", len(r) + 2), (4, "z\nz", 3), (5, "short\nlines", 11), (6, "short\nlines", 11)]
 
 
+def test_line_dedup_rare_lines_below_the_floor(spark):
+    rng = random.Random(17)
+    line = lambda n: " ".join("r%d" % rng.randint(0, 10 ** 9) for _ in range(n))
+    one, two, short, often = line(12), line(25), line(6), line(15)
+    half = [line(6), line(7)]  # rare together
+    rows = [(i, "\n".join([line(20), often, short, line(30)])) for i in range(8)]
+    rows += [(20, f"{one}\nx y\n{two}"), (21, f"{line(9)}\n\n{two}\nz"), (22, f"q\n{one}\n" + "\n".join(half)), (23, "\n".join(half) + f"\n{one}\n{one}"), (23, "\n".join(half) + f"\n{one}\n{one}")]
+    got = [(r.doc_id, r.text, r.n_removed) for r in lines.dedup_lines(docs_table(spark, rows, True), line_words=10, rare_docs=4).collect()]
+    want = [(i, t, 0) for i, t in rows if i < 21] + [(21, rows[9][1].replace(f"\n{two}", ""), 1), (22, "q\n" + "\n".join(half), 1), (23, "", 4), (23, "", 4)]
+    assert sorted(got) == sorted(want)
+
+
+def test_line_dedup_query_leaves_no_rare_repeat(spark):
+    left = defaultdict(set)
+    for r in queries.op6_lines(spark, SF).collect():
+        for x in {" ".join(x.split()) for x in r.text.split("\n")}:
+            left[x].add(r.doc_id)
+    held = defaultdict(set)
+    for i, t in read_docs(spark):
+        for x in (t or "").split("\n"):
+            held[" ".join(x.split())].add(i)
+    rare = [x for x in held if 10 <= len(x.split()) and 1 < len(held[x]) <= 100]
+    assert len(rare) > 100 and all(len(left[x]) <= 1 for x in rare)
+
+
 def test_line_dedup_hard_rows(spark):
     out = lines.dedup_lines(docs_table(spark, hard_rows(), True)).collect()
     assert len(out) == len(hard_rows())
