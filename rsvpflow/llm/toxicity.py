@@ -1,14 +1,15 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index (operator 3).
 
 Labelled examples are a bounded sample (about ``per_class`` of each class, by a hash of the id).  Seven tenths of them
-are the index, the rest calibrates.  Features are words and their first four to seven letters; those whose presence
-depends on the label in the index part (likelihood ratio) make the feature space, at most ``max_terms``.  Their document
-frequencies are counted over all documents.
+are the index, the rest calibrates.  Every word of the index part is a feature, and so are the first four to seven letters
+of words where their presence depends on the label (likelihood ratio of ``least`` or more).  The dependence is a weight
+besides the TF-IDF, from ``FLOOR`` for none to 1 at ``least``.  Document frequencies are counted over all documents.
 
-A query walks blocks of examples in descending order of their bound (the sum over its terms of query weight times the
-term's largest weight in the block) and stops at the first block whose bound is below the k-th best similarity, so the
-neighbours are exact.  Neighbours vote by squared similarity; a logistic curve fitted to the calibration part, weighted
-back to the classes' shares among all labels, turns the vote and the nearest similarity into a probability.
+A query takes the bound of each block of examples (the sum over its terms of query weight times the term's largest weight
+in the block), scores the blocks with the highest bounds, and then all blocks whose bound reaches the k-th best
+similarity, so the neighbours are exact.  Neighbours vote by squared similarity; a logistic curve fitted to the
+calibration part, weighted back to the classes' shares among all labels, turns the vote and the nearest similarity into a
+probability.  A text with the vector of labelled examples gets the mean of their labels, drawn to the share of toxic labels.
 
 Defined cases: null or empty text, and any text without a feature, has no neighbour and gets the share of toxic labels
 among calibration texts without features; without labels of both classes every score is the share of toxic labels
@@ -18,6 +19,7 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -28,6 +30,10 @@ from rsvpflow.llm.batches import id_text, keep_rows, map_slices, share
 
 SCHEMA = "doc_id long, score double, predicted int, similarity double, evidence array<long>"
 BLOCK = 64
+#: Blocks scored before the others are compared with the k-th best similarity.
+AHEAD = 8
+#: Least weight of a word whose presence does not depend on the label.
+FLOOR = 0.05
 PREFIXES = (4, 5, 6, 7)
 #: Maps every ASCII byte but letters to a blank; bytes of longer characters stay.
 _TO_BLANK = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -87,44 +93,55 @@ class Index:
     def __init__(self, vectors: list[dict[int, int]], ids: list[int], labels: list[int], idf: np.ndarray):
         order = sorted(range(len(vectors)), key=lambda i: (sorted(vectors[i]), ids[i]))  # like examples share blocks
         self.idf, self.ids, self.labels = idf, [ids[i] for i in order], np.array([labels[i] for i in order], dtype=float)
-        posting: dict[int, list[tuple[int, float]]] = {}
-        for pos, i in enumerate(order):
-            for t, w in self.weigh(vectors[i]).items():
-                posting.setdefault(t, []).append((pos, w))
         self.blocks = -(-len(order) // BLOCK)
-        self.post: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        self.most: dict[int, np.ndarray] = {}
-        for t, pairs in posting.items():
-            at, w = np.array([p for p, _ in pairs]), np.array([x for _, x in pairs])
-            most = np.zeros(self.blocks)
-            np.maximum.at(most, at // BLOCK, w)
-            self.most[t] = most
-            self.post[t] = (at, w, np.searchsorted(at, np.arange(self.blocks + 1) * BLOCK))
+        rows = [(t, pos, w) for pos, i in enumerate(order) for t, w in self.weigh(vectors[i]).items()]
+        term, at = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)
+        by = np.lexsort((at, term))
+        term, self.at, self.w = term[by], at[by], np.array([r[2] for r in rows], dtype=float)[by]
+        # an entry is a term in a block: its postings and its largest weight
+        new = np.flatnonzero(np.diff(term * (self.blocks + 1) + self.at // BLOCK, prepend=-1))
+        self.cut = np.append(new, len(term))
+        self.block = self.at[new] // BLOCK
+        self.most = np.maximum.reduceat(self.w, new) if len(new) else np.zeros(0)
+        self.entry = np.searchsorted(term[new], np.arange(len(idf) + 1))
 
     def weigh(self, counts: dict[int, int]) -> dict[int, float]:
-        raw = {t: (1 + np.log(n)) * self.idf[t] for t, n in counts.items()}
+        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
         norm = sum(x * x for x in raw.values()) ** 0.5
         return {t: x / norm for t, x in raw.items()} if norm else {}
 
     def nearest(self, counts: dict[int, int], k: int) -> list[tuple[float, int]]:
         """The k most similar examples as (similarity, place), ties by place; only similarities above zero."""
-        query = [(t, w) for t, w in sorted(self.weigh(counts).items()) if t in self.post]
-        if not query:
+        query = self.weigh(counts)
+        t, w = np.array(list(query), dtype=np.int64), np.array(list(query.values()))
+        e, of = _ranges(self.entry[t], self.entry[t + 1])
+        if not len(e):
             return []
-        bound = np.zeros(self.blocks)
-        for t, w in query:
-            bound += w * self.most[t]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] < -best[-1][0] - 1e-12):
-                break
-            score = np.zeros(BLOCK)
-            for t, w in query:
-                at, weight, cut = self.post[t]
-                lo, hi = cut[b], cut[b + 1]
-                score[at[lo:hi] - b * BLOCK] += w * weight[lo:hi]
-            best = sorted(best + [(-round(float(score[j]), 12), b * BLOCK + j) for j in np.flatnonzero(score > 0).tolist()])[:k]
-        return [(-s, i) for s, i in best]
+        w, block = w[of], self.block[e]
+        bound = np.bincount(block, w * self.most[e], minlength=self.blocks)
+        ahead = np.zeros(self.blocks, dtype=bool)
+        ahead[np.argsort(-bound, kind="stable")[:AHEAD]] = True
+        score = self._scores(e, w, ahead[block])
+        if len(score) and self.blocks > AHEAD:
+            kth = np.partition(score, -k)[-k] if k <= len(score) else 0.0
+            score += self._scores(e, w, ~ahead[block] & (bound[block] >= kth - 1e-9))
+        score = np.round(score, 12)
+        found = np.flatnonzero(score > 0)
+        found = found[np.lexsort((found, -score[found]))][:k]
+        return [(float(score[i]), i) for i in found.tolist()]
+
+    def _scores(self, e: np.ndarray, w: np.ndarray, use: np.ndarray) -> np.ndarray:
+        """Similarities of all examples by the postings of the chosen entries."""
+        e, w = e[use], w[use]
+        p, of = _ranges(self.cut[e], self.cut[e + 1])
+        return np.bincount(self.at[p], w[of] * self.w[p], minlength=len(self.ids))
+
+
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The members of the ranges [lo, hi), one after another, and the number of the range of each."""
+    n = hi - lo
+    of = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + lo[of], of
 
 
 class Model:
@@ -132,6 +149,7 @@ class Model:
 
     def __init__(self, vocab: dict[str, int], index: Index | None, k: int, prior: float, curve: np.ndarray):
         self.vocab, self.index, self.k, self.prior, self.curve = vocab, index, k, prior, curve
+        self.base = prior  # share of toxic labels
 
     def vote(self, near: list[tuple[float, int]]) -> np.ndarray:
         w = np.array([s * s for s, _ in near])
@@ -143,6 +161,10 @@ class Model:
         near = self.index.nearest(counts, self.k) if self.index else []
         if not near:
             return self.prior, 0.0, []
+        same = [self.index.labels[i] for s, i in near if s > 1 - 1e-9]
+        if same:
+            p = (sum(same) + self.base) / (len(same) + 1)
+            return float(p), 1.0, [self.index.ids[i] for _, i in near[:5]]
         p = 1 / (1 + np.exp(-np.clip(self.vote(near) @ self.curve, -30, 30)))
         return float(p), min(1.0, near[0][0]), [self.index.ids[i] for _, i in near[:5]]
 
@@ -157,7 +179,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, trainable: Column, per_class: int = 2000, max_terms: int = 4096, k: int = 15,
+def fit(docs: DataFrame, labels: DataFrame, trainable: Column, per_class: int = 2000, k: int = 15,
         least: float = 24.0) -> Model:
     """A model of the labelled documents that ``trainable`` (over the labels' doc_id) allows."""
     spark, rows = docs.sparkSession, id_text(docs)
@@ -191,7 +213,8 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column, per_class: int =
     cell = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(F.lit(0.0))
     a, b, n = F.col("a").cast("double"), F.col("b").cast("double"), n1 + n0
     g2 = 2 * (cell(a, (a + b) * n1 / n) + cell(b, (a + b) * n0 / n) + cell(n1 - a, (n - a - b) * n1 / n) + cell(n0 - b, (n - a - b) * n0 / n))
-    picked = seen.filter("t != ''").withColumn("g", g2).filter(F.col("g") >= least).orderBy(F.desc("g"), "t").limit(max_terms).collect()
+    picked = seen.filter("t != ''").withColumn("g", g2).filter(F.col("t").startswith("w:") | (F.col("g") >= least)).select("t", "g").collect()
+    picked.sort(key=lambda r: (-r["g"], r["t"]))  # bounded by the sample
     vocab = {r["t"]: i for i, r in enumerate(picked)}
     shared = share(spark, vocab)
 
@@ -209,6 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column, per_class: int =
     setup = lambda: Features(shared())
     counted = {r["t"]: r["n"] for r in map_slices(rows.select("text"), frequencies, "t long, n long", setup=setup).groupBy("t").agg(F.sum("n").alias("n")).collect()}
     idf = np.array([1 + np.log((1 + counted.get(-1, 0)) / (1 + counted.get(i, 0))) for i in range(len(vocab))])
+    idf *= np.clip([(r["g"] / least) ** 2 for r in picked], FLOOR, 1.0)
     got = (map_slices(sample.select("doc_id", "text", "y", "index"), vectors, "doc_id long, y int, index boolean, t array<long>, n array<long>", setup=setup)
            .orderBy("doc_id", "t", "n").collect())
     inside = [r for r in got if r["index"]]
@@ -235,7 +259,7 @@ def _scorer(model: Model):
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: score, predicted, similarity of the nearest example, ids of the nearest examples."""
-    shared = share(docs.sparkSession, model)  # bounded by per_class and max_terms
+    shared = share(docs.sparkSession, model)  # bounded by per_class
 
     def run(cols, state):
         features, m = state

@@ -222,6 +222,24 @@ def test_block_max_search_is_exact():
         assert [round(s, 9) for s, _ in got] == [round(-s, 9) for s, _ in want]
 
 
+def test_toxicity_rare_words_and_copies(spark):
+    rng = random.Random(18)
+    plain = lambda: " ".join(rng.choice(["sun", "tree", "road", "lake", "hill", "rain"]) for _ in range(20))
+    rows = [(i, plain() + (" vile" if i % 3 == 0 else "")) for i in range(300)]
+    odd = {300 + i: " ".join("".join(rng.choice("bcdfghjklm") for _ in range(9)) for _ in range(8)) for i in range(20)}  # words of a single example each
+    rows += list(odd.items()) + [(i + 100, t) for i, t in odd.items()] + [(500, "nothing known")]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0 or i >= 300)) for i, _ in rows if i < 320], "doc_id long, quality int, toxic int")
+    docs = docs_table(spark, rows)
+    model = toxicity.fit(docs, labels, F.lit(True))
+    by = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    inside = set(model.index.ids) & set(odd)
+    assert len(inside) > 5
+    for i in inside:  # copies of labelled toxic examples, in words that no other example has
+        assert by[i + 100].predicted == 1 and by[i + 100].evidence[0] == i and by[i + 100].similarity > 0.999
+    assert not {i + 100 for i in inside} & {r.doc_id for r in toxicity.drop_toxic(docs, model).collect()}
+    assert by[500].similarity == 0
+
+
 def test_toxicity_hard_rows(spark):
     rng = random.Random(6)
     rows = [(i, " ".join(rng.choice(["sun", "tree", "road", "lake"]) for _ in range(20)) + (" vile" if i % 3 == 0 else "")) for i in range(20, 320)]
