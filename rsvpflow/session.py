@@ -88,7 +88,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        if not re.match(r"local($|\[)", spark.sparkContext.master):
+        if not re.match(r"local($|\[)", getattr(spark.sparkContext, "master", "local")):
             raise RuntimeError(f"{CHECKPOINT_CONF} is not set: on a cluster it must name a folder that all executors share")
         key = id(spark.sparkContext)
         if key not in _PRIVATE_ROOTS:
