@@ -92,4 +92,84 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = compon
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.id = d.doc_id
 """
 
-ORACLE_SQL = {"op5_decontaminate": OP5, "op8_quality": OP8, "op9_chat": OP9, "op10_neardup": OP10}
+
+
+def _crc(hexed: str) -> str:
+    """CRC-32 of bytes given as hex text, bit by bit."""
+    nib = lambda at: f"(strpos('0123456789ABCDEF', substr({hexed}, {at}, 1)) - 1)"
+    byte = f"(16 * {nib('k')} + {nib('k + 1')})::BIGINT"
+    step = "CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END"
+    return (f"xor(4294967295::BIGINT, list_reduce(list_transform(generate_series(1, length({hexed}) - 1, 2), lambda k: {byte}), "
+            f"lambda a, b: list_reduce([0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda c, z: {step}, xor(a, b)), 4294967295::BIGINT))")
+
+
+_FIELD = lambda x: f"coalesce(strlen({x}::VARCHAR) || ':' || {x}::VARCHAR, '-')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes of the trees over (tree, i, n, h), level by level."""
+    return f"""{name} AS (SELECT tree, 0 AS level, i AS idx, n AS size, h FROM {leaves}
+   UNION ALL SELECT tree, level + 1, idx // 8, (size + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM {name} WHERE size > 1
+   GROUP BY tree, level + 1, idx // 8, (size + 7) // 8)"""
+
+
+OP11 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf('text')} AS h, {_leaf(_LOWER)} AS low FROM documents),
+ c AS (SELECT doc_id, {_crc('x')} % 3 = 0 AS tampered FROM (SELECT DISTINCT doc_id, hex(doc_id::VARCHAR) AS x FROM documents WHERE doc_id IS NOT NULL)),
+ l AS MATERIALIZED (SELECT row_number() OVER () AS rid, d.doc_id, tree, h, CASE WHEN tampered THEN low ELSE h END AS found,
+   row_number() OVER (PARTITION BY tree ORDER BY d.doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n
+   FROM d LEFT JOIN c ON c.doc_id = d.doc_id),
+ {_tree('nodes', 'l')},
+ subs AS MATERIALIZED (SELECT '#' AS tree, tree AS of, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n, h FROM nodes WHERE size = 1),
+ {_tree('tops', 'subs')},
+ every AS MATERIALIZED (SELECT * FROM nodes UNION ALL SELECT * FROM tops),
+ depth AS (SELECT tree, max(level) AS top FROM every GROUP BY tree),
+ path AS (SELECT rid, l.tree, lv AS level, lv AS step, i // (8 ** lv)::BIGINT AS idx FROM (SELECT l.*, unnest(generate_series(0, top - 1)) AS lv FROM l JOIN depth USING (tree)) l
+   UNION ALL SELECT rid, '#', lv, own + lv, i // (8 ** lv)::BIGINT FROM (SELECT rid, s.i, d.top AS own, unnest(generate_series(0, t.top - 1)) AS lv FROM l
+     JOIN subs s ON s.of = l.tree JOIN depth d ON d.tree = l.tree JOIN depth t ON t.tree = '#')),
+ sib AS MATERIALIZED (SELECT rid, step, coalesce(string_agg(e.h, '' ORDER BY e.idx) FILTER (e.idx < p.idx), '') AS before,
+   coalesce(string_agg(e.h, '' ORDER BY e.idx) FILTER (e.idx > p.idx), '') AS after
+   FROM path p JOIN every e ON e.tree = p.tree AND e.level = p.level AND e.idx // 8 = p.idx // 8 GROUP BY rid, step),
+ proof AS (SELECT rid, string_agg(before || after, '' ORDER BY step) AS p FROM sib GROUP BY rid),
+ fold AS (SELECT rid, 0 AS step, found AS h FROM l UNION ALL SELECT f.rid, f.step + 1, sha256(before || h || after) FROM fold f JOIN sib ON sib.rid = f.rid AND sib.step = f.step),
+ folded AS (SELECT rid, arg_max(h, step) AS h FROM fold GROUP BY rid)
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, r.h AS root, sha256(coalesce(p.p, '')) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified
+FROM l JOIN subs s ON s.of = l.tree CROSS JOIN (SELECT h FROM tops WHERE size = 1) r LEFT JOIN proof p USING (rid) JOIN folded f USING (rid)
+"""
+
+_RUN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all({_LOWER}, {_RUN}), []) AS ws FROM documents),
+ dw AS (SELECT rid, unnest(ws) AS w FROM d),
+ bw AS (SELECT unnest(regexp_extract_all({_LOWER}, {_RUN})) AS w FROM benchmark),
+ b AS MATERIALIZED (SELECT w, {_crc('x')} % 10000 AS bucket FROM (SELECT w, hex(w) AS x FROM (SELECT w FROM dw UNION SELECT w FROM bw))),
+ s AS (SELECT bucket, count(*) AS s FROM dw JOIN b USING (w) GROUP BY bucket),
+ t AS (SELECT bucket, count(*) AS t FROM bw JOIN b USING (w) GROUP BY bucket),
+ n AS (SELECT (SELECT count(*) FROM dw)::DOUBLE AS s_all, (SELECT count(*) FROM bw)::DOUBLE AS t_all),
+ g AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (s_all + 10000) / ((coalesce(s, 0)::DOUBLE + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+   FROM s FULL JOIN t USING (bucket) CROSS JOIN n),
+ m AS (SELECT rid, sum(gain) AS total FROM dw JOIN b USING (w) JOIN g USING (bucket) GROUP BY rid),
+ x AS (SELECT d.rid, doc_id, CAST(len(ws) AS BIGINT) AS n_features, CAST(coalesce((total - ((total % len(ws)) + len(ws)) % len(ws)) // len(ws), 0) AS BIGINT) AS weight,
+   ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM d LEFT JOIN m USING (rid)),
+ y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM x),
+ z AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, n_features) AS r, count(*) OVER () AS eligible FROM y WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= eligible * 10 // 100 THEN r END AS rank FROM y LEFT JOIN z USING (rid)
+"""
+
+OP13 = """
+WITH u AS (SELECT row_number() OVER () AS rid, page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+ p AS (SELECT rid, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+ r AS (SELECT * FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) v(verdict, h, f)),
+ best AS (SELECT rid, arg_max(h || f, length(h || f)) AS rule, arg_max(verdict, length(h || f)) AS verdict FROM p JOIN r
+   ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, f) GROUP BY rid)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN best USING (rid)
+"""
+
+ORACLE_SQL = {"op5_decontaminate": OP5, "op8_quality": OP8, "op9_chat": OP9, "op10_neardup": OP10, "op11_manifest": OP11, "op12_resample": OP12,
+              "op13_urls": OP13}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rsvpflow.llm import chat, decontaminate, extract, language, lines, neardup, packing, private, quality, toxicity
+from rsvpflow.llm import (chat, decontaminate, extract, language, lines, manifest, neardup, packing, private, quality, resample,
+                          toxicity, urls)
 from rsvpflow.llm.batches import crc_mod
 from rsvpflow.llm.oracle import ORACLE_SQL
 
@@ -67,8 +68,27 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), size=4)
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    man = manifest.document_manifest(docs, F.crc32(F.col("doc_id").cast("string")) % 3 == 0)
+    return man.proofs().select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+#: The rules of op13: (verdict, host, path).
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "verdict string, host string, path string"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES = {"op1_language": op1_language, "op2_extract": op2_extract, "op3_toxicity": op3_toxicity, "op4_private": op4_private,
            "op5_decontaminate": op5_decontaminate, "op6_lines": op6_lines, "op7_packing": op7_packing, "op8_quality": op8_quality,
-           "op9_chat": op9_chat, "op10_neardup": op10_neardup}
+           "op9_chat": op9_chat, "op10_neardup": op10_neardup, "op11_manifest": op11_manifest,
+           "op12_resample": op12_resample, "op13_urls": op13_urls}

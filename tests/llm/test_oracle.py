@@ -8,7 +8,7 @@ from tools.oracle_check import compare
 
 
 def test_names():
-    assert set(ORACLE_SQL) <= set(QUERIES) and sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert set(ORACLE_SQL) <= set(QUERIES) and sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
