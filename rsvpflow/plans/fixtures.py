@@ -128,6 +128,23 @@ def change_feed(m: DataFrame) -> DataFrame:
              .select("e.seq", "e.op", "id", "e.old", "e.new"))
 
 
+#: Event time of a timed feed: a moment of one day by id, updates and deletes a month later (``{id}`` the row's id).
+EVENT_TIME = "TIMESTAMP_NTZ '2025-01-01 00:00:00' + make_dt_interval({day}, 0, 0, CAST({id} % 86400 AS INT))"
+
+
+def timed(feed: DataFrame) -> DataFrame:
+    """The feed with the time ``ts`` of each event."""
+    first, later = (F.expr(EVENT_TIME.format(day=d, id="id")) for d in (0, 31))
+    return feed.withColumn("ts", F.when(F.col("seq") >= CHANGE_OFFSET, later).otherwise(first))
+
+
+def mixed_batches(spark: SparkSession, feed: DataFrame, path: str) -> DataFrame:
+    """The feed as a stream of five files: the updates and deletes of a row come before its insert."""
+    feed.filter(F.col("seq") >= CHANGE_OFFSET).repartition(2, "id").write.parquet(path)
+    feed.filter(F.col("seq") < CHANGE_OFFSET).repartition(3, "id").write.mode("append").parquet(path)
+    return spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def final_master(m: DataFrame) -> DataFrame:
     """Master after the whole change feed (the rebuild oracle)."""
     return changed_row(m).filter(F.col("id") % 10 != 6)

@@ -317,7 +317,74 @@ _OVERVIEW = q(f"SELECT count(*) AS total_clients, CAST(sum({SI('numInvitees')})
 _RESPONSE_WEIGHTS = q("SELECT Response AS response, CAST(sum(Response_Weight) AS BIGINT) AS weight FROM sm "
                       "WHERE Response IS NOT NULL GROUP BY Response")
 
+def long_sql(parts):
+    """Reports (name, keys, metrics, sql) as rows (report, k1, k2, metric, value)."""
+    out = []
+    for name, keys, values, sql in parts:
+        k1, k2 = [f"CAST({k} AS VARCHAR)" for k in keys] + ["CAST(NULL AS VARCHAR)"] * (2 - len(keys))
+        out += [f"SELECT '{name}' AS report, {k1} AS k1, {k2} AS k2, '{v}' AS metric, CAST({v} AS DOUBLE) AS value FROM ({sql})" for v in values]
+    return " UNION ALL ".join(out)
+
+
+def kpi_parts(sm, sc):
+    """A1, A2, A9, A9b and A10 over a standardised master and its contacts."""
+    return [
+        ("overview", [], ["total_clients", "total_invitees", "registrations", "response_rate"],
+         f"SELECT count(*) AS total_clients, sum({SI('numInvitees')}) AS total_invitees, sum({SI('numRegistrations')}) AS registrations, "
+         f"{RATE(f'count_if({_RESP})', 'count(*)')} AS response_rate FROM ({sm})"),
+        ("response_weights", ["response"], ["weight"],
+         f"SELECT Response AS response, sum(Response_Weight) AS weight FROM ({sm}) WHERE Response IS NOT NULL GROUP BY Response"),
+        ("role_kpis", ["role"], ["total", "registered", "response_rate"],
+         f"SELECT role, count(*) AS total, count_if(lower(contact_response) = 'registered') AS registered, {RATE(f'count_if({_RESP})', 'count(*)')} AS response_rate "
+         f"FROM ({sc}) GROUP BY role"),
+        ("role_region", ["role", "region"], ["total_invited", "registered", "positive_responses", "total_confirmed", "unregistered", "registration_rate"],
+         role_region(sc)),
+    ]
+
+
+_FSM = filt(FILTER_SPEC)
+_FSC = cascade("sc", _FSM)
+_EVENT_TIME = "(TIMESTAMP '2025-01-01 00:00:00' + to_days({day}) + to_seconds(CAST({id} % 86400 AS INTEGER)))"
+_FIRST, _LATER = (_EVENT_TIME.format(day=d, id="x.id") for d in (0, 31))
+
 ORACLE_SQL: dict[str, str] = {
+    "stream_changes_audit": with_extra(
+        "x AS (SELECT c2.*, c.id IS NULL AS fresh, c.id IS NULL OR " + " OR ".join(f"c.{k} IS DISTINCT FROM c2.{k}" for k in _CC) + " AS moved "
+        "FROM c2 LEFT JOIN c ON c.role = c2.role AND c.id = c2.id)",
+        f"SELECT {', '.join(_CC)}, CASE WHEN fresh THEN {_LATER} ELSE {_FIRST} END AS Data_Insert_Time, "
+        f"CASE WHEN moved THEN {_LATER} ELSE {_FIRST} END AS Last_Updated FROM x"),
+    "stream_change_counts": with_extra(
+        "k(action) AS (VALUES ('inserted'), ('updated'), ('unchanged'), ('deleted')),\n r(role) AS (VALUES ('tax'), ('cfo'), ('other')),\n"
+        " cc AS (SELECT * FROM c WHERE id % 10 IN (1, 2, 4, 5)),\n"
+        " e AS (SELECT role, 'inserted' AS action FROM c UNION ALL SELECT coalesce(a.role, b.role), CASE WHEN a.id IS NULL THEN 'inserted' WHEN b.id IS NULL "
+        "THEN 'deleted' WHEN " + " OR ".join(f"a.{k} IS DISTINCT FROM b.{k}" for k in _CC) + " THEN 'updated' ELSE 'unchanged' END "
+        "FROM cc a FULL JOIN cu b ON a.role = b.role AND a.id = b.id UNION ALL SELECT role, 'deleted' FROM cd)",
+        "SELECT r.role, k.action, count(e.role) AS row_count FROM r CROSS JOIN k LEFT JOIN e ON e.role = r.role AND e.action = k.action GROUP BY ALL"),
+    "stream_reports_on_changes": with_extra(
+        f"fsm AS ({SM.replace('FROM m', 'FROM fm')}),\n fsc AS ({SC.replace('FROM c', 'FROM c2')})",
+        long_sql([*kpi_parts("SELECT * FROM fsm", "SELECT * FROM fsc"),
+                  ("role_responses", ["role", "response"], ["weight"],
+                   "SELECT role, Response AS response, sum(Response_Weight) AS weight FROM fsc WHERE Response IS NOT NULL GROUP BY ALL")])),
+    "reports_from_grain": with_extra(
+        f"xm AS MATERIALIZED ({_FSM}),\n xc AS MATERIALIZED ({_FSC})",
+        long_sql([*kpi_parts("SELECT * FROM xm", "SELECT * FROM xc"),
+                  ("sector_perf", ["sector"], ["invitees", "registrations", "conversion"],
+                   f"SELECT Sector AS sector, sum({SI('numInvitees')}) AS invitees, sum({SI('numRegistrations')}) AS registrations, "
+                   f"{RATE(_SUM_REG, _SUM_INV)} AS conversion FROM xm WHERE Sector IS NOT NULL GROUP BY Sector"),
+                  ("region_counts", ["region"], ["row_count"],
+                   f"SELECT {REGION('Location')} AS region, count(*) AS row_count FROM xm WHERE Location IS NOT NULL GROUP BY 1"),
+                  ("owner_stats_head", ["owner"], ["invites_sent", "invitees", "registrations", "responses"],
+                   f"SELECT Practice_Head AS owner, {owner_aggs()} FROM xm WHERE Practice_Head IS NOT NULL GROUP BY 1"),
+                  ("owner_totals", ["owner_type"], ["invites_sent", "invitees", "registrations", "responses"],
+                   f"SELECT 'Practice_Head' AS owner_type, {owner_aggs()} FROM xm WHERE Practice_Head IS NOT NULL "
+                   f"UNION ALL SELECT 'Partner', {owner_aggs()} FROM xm WHERE Partner IS NOT NULL"),
+                  ("cfo_sectors", ["sector"], ["row_count"],
+                   "SELECT Sector AS sector, count(*) AS row_count FROM xc WHERE role = 'cfo' AND Sector IS NOT NULL GROUP BY 1"),
+                  ("metrics", [], ["conversion_rate", "response_rate", "pending_followups", "circle_backs"],
+                   f"SELECT {RATE(_SUM_REG, _SUM_INV)} AS conversion_rate, {RATE('count(Response)', 'count(*)')} AS response_rate, "
+                   "count_if(Response IS NULL) AS pending_followups, count(Circle_Back_Dt) AS circle_backs FROM xm"),
+                  ("invite_trend", ["invite_date"], ["invites"],
+                   f"SELECT {PDATE('Invite_Dt')} AS invite_date, count(*) AS invites FROM xm WHERE {PDATE('Invite_Dt')} IS NOT NULL GROUP BY 1")])),
     "column_profile": profile_sql(),
     "schema_evolve": "SELECT c_custkey, c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, "
                      "CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer",

@@ -554,6 +554,51 @@ def q_stream_changes_out_of_order(spark, base):
     return stream_apply_changes(spark, base, events, compact_every=2)
 
 
+def q_stream_changes_audit(spark, base):
+    """M10 under T1: insert and update times of the contacts, events out of order, with compactions."""
+    from rsvpflow.streaming.changes import stream_apply_changes
+    events = X.mixed_batches(spark, X.timed(X.change_feed(_m(spark, base))), work_dir(spark, "feed"))
+    return stream_apply_changes(spark, base, events, compact_every=2)
+
+
+def q_stream_change_counts(spark, base):
+    from rsvpflow.streaming.changes import stream_change_counts
+    return stream_change_counts(spark, X.mixed_batches(spark, X.timed(X.change_feed(_m(spark, base))), work_dir(spark, "feed")))
+
+
+def _long(reports, name, keys):
+    """A report as rows (report, k1, k2, metric, value)."""
+    df = reports[name]
+    k = [F.col(c) for c in keys] + [F.lit(None)] * (2 - len(keys))
+    cells = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in df.columns if c not in keys]
+    return df.select(F.lit(name).alias("report"), k[0].cast("string").alias("k1"), k[1].cast("string").alias("k2"), F.explode(F.array(*cells)).alias("m")) \
+             .select("report", "k1", "k2", "m.metric", "m.value")
+
+
+def q_stream_reports_on_changes(spark, base):
+    """A1, A2, A9, A9b and A10 after a feed of inserts, updates and deletes that come out of order."""
+    from rsvpflow.streaming.changes import stream_reports_on_changes
+    events = X.mixed_batches(spark, X.change_feed(_m(spark, base)), work_dir(spark, "feed"))
+    r = stream_reports_on_changes(spark, events, compact_every=2)
+    out = _long(r, "overview", [])
+    for name, keys in (("response_weights", ["response"]), ("role_kpis", ["role"]), ("role_responses", ["role", "response"]), ("role_region", ["role", "region"])):
+        out = out.unionByName(_long(r, name, keys))
+    return out
+
+
+def q_reports_from_grain(spark, base):
+    """K5: every report under one filter spec, rolled up from one aggregation of the master."""
+    from rsvpflow.operators.grain import report_grain, reports_from
+    r = reports_from(report_grain(_sm(spark, base)), FILTER_SPEC)
+    keys = {"response_weights": ["response"], "sector_perf": ["sector"], "region_counts": ["region"], "owner_stats_head": ["owner"],
+            "owner_totals": ["owner_type"], "role_kpis": ["role"], "role_region": ["role", "region"], "cfo_sectors": ["sector"], "metrics": [],
+            "invite_trend": ["invite_date"]}
+    out = _long(r, "overview", [])
+    for name, k in keys.items():
+        out = out.unionByName(_long(r, name, k))
+    return out
+
+
 def q_stream_trend_windowed(spark, base):
     from rsvpflow.streaming.changes import stream_invite_trend_windowed
     return stream_invite_trend_windowed(spark, base)
@@ -662,6 +707,10 @@ QUERIES: dict[str, Query] = {
     "replicated_copy": q_replicated_copy,
     "stream_changes": q_stream_changes,
     "stream_changes_out_of_order": q_stream_changes_out_of_order,
+    "stream_changes_audit": q_stream_changes_audit,
+    "stream_change_counts": q_stream_change_counts,
+    "stream_reports_on_changes": q_stream_reports_on_changes,
+    "reports_from_grain": q_reports_from_grain,
     "stream_trend": q_stream_trend,
     "stream_trend_windowed": q_stream_trend_windowed,
     "stream_overview": q_stream_overview,

@@ -3,6 +3,7 @@
 * T1 ``start_change_stream`` / ``stream_apply_changes``: master rows arrive as a file stream; each row's change
   events are generated in-stream (narrow), and every micro-batch appends what it changed to a delta table
   (``deltas.py``), which is merged on read by the largest ``seq`` of an id and compacted every few batches.
+* T3 ``stream_reports_on_changes``: reports that follow inserts, updates and deletes of the feed (``views.py``).
 * T3 ``stream_invite_trend``: the daily invite trend kept up to date by a streaming aggregation in complete mode;
   ``stream_invite_trend_windowed``: the same with a watermark and one-day windows, so that state is bounded by the
   watermark and a trigger writes only the days that changed.
@@ -19,10 +20,12 @@ from pyspark.sql.streaming import StreamingQuery
 from rsvpflow.functions.scalars import parse_date
 from rsvpflow.operators import contacts as C
 from rsvpflow.operators import reports as R
+from rsvpflow.operators.grain import reports_from
 from rsvpflow.plans import fixtures as X
 from rsvpflow.session import work_dir
 from rsvpflow.sources.tables import read_table
-from rsvpflow.streaming.deltas import append_changes, compact, current_contacts
+from rsvpflow.streaming.deltas import append_changes, change_counts, compact, current_contacts
+from rsvpflow.streaming.views import current_grain, start_report_stream
 
 
 def stream_table(spark: SparkSession, base: str, name: str, files_per_trigger: int = 1) -> DataFrame:
@@ -93,6 +96,20 @@ def stream_apply_changes(spark: SparkSession, base: str, events: DataFrame | Non
     return current_contacts(spark, f"{root}/table")
 
 
+def stream_change_counts(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """M12 under T1: per role and action the events of a timed feed, from the counts kept beside the batches."""
+    root = work_dir(spark, "stream-counts")
+    start_change_stream(spark, events, root, {"availableNow": True}, 2).awaitTermination()
+    return change_counts(spark, f"{root}/table").groupBy("role", "action").agg(F.sum("row_count").alias("row_count"))
+
+
+def stream_reports_on_changes(spark: SparkSession, events: DataFrame, compact_every: int = 50) -> dict[str, DataFrame]:
+    """T3 under a change feed: the reports after all changes that are there now, updates and deletes followed."""
+    root = work_dir(spark, "stream-reports")
+    start_report_stream(spark, events, root, {"availableNow": True}, compact_every).awaitTermination()
+    return reports_from(current_grain(spark, f"{root}/grain"), cascade=False)
+
+
 def stream_invite_trend_windowed(spark: SparkSession, base: str, delay: str = "36500 days") -> DataFrame:
     """Invites per day with a watermark and one-day windows (update mode).
 
