@@ -1,20 +1,20 @@
 """Scalar column functions.
 
-All functions return ``pyspark.sql.Column`` built only from built-in
-expressions, on the JVM without Python.  All but the general case
+All functions (but ``date_orders`` and ``with_inferred_dates``, which look at a whole column) return ``pyspark.sql.Column``
+built only from built-in expressions, on the JVM without Python.  All but the general case
 of title-casing (an interpreted higher-order function) take part in code generation.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 __all__ = [
     "present", "safe_int", "title_case", "conversion_rate", "region_of", "REGIONS",
-    "response_label", "response_weight", "parse_date", "DATE_FORMATS", "clean_response",
+    "response_label", "response_weight", "parse_date", "date_orders", "with_inferred_dates", "DATE_SHAPES", "clean_response",
     "numeric_prefix", "vcard_escape", "vcard_card", "client_contact_label",
     "is_registered", "col_of", "strip", "round2", "WHITESPACE", "WS_CLASS",
 ]
@@ -147,17 +147,82 @@ def region_of(c: str | Column, regions=REGIONS) -> Column:
 
 
 # ---------------------------------------------------------------- dates
-# Declared formats tried in order, month first before day first (unparseable -> NULL, as errors='coerce').
-DATE_FORMATS = ("yyyy-M-d", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d'T'H:m:s.SSS", "yyyy/M/d", "M/d/yyyy", "M-d-yyyy", "d/M/yyyy",
-                "d-M-yyyy", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "yyyyMMdd")
-
-
-def parse_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """tolerant text -> date; month names in any case."""
-    c = F.initcap(F.lower(strip(c)))
-    c = F.regexp_replace(c, "(?<=[0-9])t(?=[0-9])", "T")  # ISO separator, lowered above
-    c = F.when(c.rlike("^[0-9]{1,2}-[a-z]{3}-[0-9]{4}$"), F.concat_ws("-", F.split(c, "-")[0], F.initcap(F.split(c, "-")[1]), F.split(c, "-")[2])).otherwise(c)
-    return F.to_date(F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]))
+# An optional time of day, with or without zone, up to the end of the (lowered) text; the date is the one that is written.
+_CLOCK = (r"(?:[ t]+(?:[01]?[0-9]|2[0-3]):[0-5]?[0-9](?::[0-5]?[0-9](?:[.,][0-9]{1,9})?)?(?: ?[ap]m)?"
+          r"(?: ?(?:z|utc|gmt|[+-][0-9]{2}:?[0-9]{2}))?)?$")
+_MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+_NAME = r"(?=(?:" + "|".join(_MONTHS) + "|sept|" + "|".join(m[:3] for m in _MONTHS) + r")[^a-z])([a-z]{3})[a-z]*"
+_YEAR, _M, _D = "([0-9]{4}|[0-9]{2})", "(0?[1-9]|1[0-2])", "(0?[1-9]|[12][0-9]|3[01])"
+#: Shapes of all-digit dates whose field order a column has to settle: separator and digits of the year, or eight digits.
+DATE_SHAPES = {"/4": ("mdy", "dmy"), "-4": ("mdy", "dmy"), "/2": ("mdy", "dmy", "ymd"), "-2": ("mdy", "dmy", "ymd"), "8": ("ymd", "dmy", "mdy")}
+
+
+def _digits(order: str, sep: str, year: str) -> tuple[str, str]:
+    """Pattern of an all-digit date in a field order, and its rewriting as year-month-day."""
+    field = {"y": f"({year})", "m": _M if sep else "(0[1-9]|1[0-2])", "d": _D if sep else "(0[1-9]|[12][0-9]|3[01])"}
+    return "^" + sep.join(field[f] for f in order) + _CLOCK, "=" + "-".join(f"${order.index(f) + 1}" for f in "ymd")
+
+
+def _date_rules(orders: Mapping[str, str] | None) -> list[tuple[str, str]]:
+    """Patterns over a stripped, lowered text; what one has rewritten (it begins with =) no other matches."""
+    rules = [(r"^([0-9]{4})([-/.])([0-9]{1,2})\2([0-9]{1,2})" + _CLOCK, "=$1-$3-$4")]
+    if orders is None:  # month first, day first where that cannot be
+        rules += [(rf"^{_M}([-/]){_D}\2{_YEAR}" + _CLOCK, "=$4-$1-$3"), (rf"^{_D}([-/]){_M}\2{_YEAR}" + _CLOCK, "=$4-$3-$1"),
+                  _digits("ymd", "", "[0-9]{4}")]
+    else:
+        for shape, order in orders.items():
+            rules.append(_digits(order, shape[0], "[0-9]{%s}" % shape[1]) if shape != "8" else _digits(order, "", "[0-9]{4}"))
+    rules += [(rf"^([0-9]{{1,2}})(?:st|nd|rd|th)?[- ]{_NAME}[.,]?[- ]{_YEAR}" + _CLOCK, "=$3-$2-$1"),
+              (rf"^{_NAME}[.]?[- ]([0-9]{{1,2}})(?:st|nd|rd|th)?,?[- ]{_YEAR}" + _CLOCK, "=$3-$1-$2"),
+              ("^=(?=(?:[0-5][0-9]|6[0-8])-)", "=20"), ("^=(?=[0-9]{2}-)", "=19")]
+    return rules
+
+
+def parse_date(c: str | Column, orders: Mapping[str, str] | None = None) -> Column:
+    """tolerant text -> date (unparseable -> NULL); month names in any case, a time of day is passed over.
+
+    The text is rewritten to year-month-day by its shape, each step with one reference to the one before, and cast once:
+    the expression stays small enough for generated code.  All-digit dates with the year last are month first where
+    that can be, else day first; ``orders`` (shape of ``DATE_SHAPES`` -> order) settles them for a whole column.  Two-digit
+    years are 1969 to 2068.
+    """
+    c = F.replace(F.lower(strip(c)), F.lit("="), F.lit("?"))  # a mark of what is rewritten, no part of any date
+    for pattern, to in _date_rules(orders):
+        c = F.regexp_replace(c, pattern, to)
+    for n, name in enumerate(_MONTHS, 1):
+        c = F.replace(c, F.lit(f"-{name[:3]}-"), F.lit(f"-{n}-"))
+    return F.regexp_extract(c, "^=([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})$", 1).try_cast("date")
+
+
+def date_orders(df: DataFrame, col: str) -> dict[str, str]:
+    """The field order of each all-digit shape of a text column, voted by its values: the order that most of them can
+    have (their ranges allow it), the first of ``DATE_SHAPES`` among equals.  One aggregation; three counts a shape come back."""
+    t = F.lower(strip(col))
+    triple = r"^([0-9]{1,2})([-/])([0-9]{1,2})\2([0-9]{4}|[0-9]{2})" + _CLOCK
+    eight = "^[0-9]{8}" + _CLOCK
+    x = df.select(t.alias("t")).filter(F.col("t").rlike(triple) | F.col("t").rlike(eight))
+    whole = F.col("t").rlike(eight)
+    parts = [F.regexp_extract("t", triple, k) for k in (1, 3, 4)]
+    x = x.select(F.when(whole, "8").otherwise(F.concat(F.regexp_extract("t", triple, 2), F.length(parts[2]).cast("string"))).alias("shape"), "t", *[
+        p.alias(n) for p, n in zip(parts, "abc")])
+
+    def can(order):
+        # the fields of a triple, or cut from eight digits with the year where the order has it
+        at, places = 1, {}
+        for k, f in enumerate(order):
+            width = 4 if f == "y" else 2
+            places[f] = F.when(F.col("shape") == "8", F.substring("t", at, width)).otherwise(F.col("abc"[k])).try_cast("int")
+            at += width
+        return F.count_if(places["m"].between(1, 12) & places["d"].between(1, 31)).alias(order)
+
+    got = {r["shape"]: r for r in x.groupBy("shape").agg(*[can(o) for o in ("mdy", "dmy", "ymd")]).collect()}
+    return {s: max(orders, key=lambda o: (got[s][o] if s in got else 0, -orders.index(o))) for s, orders in DATE_SHAPES.items()}
+
+
+def with_inferred_dates(df: DataFrame, cols: Mapping[str, str]) -> DataFrame:
+    """F7 as a column is read: per text column one vote on its all-digit shapes, then each value parsed once under it
+    (a value that the voted order cannot read is NULL).  ``cols``: text column -> new date column."""
+    return df.select("*", *[parse_date(c, date_orders(df, c)).alias(new) for c, new in cols.items()])
 
 
 # ---------------------------------------------------------------- contact cards

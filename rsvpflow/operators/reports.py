@@ -172,10 +172,12 @@ def metrics(sm: DataFrame) -> DataFrame:
 
 
 def invite_trend(sm: DataFrame, date_col: str = "Invite_Dt") -> DataFrame:
-    """Invites per day; unparseable dates drop out."""
-    d = parse_date(date_col)
-    return (sm.select(d.alias("invite_date")).filter(F.col("invite_date").isNotNull())
-              .groupBy("invite_date").agg(F.count(F.lit(1)).alias("invites")))
+    """Invites per day; unparseable dates drop out.
+
+    They drop out as the group that counts no date: a filter on the date itself would move below the aggregation and parse
+    every text twice."""
+    return (sm.select(parse_date(date_col).alias("invite_date")).groupBy("invite_date")
+              .agg(F.count("invite_date").alias("invites")).filter(F.col("invites") > 0))
 
 
 def funnel(sm: DataFrame) -> DataFrame:

@@ -348,6 +348,14 @@ _EVENT_TIME = "(TIMESTAMP '2025-01-01 00:00:00' + to_days({day}) + to_seconds(CA
 _FIRST, _LATER = (_EVENT_TIME.format(day=d, id="x.id") for d in (0, 31))
 
 ORACLE_SQL: dict[str, str] = {
+    "dates_forms": "SELECT id, CASE WHEN k >= 12 THEN NULL WHEN k = 11 AND day(d) <= 12 THEN make_date(year(d), day(d), month(d)) ELSE d END AS read "
+                   "FROM (SELECT o_orderkey AS id, o_orderkey % 14 AS k, CAST(o_orderdate AS DATE) AS d FROM orders)",
+    "dates_inferred": with_extra(
+        "v AS (SELECT id, regexp_extract(trim(Invite_Dt), '^([0-9]{1,2})-([0-9]{1,2})-[0-9]{4}$', ['a', 'b']) AS f, trim(Invite_Dt) AS t FROM m),\n"
+        " o AS (SELECT count_if(try_cast(f.b AS INT) BETWEEN 1 AND 12 AND try_cast(f.a AS INT) BETWEEN 1 AND 31) > "
+        "count_if(try_cast(f.a AS INT) BETWEEN 1 AND 12 AND try_cast(f.b AS INT) BETWEEN 1 AND 31) AS day_first FROM v)",
+        f"SELECT v.id, CASE WHEN f.a <> '' THEN CAST(CASE WHEN (SELECT day_first FROM o) THEN try_strptime(t, '%d-%m-%Y') ELSE try_strptime(t, '%m-%d-%Y') END AS DATE) "
+        f"ELSE {PDATE('t')} END AS invite_date, CAST(o_orderdate AS DATE) AS d1, CAST(o_orderdate AS DATE) AS d2 FROM v JOIN orders ON o_orderkey = v.id"),
     "stream_changes_audit": with_extra(
         "x AS (SELECT c2.*, c.id IS NULL AS fresh, c.id IS NULL OR " + " OR ".join(f"c.{k} IS DISTINCT FROM c2.{k}" for k in _CC) + " AS moved "
         "FROM c2 LEFT JOIN c ON c.role = c2.role AND c.id = c2.id)",

@@ -484,6 +484,34 @@ def q_dates(spark, base):
                     S.parse_date("Circle_Back_Dt").alias("circle_back_date"))
 
 
+#: Ways to write a date (pattern of the date, what follows it); the row's key modulo their number picks one.
+DATE_FORMS = [("yyyy-MM-dd", " 10:11"), ("yyyy-MM-dd", "T10:11:12Z"), ("yyyy-MM-dd", " 10:11:12.123456"), ("yyyy-MM-dd", "T10:11:12+05:30"),
+              ("MMMM d, yyyy", ""), ("d MMMM yyyy", ""), ("M/d/yy", ""), ("dd-MMM-yy", ""), ("MM/dd/yyyy", " 10:11"), ("yyyyMMdd", ""),
+              ("d MMM yyyy", " 9:05 PM"), ("d/M/yyyy", ""), ("yyyy-MM-dd", " 25:00"), ("yyyy-13-dd", "")]
+
+
+def _written(spark, base):
+    """Order dates written in all of ``DATE_FORMS``, and day first throughout."""
+    day = F.col("o_orderdate").cast("date")
+    text = None
+    for k, (form, more) in enumerate(DATE_FORMS):
+        hit, t = F.col("o_orderkey") % len(DATE_FORMS) == k, F.concat(F.date_format(day, form), F.lit(more))
+        text = F.when(hit, t) if text is None else text.when(hit, t)
+    return T.read_table(spark, base, "orders").select(F.col("o_orderkey").alias("id"), text.alias("mixed"),
+                                                      F.date_format(day, "d/M/yyyy").alias("day_first"), F.date_format(day, "ddMMyyyy").alias("eight"))
+
+
+def q_dates_forms(spark, base):
+    return _written(spark, base).select("id", S.parse_date("mixed").alias("read"))
+
+
+def q_dates_inferred(spark, base):
+    """each column's own field order: the invite dates of the master and two day-first columns."""
+    m = S.with_inferred_dates(_m(spark, base).select("id", "Invite_Dt"), {"Invite_Dt": "invite_date"}).select("id", "invite_date")
+    w = S.with_inferred_dates(_written(spark, base), {"day_first": "d1", "eight": "d2"}).select(F.col("id").alias("__id"), "d1", "d2")
+    return m.join(w, F.col("id") == F.col("__id")).drop("__id")
+
+
 # ------------------------------------------------------------------ export
 def q_eligible_cards(spark, base):
     return E.eligible_contacts(_details(spark, base))
@@ -698,6 +726,8 @@ QUERIES: dict[str, Query] = {
     "regions": q_regions,
     "labels_weights": q_labels_weights,
     "dates": q_dates,
+    "dates_forms": q_dates_forms,
+    "dates_inferred": q_dates_inferred,
     "eligible_cards": q_eligible_cards,
     "cards": q_cards,
     "mark_exported": q_mark_exported,

@@ -101,3 +101,23 @@ def test_rates_round_like_python(spark):
 def test_headers_of_any_script():
     assert clean_header("nan", 3) == "Unnamed_Column_4"
     assert clean_header("Größe", 0) == "Größe" and clean_header("名前", 0) == "名前" and clean_header("a#b c-d.e", 0) == "anumb_c_d_e"
+
+
+def test_dates_as_written_in_sheets(spark):
+    vals = {"2024-01-02 10:11": "2024-01-02", "2024-01-02T10:11:12Z": "2024-01-02", "2024-01-02 10:11:12.123456": "2024-01-02",
+            "2024-01-02T23:59:59+05:30": "2024-01-02", "January 5, 2024": "2024-01-05", "5 January 2024": "2024-01-05", "1/2/24": "2024-01-02",
+            "05-Mar-24": "2024-03-05", "01/02/2024 10:30": "2024-01-02", "13/02/2024": "2024-02-13", "5th Sept 2024": "2024-09-05", "May 3 99": "1999-05-03",
+            "20240105": "2024-01-05", "20240105 1:02 pm": "2024-01-05", " 2024/1/5\u00a0": "2024-01-05", "29-Feb-2024": "2024-02-29", "29-Feb-2023": None,
+            "2024-13-01": None, "2024-01-02 25:00": None, "1/2-2024": None, "31/31/2024": None, "2024": None, "2024-05": None, "5 Janvier 2024": None,
+            "2024-01-02 x": None, "=2024-01-02": None, "now": None, "": None, "12": None, "1/2/345": None}
+    got = one_col(spark, list(vals), S.parse_date)
+    assert {k: d and str(d) for k, d in zip(vals, got)} == vals
+
+
+def test_dates_follow_the_vote_of_their_column(spark):
+    rows = [("13/01/2024", "01-02-24", "31012024"), ("05/03/2024", "99-12-25", "05032024"), ("04/25/2024", "24-11-30", "20240105"), (None, "x", "")]
+    df = spark.createDataFrame(rows * 3 + [("20/02/2024", "24-01-31", "28022024")], "a string, b string, c string")
+    assert {k: v for k, v in S.date_orders(df, "a").items() if k == "/4"} == {"/4": "dmy"}
+    got = S.with_inferred_dates(df, {"a": "da", "b": "db", "c": "dc"}).limit(4).collect()
+    assert [[x and str(x) for x in r[3:]] for r in got] == [["2024-01-13", "2001-02-24", "2024-01-31"], ["2024-03-05", "1999-12-25", "2024-03-05"],
+                                                           [None, "2024-11-30", None], [None, None, None]]

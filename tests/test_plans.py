@@ -106,3 +106,15 @@ def test_grain_reads_the_master_once(spark):
             assert "orders.parquet" not in plan_of(rolled[name])
             assert rolled[name].schema.simpleString() == df.schema.simpleString(), name
             assert sorted(map(tuple, rolled[name].collect()), key=str) == sorted(map(tuple, df.collect()), key=str), name
+
+
+def test_dates_are_parsed_once_in_generated_code(spark):
+    """The invite trend's parse stays in a generated stage and is not repeated in a pushed-down filter."""
+    df = QUERIES["invite_trend"](spark, SF_SMALL)
+    df.collect()
+    plan = plan_of(df)
+    import re
+
+    assert not re.search(r"Filter .*regexp_extract", plan)
+    stage = [ln for ln in plan.split("== Initial Plan ==")[0].splitlines() if "regexp_extract" in ln]
+    assert stage and all("*(" in ln for ln in stage), plan
