@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from rsvpflow.functions.scalars import present, response_label, response_weight, title_case
 from rsvpflow.operators.joins import key_join, materialized
 from rsvpflow.operators.merge import keep_per_key
+from rsvpflow.operators.ordered import PART, next_value, ranged, running_count
 from rsvpflow.roles import (ANALYSIS_FIELDS, CLIENT_ATTRS, CONTACT_COLS, DETAILS_FIELDS, ROLE_ORDER, ROLES,
                               derived_name)
 
 __all__ = ["fan_out", "role_view", "trigger_events", "apply_changes_by_phone", "standardize_master", "standardize_contacts", "rebuild_contacts",
            "unique_contacts", "apply_changes", "applied_seq", "apply_insert", "apply_update", "apply_delete",
-           "cascade_delete", "cascade_rename", "orphans", "MASTER_TITLE_COLS"]
+           "apply_triggers", "cascade_delete", "cascade_rename", "cascade_renames", "rename_map", "orphans", "MASTER_TITLE_COLS"]
 
 # Master columns the dashboard title-cases.
 MASTER_TITLE_COLS = ("Practice_Head", "Partner", "Client_Name", "Location", "Sector")
@@ -317,12 +318,12 @@ def _apply_strict(contacts: DataFrame, ev: DataFrame) -> DataFrame:
     no more).  Whether there is a row when the last ``X`` comes follows from the last segment before it that decides:
     one that leaves an upserted client alive, or one that deletes the client which its opening ``X`` had set.
 
-    The segment number is a running count over a phone's events, so one phone's events of a batch are sorted together
-    (they spill, but are not dealt over tasks); the fixed mode has no such step.
+    The segment number is a running count over a phone's events, taken per range of ``seq`` with offsets from the counts of
+    the ranges before (``ordered.running_count``): a phone with a third of the feed is sorted by many tasks.
     """
     cols, rp = list(CONTACT_COLS), ["role", "phone"]
-    opens = F.sum((F.col("kind") == "X").cast("int")).over(Window.partitionBy(*rp).orderBy("seq", "ord"))
-    e = materialized(ev.withColumn("seg", opens))
+    dealt = ranged(ev, *rp, "seq", "ord")
+    e = materialized(running_count(dealt, rp, ["seq", "ord"], F.col("kind") == "X", "seg").drop(PART))
     final = e.groupBy(*rp).agg(F.max("seg").alias("last_seg"))
     fold = keep_per_key(e.filter(F.col("kind").isin("D", "U") & F.col("client").isNotNull()), [*rp, "seg", "client"], ["seq", "ord"],
                         "last", null_safe=True)
@@ -353,6 +354,94 @@ def _apply_strict(contacts: DataFrame, ev: DataFrame) -> DataFrame:
     return untouched.unionByName(put).unionByName(carried)
 
 
+def apply_triggers(contacts: DataFrame, changes: DataFrame, version: str = "v1", roles: Sequence[str] = ROLE_ORDER) -> DataFrame:
+    """M5a + M6a / M6b + M7 as they fire together: a mixed feed of I, U and D events in ``seq`` order on a table keyed by
+    UNIQUE(role, phone).
+
+    I inserts a contact under its NEW phone unless one is there (keep-first); U sets the fields of the contact that has the
+    NEW phone at that moment (v1 not the client name, v2 the client name too), never inserts and never moves a changed phone;
+    D (v2; v1 has no delete trigger) removes the contact that has the OLD phone, whoever's it is.
+
+    The events of a phone act on its row alone, as functions that compose: after the last D the row is absent, the first I
+    behind that brings it back, and of the U behind that only the last shows; without a D a stored row stays and shows the
+    last U.  So a phone's events are folded per range of ``seq`` to one row (last D; first I behind it; last U), and the
+    ranges' rows to one: no task sorts or holds all events of a phone.  The table is not shuffled while the folded feed
+    passes the size check.  Events of one row need distinct ``seq``; contacts without a present phone are left as they are.
+    """
+    if version not in ("v1", "v2"):
+        raise ValueError(f"unknown trigger version {version!r}")
+    cols, rp = list(CONTACT_COLS), ["role", "phone"]
+    per_role = []
+    for r in roles:
+        spec = ROLES[r]
+        row = F.struct(F.lit(r).alias("role"), F.col("new.id").alias("id"), F.col("new.Client_Name").alias("client"), *[F.col(f"new.{a}").alias(a) for a in CLIENT_ATTRS],
+                       *[F.col(f"new.{src}").alias(dst) for dst, src in spec.master_cols().items()])
+        gone = (F.col("op") == "D") if version == "v2" else F.lit(False)
+        phone = F.when(F.col("op").isin("I", "U"), F.col(f"new.{spec.phone}")).when(gone, F.col(f"old.{spec.phone}"))
+        per_role.append(F.struct(F.lit(r).alias("role"), phone.alias("phone"), F.when(F.col("op") != "D", row).alias("row")))
+    ev = changes.select("seq", "op", F.explode(F.array(*per_role)).alias("e")).select("seq", "op", "e.*").filter(present("phone"))
+    dealt = ranged(ev, *rp, "seq")
+    seq, op, last_d = F.col("seq"), F.col("op"), F.col("__d")
+    behind = lambda at, d: F.when(d.isNull() | (at > d), at)
+    local = dealt.withColumn("__d", F.max(F.when(op == "D", seq)).over(Window.partitionBy(*rp, PART)))
+    first = F.when(op == "I", behind(seq, last_d))
+    parts = local.groupBy(*rp, PART).agg(F.max("__d").alias("d"), F.min(first).alias("i_seq"), F.min_by("row", first).alias("i_row"),
+                                         F.max(F.when(op == "U", seq)).alias("u_seq"), F.max_by("row", F.when(op == "U", seq)).alias("u_row"))
+    parts = parts.withColumn("__d", F.max("d").over(Window.partitionBy(*rp)))
+    first = behind(F.col("i_seq"), last_d)
+    fold = materialized(parts.groupBy(*rp).agg(F.max("__d").alias("d"), F.min(first).alias("i_seq"), F.min_by("i_row", first).alias("i_row"),
+                                               F.max("u_seq").alias("u_seq"), F.max_by("u_row", "u_seq").alias("u_row")))
+    setcols = [c for c in cols if c not in ("role", "phone", "id") and (version == "v2" or c != "client")]
+    fresh = fold.filter("i_seq is not null").select(
+        "d", *[F.when(F.col("u_seq") > F.col("i_seq"), F.col(f"u_row.{c}")).otherwise(F.col(f"i_row.{c}")).alias(c) if c in setcols
+               else F.col(f"i_row.{c}").alias(c) for c in cols])
+    names = [F.col("role").alias("__r"), F.col("phone").alias("__p")]
+    same = (F.col("role") == F.col("__r")) & (F.col("phone") == F.col("__p"))
+    taken = key_join(contacts.select(*rp), fold.select(*names), same, "left_semi", materialize=False).distinct().select(*names)
+    put = fresh.filter("d is not null").drop("d").unionByName(fresh.filter("d is null").drop("d").join(taken, same, "left_anti"))
+    hit = fold.select(*names, "d", "u_seq", "u_row")
+    j = key_join(contacts, hit, same, "left", materialize=False).filter("d is null")
+    shown = j.select(*[F.when(F.col("u_seq").isNotNull(), F.col(f"u_row.{c}")).otherwise(F.col(c)).alias(c) if c in setcols else F.col(c)
+                       for c in contacts.columns])
+    return shown.unionByName(put)
+
+
+def rename_map(renames: DataFrame, old_col: str = "old_key", new_col: str = "new_key", seq: str = "seq") -> DataFrame:
+    """(old_key, new_key): where each key ends under renames that run one after the other by ``seq``.
+
+    A rename hands the rows it finds to the first later rename of its new key.  These links form chains that only go
+    forward in ``seq`` — a swap or a cycle of names is a chain through time like any other — and pointer doubling follows
+    them in as many rounds as the longest chain has binary digits, whatever the number of renames.  A key starts at its
+    first rename.  NULL keys and renames of a key to itself do nothing; of several renames of one key at one ``seq`` the
+    largest new key counts; a NULL new key ends a chain.
+    """
+    old, new = F.col(old_col), F.col(new_col)
+    r = (renames.filter(old.isNotNull() & ~old.eqNullSafe(new)).groupBy(old.alias("old"), F.col(seq).cast("bigint").alias("seq"))
+         .agg(F.max(new).alias("new")))
+    # per key the renames that leave it and those that reach it; each of the latter takes the first leave behind it
+    leaves = r.select(F.col("old").alias("key"), "seq", F.lit(True).alias("leaves"), F.lit(None).cast(r.schema["old"].dataType).alias("origin"))
+    reaches = r.filter("new is not null").select(F.col("new").alias("key"), "seq", F.lit(False).alias("leaves"), F.col("old").alias("origin"))
+    dealt = ranged(leaves.unionByName(reaches), "key", "seq")
+    linked = next_value(dealt, ["key"], "seq", F.when(F.col("leaves"), F.col("seq")), "then")
+    link = linked.filter("not leaves and then is not null").select(F.col("origin").alias("old"), "seq", F.col("key").alias("o2"), F.col("then").alias("s2"))
+    step = materialized(r.join(link, ["old", "seq"], "left"))
+    while not step.filter("o2 is not null").isEmpty():
+        ahead = step.select(F.col("old").alias("o2"), F.col("seq").alias("s2"), F.col("new").alias("__n"), F.col("o2").alias("__o"), F.col("s2").alias("__s"))
+        step = materialized(step.join(ahead, ["o2", "s2"], "left").select(
+            "old", "seq", F.when(F.col("o2").isNotNull(), F.col("__n")).otherwise(F.col("new")).alias("new"), F.col("__o").alias("o2"), F.col("__s").alias("s2")))
+    return step.groupBy(F.col("old").alias("old_key")).agg(F.min_by(F.struct("new"), "seq").alias("__e")).select("old_key", F.col("__e.new").alias("new_key"))
+
+
+def cascade_renames(children: DataFrame, renames: DataFrame, child_key: str, old_col: str = "old_key", new_col: str = "new_key",
+                    seq: str = "seq") -> DataFrame:
+    """J6 ``ON UPDATE CASCADE`` for parent renames in ``seq`` order, chains, swaps and cycles included (``rename_map``).
+
+    The children are not shuffled while the map passes the size check."""
+    ends = rename_map(renames, old_col, new_col, seq).select(F.col("old_key").alias("__old"), F.col("new_key").alias("__new"))
+    j = key_join(children, ends, F.col(child_key) == F.col("__old"), "left")
+    return j.select(*[F.when(F.col("__old").isNotNull(), F.col("__new")).otherwise(F.col(c)).alias(c) if c == child_key else F.col(c) for c in children.columns])
+
+
 def cascade_delete(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """J6 ``ON DELETE CASCADE``: keep only children whose parent still exists."""
     p = parents.select(F.col(parent_key).alias("__p")).filter(F.col("__p").isNotNull())
@@ -361,7 +450,8 @@ def cascade_delete(children: DataFrame, parents: DataFrame, child_key: str, pare
 
 def cascade_rename(children: DataFrame, renames: DataFrame, child_key: str, old_col: str = "old_key",
                    new_col: str = "new_key", seq: str | None = None) -> DataFrame:
-    """J6 ``ON UPDATE CASCADE``: rewrite a child's parent key through a rename map."""
+    """J6 ``ON UPDATE CASCADE``: rewrite a child's parent key through a rename map, one statement (for renames that run one
+    after the other see ``cascade_renames``)."""
     # one rename per key, the last by ``seq`` (or the largest new key): the map never multiplies children
     order = F.struct(F.col(seq), F.col(new_col)) if seq else F.col(new_col)
     r = (renames.filter(F.col(old_col).isNotNull()).groupBy(F.col(old_col).alias("__old"))

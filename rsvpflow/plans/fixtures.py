@@ -128,6 +128,12 @@ def change_feed(m: DataFrame) -> DataFrame:
              .select("e.seq", "e.op", "id", "e.old", "e.new"))
 
 
+def late_inserts(feed: DataFrame) -> DataFrame:
+    """The feed with the inserts of every third id behind all updates and deletes."""
+    late = (F.col("op") == "I") & (F.col("id") % 3 == 1)
+    return feed.withColumn("seq", F.when(late, F.col("seq") + F.lit(CHANGE_OFFSET + (CHANGE_OFFSET >> 1)).cast("bigint")).otherwise(F.col("seq")))
+
+
 #: Event time of a timed feed: a moment of one day by id, updates and deletes a month later (``{id}`` the row's id).
 EVENT_TIME = "TIMESTAMP_NTZ '2025-01-01 00:00:00' + make_dt_interval({day}, 0, 0, CAST({id} % 86400 AS INT))"
 

@@ -130,9 +130,12 @@ BASE = (f"WITH m AS MATERIALIZED ({MASTER}),\n sm AS ({SM}),\n c AS ({fan_sql('m
         f" c2 AS ({fan_sql('fm')}),\n"
         f" cu AS ({fan_sql('(SELECT * FROM m2 WHERE id % 10 IN (1, 2, 4, 5))')}),\n"
         f" cd AS ({fan_sql('(SELECT * FROM m WHERE id % 10 = 6)')}),\n"
-        f" bp AS (SELECT * REPLACE ('stored' AS designation) FROM u WHERE id % 3 = 0),\n"
-        f" bpc AS (SELECT * REPLACE ('stored' AS designation) FROM (SELECT * FROM c WHERE client IS NULL UNION ALL SELECT * FROM c WHERE client IS NOT NULL "
-        f"QUALIFY row_number() OVER (PARTITION BY role, phone, client ORDER BY id) = 1) WHERE id % 3 = 0),\n"
+        f" uc AS (SELECT * FROM c WHERE client IS NULL UNION ALL SELECT * FROM c WHERE client IS NOT NULL "
+        f"QUALIFY row_number() OVER (PARTITION BY role, phone, client ORDER BY id) = 1),\n"
+        f" bp AS (SELECT * REPLACE ('stored' AS designation) FROM u WHERE id % 3 = 0 UNION ALL "
+        f"SELECT * REPLACE ('stored' AS designation, phone || '#' AS phone) FROM u WHERE id % 5 = 1),\n"
+        f" bpc AS (SELECT * REPLACE ('stored' AS designation) FROM uc WHERE id % 3 = 0 UNION ALL "
+        f"SELECT * REPLACE ('stored' AS designation, phone || '#' AS phone) FROM uc WHERE id % 5 = 1),\n"
         f" elig AS (SELECT * FROM u WHERE {PRESENT('phone')} AND {NP('numRegistrations')} = 1 "
         f"AND contact_response IS NOT NULL AND {NP('contact_response')} >= 0)\n")
 
@@ -244,8 +247,7 @@ def triggers_sql(strict):
     if strict:
         parts.append(f"SELECT x.id + {CHANGE_OFFSET}, 1, 'X', x.role, x.phone, x.client, {pay} FROM cu x "
                      f"JOIN pr ON x.id = pr.id AND x.role = pr.role WHERE NOT {moved}")
-    # the events of even ids, on a table in use
-    ev = f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE (seq & {CHANGE_OFFSET - 1}) % 2 = 0"
+    ev = " UNION ALL ".join(parts)
     cols = ", ".join(_CC)
     if not strict:
         ctes = (f"pr AS ({pr_sql()}),\n ev AS ({ev}),\n fold AS (SELECT * FROM ev QUALIFY row_number() OVER "
@@ -273,6 +275,25 @@ def triggers_sql(strict):
                       f"UNION ALL SELECT {c('b')} FROM st b WHERE NOT EXISTS (SELECT 1 FROM fin WHERE s > 0 AND fin.role = b.role AND fin.phone = b.phone)")
 
 
+def keyed_triggers_sql(version):
+    """v1 / v2 row triggers on UNIQUE(role, phone): the state of a phone behind its last delete, written with windows."""
+    late = CHANGE_OFFSET + (CHANGE_OFFSET >> 1)
+    at = "id" if version == "v1" else f"CASE WHEN id % 3 = 1 THEN id + {late} ELSE id END"
+    gone = f" UNION ALL SELECT id + {CHANGE_OFFSET}, 'D', * FROM cd" if version == "v2" else ""
+    cols = [c for c in _CC if c not in ("role", "phone", "id") and (version == "v2" or c != "client")]
+    pick = lambda base: ", ".join(f"CASE WHEN n.seq IS NOT NULL THEN n.{c} ELSE {base}.{c} END AS {c}" if c in cols else f"{base}.{c} AS {c}" for c in _CC)
+    on = lambda a, b: f"{a}.role = {b}.role AND {a}.phone = {b}.phone"
+    return with_extra(
+        f"ev AS MATERIALIZED (SELECT {at} AS seq, 'I' AS op, * FROM c UNION ALL SELECT id + {CHANGE_OFFSET}, 'U', * FROM cu{gone}),\n"
+        " dl AS (SELECT role, phone, max(seq) AS seq FROM ev WHERE op = 'D' GROUP BY ALL),\n"
+        f" fi AS (SELECT e.* FROM ev e LEFT JOIN dl ON {on('e', 'dl')} WHERE e.op = 'I' AND (dl.seq IS NULL OR e.seq > dl.seq) "
+        "QUALIFY row_number() OVER (PARTITION BY e.role, e.phone ORDER BY e.seq) = 1),\n"
+        " lu AS (SELECT * FROM ev WHERE op = 'U' QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY seq DESC) = 1)",
+        f"SELECT {pick('b')} FROM bp b LEFT JOIN lu n ON {on('b', 'n')} WHERE NOT EXISTS (SELECT 1 FROM dl WHERE {on('dl', 'b')}) UNION ALL "
+        f"SELECT {pick('f')} FROM fi f LEFT JOIN lu n ON {on('f', 'n')} AND n.seq > f.seq "
+        f"WHERE NOT EXISTS (SELECT 1 FROM bp b WHERE {on('b', 'f')}) OR EXISTS (SELECT 1 FROM dl WHERE {on('dl', 'f')})")
+
+
 def with_extra(ctes, body):
     return BASE.rstrip("\n") + ",\n " + ctes + "\n" + body
 
@@ -356,6 +377,11 @@ ORACLE_SQL: dict[str, str] = {
         "count_if(try_cast(f.a AS INT) BETWEEN 1 AND 12 AND try_cast(f.b AS INT) BETWEEN 1 AND 31) AS day_first FROM v)",
         f"SELECT v.id, CASE WHEN f.a <> '' THEN CAST(CASE WHEN (SELECT day_first FROM o) THEN try_strptime(t, '%d-%m-%Y') ELSE try_strptime(t, '%m-%d-%Y') END AS DATE) "
         f"ELSE {PDATE('t')} END AS invite_date, CAST(o_orderdate AS DATE) AS d1, CAST(o_orderdate AS DATE) AS d2 FROM v JOIN orders ON o_orderkey = v.id"),
+    "apply_triggers_v1": keyed_triggers_sql("v1"),
+    "apply_triggers_v2": keyed_triggers_sql("v2"),
+    # the three renames of a row run at 1, 2, 3 (and 9); its first name is its own, so each row's names end by its id alone
+    "cascade_rename_chain": q("SELECT c.* REPLACE (CASE WHEN client IS NULL THEN client WHEN id % 4 = 0 THEN client || '~' WHEN id % 4 = 1 THEN upper(client) "
+                              "WHEN id % 4 = 2 THEN client ELSE client END AS client) FROM c"),
     "stream_changes_audit": with_extra(
         "x AS (SELECT c2.*, c.id IS NULL AS fresh, c.id IS NULL OR " + " OR ".join(f"c.{k} IS DISTINCT FROM c2.{k}" for k in _CC) + " AS moved "
         "FROM c2 LEFT JOIN c ON c.role = c2.role AND c.id = c2.id)",
@@ -468,19 +494,19 @@ ORACLE_SQL: dict[str, str] = {
     "rebuild_contacts": q("SELECT * FROM c2"),
     "apply_changes": q("SELECT * FROM c2"),
     "apply_insert_keep_first": with_extra(
-        "n AS (SELECT * FROM c WHERE id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id) = 1)",
+        "n AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id) = 1)",
         "SELECT * FROM bp UNION ALL SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM bp WHERE bp.role = n.role AND bp.phone = n.phone)"),
     "apply_insert_keep_last": with_extra(
-        "n AS (SELECT * FROM c WHERE id % 2 = 0 AND client IS NOT NULL QUALIFY row_number() OVER (PARTITION BY role, phone, client ORDER BY id DESC) = 1)",
-        "SELECT * FROM n UNION ALL SELECT * FROM c WHERE id % 2 = 0 AND client IS NULL UNION ALL SELECT * FROM bpc b WHERE NOT EXISTS "
+        "n AS (SELECT * FROM c WHERE client IS NOT NULL QUALIFY row_number() OVER (PARTITION BY role, phone, client ORDER BY id DESC) = 1)",
+        "SELECT * FROM n UNION ALL SELECT * FROM c WHERE client IS NULL UNION ALL SELECT * FROM bpc b WHERE NOT EXISTS "
         "(SELECT 1 FROM n WHERE n.role = b.role AND n.phone = b.phone AND n.client = b.client)"),
     "apply_insert_keep_client": with_extra(
-        "l AS (SELECT * FROM c WHERE id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id DESC) = 1),\n"
-        " f AS (SELECT * FROM c WHERE id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id) = 1)",
+        "l AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id DESC) = 1),\n"
+        " f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY role, phone ORDER BY id) = 1)",
         "SELECT l.* REPLACE (CASE WHEN bp.phone IS NOT NULL THEN bp.client ELSE f.client END AS client) FROM l "
         "JOIN f ON l.role = f.role AND l.phone = f.phone LEFT JOIN bp ON l.role = bp.role AND l.phone = bp.phone "
         "UNION ALL SELECT * FROM bp WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.role = bp.role AND l.phone = bp.phone)"),
-    "apply_changes_out_of_order": q("SELECT * FROM c2 WHERE id % 3 <> 0 OR id % 10 IN (1, 2, 4, 5)"),
+    "apply_changes_out_of_order": q("SELECT * FROM c2"),
     "apply_update_v1": update_sql("v1"),
     "apply_update_v2": update_sql("v2"),
     "apply_triggers": triggers_sql(False),

@@ -267,39 +267,59 @@ def _empty_contacts(spark, m):
 
 
 def _stored(contacts, policy):
-    """A derived table in use: a third of the contacts, recognisable by their designation."""
-    return C.unique_contacts(contacts, policy, "first").filter(F.col("id") % 3 == 0).withColumn("designation", F.lit("stored"))
-
-
-def _even(feed):
-    return feed.filter(F.col("id") % 2 == 0)
+    """A derived table in use, recognisable by its designation: a third of the contacts, and some under phones that the feed
+    does not hold."""
+    u = C.unique_contacts(contacts, policy, "first").withColumn("designation", F.lit("stored"))
+    return u.filter(F.col("id") % 3 == 0).unionByName(u.filter(F.col("id") % 5 == 1).withColumn("phone", F.concat("phone", F.lit("#"))))
 
 
 def q_apply_insert_keep_first(spark, base):
     m = _m(spark, base)
-    return C.apply_insert(_stored(C.fan_out(m), "phone"), _even(X.change_feed(m)), "phone", "first")
+    return C.apply_insert(_stored(C.fan_out(m), "phone"), X.change_feed(m), "phone", "first")
 
 
 def q_apply_insert_keep_last(spark, base):
     m = _m(spark, base)
-    return C.apply_insert(_stored(C.fan_out(m), "phone_client"), _even(X.change_feed(m)), "phone_client", "last")
+    return C.apply_insert(_stored(C.fan_out(m), "phone_client"), X.change_feed(m), "phone_client", "last")
 
 
 def q_apply_insert_keep_client(spark, base):
     """M5b duplicate-fix variant: latest row per phone, client name kept from the first insert."""
     m = _m(spark, base)
-    return C.apply_insert(_stored(C.fan_out(m), "phone"), _even(X.change_feed(m)), "phone", "last", overwrite_client=False)
+    return C.apply_insert(_stored(C.fan_out(m), "phone"), X.change_feed(m), "phone", "last", overwrite_client=False)
 
 
 def q_apply_changes_out_of_order(spark, base):
-    """K3: updates and deletes arrive a batch before the inserts of the same rows (two thirds of them)."""
+    """K3: updates and deletes arrive a batch before the inserts of the same rows."""
     m = _m(spark, base)
     feed = X.change_feed(m)
-    later = feed.filter(F.col("seq") >= X.CHANGE_OFFSET)
-    first = feed.filter((F.col("seq") < X.CHANGE_OFFSET) & (F.col("id") % 3 != 0))
+    later, first = feed.filter(F.col("seq") >= X.CHANGE_OFFSET), feed.filter(F.col("seq") < X.CHANGE_OFFSET)
     return C.apply_changes(C.apply_changes(_empty_contacts(spark, m), later), first, applied=C.applied_seq(None, later))
 
 
+def q_apply_triggers_v1(spark, base):
+    """M5a + M6a: inserts and updates in event order on a table in use."""
+    m = _m(spark, base)
+    return C.apply_triggers(_stored(C.fan_out(m), "phone"), X.change_feed(m), "v1")
+
+
+def q_apply_triggers_v2(spark, base):
+    """M5a + M6b + M7: inserts, updates and deletes in event order; the inserts come last for every third row."""
+    m = _m(spark, base)
+    return C.apply_triggers(_stored(C.fan_out(m), "phone"), X.late_inserts(X.change_feed(m)), "v2")
+
+
+def q_cascade_rename_chain(spark, base):
+    """Renames one after the other: chains of three, swaps, and one name that goes round."""
+    m = _m(spark, base)
+    name, i = F.col("Client_Name"), F.col("id")
+    r = lambda old, new, at: F.struct(old.alias("old_key"), new.alias("new_key"), F.lit(at).alias("seq"))
+    up, low, far = F.upper(name), F.lower(name), F.concat(name, F.lit("~"))
+    steps = F.when(i % 4 == 0, F.array(r(name, up, 1), r(up, low, 2), r(low, far, 3))).when(
+        i % 4 == 1, F.array(r(name, far, 1), r(up, name, 2), r(far, up, 3))).when(i % 4 == 2, F.array(r(name, up, 3), r(up, far, 2), r(up, name, 9)))
+    return C.cascade_renames(_c(spark, base), m.select(F.explode(steps).alias("s")).select("s.*"), "client")
+
+
 def q_apply_update_v1(spark, base):
     m = _m(spark, base)
     return C.apply_update(C.unique_contacts(C.fan_out(m), "phone", "first"), X.change_feed(m), "v1")
@@ -313,13 +333,13 @@ def q_apply_update_v2(spark, base):
 def q_apply_triggers(spark, base):
     """M5b/M6c/M7 v3 (fixed): trigger semantics keyed by (role, phone, client)."""
     m = _m(spark, base)
-    return C.apply_changes_by_phone(_stored(C.fan_out(m), "phone_client"), _even(X.change_feed(m)))
+    return C.apply_changes_by_phone(_stored(C.fan_out(m), "phone_client"), X.change_feed(m))
 
 
 def q_apply_triggers_strict(spark, base):
     """Same, reproducing the reference's NULL-comparison behaviour."""
     m = _m(spark, base)
-    return C.apply_changes_by_phone(_stored(C.fan_out(m), "phone_client"), _even(X.change_feed(m)), strict_reference=True)
+    return C.apply_changes_by_phone(_stored(C.fan_out(m), "phone_client"), X.change_feed(m), strict_reference=True)
 
 
 def q_apply_delete(spark, base):
@@ -674,6 +694,7 @@ QUERIES: dict[str, Query] = {
     "orphans": q_orphans,
     "cascade_delete": q_cascade_delete,
     "cascade_rename": q_cascade_rename,
+    "cascade_rename_chain": q_cascade_rename_chain,
     "insert_new_only": q_insert_new_only,
     "upsert": q_upsert,
     "smart_sync": q_smart_sync,
@@ -691,6 +712,8 @@ QUERIES: dict[str, Query] = {
     "apply_update_v1": q_apply_update_v1,
     "apply_update_v2": q_apply_update_v2,
     "apply_triggers": q_apply_triggers,
+    "apply_triggers_v1": q_apply_triggers_v1,
+    "apply_triggers_v2": q_apply_triggers_v2,
     "apply_triggers_strict": q_apply_triggers_strict,
     "apply_delete": q_apply_delete,
     "apply_delete_phone": q_apply_delete_phone,
