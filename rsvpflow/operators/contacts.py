@@ -442,10 +442,14 @@ def cascade_renames(children: DataFrame, renames: DataFrame, child_key: str, old
     return j.select(*[F.when(F.col("__old").isNotNull(), F.col("__new")).otherwise(F.col(c)).alias(c) if c == child_key else F.col(c) for c in children.columns])
 
 
-def cascade_delete(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """J6 ``ON DELETE CASCADE``: keep only children whose parent still exists."""
-    p = parents.select(F.col(parent_key).alias("__p")).filter(F.col("__p").isNotNull())
-    return children.join(p, F.col(child_key) == F.col("__p"), "left_semi")
+def _alike(col: str, collation: str | None) -> Column:
+    return F.collate(F.col(col), collation) if collation else F.col(col)
+
+
+def cascade_delete(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str, collation: str | None = None) -> DataFrame:
+    """J6 ``ON DELETE CASCADE``: keep only children whose parent still exists (keys alike under ``collation``, if named)."""
+    p = parents.select(_alike(parent_key, collation).alias("__p")).filter(F.col("__p").isNotNull())
+    return children.join(p, _alike(child_key, collation) == F.col("__p"), "left_semi")
 
 
 def cascade_rename(children: DataFrame, renames: DataFrame, child_key: str, old_col: str = "old_key",
@@ -461,7 +465,7 @@ def cascade_rename(children: DataFrame, renames: DataFrame, child_key: str, old_
                       if c == child_key else F.col(c) for c in children.columns])
 
 
-def orphans(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Children whose non-NULL parent key has no parent row (FK violation report)."""
-    p = parents.select(F.col(parent_key).alias("__p"))
-    return children.filter(F.col(child_key).isNotNull()).join(p, F.col(child_key) == F.col("__p"), "left_anti")
+def orphans(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str, collation: str | None = None) -> DataFrame:
+    """Children whose non-NULL parent key has no parent row (FK violation report; keys alike under ``collation``)."""
+    p = parents.select(_alike(parent_key, collation).alias("__p"))
+    return children.filter(F.col(child_key).isNotNull()).join(p, _alike(child_key, collation) == F.col("__p"), "left_anti")

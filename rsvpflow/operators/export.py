@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from rsvpflow.functions.scalars import numeric_prefix, present, vcard_card
 from rsvpflow.operators.joins import key_join, materialized
 from rsvpflow.sources.sinks import write_cards
+from rsvpflow.sources.tables import path_exists
 
 __all__ = ["LEDGER_SCHEMA", "eligible_contacts", "contact_cards", "mark_exported", "export_cards",
            "empty_ledger"]
@@ -60,10 +61,9 @@ def export_cards(spark: SparkSession, details: DataFrame, ledger_path: str, out_
     contact inside each role folder), then its keys to ``<ledger>/batch_id=<id>``.  Other batches' folders are never
     touched, and a rerun replaces its own, so it is idempotent.  Eligibility is worked out once and staged; cards and
     ledger come from the same rows.  Returns the ledger rows of this batch."""
-    from rsvpflow.plans.jobs import _path_exists
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch_id):
         raise ValueError(f"batch id {batch_id!r}: letters, digits, '_', '.' and '-' only (it names a folder)")
-    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path) if _path_exists(spark, ledger_path) else empty_ledger(spark)
+    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path) if path_exists(spark, ledger_path) else empty_ledger(spark)
     ledger = ledger.filter(F.col("batch_id") != batch_id)  # a rerun replaces its own batch
     elig = materialized(eligible_contacts(details, ledger).select("role", "id", "client", "name", "phone", "designation", "email"))
     cards = contact_cards(elig)

@@ -9,6 +9,9 @@ UPDATE`` / per-key DELETE:
   map task before it moves);
 * NULL keys never match (a UNIQUE index admits many NULLs), so NULL-key rows
   are routed *around* the join — they are also the most likely hot key;
+* keys are compared as they are, by their lower case (``case_insensitive=True``) or under a collation
+  (``case_insensitive="UNICODE_CI_AI"``: case- and accent-blind, as the default collation of the tables kept in step),
+  in joins and in the windows that resolve duplicates alike; a stored key keeps its spelling;
 * target and (deduplicated) source are full-outer-joined once on the key; the
   per-row action is derived in the same pass.
 """
@@ -30,10 +33,26 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _key_expr(c: str, case_insensitive: bool) -> Column:
+def _key_expr(c: str, case_insensitive: bool | str) -> Column:
+    """What a key is compared by: itself, its lower case, or itself under the named collation."""
+    if isinstance(case_insensitive, str):
+        return F.collate(F.col(c), case_insensitive)
     return F.lower(F.col(c)) if case_insensitive else F.col(c)
 
 
+def free_name(base: str, *taken: Sequence[str]) -> str:
+    """``base``, with underscores added until no column is called so (names ignore case)."""
+    names = {c.lower() for cols in taken for c in cols}
+    while base.lower() in names:
+        base += "_"
+    return base
+
+
+def _first_ranked(df: DataFrame, window) -> DataFrame:
+    rank = free_name("__rn", df.columns)
+    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
+
+
 def _nonnull(keys: list[str]) -> Column:
     cond = F.lit(True)
     for k in keys:
@@ -42,7 +61,7 @@ def _nonnull(keys: list[str]) -> Column:
 
 
 def ranked_per_key(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[str], keep: str = "first",
-                   case_insensitive: bool = False, unique_seq: bool = False) -> DataFrame:
+                   case_insensitive: bool | str = False, unique_seq: bool = False) -> DataFrame:
     """First (or last) row per key by ``seq`` among rows with a non-NULL key; ties broken by
     a full-row hash (left out, so that columns can be pruned, where ``unique_seq`` says there are none).  The result stays hash-partitioned by the key, so a following join on
     the same key adds no exchange."""
@@ -51,11 +70,11 @@ def ranked_per_key(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[
     order = [F.col(s).asc_nulls_first() if keep == "first" else F.col(s).desc_nulls_last() for s in seqs]
     tie = [] if unique_seq else [F.xxhash64(*[F.col(c) for c in df.columns])]
     w = Window.partitionBy(*[_key_expr(k, case_insensitive) for k in keys]).orderBy(*order, *tie)
-    return df.filter(_nonnull(keys)).withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    return _first_ranked(df.filter(_nonnull(keys)), w)
 
 
 def keep_per_key(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[str], keep: str = "first",
-                 case_insensitive: bool = False, null_safe: bool = False, unique_seq: bool = False) -> DataFrame:
+                 case_insensitive: bool | str = False, null_safe: bool = False, unique_seq: bool = False) -> DataFrame:
     """First (or last) row per key by ``seq``; ties broken by a full-row hash.
 
     With ``null_safe=False`` rows with a NULL key are all kept (UNIQUE semantics);
@@ -67,34 +86,34 @@ def keep_per_key(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[st
         order = [F.col(s).asc_nulls_first() if keep == "first" else F.col(s).desc_nulls_last() for s in seqs]
         tie = [] if unique_seq else [F.xxhash64(*[F.col(c) for c in df.columns])]
         w = Window.partitionBy(*[_key_expr(k, case_insensitive) for k in keys]).orderBy(*order, *tie)
-        return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+        return _first_ranked(df, w)
     ranked = ranked_per_key(df, keys, seq, keep, case_insensitive, unique_seq)
     return ranked.unionByName(df.filter(~_nonnull(keys)))
 
 
 def new_rows(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
-             case_insensitive: bool = False) -> DataFrame:
+             case_insensitive: bool | str = False) -> DataFrame:
     """The source rows that ``INSERT IGNORE`` would add: the first per key that the target lacks, and NULL keys."""
     keys = _keys(key)
     nn = _nonnull(keys)
     src = ranked_per_key(source, keys, seq, "first", case_insensitive)
-    tkeys = target.filter(nn).select(*[_key_expr(k, case_insensitive).alias(f"__k{i}")
-                                       for i, k in enumerate(keys)])
-    cond = [_key_expr(k, case_insensitive) == F.col(f"__k{i}") for i, k in enumerate(keys)]
+    names = [free_name(f"__k{i}", source.columns) for i in range(len(keys))]
+    tkeys = target.filter(nn).select(*[_key_expr(k, case_insensitive).alias(n) for n, k in zip(names, keys)])
+    cond = [_key_expr(k, case_insensitive) == F.col(n) for n, k in zip(names, keys)]
     return src.join(tkeys, cond, "left_anti").unionByName(source.filter(~nn))
 
 
 def insert_new_only(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
-                    case_insensitive: bool = False) -> DataFrame:
+                    case_insensitive: bool | str = False) -> DataFrame:
     """M1 (``INSERT IGNORE``): first source row per key wins, existing target rows win over
     incoming ones, NULL-key source rows are always inserted."""
     return target.unionByName(new_rows(target, source, key, seq, case_insensitive), allowMissingColumns=True)
 
 
 def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
-                      delete_missing: bool = False, case_insensitive: bool = False,
-                      audit_ts: Column | None = None) -> DataFrame:
-    """Core of M2/M3: merged rows plus ``_action`` in
+                      delete_missing: bool = False, case_insensitive: bool | str = False,
+                      audit_ts: Column | None = None, action_col: str = "_action") -> DataFrame:
+    """Core of M2/M3: merged rows plus ``_action`` (``action_col``, no column of either table) in
     {inserted, updated, unchanged, deleted, kept, kept_null_key}.
 
     * source: last row per key by ``seq``; on a match every *source* column except the key
@@ -123,7 +142,12 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
     def q(c: str) -> str:
         return "`" + c.replace("`", "``") + "`"
 
+    if action_col.lower() in {c.lower() for c in out_cols}:
+        raise ValueError(f"a column is called {action_col!r}: name another action_col")
+
     def kx(c: str) -> str:
+        if isinstance(case_insensitive, str):
+            return f"collate({q(c)}, '{case_insensitive}')"
         return f"lower({q(c)})" if case_insensitive else q(c)
 
     t = target.filter(nn).selectExpr(*[f"{q(c)} AS {q('t_' + c)}" for c in target.columns],
@@ -158,7 +182,7 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
             return sc
         return tc
 
-    merged = joined.selectExpr(*[f"{pick(c)} AS {q(c)}" for c in out_cols], f"{action} AS `_action`")
+    merged = joined.selectExpr(*[f"{pick(c)} AS {q(c)}" for c in out_cols], f"{action} AS {q(action_col)}")
 
     def passthrough(df: DataFrame, act: str) -> DataFrame:
         if audit:
@@ -172,7 +196,7 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
                 cols.append(q(c))
             else:
                 cols.append(f"NULL AS {q(c)}")
-        return df.selectExpr(*cols, f"'{act}' AS `_action`")
+        return df.selectExpr(*cols, f"'{act}' AS {q(action_col)}")
 
     null_t = passthrough(target.filter(~nn), "kept_null_key")
     null_s = passthrough(source.filter(~nn), "inserted")
@@ -180,16 +204,18 @@ def sync_with_actions(target: DataFrame, source: DataFrame, key: str | Sequence[
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
-           case_insensitive: bool = False, audit_ts: Column | None = None) -> DataFrame:
+           case_insensitive: bool | str = False, audit_ts: Column | None = None) -> DataFrame:
     """M2 (``ON DUPLICATE KEY UPDATE``): last duplicate wins, every source column overwrites."""
-    return sync_with_actions(target, source, key, seq, False, case_insensitive, audit_ts).drop("_action")
+    act = free_name("_action", target.columns, source.columns)
+    return sync_with_actions(target, source, key, seq, False, case_insensitive, audit_ts, act).drop(act)
 
 
 def smart_sync(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str,
-               case_insensitive: bool = False, audit_ts: Column | None = None) -> DataFrame:
+               case_insensitive: bool | str = False, audit_ts: Column | None = None) -> DataFrame:
     """M3: delete target keys missing from the source, then upsert."""
-    r = sync_with_actions(target, source, key, seq, True, case_insensitive, audit_ts)
-    return r.filter(F.col("_action") != "deleted").drop("_action")
+    act = free_name("_action", target.columns, source.columns)
+    r = sync_with_actions(target, source, key, seq, True, case_insensitive, audit_ts, act)
+    return r.filter(F.col(act) != "deleted").drop(act)
 
 
 def sync(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: str, mode: str = "smart_sync",
@@ -204,13 +230,14 @@ def sync(target: DataFrame, source: DataFrame, key: str | Sequence[str], seq: st
     raise ValueError(f"unknown sync mode {mode!r}")
 
 
-def sync_action_counts(actions: DataFrame) -> DataFrame:
+def sync_action_counts(actions: DataFrame, action_col: str = "_action") -> DataFrame:
     """Statement feedback as ``(action, row_count)``."""
-    return actions.groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("row_count"))
+    return actions.groupBy(F.col(action_col).alias("action")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def deleted_keys(target: DataFrame, source: DataFrame, key: str, case_insensitive: bool = False) -> DataFrame:
+def deleted_keys(target: DataFrame, source: DataFrame, key: str, case_insensitive: bool | str = False) -> DataFrame:
     """Distinct target keys absent from the non-NULL source keys (NULL never deleted)."""
     t = target.select(F.col(key)).filter(F.col(key).isNotNull()).distinct()
-    s = source.select(_key_expr(key, case_insensitive).alias("__k")).filter(F.col("__k").isNotNull())
-    return t.join(s, _key_expr(key, case_insensitive) == F.col("__k"), "left_anti")
+    k = free_name("__k", [key])
+    s = source.select(_key_expr(key, case_insensitive).alias(k)).filter(F.col(k).isNotNull())
+    return t.join(s, _key_expr(key, case_insensitive) == F.col(k), "left_anti")

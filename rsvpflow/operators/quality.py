@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rsvpflow.functions.scalars import client_contact_label, present
+from rsvpflow.operators.bags import bag_differences, row_hash
 from rsvpflow.operators.joins import key_join, materialized
 
 __all__ = ["duplicate_phones", "duplicate_phone_people", "duplicate_phones_top", "duplicate_phone_counts",
-           "reconcile_counts", "reconcile_rows", "reconcile_registered", "pending_counts"]
+           "reconcile_bags", "reconcile_counts", "reconcile_rows", "reconcile_registered", "pending_counts"]
 
 
 def duplicate_phones(contacts: DataFrame) -> DataFrame:
@@ -88,13 +89,14 @@ def reconcile_counts(expected: DataFrame, derived: DataFrame) -> DataFrame:
 
 
 def reconcile_rows(expected: DataFrame, derived: DataFrame, key=("role", "id", "phone")) -> DataFrame:
-    """A17 row level: contacts missing from the derived table, rows the master no longer backs and rows whose
+    """A17 row level, for tables with unique keys (else ``reconcile_bags``): contacts missing from the derived table, rows the master no longer backs and rows whose
     other values differ (counts alone can cancel out).  One full outer join on the key (keys are unique per row);
     the other columns travel as one hash."""
     key = list(key)
     rest = [c for c in expected.columns if c not in key and c in derived.columns]
-    e = expected.select(*key, F.xxhash64(*rest).alias("__e"))
-    d = derived.select(*key, F.xxhash64(*rest).alias("__d"))
+    digest = row_hash(rest) if rest else F.lit(0)
+    e = expected.select(*key, digest.alias("__e"))
+    d = derived.select(*key, digest.alias("__d"))
     # one full outer join classifies both directions (each side shuffled once)
     j = e.join(d, key, "full_outer").filter(~F.col("__e").eqNullSafe(F.col("__d")))
     side = (F.when(F.col("__d").isNull(), "missing_in_derived").when(F.col("__e").isNull(), "extra_in_derived")
@@ -102,6 +104,15 @@ def reconcile_rows(expected: DataFrame, derived: DataFrame, key=("role", "id", "
     return j.select(*key, side.alias("side"))
 
 
+def reconcile_bags(expected: DataFrame, derived: DataFrame, key=("role", "id", "phone"), buckets: int = 4096) -> DataFrame:
+    """A17 row level for tables with copies: every row held a different number of times by the two, with both counts and
+    ``side`` (``missing_in_derived``, ``extra_in_derived``, or ``copies`` where both hold it).  Digests of key buckets come
+    first, so tables that agree are read and not shuffled (``bags.bag_differences``)."""
+    off = bag_differences(expected, derived, list(key), buckets)
+    side = F.when(F.col("n_derived") == 0, "missing_in_derived").when(F.col("n_expected") == 0, "extra_in_derived").otherwise("copies")
+    return off.withColumn("side", side)
+
+
 def reconcile_registered(expected: DataFrame, derived: DataFrame) -> DataFrame:
     """Registered contacts (exact 'Registered' / 'registered') in master vs derived, per role."""
     reg = F.col("contact_response").isin("Registered", "registered")

@@ -37,7 +37,7 @@ def write_snapshot(df: DataFrame, root: str, version: int | str, partition_by: S
 
 
 def load_and_sync(spark: SparkSession, source: DataFrame, target: DataFrame | None, key: str, seq: str,
-                  mode: str = "smart_sync", audit_ts: Column | None = None, case_insensitive: bool = False
+                  mode: str = "smart_sync", audit_ts: Column | None = None, case_insensitive: bool | str = False
                   ) -> tuple[DataFrame, DataFrame]:
     """K1: clean headers + NaN->NULL on an incoming batch, evolve the target schema, then sync.
 
@@ -59,9 +59,11 @@ def load_and_sync(spark: SparkSession, source: DataFrame, target: DataFrame | No
             .select("x.*").unionByName(src.agg(F.count(F.lit(1)).alias("n")).select(F.lit("ignored").alias("action"), "n")))
         counts = tally.groupBy("action").agg(F.sum("n").alias("row_count"))
         return target.unionByName(new, allowMissingColumns=True), counts
-    acts = M.sync_with_actions(target, src, key, seq, delete_missing=(mode == "smart_sync"), case_insensitive=case_insensitive, audit_ts=audit_ts)
-    res = acts.filter(F.col("_action") != "deleted").drop("_action")
-    return res, M.sync_action_counts(acts)
+    act = M.free_name("_action", target.columns, src.columns)
+    acts = M.sync_with_actions(target, src, key, seq, delete_missing=(mode == "smart_sync"), case_insensitive=case_insensitive, audit_ts=audit_ts,
+                               action_col=act)
+    res = acts.filter(F.col(act) != "deleted").drop(act)
+    return res, M.sync_action_counts(acts, act)
 
 
 def rebuild_contacts_job(master: DataFrame, root: str, version: int | str, policy: str | None = None,
@@ -82,17 +84,11 @@ def apply_changes_job(spark: SparkSession, root: str, changes: DataFrame, versio
     root = root.rstrip("/")
     current = spark.read.parquet(f"{root}/v={version - 1}")
     before = f"{root}/applied/v={version - 1}"
-    applied = spark.read.parquet(before) if _path_exists(spark, before) else None
+    applied = spark.read.parquet(before) if T.path_exists(spark, before) else None
     write_snapshot(C.applied_seq(applied, changes), f"{root}/applied", version)
     return write_snapshot(C.apply_changes(current, changes, applied=applied), root, version, ("role",))
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def standardize(master: DataFrame, contacts: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """K4: names, response weight and label on master (and contacts)."""
     sm = C.standardize_master(master)
@@ -152,6 +148,7 @@ def reconcile(master: DataFrame, derived: DataFrame, roles: Sequence[str] = ROLE
     """Master-vs-derived reconciliation, counts and rows."""
     expected = C.fan_out(master, roles)
     return {"reconcile": Q.reconcile_counts(expected, derived), "reconcile_rows": Q.reconcile_rows(expected, derived),
+            "reconcile_bags": Q.reconcile_bags(expected, derived),
             "reconcile_registered": Q.reconcile_registered(expected, derived)}
 
 

@@ -363,6 +363,18 @@ def kpi_parts(sm, sc):
     ]
 
 
+def _collated(body):
+    """The pair with names in capitals and accents; ``fold`` is what the collation compares by."""
+    import re as _re
+
+    body = _re.sub(r"fold\(([^)]*)\)", r"strip_accents(lower(\1))", body)
+    return with_extra(
+        "tx AS (SELECT * REPLACE (CASE id % 3 WHEN 0 THEN upper(Client_Name) WHEN 1 THEN replace(replace(Client_Name, 'o', 'ö'), 'e', 'é') ELSE Client_Name END AS Client_Name) FROM t),\n"
+        " sx AS (SELECT * FROM s UNION ALL SELECT * REPLACE (replace(upper(Client_Name), 'E', 'Ê') AS Client_Name, id + 1000000000000 AS id, 'again' AS Sector) FROM s WHERE id % 5 = 0),\n"
+        " sl AS (SELECT * FROM sx WHERE Client_Name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY strip_accents(lower(Client_Name)) ORDER BY id DESC) = 1),\n"
+        " sf AS (SELECT * FROM sx WHERE Client_Name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY strip_accents(lower(Client_Name)) ORDER BY id) = 1)", body)
+
+
 _FSM = filt(FILTER_SPEC)
 _FSC = cascade("sc", _FSM)
 _EVENT_TIME = "(TIMESTAMP '2025-01-01 00:00:00' + to_days({day}) + to_seconds(CAST({id} % 86400 AS INTEGER)))"
@@ -377,6 +389,35 @@ ORACLE_SQL: dict[str, str] = {
         "count_if(try_cast(f.a AS INT) BETWEEN 1 AND 12 AND try_cast(f.b AS INT) BETWEEN 1 AND 31) AS day_first FROM v)",
         f"SELECT v.id, CASE WHEN f.a <> '' THEN CAST(CASE WHEN (SELECT day_first FROM o) THEN try_strptime(t, '%d-%m-%Y') ELSE try_strptime(t, '%m-%d-%Y') END AS DATE) "
         f"ELSE {PDATE('t')} END AS invite_date, CAST(o_orderdate AS DATE) AS d1, CAST(o_orderdate AS DATE) AS d2 FROM v JOIN orders ON o_orderkey = v.id"),
+    "reconcile_bags": with_extra(
+        "g AS (SELECT * REPLACE (CASE WHEN id % 77 = 0 THEN name || '?' ELSE name END AS name) FROM c WHERE id % 91 <> 0),\n"
+        " b AS (SELECT *, 1 AS e, 0 AS d FROM c UNION ALL SELECT *, 0, 1 FROM g UNION ALL SELECT *, 0, 1 FROM g WHERE id % 50 = 0 "
+        "UNION ALL SELECT * REPLACE ('+0' AS phone), 0, 1 FROM c WHERE id % 83 = 0)",
+        f"SELECT {', '.join(_CC)}, CAST(sum(e) AS BIGINT) AS n_expected, CAST(sum(d) AS BIGINT) AS n_derived, CASE WHEN sum(d) = 0 THEN 'missing_in_derived' "
+        f"WHEN sum(e) = 0 THEN 'extra_in_derived' ELSE 'copies' END AS side FROM b GROUP BY {', '.join(_CC)} HAVING sum(e) <> sum(d)"),
+    "replicate_changed": q("SELECT * EXCLUDE (id) FROM m2"),
+    "upsert_collated": _collated(
+        "SELECT l.* REPLACE (coalesce(x.Client_Name, l.Client_Name) AS Client_Name) FROM sl l LEFT JOIN tx x ON fold(x.Client_Name) = fold(l.Client_Name) "
+        "UNION ALL SELECT * FROM tx WHERE Client_Name IS NOT NULL AND fold(Client_Name) NOT IN (SELECT fold(Client_Name) FROM sl) "
+        "UNION ALL SELECT * FROM tx WHERE Client_Name IS NULL UNION ALL SELECT * FROM sx WHERE Client_Name IS NULL"),
+    "insert_collated": _collated(
+        "SELECT * FROM tx UNION ALL SELECT * FROM sf WHERE fold(Client_Name) NOT IN (SELECT fold(Client_Name) FROM tx WHERE Client_Name IS NOT NULL) "
+        "UNION ALL SELECT * FROM sx WHERE Client_Name IS NULL"),
+    "deleted_keys_collated": _collated(
+        "SELECT DISTINCT Client_Name FROM tx WHERE Client_Name IS NOT NULL AND fold(Client_Name) NOT IN (SELECT fold(Client_Name) FROM sl)"),
+    "regions_dictionary": with_extra(
+        "pl AS (SELECT * FROM (VALUES " + ", ".join(f"('{city.lower()}', '{n}', {k}::BIGINT)" for k, (n, cities) in enumerate(REGIONS) for city in cities) +
+        ") v(name, label, rank) UNION ALL SELECT lower(c_name), 'C' || CAST(c_nationkey % 7 AS VARCHAR), c_custkey + 1000000 FROM customer UNION ALL "
+        "SELECT lower(left(c_name, length(c_name) - 1)), 'C' || CAST(c_nationkey % 7 AS VARCHAR) || 's', c_custkey * 3000000 % 2000003 FROM customer),\n"
+        f" tx AS (SELECT DISTINCT lower({STRIP('x')}) AS t FROM (SELECT Location AS x FROM m UNION ALL SELECT Client_Name FROM m) WHERE x IS NOT NULL),\n"
+        " lb AS MATERIALIZED (SELECT t, arg_min(label, (rank, label)) AS label FROM tx JOIN pl ON contains(t, name) GROUP BY t)",
+        f"SELECT id, CASE WHEN Location IS NULL THEN 'Unknown' ELSE coalesce(a.label, 'Other') END AS r_place, "
+        f"CASE WHEN Client_Name IS NULL THEN 'Unknown' ELSE coalesce(b.label, 'Other') END AS r_client FROM m "
+        f"LEFT JOIN lb a ON a.t = lower({STRIP('Location')}) LEFT JOIN lb b ON b.t = lower({STRIP('Client_Name')})"),
+    "csv_quarantine": """WITH o AS (SELECT o_orderkey AS i, CAST(o_custkey AS VARCHAR) AS cust, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS p FROM orders),
+ r AS (SELECT i, cust, (CASE WHEN i % 23 = 0 THEN '' ELSE CAST(i AS VARCHAR) END) || ',' || cust || ',' || CASE WHEN i % 13 = 0 THEN 'abc' WHEN i % 19 = 0 THEN '-' || p ELSE p END AS line FROM o),
+ l AS (SELECT i, CASE WHEN i % 17 = 0 THEN line || ',more' WHEN i % 29 = 0 THEN cust ELSE line END AS record FROM r)
+SELECT record, CASE WHEN i % 13 = 0 OR i % 17 = 0 OR i % 29 = 0 THEN 'malformed' WHEN i % 23 = 0 THEN 'no key' WHEN i % 19 = 0 THEN 'negative price' ELSE 'good' END AS reason FROM l""",
     "apply_triggers_v1": keyed_triggers_sql("v1"),
     "apply_triggers_v2": keyed_triggers_sql("v2"),
     # the three renames of a row run at 1, 2, 3 (and 9); its first name is its own, so each row's names end by its id alone

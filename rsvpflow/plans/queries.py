@@ -17,6 +17,7 @@ from rsvpflow.operators import contacts as C
 from rsvpflow.operators import export as E
 from rsvpflow.operators import filters as FL
 from rsvpflow.operators import merge as M
+from rsvpflow.operators import places as P
 from rsvpflow.operators import quality as Q
 from rsvpflow.operators import reports as R
 from rsvpflow.plans import fixtures as X
@@ -120,6 +121,20 @@ def q_csv_roundtrip(spark, base):
     return T.read_file(spark, path, "csv", schema=m.schema)
 
 
+def q_csv_quarantine(spark, base):
+    """A delimited file with records that do not parse or do not hold what they should; good rows and rejects together."""
+    o, i = T.read_table(spark, base, "orders"), F.col("o_orderkey")
+    price = F.col("o_totalprice").cast("decimal(15,2)")
+    line = F.concat_ws(",", F.when(i % 23 == 0, "").otherwise(i.cast("string")), F.col("o_custkey").cast("string"),
+                       F.when(i % 13 == 0, "abc").when(i % 19 == 0, (-price).cast("string")).otherwise(price.cast("string")))
+    line = F.when(i % 17 == 0, F.concat(line, F.lit(",more"))).when(i % 29 == 0, F.col("o_custkey").cast("string")).otherwise(line)
+    path = work_dir(spark, "raw")
+    o.select(line.alias("value")).write.text(path)
+    schema = T.StructType().add("key", "long").add("cust", "long").add("price", "decimal(15,2)")
+    good, bad = T.read_checked(spark, path, schema, {"no key": F.col("key").isNotNull(), "negative price": F.col("price") >= 0}, header=False)
+    return good.select(F.concat_ws(",", "key", "cust", "price").alias("record"), F.lit("good").alias("reason")).unionByName(bad)
+
+
 def q_load_and_sync(spark, base):
     """K1: an incoming batch with raw headers and an extra column, synced into a target."""
     from rsvpflow.plans.jobs import load_and_sync
@@ -234,6 +249,36 @@ def q_upsert_phone(spark, base):
     return M.upsert(M.keep_per_key(t, "Phone_Number", "id", "first"), s, "Phone_Number", "id")
 
 
+COLLATION = "UNICODE_CI_AI"
+
+
+def _accented(spark, base):
+    """(target, source) whose client names differ in case and accents: the target writes some in capitals and some with
+    accents, the source some twice, the later one differently."""
+    t, s = X.sync_pair(_m(spark, base))
+    name, i = F.col("Client_Name"), F.col("id")
+    t = t.withColumn("Client_Name", F.when(i % 3 == 0, F.upper(name)).when(i % 3 == 1, F.replace(F.replace(name, F.lit("o"), F.lit("ö")), F.lit("e"), F.lit("é")))
+                     .otherwise(name))
+    again = s.filter(i % 5 == 0).withColumns({"Client_Name": F.replace(F.upper(name), F.lit("E"), F.lit("Ê")), "id": i + 10 ** 12, "Sector": F.lit("again")})
+    return t, s.unionByName(again)
+
+
+def q_upsert_collated(spark, base):
+    """M2 under the collation of the tables kept in step: keys that differ in case or accents are one."""
+    t, s = _accented(spark, base)
+    return M.upsert(t, s, "Client_Name", "id", case_insensitive=COLLATION)
+
+
+def q_insert_collated(spark, base):
+    t, s = _accented(spark, base)
+    return M.insert_new_only(t, s, "Client_Name", "id", case_insensitive=COLLATION)
+
+
+def q_deleted_keys_collated(spark, base):
+    t, s = _accented(spark, base)
+    return M.deleted_keys(t, s, "Client_Name", case_insensitive=COLLATION)
+
+
 def q_sync_audit(spark, base):
     t, s = X.sync_pair(_m(spark, base))
     cols = ["id", "Client_Name", "Response", "Sector"]
@@ -466,6 +511,18 @@ def q_reconcile_registered(spark, base):
     return Q.reconcile_registered(c, _details(spark, base))
 
 
+def _kept_badly(spark, base):
+    """Derived contacts that went wrong: some twice, some changed, some gone, some that the master does not back."""
+    c, i = _c(spark, base), F.col("id")
+    good = c.filter(i % 91 != 0).withColumn("name", F.when(i % 77 == 0, F.concat("name", F.lit("?"))).otherwise(F.col("name")))
+    return good.unionByName(good.filter(i % 50 == 0)).unionByName(c.filter(i % 83 == 0).withColumn("phone", F.lit("+0")))
+
+
+def q_reconcile_bags(spark, base):
+    """A17 with copies: the contacts against a derived table that holds some of them twice."""
+    return Q.reconcile_bags(_c(spark, base), _kept_badly(spark, base))
+
+
 # ------------------------------------------------------------------ scalars
 def q_names_title(spark, base):
     m = _m(spark, base)
@@ -492,6 +549,22 @@ def q_regions(spark, base):
                     S.region_of("Location_12").alias("r_other"))
 
 
+def _places(spark, base):
+    """The regions, every customer by full name, and by name without its last character (which then names ten)."""
+    c = T.read_table(spark, base, "customer")
+    label = F.concat(F.lit("C"), (F.col("c_nationkey") % 7).cast("string"))
+    full = c.select(F.col("c_name").alias("name"), label.alias("label"), (F.col("c_custkey") + 1000000).alias("rank"))
+    short = c.select(F.expr("left(c_name, length(c_name) - 1)").alias("name"), F.concat(label, F.lit("s")).alias("label"),
+                     (F.col("c_custkey") * 3000000 % 2000003).alias("rank"))
+    return P.region_places(spark).unionByName(full.unionByName(short).withColumn("rank", F.col("rank").cast("long")))
+
+
+def q_regions_dictionary(spark, base):
+    """F4 with a place table that grows with the customers."""
+    m, places = _m(spark, base).select("id", "Location", "Client_Name"), _places(spark, base)
+    return P.label_places(P.label_places(m, "Location", places, "r_place"), "Client_Name", places, "r_client").drop("Location", "Client_Name")
+
+
 def q_labels_weights(spark, base):
     m = _m(spark, base)
     return m.select("id", S.response_label("Response").alias("label"), S.response_weight("Response").alias("weight"),
@@ -585,6 +658,15 @@ def q_replicated_copy(spark, base):
     return spark.read.parquet(f"{dst}/master")
 
 
+def q_replicate_changed(spark, base):
+    """A copy, and a second one of a changed master into it; the replica is the changed master."""
+    m = _m(spark, base)
+    dst = work_dir(spark, "replica")
+    SK.replicate_changed(spark, m, dst, "master", ["id"]).collect()
+    SK.replicate_changed(spark, X.changed_row(m), dst, "master", ["id"]).collect()
+    return spark.read.parquet(dst).drop("bucket")
+
+
 # ------------------------------------------------------------------ streaming
 def q_stream_changes(spark, base):
     from rsvpflow.streaming.changes import stream_apply_changes
@@ -680,6 +762,7 @@ QUERIES: dict[str, Query] = {
     "master_count": q_master_count,
     "clean_headers": q_clean_headers,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_quarantine": q_csv_quarantine,
     "load_and_sync": q_load_and_sync,
     "load_and_sync_counts": q_load_and_sync_counts,
     "load_and_sync_insert_counts": q_load_and_sync_insert_counts,
@@ -700,6 +783,9 @@ QUERIES: dict[str, Query] = {
     "smart_sync": q_smart_sync,
     "sync_action_counts": q_sync_action_counts,
     "upsert_phone": q_upsert_phone,
+    "upsert_collated": q_upsert_collated,
+    "insert_collated": q_insert_collated,
+    "deleted_keys_collated": q_deleted_keys_collated,
     "sync_audit": q_sync_audit,
     "unique_phone": q_unique_phone,
     "unique_phone_client": q_unique_phone_client,
@@ -743,10 +829,12 @@ QUERIES: dict[str, Query] = {
     "reconcile": q_reconcile,
     "reconcile_rows": q_reconcile_rows,
     "reconcile_registered": q_reconcile_registered,
+    "reconcile_bags": q_reconcile_bags,
     "names_title": q_names_title,
     "safe_ints": q_safe_ints,
     "numeric_coercion": q_numeric_coercion,
     "regions": q_regions,
+    "regions_dictionary": q_regions_dictionary,
     "labels_weights": q_labels_weights,
     "dates": q_dates,
     "dates_forms": q_dates_forms,
@@ -758,6 +846,7 @@ QUERIES: dict[str, Query] = {
     "card_files": q_card_files,
     "cards_two_batches": q_cards_two_batches,
     "replicated_copy": q_replicated_copy,
+    "replicate_changed": q_replicate_changed,
     "stream_changes": q_stream_changes,
     "stream_changes_out_of_order": q_stream_changes_out_of_order,
     "stream_changes_audit": q_stream_changes_audit,

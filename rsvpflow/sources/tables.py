@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.types import StringType, StructField, StructType
 
 __all__ = [
-    "TEST_TABLES", "read_table", "read_table_any", "table_exists", "path_inventory", "read_file", "clean_header", "clean_headers",
+    "TEST_TABLES", "read_table", "read_table_any", "table_exists", "path_exists", "path_inventory", "read_checked", "read_file", "clean_header", "clean_headers",
     "nan_to_null", "align_names", "column_profile", "evolve_schema", "row_count",
     "common_columns",
 ]
@@ -165,7 +166,40 @@ def path_inventory(spark: SparkSession, base: str, names: Sequence[str]) -> Data
                 "table_name", F.lit(True).alias("present"), "row_count"))
         else:
             parts.append(spark.createDataFrame([(n, False, None)], "table_name string, present boolean, row_count bigint"))
-    out = parts[0]
+    out = spark.createDataFrame([], "table_name string, present boolean, row_count bigint") if not parts else parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def read_checked(spark: SparkSession, path: str, schema: StructType, checks: Mapping[str, Column] | None = None, header: bool = True,
+                 **options) -> tuple[DataFrame, DataFrame]:
+    """S1 with quarantine: a delimited scan split into good rows (``schema``) and rejects ``(record, reason)``; every input
+    record is in exactly one of them.
+
+    A record that does not parse under the schema (a value of another type, missing or surplus fields) is rejected as
+    ``malformed`` with its text; one that parses is rejected by the first of ``checks`` (name -> condition on its columns)
+    that is not true, with its fields as text.  Both frames are lazy; the parser sees all columns whatever is selected, so
+    that no pruning changes what counts as malformed.
+    """
+    names = [f.name for f in schema.fields]
+    raw = "_record"
+    while raw in names:
+        raw += "_"
+    full = StructType([*schema.fields, StructField(raw, StringType())])
+    rows = (spark.read.schema(full).options(mode="PERMISSIVE", columnNameOfCorruptRecord=raw, columnPruning=False, header=header,
+                                                        **options).csv(path))
+    cols = [F.col(f"`{c}`") for c in names]
+    reason = F.when(F.col(raw).isNotNull(), F.lit("malformed"))
+    for name, holds in (checks or {}).items():
+        reason = reason.when(~F.coalesce(holds, F.lit(False)), F.lit(name))
+    judged = rows.select(*cols, F.coalesce(F.col(raw), F.to_csv(F.struct(*cols))).alias(raw), reason.alias(f"{raw}_why"))
+    why = F.col(f"{raw}_why")
+    return judged.filter(why.isNull()).select(*cols), judged.filter(why.isNotNull()).select(F.col(raw).alias("record"), why.alias("reason"))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any filesystem."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
