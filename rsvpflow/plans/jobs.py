@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rsvpflow.operators import audit as A
 from rsvpflow.operators import contacts as C
 from rsvpflow.operators import export as E
 from rsvpflow.operators import filters as FL
@@ -79,13 +80,18 @@ def apply_changes_job(spark: SparkSession, root: str, changes: DataFrame, versio
     """K3: fold a change batch into snapshot ``v=version-1`` and write ``v=version``.
 
     The last event applied to each id is kept beside the snapshots (``applied/v=<version>``), so an older event that
-    comes in a later batch changes nothing.
+    comes in a later batch changes nothing.  With a timed feed (``ts``) the snapshots carry Data_Insert_Time and
+    Last_Updated (M10), and what the batch did is kept in ``counts/v=<version>`` (M12).
     """
     root = root.rstrip("/")
     current = spark.read.parquet(f"{root}/v={version - 1}")
     before = f"{root}/applied/v={version - 1}"
     applied = spark.read.parquet(before) if T.path_exists(spark, before) else None
     write_snapshot(C.applied_seq(applied, changes), f"{root}/applied", version)
+    if "ts" in changes.columns:
+        table, counts = A.apply_changes_audit(current, changes, applied=applied)
+        write_snapshot(counts.coalesce(1), f"{root}/counts", version)
+        return write_snapshot(table, root, version, ("role",))
     return write_snapshot(C.apply_changes(current, changes, applied=applied), root, version, ("role",))
 
 

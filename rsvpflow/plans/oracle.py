@@ -648,3 +648,5 @@ SELECT record, CASE WHEN i % 13 = 0 OR i % 17 = 0 OR i % 29 = 0 THEN 'malformed'
     "stream_trend_windowed": q(f"SELECT {PDATE('Invite_Dt')} AS invite_date, count(*) AS invites FROM sm "
                       f"WHERE {PDATE('Invite_Dt')} IS NOT NULL GROUP BY 1"),
 }
+ORACLE_SQL["apply_changes_audit"] = ORACLE_SQL["stream_changes_audit"]
+ORACLE_SQL["apply_change_counts"] = ORACLE_SQL["stream_change_counts"]

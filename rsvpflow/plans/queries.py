@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rsvpflow.functions import scalars as S
+from rsvpflow.operators import audit as A
 from rsvpflow.operators import contacts as C
 from rsvpflow.operators import export as E
 from rsvpflow.operators import filters as FL
@@ -365,6 +366,26 @@ def q_cascade_rename_chain(spark, base):
     return C.cascade_renames(_c(spark, base), m.select(F.explode(steps).alias("s")).select("s.*"), "client")
 
 
+def _audited(spark, base):
+    """Two batches of a timed feed on an empty table: the inserts, then updates and deletes."""
+    m = _m(spark, base)
+    feed = X.timed(X.change_feed(m))
+    none = F.lit(None).cast("timestamp_ntz")
+    t, c1 = A.apply_changes_audit(_empty_contacts(spark, m).withColumns({"Data_Insert_Time": none, "Last_Updated": none}), feed.filter(F.col("seq") < X.CHANGE_OFFSET))
+    t, c2 = A.apply_changes_audit(t, feed.filter(F.col("seq") >= X.CHANGE_OFFSET))
+    return t, c1.unionByName(c2)
+
+
+def q_apply_changes_audit(spark, base):
+    """K3 with M10: insert and update times of the contacts."""
+    return _audited(spark, base)[0]
+
+
+def q_apply_change_counts(spark, base):
+    """K3 with M12: what the events did, per role."""
+    return _audited(spark, base)[1].groupBy("role", "action").agg(F.sum("row_count").alias("row_count"))
+
+
 def q_apply_update_v1(spark, base):
     m = _m(spark, base)
     return C.apply_update(C.unique_contacts(C.fan_out(m), "phone", "first"), X.change_feed(m), "v1")
@@ -791,6 +812,8 @@ QUERIES: dict[str, Query] = {
     "unique_phone_client": q_unique_phone_client,
     "rebuild_contacts": q_rebuild_contacts,
     "apply_changes": q_apply_changes,
+    "apply_changes_audit": q_apply_changes_audit,
+    "apply_change_counts": q_apply_change_counts,
     "apply_changes_out_of_order": q_apply_changes_out_of_order,
     "apply_insert_keep_first": q_apply_insert_keep_first,
     "apply_insert_keep_last": q_apply_insert_keep_last,

@@ -23,7 +23,7 @@ from rsvpflow.operators import reports as R
 from rsvpflow.operators.grain import reports_from
 from rsvpflow.plans import fixtures as X
 from rsvpflow.session import work_dir
-from rsvpflow.sources.tables import read_table
+from rsvpflow.sources.tables import path_exists, read_table
 from rsvpflow.streaming.deltas import append_changes, change_counts, compact, current_contacts
 from rsvpflow.streaming.views import current_grain, start_report_stream
 
@@ -62,13 +62,14 @@ def _write_snapshot(spark: SparkSession, batch: DataFrame, folder: str, batch_id
             fs.delete(st.getPath(), True)
 
 
-def _latest(spark: SparkSession, root: str) -> str:
-    """Folder of the newest snapshot (driver-side listing of folder names only)."""
+def _latest(spark: SparkSession, root: str, schema) -> DataFrame:
+    """The newest snapshot, empty when no batch has come (driver-side listing of folder names only)."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{root}/snapshots")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = [int(st.getPath().getName()[2:]) for st in fs.listStatus(path) if st.getPath().getName().startswith("v=")]
-    return f"{root}/snapshots/v={max(versions)}"
+    found = fs.listStatus(path) if fs.exists(path) else []
+    versions = [int(st.getPath().getName()[2:]) for st in found if st.getPath().getName().startswith("v=")]
+    return spark.read.parquet(f"{root}/snapshots/v={max(versions)}") if versions else spark.createDataFrame([], schema)
 
 
 def start_change_stream(spark: SparkSession, events: DataFrame, root: str, trigger: dict | None = None,
@@ -110,15 +111,15 @@ def stream_reports_on_changes(spark: SparkSession, events: DataFrame, compact_ev
     return reports_from(current_grain(spark, f"{root}/grain"), cascade=False)
 
 
-def stream_invite_trend_windowed(spark: SparkSession, base: str, delay: str = "36500 days") -> DataFrame:
+def stream_invite_trend_windowed(spark: SparkSession, base: str, delay: str = "36500 days", master: DataFrame | None = None) -> DataFrame:
     """Invites per day with a watermark and one-day windows (update mode).
 
     State is one counter per day not older than ``delay`` before the latest invite; a row that comes later than that is
-    dropped by the watermark, as is its purpose.  Each trigger writes the days it changed to ``b=<batchId>``; of a
+    dropped by the watermark, as is its purpose.  ``master`` is a streaming master other than that of ``base``.  Each trigger writes the days it changed to ``b=<batchId>``; of a
     day's rows the one of the last batch counts.
     """
     root = work_dir(spark, "stream-trend-windowed")
-    days = C.standardize_master(streaming_master(spark, base)).select(parse_date("Invite_Dt").cast("timestamp").alias("ts"))
+    days = C.standardize_master(streaming_master(spark, base) if master is None else master).select(parse_date("Invite_Dt").cast("timestamp").alias("ts"))
     counted = (days.filter("ts is not null").withWatermark("ts", delay).groupBy(F.window("ts", "1 day"))
                .agg(F.count(F.lit(1)).alias("invites")).select(F.to_date("window.start").alias("invite_date"), "invites"))
 
@@ -126,6 +127,8 @@ def stream_invite_trend_windowed(spark: SparkSession, base: str, delay: str = "3
         batch.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{root}/days/b={batch_id}")
 
     _run(counted.writeStream.outputMode("update").foreachBatch(write_batch), root, {"availableNow": True})
+    if not path_exists(spark, f"{root}/days"):
+        return spark.createDataFrame([], counted.schema)
     rows = spark.read.parquet(f"{root}/days/b=*")
     return rows.groupBy("invite_date").agg(F.max_by("invites", "batch").alias("invites"))
 
@@ -144,7 +147,7 @@ def stream_report(spark: SparkSession, base: str, report, trigger: dict | None =
         _write_snapshot(spark, batch, f"{root}/snapshots", batch_id)
 
     _run(agg.writeStream.outputMode("complete").foreachBatch(write_batch), root, trigger or {"availableNow": True})
-    return spark.read.parquet(_latest(spark, root))
+    return _latest(spark, root, agg.schema)
 
 
 def stream_invite_trend(spark: SparkSession, base: str, trigger: dict | None = None) -> DataFrame:
@@ -157,4 +160,4 @@ def stream_invite_trend(spark: SparkSession, base: str, trigger: dict | None = N
 
     _run(trend.writeStream.outputMode("complete").foreachBatch(write_batch), root,
          trigger or {"availableNow": True})
-    return spark.read.parquet(_latest(spark, root))
+    return _latest(spark, root, trend.schema)

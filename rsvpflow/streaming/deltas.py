@@ -22,51 +22,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rsvpflow.functions.scalars import present
+from rsvpflow.operators.audit import contact_rows, count_columns, time_columns, timed_rows
 from rsvpflow.operators.merge import keep_per_key
-from rsvpflow.roles import CLIENT_ATTRS, CONTACT_COLS, ROLE_ORDER, ROLES
+from rsvpflow.roles import CONTACT_COLS, ROLE_ORDER
 
-__all__ = ["ACTIONS", "delta_rows", "append_changes", "change_counts", "completed", "current_contacts", "compact", "drop_replaced", "timed_rows"]
-
-#: What an event does to a contact.
-ACTIONS = ("inserted", "updated", "unchanged", "deleted")
-
-
-def _contact(image: str, role: str):
-    """A role's contact in a master image."""
-    return F.struct(F.lit(role).alias("role"), F.col(f"{image}.id").alias("id"), F.col(f"{image}.Client_Name").alias("client"),
-                    *[F.col(f"{image}.{a}").alias(a) for a in CLIENT_ATTRS],
-                    *[F.col(f"{image}.{src}").alias(dst) for dst, src in ROLES[role].master_cols().items()])
-
-
-def _with_contacts(last: DataFrame, roles: Sequence[str], *more: str) -> DataFrame:
-    alive = (F.col("op") != "D") & F.col("new").isNotNull()
-    fan = F.array(*[_contact("new", r) for r in roles])
-    return last.select("id", "seq", F.when(alive, F.filter(fan, lambda c: present(c["phone"]))).otherwise(F.filter(fan, lambda c: F.lit(False))).alias("contacts"),
-                       *more)
+__all__ = ["delta_rows", "append_changes", "change_counts", "completed", "current_contacts", "compact", "drop_replaced"]
 
 
 def delta_rows(changes: DataFrame, roles: Sequence[str] = ROLE_ORDER) -> DataFrame:
     """(id, seq, contacts): the last event of each id in a batch of changes."""
-    return _with_contacts(keep_per_key(changes.select("seq", "op", "id", "new"), "id", "seq", "last", null_safe=True), roles)
-
-
-def timed_rows(changes: DataFrame, roles: Sequence[str] = ROLE_ORDER) -> DataFrame:
-    """``delta_rows`` of a timed feed, with per role the marks ``ins_<role>`` and ``upd_<role>`` (seq, ts) and the events
-    counted by action, ``n_<role>_<action>``: one aggregation by id."""
-    marks, sums = [], []
-    for r in roles:
-        phone = ROLES[r].phone
-        had = F.col("op").isin("U", "D") & F.col("old").isNotNull() & present(f"old.{phone}")
-        has = F.col("op").isin("I", "U") & F.col("new").isNotNull() & present(f"new.{phone}")
-        same = _contact("old", r).eqNullSafe(_contact("new", r))
-        kinds = {"inserted": has & ~had, "updated": has & had & ~same, "unchanged": has & had & same, "deleted": had & ~has}
-        at = F.struct("seq", "ts")
-        marks += [F.max(F.when(kinds["inserted"], at)).alias(f"ins_{r}"), F.max(F.when(kinds["inserted"] | kinds["updated"], at)).alias(f"upd_{r}")]
-        sums += [F.count_if(kinds[k]).alias(f"n_{r}_{k}") for k in ACTIONS]
-    last = changes.groupBy("id").agg(F.max("seq").alias("seq"), F.max_by(F.struct("op", "new"), "seq").alias("e"), *marks, *sums)
-    names = [f"{k}_{r}" for r in roles for k in ("ins", "upd")] + [f"n_{r}_{k}" for r in roles for k in ACTIONS]
-    return _with_contacts(last.select("id", "seq", "e.*", *names), roles, *names)
+    return contact_rows(keep_per_key(changes.select("seq", "op", "id", "new"), "id", "seq", "last", null_safe=True), roles)
 
 
 def _numbers(spark: SparkSession, path: str, prefix: str, done: bool = False) -> list[int]:
@@ -87,7 +52,7 @@ def append_changes(spark: SparkSession, table: str, changes: DataFrame, batch_id
     if "ts" not in changes.columns:
         delta_rows(changes, roles).write.mode("overwrite").parquet(f"{table}/delta/b={batch_id}")
         return
-    names = [(r, k, f"n_{r}_{k}") for r in roles for k in ACTIONS]
+    names = count_columns(roles)
     seen = Observation()
     rows = timed_rows(changes, roles).observe(seen, *[F.sum(n).alias(n) for _, _, n in names])
     rows.drop(*[n for _, _, n in names]).write.mode("overwrite").parquet(f"{table}/delta/b={batch_id}")
@@ -146,18 +111,13 @@ def _merged(spark: SparkSession, table: str, upto: int | None = None) -> tuple[D
 
 
 def current_contacts(spark: SparkSession, table: str) -> DataFrame:
-    """The long contacts table as of the batches written so far; of a timed feed with Data_Insert_Time and Last_Updated."""
+    """The long contacts table as of the batches written so far; of a timed feed with Data_Insert_Time and Last_Updated;
+    empty before the first batch."""
     rows, _ = _merged(spark, table)
     if rows is None:
-        raise FileNotFoundError(f"no batch under {table}")
+        return spark.createDataFrame([], ", ".join(f"{c} {'long' if c == 'id' else 'string'}" for c in CONTACT_COLS))
     roles = [c[4:] for c in rows.columns if c.startswith("ins_")]
-    times = []
-    for kind, name in (("ins", "Data_Insert_Time"), ("upd", "Last_Updated")) if roles else ():
-        pick = None
-        for r in roles:
-            own = F.col(f"{kind}_{r}.ts")
-            pick = F.when(F.col("c.role") == r, own) if pick is None else pick.when(F.col("c.role") == r, own)
-        times.append(pick.alias(name))
+    times = time_columns(roles) if roles else []
     marks = [F.col(f"{k}_{r}") for r in roles for k in ("ins", "upd")]
     return rows.select(F.explode("contacts").alias("c"), *marks).select(*[F.col(f"c.{c}").alias(c) for c in CONTACT_COLS], *times)
 

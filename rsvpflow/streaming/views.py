@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rsvpflow.operators.contacts import standardize_master
-from rsvpflow.operators.grain import image_rows, merged
+from rsvpflow.operators.grain import DIMS, MEASURES, image_rows, merged
 from rsvpflow.streaming.deltas import completed, drop_replaced
 
 __all__ = ["signed_grain", "append_signed", "current_grain", "compact_grain", "start_report_stream"]
@@ -36,10 +36,11 @@ def append_signed(spark: SparkSession, table: str, changes: DataFrame, batch_id:
 
 
 def current_grain(spark: SparkSession, table: str) -> DataFrame:
-    """The grain after the batches written so far."""
+    """The grain after the batches written so far; empty before the first."""
     paths, _ = completed(spark, table)
     if not paths:
-        raise FileNotFoundError(f"no batch under {table}")
+        text, day = ("string", "date")
+        return spark.createDataFrame([], ", ".join([f"{d} {day if d == 'day' else text}" for d in DIMS] + [f"{m} long" for m in MEASURES]))
     return merged(spark.read.parquet(*paths))
 
 

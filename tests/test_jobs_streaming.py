@@ -252,3 +252,51 @@ def test_timed_changes_replayed_and_shuffled(spark):
         assert got == state
         said = change_counts(spark, root).groupBy("role", "action").agg(F.sum("row_count").alias("n")).collect()
         assert {(r.role, r.action): r.n for r in said if r.n} == counts
+
+
+def test_timed_change_job(spark):
+    """K3 as a job: snapshots with times, counts beside them; an older event in a later batch changes nothing."""
+    m = X.master(spark, SF_SMALL).filter("id < 300")
+    feed = X.timed(X.change_feed(m))
+    root = work_dir(spark, "timed-job")
+    none = F.lit(None).cast("timestamp_ntz")
+    J.write_snapshot(C.fan_out(m).limit(0).withColumns({"Data_Insert_Time": none, "Last_Updated": none}), root, 0)
+    J.apply_changes_job(spark, root, feed.filter(F.col("seq") < X.CHANGE_OFFSET), 1)
+    path = J.apply_changes_job(spark, root, feed.filter(F.col("seq") >= X.CHANGE_OFFSET), 2)
+    got = spark.read.parquet(path)
+    assert same_rows(got.drop("Data_Insert_Time", "Last_Updated"), C.fan_out(X.final_master(m)))
+    assert got.filter("Data_Insert_Time is null or Last_Updated < Data_Insert_Time").count() == 0
+    assert same_rows(spark.read.parquet(J.apply_changes_job(spark, root, feed.filter("id % 2 = 0 and op = 'I'"), 3)), got)
+    counts = {(r.role, r.action): r.row_count for r in spark.read.parquet(f"{root}/counts/v=1").collect()}
+    assert sum(n for (_, k), n in counts.items() if k != "inserted") == 0 and sum(counts.values()) == C.fan_out(m).count()
+
+
+def test_no_batch_yet(spark):
+    from rsvpflow.streaming.changes import stream_report
+    from rsvpflow.streaming.views import current_grain
+
+    root = work_dir(spark, "none")
+    assert current_contacts(spark, root).count() == 0 and current_grain(spark, root).count() == 0
+    # a source folder without files: no batch runs
+    for name, cols in (("orders", None), ("customer", None), ("nation", None)):
+        df = spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
+        df.limit(0).coalesce(1).write.parquet(f"{root}/{name}.parquet") if name == "orders" else df.write.parquet(f"{root}/{name}.parquet")
+    assert stream_report(spark, root, R.response_weights).count() == 0 and stream_invite_trend_windowed(spark, root).count() == 0
+
+
+def test_windowed_trend_drops_late_rows(spark):
+    """T3 with a real delay: days behind the watermark are closed, a late row for one of them is dropped, state stays bounded."""
+    m = X.master(spark, SF_SMALL).filter("id < 40")
+    root = work_dir(spark, "late")
+    day = lambda d, k: m.filter(F.col("id") % 4 == k).withColumn("Invite_Dt", F.lit(d))
+    days = ["2024-01-01", "2024-01-10", "2024-03-01", "2024-02-28", "2024-01-01", "2024-03-02"]
+    for k, d in enumerate(days):
+        day(d, k % 4).coalesce(1).write.mode("append").parquet(root)
+        import time
+
+        time.sleep(1.1)  # files are taken in the order of their times
+    events = spark.readStream.schema(m.schema).option("maxFilesPerTrigger", 1).parquet(root)
+    got = {str(r.invite_date): r.invites for r in stream_invite_trend_windowed(spark, SF_SMALL, "5 days", events).collect()}
+    n = {k: m.filter(F.col("id") % 4 == k).count() for k in range(4)}
+    # the second 2024-01-01 comes after 2024-03-01 and is late; 2024-02-28 is within five days
+    assert got == {"2024-01-01": n[0], "2024-01-10": n[1], "2024-03-01": n[2], "2024-02-28": n[3], "2024-03-02": n[1]}
