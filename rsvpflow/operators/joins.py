@@ -27,11 +27,14 @@ DEFAULT_MAX_BYTES = 64 << 20
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Size of a row: its texts and 16 bytes for every column."""
+    """Size of a row: its texts and binaries, the text of its nested values, and 16 bytes for every column."""
     total = F.lit(16 * len(df.columns)).cast("bigint")
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(c.cast("string")), F.lit(0))
     return total
 
 

@@ -9,14 +9,19 @@ NULL group keys are dropped, as pandas ``groupby`` does.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rsvpflow.functions.scalars import (clean_response, conversion_rate, is_registered, parse_date, round2,
+from rsvpflow.functions.scalars import (clean_response, conversion_rate, is_registered, parse_date, present, round2,
                                           region_of, safe_int)
+from rsvpflow.operators.filters import cascade_filter
+from rsvpflow.operators.joins import materialized
+from rsvpflow.roles import ROLE_ORDER, ROLES
 
 __all__ = ["overview", "response_weights", "sector_performance", "region_counts", "owner_stats",
-           "owner_totals", "owner_response", "owner_cross", "owner_sector_rollup", "role_kpis",
+           "owner_totals", "owner_response", "owner_response_once", "owner_cross", "owner_sector_rollup", "role_kpis",
            "role_responses", "role_region", "cfo_sector_counts", "metrics", "invite_trend", "funnel",
            "filter_options"]
 
@@ -98,6 +103,22 @@ def owner_response(sm: DataFrame, sc: DataFrame) -> DataFrame:
             .agg(F.sum("Response_Weight").alias("weight")))
 
 
+def owner_response_once(sm: DataFrame, roles: Sequence[str] = ROLE_ORDER) -> DataFrame:
+    """A7 from the standardised master alone, read once: each row counts for itself and for its present contacts, whose
+    owners and response are the row's own (names are title-cased before the fan-out, not per contact).
+
+    One aggregation by (source, owners, response) comes first; J1's key sets — heads and partners that occur in the master —
+    and the report are taken from that small table.
+    """
+    sources = [F.struct(F.lit("master").alias("source"), F.lit(True).alias("there"))]
+    sources += [F.struct(F.lit(r).alias("source"), present(ROLES[r].phone).alias("there")) for r in roles]
+    x = sm.select(*OWNERS, "Response", "Response_Weight", F.explode(F.array(*sources)).alias("s")).filter("s.there")
+    g = materialized(x.groupBy(F.col("s.source").alias("source"), *OWNERS, "Response").agg(F.sum("Response_Weight").alias("Response_Weight")))
+    contacts = cascade_filter(g.filter("source <> 'master'"), g.filter("source = 'master'"))
+    return (_owner_long(g.filter("source = 'master'").unionByName(contacts)).filter(F.col("Response").isNotNull())
+            .groupBy("source", "owner_type", "owner", F.col("Response").alias("response")).agg(F.sum("Response_Weight").alias("weight")))
+
+
 def owner_cross(sm: DataFrame) -> DataFrame:
     """Row counts for (head, sector), (head, location), (partner, location)."""
     pairs = F.array(

@@ -19,11 +19,13 @@ from rsvpflow.operators import filters as FL
 from rsvpflow.operators import merge as M
 from rsvpflow.operators import quality as Q
 from rsvpflow.operators import reports as R
+from rsvpflow.operators.grain import report_grain, reports_from
+from rsvpflow.operators.joins import materialized
 from rsvpflow.roles import ROLE_ORDER
 from rsvpflow.sources import sinks as SK
 from rsvpflow.sources import tables as T
 
-__all__ = ["standardize_job", "load_and_sync", "rebuild_contacts_job", "apply_changes_job", "standardize", "reports",
+__all__ = ["standardize_job", "load_and_sync", "rebuild_contacts_job", "apply_changes_job", "standardize", "reports", "reports_once",
            "export_cards_job", "find_duplicates", "reconcile", "replicate", "write_snapshot"]
 
 
@@ -137,6 +139,13 @@ def reports(master: DataFrame, contacts: DataFrame, filters: Mapping[str, Sequen
     return out
 
 
+def reports_once(master: DataFrame, filters: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
+    """K5 in one pass: the reports of ``reports(master, fan_out(master), filters)``, rolled up from one stored aggregation
+    of the master (``operators.grain``) instead of a scan per report; ``report_grain`` of a table can be kept and asked for
+    any number of filter specs."""
+    return reports_from(materialized(report_grain(C.standardize_master(master))), filters)
+
+
 def export_cards_job(spark: SparkSession, details: DataFrame, ledger_path: str, out_path: str, batch_id: str,
                      batch_ts: Column | None = None) -> DataFrame:
     """K6: eligible -> cards -> files -> ledger (see ``operators.export.export_cards``)."""

@@ -448,9 +448,7 @@ def q_owner_totals(spark, base):
 
 
 def q_owner_response(spark, base):
-    sm = _sm(spark, base)
-    sc = FL.cascade_filter(_sc(spark, base), sm)
-    return R.owner_response(sm, sc)
+    return R.owner_response_once(_sm(spark, base))
 
 
 def q_owner_cross(spark, base):

@@ -78,6 +78,9 @@ def test_broadcast_has_row_and_byte_bounds(spark):
     keys = spark.range(1000).selectExpr("cast(id as string) as k", "repeat('x', 1000) as payload")
     big = spark.range(5000).selectExpr("cast(id as string) as k")
     assert JN.fits_broadcast(keys)[1] and not JN.fits_broadcast(keys, 999)[1]
+    nested = spark.range(1000).selectExpr("cast(id as string) as k", "cast(repeat('x', 1000) as binary) as b", "array(repeat('y', 1000)) as a")
+    seen = nested.select(JN._row_bytes(nested).alias("n")).first().n
+    assert 2000 <= seen < 2200
     spark.conf.set(JN.BROADCAST_MAX_BYTES_CONF, "1000000")
     try:
         assert not JN.fits_broadcast(keys)[1] and not JN.fits_broadcast(keys, materialize=False)[1]
@@ -106,6 +109,7 @@ def test_grain_reads_the_master_once(spark):
             assert "orders.parquet" not in plan_of(rolled[name])
             assert rolled[name].schema.simpleString() == df.schema.simpleString(), name
             assert sorted(map(tuple, rolled[name].collect()), key=str) == sorted(map(tuple, df.collect()), key=str), name
+    assert J.reports_once(m, FILTER_SPEC)["overview"].collect() == J.reports(m, C.fan_out(m), FILTER_SPEC)["overview"].collect()
 
 
 def test_dates_are_parsed_once_in_generated_code(spark):
