@@ -7,11 +7,14 @@
 3. In every bucket each class is paired with the smallest one only.  Pairs whose signatures agree too little are dropped
    (5 standard deviations below the threshold), the others are confirmed on their full sets.
 4. Confirmed links make components by alternating large-star and small-star.
-5. Where a bucket still holds several components besides its centre, the members of different components are compared
-   in tiles of bounded size (the largest component's only against the others): by signature, then on their full sets.
-   A tile returns no more links than join the components it can join.  Classes already connected need no further
-   comparison: it could not change a component.  So components are what all links above the threshold give, and
-   the pairs of a group are never written out.
+5. Where a bucket still holds several components besides its centre, the members outside its largest one are paired with a
+   fresh centre from that one, another in every bucket, and again after each round that links any: a group of near copies
+   joins in a few linear rounds.  Classes already connected need no further comparison: it could not change a component.
+6. What then is still open is compared in tiles of bounded size, by signature and then on full sets: the members outside
+   the largest component of a bucket with each other, and with that component, either bucket by bucket or, where that
+   sends fewer rows, once for all buckets that it is the largest of.  A tile returns no more links than join the
+   components it can join.  So components are what all links above the threshold give, and the pairs of a group are
+   never written out.
 
 Defined cases: fewer than ``size`` words make one shingle of the whole sequence; no words or null text give an empty set,
 linked with nothing; rows with one id are one node, linked by any of their texts; a null id never represents a class that
@@ -116,11 +119,6 @@ def _agree_share(share: np.ndarray, n: int, threshold: float) -> np.ndarray:
     return share >= threshold - 5.3 * (threshold * (1 - threshold) / n) ** 0.5
 
 
-def _agree(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
-    """Pairs of one-byte signatures that may reach the threshold."""
-    return _agree_share((a == b).mean(axis=-1), a.shape[-1], threshold)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): smallest node reachable, by alternating large-star and small-star over ``edges(a, b)``.
 
@@ -201,23 +199,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
 
     def filter_signatures(cols, _):
         if not cols["a"]:
-            return {"a": [], "b": []}
+            return {"a": [], "b": [], "score": []}
         x, y = (np.frombuffer(b"".join(cols[c]), np.uint8).reshape(len(cols["a"]), -1) for c in ("sa", "sb"))
-        ok = np.flatnonzero(_agree(x, y, threshold)).tolist()
-        return {"a": [cols["a"][i] for i in ok], "b": [cols["b"][i] for i in ok]}
+        score = (x == y).mean(axis=-1)
+        ok = np.flatnonzero(_agree_share(score, x.shape[-1], threshold)).tolist()
+        return {"a": [cols["a"][i] for i in ok], "b": [cols["b"][i] for i in ok], "score": [float(score[i]) for i in ok]}
+
+    def likely_of(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b, score) whose signatures agree enough."""
+        signed = (pairs.join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
+                  .join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a"))
+        return map_slices(signed.select("a", "b", "sa", "sb"), filter_signatures, "a long, b long, score double")
 
-    pairs = star.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
-    signed = (pairs.join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
-              .join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a"))
-    likely = map_slices(signed.select("a", "b", "sa", "sb"), filter_signatures, "a long, b long").distinct().checkpoint()
+    likely = likely_of(star.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()).select("a", "b").checkpoint()
     ids = star.select("id").unionByName(star.select(F.col("c").alias("id"))).distinct()
     full = _sets(texts, ids, size).checkpoint()  # once, for both rounds of confirmation
     links = _confirm(likely, full, threshold).checkpoint()
     comp = components(links)
 
-    more = _open_links(star, comp, sigs, full, threshold).checkpoint()
-    if not more.isEmpty():
-        comp = components(links.unionByName(more))
+    links, still = _fresh_rounds(star, comp, links, likely_of, lambda pairs: _confirm(pairs, full, threshold))
+    if still is not None:
+        comp = components(links)
+        more = _open_links(still, comp, sigs, full, threshold).checkpoint()
+        links = links.unionByName(more)
+        comp = comp if more.isEmpty() else components(links)
+    else:
+        comp = components(links)
 
     label = classes.select("key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
     alone = comp.select(F.col("node").alias("doc_id"), F.col("component").alias("of"))
@@ -274,33 +281,84 @@ def spanning_links(left: list, right: list, same: bool, threshold: float) -> lis
     return out
 
 
-def _open_links(star: DataFrame, comp: DataFrame, sigs: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between different components whose members share a bucket of which neither is the centre."""
-    known = star.join(comp.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("comp"))
-    mixed = (known.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("bucket"))
+def _fresh_rounds(star: DataFrame, comp: DataFrame, links: DataFrame, likely_of, confirmed) -> tuple[DataFrame, DataFrame | None]:
+    """(links with those of the rounds, what is still open).
+
+    A round pairs each member outside the largest component of its bucket with one member of that component, picked anew by
+    a hash of bucket and round: no more pairs than memberships.  Of the pairs between two components only the one whose
+    signatures agree best is confirmed: one link joins them.  Labels only fall, and components are taken from all links in the
+    end.  The rounds end with one that links nothing; open are the rows (bucket, id) of buckets with several
+    labels, None if there are none.
+    """
+    known = star.join(comp.select(F.col("node").alias("id"), "component"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
+    turn = 0
+    while True:
+        per = known.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+        tops = per.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+        still = known.join(tops.select("bucket", F.col("top.comp").alias("main")), "bucket").checkpoint()
+        if still.isEmpty():
+            return links, None
+        fresh = still.filter("comp = main").groupBy("bucket").agg(F.max_by("id", F.xxhash64("id", "bucket", F.lit(turn))).alias("f"))
+        asked = still.filter("comp != main").join(fresh, "bucket").select(
+            F.least("f", "id").alias("a"), F.greatest("f", "id").alias("b"), "main", "comp").distinct().checkpoint()
+        best = (likely_of(asked.select("a", "b").distinct()).join(asked, ["a", "b"]).groupBy("main", "comp")
+                .agg(F.max(F.struct("score", "a", "b")).alias("p")).select("p.a", "p.b").distinct())
+        found = confirmed(best).checkpoint()
+        if found.isEmpty():
+            return links, still.select("bucket", "id")
+        links = links.unionByName(found)
+        # the larger label takes the smallest it is linked with; what that leaves apart meets again in the next round
+        joined = asked.join(found, ["a", "b"], "left_semi")
+        lower = (joined.select(F.greatest("main", "comp").alias("comp"), F.least("main", "comp").alias("to")).groupBy("comp").agg(F.min("to").alias("to")))
+        known = still.select("bucket", "id", "comp").join(lower, "comp", "left").select("bucket", "id", F.coalesce("to", "comp").alias("comp"))
+        turn += 1
+
+
+def _open_links(known: DataFrame, comp: DataFrame, sigs: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between different components whose members share a bucket, from rows (bucket, id) of buckets that may hold
+    several."""
+    known = known.join(comp.select(F.col("node").alias("id"), "component"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
+    mixed = known.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("bucket")
     rows = known.join(mixed, "bucket", "left_semi").join(sigs.select("id", "n"), "id")
     per_comp = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("w"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("x"))
     per = per_comp.groupBy("bucket").agg(F.max(F.struct("n", "comp", "w")).alias("top"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.sum("x").alias("x"))
     # buckets of one membership are compared once; a tile side has about TILE members and TILE_SHINGLES shingles
     parts = lambda n, w: F.greatest(F.ceil(n / TILE), F.ceil(w / TILE_SHINGLES)).cast("long")
     todo = per.groupBy("n", "x").agg(F.min_by(F.struct("bucket", "top", "w"), F.col("bucket")).alias("b")).select(
-        F.col("b.bucket").alias("bucket"), F.col("b.top.comp").alias("main"),
-        parts(F.col("n") - F.col("b.top.n"), F.col("b.w") - F.col("b.top.w")).alias("nx"), parts(F.col("b.top.n"), F.col("b.top.w")).alias("ny"))
+        F.col("b.bucket").alias("bucket"), F.col("b.top.comp").alias("main"), F.col("b.top.n").alias("m"), (F.col("n") - F.col("b.top.n")).alias("o"),
+        parts(F.col("n") - F.col("b.top.n"), F.col("b.w") - F.col("b.top.w")).alias("nx"), parts(F.col("b.top.n"), F.col("b.top.w")).alias("ny")).checkpoint()
     at = lambda n: F.pmod(F.xxhash64("id"), n)
     zero = F.lit(0).cast("long")
-    spread = rows.select("bucket", "id", "comp").join(todo, "bucket").withColumn("rest", F.col("comp") != F.col("main"))
+    spread = rows.join(todo, "bucket").withColumn("rest", F.col("comp") != F.col("main"))
+    # a largest component whose buckets would send more rows than the component itself is sent once, under its own label
+    outside = spread.filter("rest").select("main", "id", "comp", "n").distinct().checkpoint()
+    inside = comp.select(F.col("node").alias("id"), F.col("component").alias("main")).join(outside.select("main").distinct(), "main").join(sigs.select("id", "n"), "id")
+    size = lambda df, c, w: df.groupBy("main").agg(F.count(F.lit(1)).alias(c), F.sum("n").alias(w))
+    whole = size(outside, "o", "wo").join(size(inside, "m", "wm"), "main").select("main", "o", "m", parts(F.col("o"), F.col("wo")).alias("nx"), parts(F.col("m"), F.col("wm")).alias("ny"))
+    sent = todo.groupBy("main").agg(F.sum(F.col("m") * F.col("nx") + F.col("o") * F.col("ny")).alias("sent"))
+    whole = whole.join(sent, "main").filter(F.col("m") * F.col("nx") + F.col("o") * F.col("ny") < F.col("sent")).select("main", "nx", "ny").checkpoint()
     others = spread.filter("rest").withColumn("i", at(F.col("nx")))
-    largest = spread.filter("not rest").withColumn("i", at(F.col("ny")))
-    # tile (x, y), x <= y, of the others among themselves, and tile (x, -1 - y) of the others and the largest component
+    split = spread.join(whole.select("main"), "main", "left_anti")
+    apart = split.filter("rest").withColumn("i", at(F.col("nx")))
+    largest = split.filter("not rest").withColumn("i", at(F.col("ny")))
+    far = outside.join(whole, "main").withColumn("i", at(F.col("nx")))
+    core = inside.join(whole, "main").withColumn("i", at(F.col("ny")))
+
+    def against(few, many, scope, bucket, theirs):
+        """Tiles (x, -1 - y) of the few and the largest component."""
+        one = few.select("*", F.explode(F.sequence(zero, F.col("ny") - 1)).alias("k")).select(
+            F.lit(scope).alias("scope"), F.col(bucket).alias("bucket"), F.col("i").alias("x"), (-1 - F.col("k")).alias("y"), F.lit(False).alias("right"), "id", "comp")
+        two = many.select("*", F.explode(F.sequence(zero, F.col("nx") - 1)).alias("k")).select(
+            F.lit(scope).alias("scope"), F.col(bucket).alias("bucket"), F.col("k").alias("x"), (-1 - F.col("i")).alias("y"), F.lit(True).alias("right"), "id",
+            F.col(theirs).alias("comp"))
+        return one.unionByName(two)
+
+    # tile (x, y), x <= y, of the others among themselves
     tiles = (others.select("*", F.explode(F.sequence(zero, F.col("nx") - 1)).alias("k"))
-             .select("bucket", F.least("i", "k").alias("x"), F.greatest("i", "k").alias("y"), (F.col("i") > F.col("k")).alias("right"), "id", "comp")
-             .unionByName(others.select("*", F.explode(F.sequence(zero, F.col("ny") - 1)).alias("k"))
-                          .select("bucket", F.col("i").alias("x"), (-1 - F.col("k")).alias("y"), F.lit(False).alias("right"), "id", "comp"))
-             .unionByName(largest.select("*", F.explode(F.sequence(zero, F.col("nx") - 1)).alias("k"))
-                          .select("bucket", F.col("k").alias("x"), (-1 - F.col("i")).alias("y"), F.lit(True).alias("right"), "id", "comp")))
+             .select(F.lit(0).alias("scope"), "bucket", F.least("i", "k").alias("x"), F.greatest("i", "k").alias("y"), (F.col("i") > F.col("k")).alias("right"), "id", "comp")
+             .unionByName(against(apart, largest, 0, "bucket", "comp")).unionByName(against(far, core, 1, "main", "main")))
     filled = tiles.join(sigs.select("id", "sig"), "id").join(full, "id")
-    grouped = filled.groupBy("bucket", "x", "y").agg(F.collect_list(F.struct("right", "id", "comp", "sig", "s")).alias("members"))
+    grouped = filled.groupBy("scope", "bucket", "x", "y").agg(F.collect_list(F.struct("right", "id", "comp", "sig", "s")).alias("members"))
 
     def compare(cols, _):
         out = []

@@ -369,3 +369,35 @@ def test_chunks_encode_like_the_library():
         text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 12)))
         got = np.frombuffer(b"".join(encode[w] for w in words(text)), "<u4").tolist()
         assert got == tok.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_near_group_makes_rows_in_proportion(spark):
+    """One group of n near copies of one text: rows that joins and generators make grow like n, not like its square."""
+    rng = random.Random(5)
+    base = ["w%d" % i for i in range(150)]
+
+    def made(n):
+        rows = []
+        for i in range(n):
+            ws = list(base)
+            for _ in range(rng.randint(1, 6)):
+                ws[rng.randrange(len(ws))] = "e%d" % rng.randint(0, 10 ** 6)
+            rows.append((i, " ".join(ws)))
+        docs = docs_table(spark, rows)
+        asked = []
+        inner = neardup._open_links
+
+        def watch(known, *rest):
+            asked.append(known.count())
+            return inner(known, *rest)
+
+        neardup._open_links = watch
+        try:
+            got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, size=4).collect()}
+        finally:
+            neardup._open_links = inner
+        assert got == {i: c for i, (_, c) in jaccard_groups(rows, 4, 0.8).items()}
+        return sum(asked)
+
+    small, large = made(100), made(300)
+    assert large <= 6 * small + 40 * 300  # at most the memberships of the group, whatever is left open
