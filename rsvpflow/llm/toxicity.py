@@ -5,8 +5,9 @@ are the index, the rest calibrates.  Every word of the index part is a feature,
 of words where their presence depends on the label (likelihood ratio of ``least`` or more).  The dependence is a weight
 besides the TF-IDF, from ``FLOOR`` for none to 1 at ``least``.  Document frequencies are counted over all documents.
 
-A query takes the bound of each block of examples (the sum over its terms of query weight times the term's largest weight
-in the block), scores the blocks with the highest bounds, and then all blocks whose bound reaches the k-th best
+A query adds up the short posting lists of its terms first.  Lists of common terms are held by blocks of examples: the
+bound of a block is its best partial similarity plus the sum over the common terms of query weight times the term's largest
+weight in the block.  The blocks with the highest bounds are scored, then all blocks whose bound reaches the k-th best
 similarity, so the neighbours are exact.  Neighbours vote by squared similarity; a logistic curve fitted to the
 calibration part, weighted back to the classes' shares among all labels, turns the vote and the nearest similarity into a
 probability.  A text with the vector of labelled examples gets the mean of their labels, drawn to the share of toxic labels.
@@ -21,17 +22,22 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rsvpflow.llm.batches import id_text, keep_rows, map_slices, share
+from rsvpflow.llm.batches import arrow_schema, id_text, keep_rows, map_slices, share, slices
+from rsvpflow.llm.packing import Memo
 
 SCHEMA = "doc_id long, score double, predicted int, similarity double, evidence array<long>"
 BLOCK = 64
 #: Blocks scored before the others are compared with the k-th best similarity.
 AHEAD = 8
+#: Postings a block, on average, from which a term is common and its list is held by blocks.
+COMMON = 4
 #: Least weight of a word whose presence does not depend on the label.
 FLOOR = 0.05
 PREFIXES = (4, 5, 6, 7)
@@ -50,91 +56,116 @@ def names(word: bytes) -> list[str]:
     return ["w:" + s] + ["p:" + s[:n] for n in PREFIXES if len(s) > n]
 
 
+Counts = tuple[np.ndarray, np.ndarray]  # feature numbers, how often each
+
+
 class Features:
-    """Feature numbers of texts.  Words without a feature are remembered as a set, up to ``most`` of them."""
-
-    def __init__(self, vocab: dict[str, int], most: int = 300_000):
-        self.vocab, self.most, self.known, self.none = vocab, most, {}, set()
-
-    def _words(self, ws: list[bytes]) -> list[bytes]:
-        """The distinct words that have features."""
-        out = []
-        for w in set(ws).difference(self.none):
-            if w not in self.known:
-                got = tuple(self.vocab[t] for t in names(w) if t in self.vocab)
-                if not got:
-                    if len(self.none) >= self.most:
-                        self.none.clear()
-                    self.none.add(w)
-                    continue
-                if len(self.known) >= self.most:
-                    self.known.clear()
-                self.known[w] = got
-            out.append(w)
-        return out
+    """Feature numbers of texts.  Prefix features of the words seen last are remembered, of about ``most`` of them."""
+
+    def __init__(self, vocab: dict[str, int], most: int = 100_000):
+        self.plain = {t[2:].encode("utf-8"): i for t, i in vocab.items() if t.startswith("w:")}
+        self.stems = {t[2:].encode("utf-8")[:4] for t in vocab if t.startswith("p:")}
+        self.prefixes = Memo(lambda word: tuple(vocab[t] for t in names(word)[1:] if t in vocab), most)
 
     def present(self, text: str | None) -> set[int]:
-        return {t for w in self._words(tokens(text)) for t in self.known[w]}
-
-    def __call__(self, text: str | None) -> dict[int, int]:
-        ws, out = tokens(text), {}
-        hit = self._words(ws)
-        if hit:
-            count = Counter(filter(set(hit).__contains__, ws))
-            for w in sorted(hit):
-                for t in self.known[w]:
-                    out[t] = out.get(t, 0) + count[w]
+        ws, stems = set(tokens(text)), self.stems
+        out = set(map(self.plain.get, ws))
+        out.discard(None)
+        out.update(chain.from_iterable(self.prefixes[w] for w in ws if w[:4] in stems))
         return out
 
+    def __call__(self, text: str | None) -> Counts:
+        count, get, stems = Counter(tokens(text)), self.plain.get, self.stems
+        more: dict[int, int] = {}
+        for w in count:
+            if w[:4] in stems:
+                for t in self.prefixes[w]:
+                    more[t] = more.get(t, 0) + count[w]
+        t = np.array([get(w, -1) for w in count] + list(more), dtype=np.int64)
+        n = np.array(list(count.values()) + list(more.values()), dtype=np.int64)
+        order = np.argsort(t)[np.count_nonzero(t < 0):]
+        return t[order], n[order]
 
-class Index:
-    """Block-max inverted index of unit TF-IDF vectors."""
 
-    def __init__(self, vectors: list[dict[int, int]], ids: list[int], labels: list[int], idf: np.ndarray):
-        order = sorted(range(len(vectors)), key=lambda i: (sorted(vectors[i]), ids[i]))  # like examples share blocks
-        self.idf, self.ids, self.labels = idf, [ids[i] for i in order], np.array([labels[i] for i in order], dtype=float)
+def _pair(counts: dict[int, int] | Counts) -> Counts:
+    if isinstance(counts, dict):
+        return np.array(list(counts), dtype=np.int64), np.array(list(counts.values()), dtype=np.int64)
+    return counts
+
+
+class Index:
+    """Block-max inverted index of unit TF-IDF vectors; the lists of common terms are laid out by block."""
+
+    def __init__(self, vectors: list[dict[int, int] | Counts], ids: list[int], labels: list[int], idf: np.ndarray):
+        self.idf = idf
+        pairs = [_pair(v) for v in vectors]
+        key = [np.sort(t).astype(">i4").tobytes() for t, _ in pairs]
+        order = sorted(range(len(pairs)), key=lambda i: (key[i], ids[i]))  # like examples share blocks
+        self.ids, self.labels = [ids[i] for i in order], np.array([labels[i] for i in order], dtype=float)
         self.blocks = -(-len(order) // BLOCK)
-        rows = [(t, pos, w) for pos, i in enumerate(order) for t, w in self.weigh(vectors[i]).items()]
-        term, at = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)
+        none = [np.zeros(0, dtype=np.int64)]
+        term = np.concatenate(none + [pairs[i][0] for i in order])
+        at = np.repeat(np.arange(len(order), dtype=np.int32), [len(pairs[i][0]) for i in order])
+        w = np.concatenate([np.zeros(0)] + [self.unit(*pairs[i]) for i in order])
         by = np.lexsort((at, term))
-        term, self.at, self.w = term[by], at[by], np.array([r[2] for r in rows], dtype=float)[by]
-        # an entry is a term in a block: its postings and its largest weight
-        new = np.flatnonzero(np.diff(term * (self.blocks + 1) + self.at // BLOCK, prepend=-1))
-        self.cut = np.append(new, len(term))
-        self.block = self.at[new] // BLOCK
-        self.most = np.maximum.reduceat(self.w, new) if len(new) else np.zeros(0)
-        self.entry = np.searchsorted(term[new], np.arange(len(idf) + 1))
+        term, self.at, self.w = term[by], at[by], w[by]
+        self.cut = np.searchsorted(term, np.arange(len(idf) + 1))
+        self.by_block = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "by_block": None}  # laid out anew where it is used
+
+    def _common(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row of each common term (-1 for the others), its weights by block, its largest weight in each block."""
+        if self.by_block is None:
+            common = np.flatnonzero(np.diff(self.cut) >= COMMON * max(self.blocks, 1))
+            row = np.full(len(self.idf), -1, dtype=np.int64)
+            row[common] = np.arange(len(common))
+            p, of = _ranges(self.cut[common], self.cut[common + 1])
+            weights = np.zeros((len(common), self.blocks * BLOCK))
+            weights[of, self.at[p]] = self.w[p]
+            weights = weights.reshape(len(common), self.blocks, BLOCK)
+            self.by_block = row, weights, weights.max(axis=2) if self.blocks else np.zeros((len(common), 0))
+        return self.by_block
+
+    def unit(self, t: np.ndarray, n: np.ndarray) -> np.ndarray:
+        raw = (1 + np.log(n)) * self.idf[t]
+        norm = math.sqrt(raw @ raw)
+        return raw / norm if norm else raw
 
     def weigh(self, counts: dict[int, int]) -> dict[int, float]:
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        norm = sum(x * x for x in raw.values()) ** 0.5
-        return {t: x / norm for t, x in raw.items()} if norm else {}
+        return dict(zip(counts, self.unit(*_pair(counts)).tolist()))
 
-    def nearest(self, counts: dict[int, int], k: int) -> list[tuple[float, int]]:
+    def nearest(self, counts: dict[int, int] | Counts, k: int) -> list[tuple[float, int]]:
         """The k most similar examples as (similarity, place), ties by place; only similarities above zero."""
-        query = self.weigh(counts)
-        t, w = np.array(list(query), dtype=np.int64), np.array(list(query.values()))
-        e, of = _ranges(self.entry[t], self.entry[t + 1])
-        if not len(e):
+        t, n = _pair(counts)
+        if not len(t) or not self.blocks:
             return []
-        w, block = w[of], self.block[e]
-        bound = np.bincount(block, w * self.most[e], minlength=self.blocks)
-        ahead = np.zeros(self.blocks, dtype=bool)
-        ahead[np.argsort(-bound, kind="stable")[:AHEAD]] = True
-        score = self._scores(e, w, ahead[block])
-        if len(score) and self.blocks > AHEAD:
-            kth = np.partition(score, -k)[-k] if k <= len(score) else 0.0
-            score += self._scores(e, w, ~ahead[block] & (bound[block] >= kth - 1e-9))
-        score = np.round(score, 12)
-        found = np.flatnonzero(score > 0)
+        w, (row, weights, most) = self.unit(t, n), self._common()
+        row = row[t]
+        rare = row < 0
+        p, of = _ranges(self.cut[t[rare]], self.cut[t[rare] + 1])
+        score = np.bincount(self.at[p], w[rare][of] * self.w[p], minlength=self.blocks * BLOCK).astype(float).reshape(self.blocks, BLOCK)
+        row, w = row[~rare], w[~rare]
+        if len(row):
+            bound = score.max(axis=1) + w @ most[row]
+            order = np.argsort(-bound, kind="stable")
+            ahead, rest = order[:AHEAD], order[AHEAD:]
+            _add(score, weights, row, w, ahead)
+            if len(rest):
+                kth = np.partition(score, -k, axis=None)[-k] if k <= score.size else 0.0
+                _add(score, weights, row, w, rest[bound[rest] >= kth - 1e-9])
+        score = np.round(score.ravel(), 12)
+        kth = np.partition(score, -k)[-k] if k <= len(score) else 0.0
+        found = np.flatnonzero((score >= kth) & (score > 0))
         found = found[np.lexsort((found, -score[found]))][:k]
         return [(float(score[i]), i) for i in found.tolist()]
 
-    def _scores(self, e: np.ndarray, w: np.ndarray, use: np.ndarray) -> np.ndarray:
-        """Similarities of all examples by the postings of the chosen entries."""
-        e, w = e[use], w[use]
-        p, of = _ranges(self.cut[e], self.cut[e + 1])
-        return np.bincount(self.at[p], w[of] * self.w[p], minlength=len(self.ids))
+
+def _add(score: np.ndarray, weights: np.ndarray, row: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> None:
+    """Add the common terms' part to the similarities of some blocks."""
+    if len(blocks):
+        score[blocks] += np.tensordot(w, weights[row[:, None], blocks], 1)
 
 
 def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +188,7 @@ class Model:
         v = (w @ y + 0.02) / (w.sum() + 0.04)
         return np.array([1.0, np.log(v / (1 - v)), near[0][0]])
 
-    def score(self, counts: dict[int, int]) -> tuple[float, float, list[int]]:
+    def score(self, counts: Counts) -> tuple[float, float, list[int]]:
         near = self.index.nearest(counts, self.k) if self.index else []
         if not near:
             return self.prior, 0.0, []
@@ -180,8 +211,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0
 
 
 def fit(docs: DataFrame, labels: DataFrame, trainable: Column, per_class: int = 2000, k: int = 15,
-        least: float = 24.0) -> Model:
-    """A model of the labelled documents that ``trainable`` (over the labels' doc_id) allows."""
+        least: float = 24.0, floor: float = FLOOR) -> Model:
+    """A model of the labelled documents that ``trainable`` (over the labels' doc_id) allows.
+
+    ``floor`` is the least weight of a word by its dependence on the label; 1 gives plain TF-IDF.
+    """
     spark, rows = docs.sparkSession, id_text(docs)
     known = (labels.filter(trainable & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") != 0).cast("int")).alias("y")))
@@ -213,41 +247,51 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column, per_class: int =
     cell = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(F.lit(0.0))
     a, b, n = F.col("a").cast("double"), F.col("b").cast("double"), n1 + n0
     g2 = 2 * (cell(a, (a + b) * n1 / n) + cell(b, (a + b) * n0 / n) + cell(n1 - a, (n - a - b) * n1 / n) + cell(n0 - b, (n - a - b) * n0 / n))
-    picked = seen.filter("t != ''").withColumn("g", g2).filter(F.col("t").startswith("w:") | (F.col("g") >= least)).select("t", "g").collect()
-    picked.sort(key=lambda r: (-r["g"], r["t"]))  # bounded by the sample
-    vocab = {r["t"]: i for i, r in enumerate(picked)}
-    shared = share(spark, vocab)
-
-    def frequencies(cols, features):
-        df: Counter = Counter()
-        for t in cols["text"]:
-            df.update(features.present(t))
-        df[-1] += len(cols["text"])
-        return {"t": list(df), "n": list(df.values())}
+    picked = (seen.filter("t != ''").withColumn("g", g2).filter(F.col("t").startswith("w:") | (F.col("g") >= least)).select("t", "g")
+              .toArrow().sort_by([("g", "descending"), ("t", "ascending")]))  # bounded by the sample
+    vocab = {t: i for i, t in enumerate(picked["t"].to_pylist())}
+    label_share = np.clip((picked["g"].to_numpy() / least) ** 2, floor, 1.0)
+    del picked
+    shared, width = share(spark, vocab), len(vocab)
+
+    def frequencies(batches):
+        out, features = arrow_schema("t long, n long"), Features(shared())
+        total = np.zeros(width + 1, dtype=np.int64)  # the last one counts documents
+        for batch in batches:
+            for part in slices(batch, 1 << 20, 4096):
+                got = [features.present(t) for t in part.column(0).to_pylist()]
+                total += np.bincount(np.fromiter(chain.from_iterable(got), dtype=np.int64), minlength=width + 1)
+                total[width] += len(got)
+        t = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(total[t])], schema=out)
 
     def vectors(cols, features):
         got = [features(t) for t in cols["text"]]
-        return {"doc_id": cols["doc_id"], "y": cols["y"], "index": cols["index"], "t": [list(g) for g in got], "n": [list(g.values()) for g in got]}
-
-    setup = lambda: Features(shared())
-    counted = {r["t"]: r["n"] for r in map_slices(rows.select("text"), frequencies, "t long, n long", setup=setup).groupBy("t").agg(F.sum("n").alias("n")).collect()}
-    idf = np.array([1 + np.log((1 + counted.get(-1, 0)) / (1 + counted.get(i, 0))) for i in range(len(vocab))])
-    idf *= np.clip([(r["g"] / least) ** 2 for r in picked], FLOOR, 1.0)
-    got = (map_slices(sample.select("doc_id", "text", "y", "index"), vectors, "doc_id long, y int, index boolean, t array<long>, n array<long>", setup=setup)
-           .orderBy("doc_id", "t", "n").collect())
-    inside = [r for r in got if r["index"]]
-    model = Model(vocab, Index([dict(zip(r["t"], r["n"])) for r in inside], [r["doc_id"] for r in inside], [r["y"] for r in inside], idf), k, base_rate, np.zeros(3))
+        return {"doc_id": cols["doc_id"], "y": cols["y"], "index": cols["index"],
+                "t": [t.astype("<i4").tobytes() for t, _ in got], "n": [n.astype("<i4").tobytes() for _, n in got]}
+
+    counted = rows.select("text").mapInArrow(frequencies, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(width + 1)
+    df[counted["t"].to_numpy()] = counted["n"].to_numpy()
+    idf = (1 + np.log((1 + df[-1]) / (1 + df[:-1]))) * label_share
+    packed = (map_slices(sample.select("doc_id", "text", "y", "index"), vectors, "doc_id long, y int, index boolean, t binary, n binary",
+                         setup=lambda: Features(shared())).toArrow().sort_by([("doc_id", "ascending"), ("t", "ascending"), ("n", "ascending")]))
+    ids, ys, inside = packed["doc_id"].to_pylist(), packed["y"].to_pylist(), packed["index"].to_pylist()
+    got = [tuple(np.frombuffer(x, dtype="<i4").astype(np.int64) for x in pair) for pair in zip(packed["t"].to_pylist(), packed["n"].to_pylist())]
+    del packed, counted
+    pick = lambda values: [v for v, i in zip(values, inside) if i]
+    model = Model(vocab, Index(pick(got), pick(ids), pick(ys), idf), k, base_rate, np.zeros(3))
     x, y, w, empty = [], [], [], [0.0, 0.0]
-    for r in got:
-        if not r["index"]:
-            weight = sizes[r["y"]] / min(sizes[r["y"]], per_class)
-            near = model.index.nearest(dict(zip(r["t"], r["n"])), k)
+    for counts, label, indexed in zip(got, ys, inside):
+        if not indexed:
+            weight = sizes[label] / min(sizes[label], per_class)
+            near = model.index.nearest(counts, k)
             if near:
                 x.append(model.vote(near))
-                y.append(r["y"])
+                y.append(label)
                 w.append(weight)
             else:
-                empty[r["y"]] += weight
+                empty[label] += weight
     model.prior = float((empty[1] + base_rate) / (sum(empty) + 1))
     model.curve = _logistic(np.array(x), np.array(y, dtype=float), np.array(w) / np.mean(w)) if x else np.array([0.0, 1.0, 0.0])
     return model
