@@ -12,7 +12,9 @@ document and the pieces of one open sequence.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
+from operator import attrgetter
 from pathlib import Path
 
 import numpy as np
@@ -93,7 +95,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(256 + b - sum(p < b for p in plain)) for b in range(256)}
 
 
-def chunk_encoder(blob: str, most: int = 150_000):
+def chunk_encoder(blob: str, most: int = 300_000):
     """A memo from a blank-delimited chunk (UTF-8) to its token ids as little-endian uint32 bytes.
 
     This vocabulary's tokenizer lower-cases, splits by its pattern and encodes the pieces one by one; it never joins
@@ -109,10 +111,12 @@ def chunk_encoder(blob: str, most: int = 150_000):
     tok = Tokenizer.from_str(blob)
     pattern = json.loads(blob)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
     split, letters, model = regex.compile(pattern).findall, _byte_letters(), tok.model
-    pack = lambda ids: np.asarray(ids, dtype="<u4").tobytes()
+    pack = lambda ids: struct.pack(f"<{len(ids)}I", *ids)
+    number = attrgetter("id")
 
     def piece(p: str) -> bytes:
-        return pack([t.id for t in model.tokenize(p if p.isascii() and p.isprintable() else p.encode("utf-8").decode("latin-1").translate(letters))])
+        got = model.tokenize(p if p.isascii() and p.isprintable() else p.encode("utf-8").decode("latin-1").translate(letters))
+        return pack(list(map(number, got)))
 
     pieces = Memo(piece, most)
 
@@ -120,7 +124,11 @@ def chunk_encoder(blob: str, most: int = 150_000):
         text = c.decode("utf-8", "replace")
         if (c.isascii() or max(text) < "\u0130") and "<|" not in text:
             low = text.lower()
-            return pieces[low] if low.isalpha() else b"".join([pieces[p] for p in split(low)])
+            if low.isalpha():
+                return pieces[low]
+            if low[:-1].isalpha() and low.isascii() and low.isprintable() and not low[-1].isdigit():  # a word and a mark
+                return pieces[low[:-1]] + pieces[low[-1]]
+            return b"".join([pieces[p] for p in split(low)])
         return pack(tok.encode(text, add_special_tokens=False).ids)
 
     return Memo(chunk, most)
