@@ -95,7 +95,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(256 + b - sum(p < b for p in plain)) for b in range(256)}
 
 
-def chunk_encoder(blob: str, most: int = 300_000):
+def chunk_encoder(blob: str, most: int = 500_000):
     """A memo from a blank-delimited chunk (UTF-8) to its token ids as little-endian uint32 bytes.
 
     This vocabulary's tokenizer lower-cases, splits by its pattern and encodes the pieces one by one; it never joins
@@ -118,20 +118,23 @@ def chunk_encoder(blob: str, most: int = 300_000):
         got = model.tokenize(p if p.isascii() and p.isprintable() else p.encode("utf-8").decode("latin-1").translate(letters))
         return pack(list(map(number, got)))
 
-    pieces = Memo(piece, most)
+    pieces = Memo(piece, most // 10)  # of chunks that are not a word, or a word and a mark
 
     def chunk(c: bytes) -> bytes:
         text = c.decode("utf-8", "replace")
-        if (c.isascii() or max(text) < "\u0130") and "<|" not in text:
+        if c.isascii() or (max(text) < "\u0130" and "<|" not in text):
             low = text.lower()
             if low.isalpha():
-                return pieces[low]
-            if low[:-1].isalpha() and low.isascii() and low.isprintable() and not low[-1].isdigit():  # a word and a mark
-                return pieces[low[:-1]] + pieces[low[-1]]
-            return b"".join([pieces[p] for p in split(low)])
+                return piece(low) if low == text else chunks[low.encode()]
+            word, mark = low[:-1], low[-1]
+            if word.isalpha() and " " < mark < "\x7f" and not mark.isdigit():
+                return chunks[word.encode()] + pieces[mark]
+            if "<|" not in low:
+                return b"".join([pieces[p] for p in split(low)])
         return pack(tok.encode(text, add_special_tokens=False).ids)
 
-    return Memo(chunk, most)
+    chunks = Memo(chunk, most)
+    return chunks
 
 
 def _tokenize(cols: dict, encode: Memo) -> dict:
