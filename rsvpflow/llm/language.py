@@ -26,11 +26,15 @@ from rsvpflow.llm.batches import id_text, map_slices, share, starts_of
 UND = "und"
 BUCKETS = 1 << 16
 SCHEMA = "doc_id long, lang_pred string, score double, accepted boolean"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # also takes digits in other shapes, such as superscripts and fractions
 #: Maps every ASCII byte but letters to a blank; bytes of longer characters stay.
 _TO_BLANK = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 def clean(text: str) -> bytes:
     """Lower-cased words of letters as bytes, one blank before, between and after them."""
     return b" " + b" ".join(text.lower().encode("utf-8", "replace").translate(_TO_BLANK).split()) + b" "
@@ -133,7 +137,7 @@ def fit(docs: DataFrame, trainable: Column, per_language: int = 600, sample_wind
     def bags(cols, _):
         out = {"h": [], "lang": [], "whole": [], "short": []}
         for lang, text, h in zip(cols["lang"], cols["text"], cols["h"]):
-            if not _LETTER.search(text):
+            if not has_letter(text):
                 continue
             rng = np.random.Generator(np.random.Philox(h & 0xFFFFFFFF))
             body = clean(text)
@@ -166,7 +170,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     def predict(cols, m):
         n = len(cols["doc_id"])
         lang, score = [UND] * n, np.zeros(n)
-        has = [i for i, t in enumerate(cols["text"]) if t and m and _LETTER.search(t)]
+        has = [i for i, t in enumerate(cols["text"]) if t and m and has_letter(t)]
         if has:
             p = m.probabilities([clean(cols["text"][i]) for i in has])
             for i, row in zip(has, p):

@@ -182,6 +182,15 @@ def test_language_hard_rows(spark):
     assert language.identify(docs.limit(0), model).count() == 0
 
 
+def test_language_needs_a_letter(spark):
+    """Fractions, superscripts and enclosed or Roman numerals are no letters."""
+    rows = [(i, "the cat and the dog of the house", "en") for i in range(40)] + [(100 + i, "der hund und die katze in dem haus", "de") for i in range(40)]
+    texts = ["½ ²", "① Ⅷ", "12 _ ½", "½ é", "ª", "中"]
+    docs = docs_table(spark, rows + [(200 + n, t, "en") for n, t in enumerate(texts)])
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs, language.fit(docs, F.col("doc_id") < 200)).collect()}
+    assert [got[200 + n] == "und" for n in range(len(texts))] == [not any(map(str.isalpha, t)) for t in texts]
+
+
 def test_subwords_cross_no_blank():
     for text in ("a bc def ghij", "é ü", ""):
         body = language.clean(text)
