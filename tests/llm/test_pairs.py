@@ -339,6 +339,104 @@ def test_boilerplate_is_decided_on_the_whole_host(spark, max_rows):
     assert {i for i, _, _, text in rows if got[i].text != text} == set()
 
 
+def test_wrappers_keep_the_article():
+    got = lambda s: [t for t, _ in extract.blocks(s)]
+    assert got("<form action=x><nav>n</nav><article><p>k</p></article><input><button>b</button></form>") == ["k"]
+    assert got("<article class='post has-sidebar'>k</article><div class='post has-sidebar'>l</div>") == ["k", "l"]
+    assert got("<main class=no-comments>k<div class=comments>r</div></main>") == ["k"]
+    assert got("<div id=content class=share-page>k</div><div class='share'>s</div>") == ["k"]
+    assert got("<aside><article>k</article></aside><aside>x</aside><form>y</form>") == ["k"]
+    assert got("<form><h1>T</h1><p>a long text of the page</p></form><form><p>sign up</p></form>") == ["T", "a long text of the page"]
+    assert got("<div class='site-footer'>x</div><ul class='comment-list'><li>r</ul><section id=cookie_banner>c</section>k") == ["k"]
+    assert got("<article>k</article><section class=comments><article class=comment>r</article></section>")[0] == "k"
+    assert got("<template><article>x</article></template><nav><h1>x</h1><p>xxxxxxxxxxxxxxxxxxxxxxxxx</nav>k") == ["k"]
+
+
+def test_reader_comments_that_are_articles_go():
+    got = lambda s: [t for t, _ in extract.blocks(s)]
+    assert got("<article>k</article><section class=comments><article class=comment>r</article></section>") == ["k"]
+    assert got("<article>k<ol class='comment-list'><li><article>a much longer reply</article></ol></article>") == ["k"]
+
+
+def test_deep_and_unclosed_markup_takes_linear_time():
+    import time
+
+    begin = time.time()
+    n = 40000
+    assert [t for t, _ in extract.blocks("<div>" * n + "k" + "</span>" * n)] == ["k"]
+    assert [t for t, _ in extract.blocks("<b>" * n + "<p>k" * 3 + "</i>" * n)] == ["k"] * 3
+    assert [t for t, _ in extract.blocks("<p>k<span>" * n)] == ["k"] * n
+    assert extract.blocks("<form><div class=ad>" * n + "x") == []
+    assert len(extract.blocks("<form><h1>t</h1>" + "<div class=ad><p>x</p>" * n)) <= n + 1
+    assert time.time() - begin < 20
+
+
+def test_runs_equal_plain_counts():
+    """Every window of the runs stands on enough pages, every window that does lies in a run, and runs go as far as they can."""
+    rng = random.Random(21)
+    for need in (1, 2, 3):
+        streams = []
+        for _ in range(6):
+            x = [rng.choice((2, 3)) for _ in range(rng.randint(0, 40))]
+            streams.append(np.array(x + [1, 0], dtype=np.uint64))
+        d = extract.DEPTH
+        on: dict[tuple, set] = {}
+        for p, x in enumerate(streams):
+            for i in range(len(x) - d):
+                on.setdefault(tuple(x[i:i + d].tolist()), set()).add(p)
+        good = {w for w, ps in on.items() if len(ps) >= need}
+        runs = [np.frombuffer(r, np.uint64).tolist() for r in extract.maximal_runs(streams, need)]
+        assert {tuple(r[i:i + d]) for r in runs for i in range(len(r) - d + 1)} == good
+        want = set()
+        for x in streams:
+            x, i = x.tolist(), 0
+            while i < len(x) - d:
+                j = i
+                while j < len(x) - d and tuple(x[j:j + d]) in good:
+                    j += 1
+                if j > i:
+                    want.add(tuple(x[i:j + d - 1]))
+                i = max(j, i + 1)
+        assert {tuple(r) for r in runs} == want
+    assert extract.maximal_runs([np.array([0], dtype=np.uint64)] * 3, 1) == set()
+
+
+@pytest.mark.parametrize("max_rows", [None, 0])
+def test_a_quoted_sentence_stays(spark, max_rows):
+    """Seven of 400 pages without article quote a sentence: it stays, a notice on a fifth goes; also with joined sets."""
+    rng = random.Random(22)
+    quote, notice = (" ".join(f"{c}{i}" for i in range(14)) for c in ("quote", "notice"))
+    rows = []
+    for i in range(400):
+        own = " ".join("u%d" % rng.randint(0, 10 ** 9) for _ in range(12))
+        with_quote = i % 60 == 1
+        rows.append((i, "http://q.example.com/%d" % i, page(f"<div>{own}</div>" + (f"<div>{quote}</div>" if with_quote else "") + (f"<div>{notice}</div>" if i % 5 == 0 else "")),
+                     own + (f"\n{quote}" if with_quote else "")))
+    rows += [(1000 + i, "nowhere", page(f"<div>{notice}</div>"), notice) for i in range(5)]
+    table = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract.main_text(table, max_rows=max_rows).collect()}
+    assert got == {i: text for i, _, _, text in rows}
+
+
+def test_joined_sets_travel_once_a_slot(spark, monkeypatch):
+    """Beyond the bounds the rows are those of pages and items once a slot, not one a token."""
+    monkeypatch.setattr(extract, "SLOT_PAGES", 10)
+    stored = spark.range(95).select(F.col("id").alias("rid"), F.lit(1).cast("long").alias("hk"), F.lit(b"").alias("blob"), F.lit(0).cast("long").alias("size"))
+    sets = spark.createDataFrame([(1, b"a"), (1, b"b"), (2, b"c")], "hk long, item binary")
+    slots = spark.createDataFrame([(1, 10), (2, 4)], "hk long, slots long")
+    seen = []
+
+    def row(cols, n, found, suffixes, out):
+        out["rid"].append(cols["rid"][n])
+        out["items"].append(len(found))
+
+    real = extract.map_slices
+    monkeypatch.setattr(extract, "map_slices", lambda df, *a, **k: seen.append(df.count()) or real(df, *a, **k))
+    got = extract._beside(stored, sets, slots, lambda items: list(items), row, "rid long, items long", 0).collect()
+    assert sorted(r.rid for r in got) == list(range(95)) and {r["items"] for r in got} == {2}
+    assert seen[-1] == 95 + 2 * 10 + 4
+
+
 def test_pages_equal_articles(spark):
     """Articles of the given pages by a plain reading of their one layout."""
     import html
