@@ -27,7 +27,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rsvpflow.llm.batches import fold_ascii, id_text, map_slices, starts_of
@@ -36,6 +36,8 @@ from rsvpflow.session import checkpoint_root
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 TILE = 128
 TILE_SHINGLES = 1 << 20
+#: Rows of ids that one task takes; a set within it is not dealt over the session's shuffle partitions.
+TASK_ROWS = 100_000
 
 
 class _WordHash(dict):
@@ -119,17 +121,29 @@ def _agree_share(share: np.ndarray, n: int, threshold: float) -> np.ndarray:
     return share >= threshold - 5.3 * (threshold * (1 - threshold) / n) ** 0.5
 
 
+def _kept(df: DataFrame) -> tuple[DataFrame, int, int | None]:
+    """(checkpointed frame, its rows, a sum of row hashes); rows and sum are observed while it is written.
+
+    A set of at most ``TASK_ROWS`` rows stays in one task, so the joins and groups after it need no exchange among themselves.
+    """
+    seen = Observation()
+    kept = df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("mark")).checkpoint()
+    n, mark = seen.get["n"], seen.get["mark"]
+    return (kept.coalesce(1) if n <= TASK_ROWS else kept), n, mark
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): smallest node reachable, by alternating large-star and small-star over ``edges(a, b)``.
 
     Each step sends at most one row per edge end; the edges are cut from their lineage by a checkpoint per round.
     """
-    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct().checkpoint()
+    e, *before = _kept(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:
         """Link each neighbour (larger ones, or smaller ones and the node itself) to the smallest of a neighbourhood."""
         if large:
             near = pairs.select("u", "v").unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            near = near.coalesce(1) if small else near  # two single tasks make one
         else:
             near = pairs
         least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -138,15 +152,12 @@ def components(edges: DataFrame) -> DataFrame:
             out = linked.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
             out = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+            out = out.coalesce(1) if small else out
         return out.filter("u != v").distinct()
 
-    def mark(df: DataFrame):
-        return df.select(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-    before = None
     while True:
-        e = star(star(e, True), False).checkpoint()
-        after = mark(e)
+        small = before[0] <= TASK_ROWS
+        e, *after = _kept(star(star(e, True), False))
         if after == before:
             break
         before = after
@@ -211,18 +222,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
                   .join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a"))
         return map_slices(signed.select("a", "b", "sa", "sb"), filter_signatures, "a long, b long, score double")
 
-    likely = likely_of(star.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()).select("a", "b").checkpoint()
+    likely, _, _ = _kept(likely_of(star.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()).select("a", "b"))
     ids = star.select("id").unionByName(star.select(F.col("c").alias("id"))).distinct()
     full = _sets(texts, ids, size).checkpoint()  # once, for both rounds of confirmation
-    links = _confirm(likely, full, threshold).checkpoint()
+    links, _, _ = _kept(_confirm(likely, full, threshold))
     comp = components(links)
 
     links, still = _fresh_rounds(star, comp, links, likely_of, lambda pairs: _confirm(pairs, full, threshold))
     if still is not None:
         comp = components(links)
-        more = _open_links(still, comp, sigs, full, threshold).checkpoint()
+        more, n, _ = _kept(_open_links(still, comp, sigs, full, threshold))
         links = links.unionByName(more)
-        comp = comp if more.isEmpty() else components(links)
+        comp = components(links) if n else comp
     else:
         comp = components(links)
 
@@ -295,16 +306,16 @@ def _fresh_rounds(star: DataFrame, comp: DataFrame, links: DataFrame, likely_of,
     while True:
         per = known.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
         tops = per.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-        still = known.join(tops.select("bucket", F.col("top.comp").alias("main")), "bucket").checkpoint()
-        if still.isEmpty():
+        still, n, _ = _kept(known.join(tops.select("bucket", F.col("top.comp").alias("main")), "bucket"))
+        if not n:
             return links, None
         fresh = still.filter("comp = main").groupBy("bucket").agg(F.max_by("id", F.xxhash64("id", "bucket", F.lit(turn))).alias("f"))
-        asked = still.filter("comp != main").join(fresh, "bucket").select(
-            F.least("f", "id").alias("a"), F.greatest("f", "id").alias("b"), "main", "comp").distinct().checkpoint()
+        asked, _, _ = _kept(still.filter("comp != main").join(fresh, "bucket").select(
+            F.least("f", "id").alias("a"), F.greatest("f", "id").alias("b"), "main", "comp").distinct())
         best = (likely_of(asked.select("a", "b").distinct()).join(asked, ["a", "b"]).groupBy("main", "comp")
                 .agg(F.max(F.struct("score", "a", "b")).alias("p")).select("p.a", "p.b").distinct())
-        found = confirmed(best).checkpoint()
-        if found.isEmpty():
+        found, n, _ = _kept(confirmed(best))
+        if not n:
             return links, still.select("bucket", "id")
         links = links.unionByName(found)
         # the larger label takes the smallest it is linked with; what that leaves apart meets again in the next round
@@ -326,17 +337,19 @@ def _open_links(known: DataFrame, comp: DataFrame, sigs: DataFrame, full: DataFr
     parts = lambda n, w: F.greatest(F.ceil(n / TILE), F.ceil(w / TILE_SHINGLES)).cast("long")
     todo = per.groupBy("n", "x").agg(F.min_by(F.struct("bucket", "top", "w"), F.col("bucket")).alias("b")).select(
         F.col("b.bucket").alias("bucket"), F.col("b.top.comp").alias("main"), F.col("b.top.n").alias("m"), (F.col("n") - F.col("b.top.n")).alias("o"),
-        parts(F.col("n") - F.col("b.top.n"), F.col("b.w") - F.col("b.top.w")).alias("nx"), parts(F.col("b.top.n"), F.col("b.top.w")).alias("ny")).checkpoint()
+        parts(F.col("n") - F.col("b.top.n"), F.col("b.w") - F.col("b.top.w")).alias("nx"), parts(F.col("b.top.n"), F.col("b.top.w")).alias("ny"))
+    todo, _, _ = _kept(todo)
     at = lambda n: F.pmod(F.xxhash64("id"), n)
     zero = F.lit(0).cast("long")
     spread = rows.join(todo, "bucket").withColumn("rest", F.col("comp") != F.col("main"))
     # a largest component whose buckets would send more rows than the component itself is sent once, under its own label
-    outside = spread.filter("rest").select("main", "id", "comp", "n").distinct().checkpoint()
+    outside, _, _ = _kept(spread.filter("rest").select("main", "id", "comp", "n").distinct())
     inside = comp.select(F.col("node").alias("id"), F.col("component").alias("main")).join(outside.select("main").distinct(), "main").join(sigs.select("id", "n"), "id")
     size = lambda df, c, w: df.groupBy("main").agg(F.count(F.lit(1)).alias(c), F.sum("n").alias(w))
     whole = size(outside, "o", "wo").join(size(inside, "m", "wm"), "main").select("main", "o", "m", parts(F.col("o"), F.col("wo")).alias("nx"), parts(F.col("m"), F.col("wm")).alias("ny"))
     sent = todo.groupBy("main").agg(F.sum(F.col("m") * F.col("nx") + F.col("o") * F.col("ny")).alias("sent"))
-    whole = whole.join(sent, "main").filter(F.col("m") * F.col("nx") + F.col("o") * F.col("ny") < F.col("sent")).select("main", "nx", "ny").checkpoint()
+    whole = whole.join(sent, "main").filter(F.col("m") * F.col("nx") + F.col("o") * F.col("ny") < F.col("sent")).select("main", "nx", "ny")
+    whole, _, _ = _kept(whole)
     others = spread.filter("rest").withColumn("i", at(F.col("nx")))
     split = spread.join(whole.select("main"), "main", "left_anti")
     apart = split.filter("rest").withColumn("i", at(F.col("nx")))

@@ -339,6 +339,17 @@ def test_boilerplate_is_decided_on_the_whole_host(spark, max_rows):
     assert {i for i, _, _, text in rows if got[i].text != text} == set()
 
 
+def test_kept_sets_know_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "TASK_ROWS", 50)
+    some = spark.range(40).repartition(4).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    kept, n, mark = neardup._kept(some)
+    assert n == 40 == kept.count() and kept.rdd.getNumPartitions() == 1
+    assert neardup._kept(some.repartition(3))[1:] == (40, mark) and neardup._kept(some.limit(0))[1] == 0
+    path = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))  # above the bound
+    assert neardup._kept(path)[0].rdd.getNumPartitions() > 1
+    assert {r.component for r in neardup.components(path).collect()} == {0}
+
+
 def test_wrappers_keep_the_article():
     got = lambda s: [t for t, _ in extract.blocks(s)]
     assert got("<form action=x><nav>n</nav><article><p>k</p></article><input><button>b</button></form>") == ["k"]
