@@ -101,15 +101,6 @@ def fold_ascii(text: str) -> bytes:
     return text.encode("utf-8", "replace").lower()
 
 
-def ranks(*keys: np.ndarray) -> np.ndarray:
-    """Dense ranks of rows of equal-length integer columns: equal rank exactly where all columns are equal."""
-    out = np.unique(keys[0], return_inverse=True)[1].astype(np.int64)
-    for k in keys[1:]:
-        r = np.unique(k, return_inverse=True)[1].astype(np.int64)
-        out = np.unique(out * (int(r.max(initial=0)) + 1) + r, return_inverse=True)[1].astype(np.int64)
-    return out
-
-
 def starts_of(lengths: np.ndarray) -> np.ndarray:
     """Offsets of consecutive runs of the given lengths."""
     return np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64) if len(lengths) else np.zeros(0, np.int64)
