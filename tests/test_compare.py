@@ -177,3 +177,27 @@ def test_quarantine_loses_nothing(spark):
         ("malformed", "6,g,nope")])
     assert good.count() + bad.count() == len([x for x in lines if x])  # blank lines are no records
     assert good.select("name").count() == 2 and bad.select("reason").count() == 7  # pruned reads agree
+
+
+def test_places_cut_only_windows_that_names_begin(spark, monkeypatch):
+    """Of all windows of all lengths only those whose head a name has reach the join with the names."""
+    from rsvpflow.operators import places as P
+
+    places = spark.createDataFrame([("Customer#%04d" % i, f"c{i}", i) for i in range(50)] + [("Customer#%03d" % i, f"s{i}", 90 - i) for i in range(5)]
+                                   + [("pune", "P", 7), ("x-ray hall", "X", 60), ("", "none", -1), (None, "none", -2)], "name string, label string, rank long")
+    rows = [(i, f"the customer#{i % 60:04d} of hall {i}, PUNEPUNE" if i % 3 else f" at x-ray halls {i}") for i in range(200)] + [(200, None), (201, ""), (202, "pun")]
+    df = spark.createDataFrame(rows, "i long, t string")
+    names = [(r.name.lower(), r.label, r.rank) for r in places.collect() if r.name]
+    best = lambda t: min(((k, x) for n, x, k in names if n in t.lower()), default=(0, "Other"))[1]
+    sent, join = [], P.key_join
+
+    def counted(big, keys, on, *a, **kw):
+        out = join(big, keys, on, *a, **kw)
+        if isinstance(on, str) and on == "name":
+            sent.append(big.count())
+        return out
+
+    monkeypatch.setattr(P, "key_join", counted)
+    got = {r.i: r.region for r in P.label_places(df, "t", places).collect()}
+    assert got == {i: "Unknown" if t is None else best(t) for i, t in rows}
+    assert sent and sent[0] <= 5 * len(rows)
