@@ -21,6 +21,7 @@ from rsvpflow.functions.scalars import parse_date
 from rsvpflow.operators import contacts as C
 from rsvpflow.operators import reports as R
 from rsvpflow.operators.grain import reports_from
+from rsvpflow.operators.joins import materialized
 from rsvpflow.plans import fixtures as X
 from rsvpflow.session import work_dir
 from rsvpflow.sources.tables import path_exists, read_table
@@ -108,7 +109,7 @@ def stream_reports_on_changes(spark: SparkSession, events: DataFrame, compact_ev
     """T3 under a change feed: the reports after all changes that are there now, updates and deletes followed."""
     root = work_dir(spark, "stream-reports")
     start_report_stream(spark, events, root, {"availableNow": True}, compact_every).awaitTermination()
-    return reports_from(current_grain(spark, f"{root}/grain"), cascade=False)
+    return reports_from(materialized(current_grain(spark, f"{root}/grain")), cascade=False)  # added up once for all reports
 
 
 def stream_invite_trend_windowed(spark: SparkSession, base: str, delay: str = "36500 days", master: DataFrame | None = None) -> DataFrame:

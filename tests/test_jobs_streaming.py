@@ -300,3 +300,68 @@ def test_windowed_trend_drops_late_rows(spark):
     n = {k: m.filter(F.col("id") % 4 == k).count() for k in range(4)}
     # the second 2024-01-01 comes after 2024-03-01 and is late; 2024-02-28 is within five days
     assert got == {"2024-01-01": n[0], "2024-01-10": n[1], "2024-03-01": n[2], "2024-02-28": n[3], "2024-03-02": n[1]}
+
+
+def test_batches_of_a_large_feed_are_many_files(spark, monkeypatch):
+    """Five batches whatever the size, updates and deletes first; no file holds a fifth of a large feed."""
+    from pyspark.sql import functions as F
+
+    from rsvpflow.plans import fixtures as X
+    from rsvpflow.session import work_dir
+
+    monkeypatch.setattr(X, "FILE_ROWS", 100)
+    feed = spark.range(3000).select(F.explode(F.array(F.col("id"), F.col("id") + F.lit(X.CHANGE_OFFSET))).alias("seq"), "id")
+    path = work_dir(spark, "feed")
+    events = X.mixed_batches(spark, feed, path, 3000)
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 50 and max(sizes) <= 250 and sum(sizes) == 6000
+    seen = []
+    q = events.writeStream.foreachBatch(lambda b, n: seen.append(b.agg(F.min("seq"), F.count("*")).first())).option(
+        "checkpointLocation", work_dir(spark, "at")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert len(seen) == 5 and sum(r[1] for r in seen) == 6000
+    assert [r[0] >= X.CHANGE_OFFSET for r in seen] == [True, True, False, False, False]
+
+
+def test_reports_on_changes_read_the_grain_once(spark, monkeypatch):
+    """The reports after a feed are roll-ups of a stored sum, not each a sum of all deltas."""
+    from rsvpflow.plans.queries import q_stream_reports_on_changes
+    from rsvpflow.streaming import changes as SC
+    from tests.conftest import SF_SMALL
+
+    took = []
+    monkeypatch.setattr(SC, "reports_from", lambda grain, **kw: took.append(grain.inputFiles()) or SC_reports(grain, **kw))
+    SC_reports = __import__("rsvpflow.operators.grain", fromlist=["reports_from"]).reports_from
+    assert q_stream_reports_on_changes(spark, SF_SMALL).count() > 0
+    assert took == [[]]  # a checkpoint, no delta files
+
+
+def test_spread_follows_rows(spark, monkeypatch):
+    """A short file of many rows is dealt over as many tasks as its rows ask for; nothing is lost."""
+    from rsvpflow.plans import fixtures as X
+
+    df = spark.range(0, 1000, 1, 2)
+    monkeypatch.setattr(X, "TASK_ROWS", 10)
+    out = X.spread(df)
+    assert out.rdd.getNumPartitions() == max(100, spark.sparkContext.defaultParallelism)
+    assert sorted(r.id for r in out.collect()) == list(range(1000))
+    monkeypatch.setattr(X, "TASK_ROWS", 1000)
+    assert X.spread(spark.range(0, 1000, 1, 64)).rdd.getNumPartitions() == 64
+
+
+def test_stored_table_reads_its_contacts_once(spark):
+    """The table in use is one pass over the unique contacts, with the rows of both choices."""
+    from pyspark.sql import functions as F
+
+    from rsvpflow.operators import contacts as C
+    from rsvpflow.plans.queries import _stored
+    from rsvpflow.roles import CONTACT_COLS
+
+    rows = [(i, f"+{i % 40}") for i in range(60)] + [(None, "+none")]
+    c = spark.createDataFrame(rows, "id long, phone string").select(
+        *[F.col(n) if n in ("id", "phone") else F.lit("tax" if n == "role" else "x").alias(n) for n in CONTACT_COLS])
+    got = _stored(c, "phone")
+    u = C.unique_contacts(c, "phone", "first").select("id", "phone").collect()
+    want = [(r.id, r.phone) for r in u if r.id is not None and r.id % 3 == 0] + [(r.id, r.phone + "#") for r in u if r.id is not None and r.id % 5 == 1]
+    assert sorted((r.id, r.phone) for r in got.collect()) == sorted(want) and got.columns == list(c.columns)
+    assert "Union" not in got._jdf.queryExecution().executedPlan().toString()
