@@ -4,7 +4,8 @@ A row's two 64-bit hashes (NULLs marked, so that a value in another column is an
 key's hash, in pieces small enough that no sum overflows.  Sums do not depend on order and count copies, so two buckets with
 equal digests hold the same rows as often (but for a clash of 128 bits).  A first pass over both sides compares a bounded
 number of buckets, a second one splits those that differ; only rows of buckets that still differ are grouped and compared
-whole.  Equal tables shuffle nothing but digests.
+whole.  Which of the split buckets differ is sent as bits, of bounded size however many they are, so no other row is
+shuffled for it.  Equal tables shuffle nothing but digests.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ __all__ = ["row_hash", "bucket_of", "bucket_digests", "differing_buckets", "bag_
 
 _SUMS = [f"h{k}" for k in range(8)]
 
+#: Bits that the split buckets of all first buckets have together (16 MB when sent).
+MARK_BITS = 1 << 27
+
 
 def row_hash(cols: Sequence[str], salt: int = 0) -> Column:
     """64 bits of a row; a NULL counts, and where it stands."""
@@ -53,6 +57,19 @@ def differing_buckets(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFram
     return g.filter(off).select(*by)
 
 
+def _marks(off: DataFrame, first: str, second: str, words: int) -> DataFrame:
+    """(first, bits): one row per first bucket, the numbers ``second`` it is listed with as bits of ``words`` longs."""
+    some = off.groupBy(first, F.shiftright(second, 6).alias("__w")).agg(F.bit_or(F.expr(f"shiftleft(1L, {second} & 63)")).alias("__o"))
+    found = some.groupBy(first).agg(F.map_from_entries(F.collect_list(F.struct("__w", "__o"))).alias("__m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(words - 1)), lambda w: F.coalesce(F.element_at("__m", w), F.lit(0).cast("bigint")))
+    return found.select(first, dense.alias("__bits"))
+
+
+def _marked(df: DataFrame, marks: DataFrame, first: str, second: str) -> DataFrame:
+    """The rows of ``df`` whose bit is set in ``marks``; ``df`` is not shuffled."""
+    return df.join(F.broadcast(marks), first).filter(f"shiftright(__bits[{second} >> 6], {second} & 63) & 1L = 1L")
+
+
 def bag_differences(expected: DataFrame, derived: DataFrame, key: Sequence[str], buckets: int = 4096) -> DataFrame:
     """Rows (the columns of ``expected``) that the tables hold a different number of times, with n_expected and n_derived.
 
@@ -62,10 +79,11 @@ def bag_differences(expected: DataFrame, derived: DataFrame, key: Sequence[str],
     first, second = "__b1", "__b2"
     sides = [df.select(*cols, bucket_of(key, buckets).alias(first)) for df in (expected, derived)]
     off = materialized(differing_buckets(*[bucket_digests(s, cols, [first]) for s in sides], [first]))  # at most `buckets` rows
-    sides = [key_join(s, off, [first], "left_semi", materialize=False).withColumn(second, bucket_of(key, buckets, 3)) for s in sides]
+    words = max(1, MARK_BITS // 64 // max(4096, buckets))
+    sides = [key_join(s, off, [first], "left_semi", materialize=False).withColumn(second, bucket_of(key, 64 * words, 3)) for s in sides]
     fine = [first, second]
-    off = materialized(differing_buckets(*[bucket_digests(s, cols, fine) for s in sides], fine))
-    sides = [key_join(s, off, fine, "left_semi", materialize=False).select(*cols) for s in sides]
+    off = materialized(_marks(differing_buckets(*[bucket_digests(s, cols, fine) for s in sides], fine), first, second, words))
+    sides = [_marked(s, off, first, second).select(*cols) for s in sides]
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     both = sides[0].select(*cols, one.alias("__e"), none.alias("__d")).unionByName(sides[1].select(*cols, none.alias("__e"), one.alias("__d")))
     return both.groupBy(*cols).agg(F.sum("__e").alias("n_expected"), F.sum("__d").alias("n_derived")).filter("n_expected <> n_derived")

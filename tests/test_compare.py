@@ -14,6 +14,7 @@ from rsvpflow.operators import contacts as C
 from rsvpflow.operators import merge as M
 from rsvpflow.operators import places as P
 from rsvpflow.operators import quality as Q
+from rsvpflow.operators.joins import BROADCAST_MAX_ROWS_CONF
 from rsvpflow.session import work_dir
 from rsvpflow.sources import sinks as SK
 from rsvpflow.sources import tables as T
@@ -52,6 +53,25 @@ def test_equal_tables_shuffle_digests_only(spark):
     assert plan.count("Exchange hashpartitioning(b#") == 1 and plan.count("Exchange") == 1
 
 
+def test_many_differing_buckets_shuffle_no_other_rows(spark):
+    """More buckets differ than a key set of the session may have rows: which ones is still sent as bits, not joined by a shuffle."""
+    a = [("tax", i, "p", "x", None) for i in range(300)]
+    b = [("tax", i, "p", "x" if i % 3 else "y", None) for i in range(300)] + a[:5]
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(BROADCAST_MAX_ROWS_CONF, "3")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = B.bag_differences(spark.createDataFrame(a, ROW), spark.createDataFrame(b, ROW), ["id"], buckets=2)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = got.collect()
+    finally:
+        spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+    ca, cb = Counter(a), Counter(b)
+    assert {tuple(r)[:5]: (r.n_expected, r.n_derived) for r in rows} == {k: (ca[k], cb[k]) for k in ca | cb if ca[k] != cb[k]}
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
 def test_rows_differ_by_where_a_null_stands(spark):
     key, schema = ["role", "id", "phone"], ROW
     a = spark.createDataFrame([("tax", 1, "p", "x", None)], schema)
