@@ -90,6 +90,20 @@ def test_mixed_feed_of_nothing(spark):
         C.apply_triggers(table, X.change_feed(m), "v3")
 
 
+def test_strict_decides_on_keys_alone(spark, monkeypatch):
+    """What is sorted and counted per phone holds no contact fields; of two upserts at one place one stays, of two without a client both."""
+    seen = []
+    monkeypatch.setattr(C, "ranged", lambda df, *order: seen.append(df.columns) or O.ranged(df, *order))
+    feed, events = made_feed(spark, 40, 5)
+    empty = spark.createDataFrame([], C.fan_out(feed.select("new.*")).schema)
+    rows = lambda f: sorted((r.phone, str(r.client)) for r in C.apply_changes_by_phone(empty, f, roles=("tax",), strict_reference=True).collect())
+    once = rows(feed)
+    assert [set(c) for c in seen] == [{"role", "phone", "client", "seq", "ord", "kind"}]
+    twice = rows(feed.filter("op = 'I'").unionByName(feed.filter("op = 'I'")))
+    single = rows(feed.filter("op = 'I'"))
+    assert once and twice == sorted(single + [r for r in single if r[1] == "None"])
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 def test_strict_feed_with_a_hot_phone(spark, seed):
     with many_parts(spark):
