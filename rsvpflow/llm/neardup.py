@@ -370,7 +370,8 @@ def _open_links(known: DataFrame, comp: DataFrame, sigs: DataFrame, full: DataFr
     tiles = (others.select("*", F.explode(F.sequence(zero, F.col("nx") - 1)).alias("k"))
              .select(F.lit(0).alias("scope"), "bucket", F.least("i", "k").alias("x"), F.greatest("i", "k").alias("y"), (F.col("i") > F.col("k")).alias("right"), "id", "comp")
              .unionByName(against(apart, largest, 0, "bucket", "comp")).unionByName(against(far, core, 1, "main", "main")))
-    filled = tiles.join(sigs.select("id", "sig"), "id").join(full, "id")
+    # signature and set meet once per id, so what is dealt over the tiles is joined with one table
+    filled = tiles.join(sigs.select("id", "sig").join(full, "id"), "id")
     grouped = filled.groupBy("scope", "bucket", "x", "y").agg(F.collect_list(F.struct("right", "id", "comp", "sig", "s")).alias("members"))
 
     def compare(cols, _):
