@@ -7,9 +7,10 @@
 3. In every bucket each class is paired with the smallest one only.  Pairs whose signatures agree too little are dropped
    (5 standard deviations below the threshold), the others are confirmed on their full sets.
 4. Confirmed links make components by alternating large-star and small-star.
-5. Where a bucket still holds several components besides its centre, the members outside its largest one are paired with a
-   fresh centre from that one, another in every bucket, and again after each round that links any: a group of near copies
-   joins in a few linear rounds.  Classes already connected need no further comparison: it could not change a component.
+5. Where a bucket of more than one tile (step 6) still holds several components besides its centre, the members outside its
+   largest one are paired with a fresh centre from that one, another in every bucket, and again as long as a round spares
+   the tiles more rows than it takes: a group of near copies joins in a few linear rounds.  Classes already connected need
+   no further comparison: it could not change a component.
 6. What then is still open is compared in tiles of bounded size, by signature and then on full sets: the members outside
    the largest component of a bucket with each other, and with that component, either bucket by bucket or, where that
    sends fewer rows, once for all buckets that it is the largest of.  A tile returns no more links than join the
@@ -175,8 +176,20 @@ def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return map_slices(texts, sets, "id long, s binary", setup=_WordHash).filter("octet_length(s) > 0")
 
 
+def _only(table: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """The rows of ``table`` that a join with at most ``n`` ids needs: few ids are sent to it, so no other row is shuffled."""
+    return table.join(F.broadcast(ids), "id", "left_semi") if n <= TASK_ROWS else table
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
 def _confirm(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
+    pairs, n, _ = _kept(pairs)
+    full = _only(full, _ends(pairs), 2 * n)
+
     def check(cols, _):
         out = {"a": [], "b": []}
         for a, b, x, y in zip(cols["a"], cols["b"], cols["sa"], cols["sb"]):
@@ -206,7 +219,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
 
     banded = classes.filter("rep is not null").select(F.col("rep").alias("id"), F.explode("buckets").alias("bucket"))
     centres = banded.groupBy("bucket").agg(F.min("id").alias("c"), F.max("id").alias("last")).filter("c != last")
-    star = banded.join(centres.select("bucket", "c"), "bucket").filter("id != c").checkpoint()
+    star, _, _ = _kept(banded.join(centres.select("bucket", "c"), "bucket").filter("id != c"))
+    ids, _, _ = _kept(star.select("id").unionByName(star.select(F.col("c").alias("id"))).distinct())
+    sigs, _, _ = _kept(sigs.join(ids, "id", "left_semi"))
 
     def filter_signatures(cols, _):
         if not cols["a"]:
@@ -222,9 +237,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
                   .join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a"))
         return map_slices(signed.select("a", "b", "sa", "sb"), filter_signatures, "a long, b long, score double")
 
-    likely, _, _ = _kept(likely_of(star.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()).select("a", "b"))
-    ids = star.select("id").unionByName(star.select(F.col("c").alias("id"))).distinct()
-    full = _sets(texts, ids, size).checkpoint()  # once, for both rounds of confirmation
+    likely = likely_of(star.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()).select("a", "b")
+    full = _sets(texts, ids, size).checkpoint()  # once, for all confirmations
     links, _, _ = _kept(_confirm(likely, full, threshold))
     comp = components(links)
 
@@ -298,25 +312,37 @@ def _fresh_rounds(star: DataFrame, comp: DataFrame, links: DataFrame, likely_of,
     A round pairs each member outside the largest component of its bucket with one member of that component, picked anew by
     a hash of bucket and round: no more pairs than memberships.  Of the pairs between two components only the one whose
     signatures agree best is confirmed: one link joins them.  Labels only fall, and components are taken from all links in the
-    end.  The rounds end with one that links nothing; open are the rows (bucket, id) of buckets with several
-    labels, None if there are none.
+    end.  Buckets that one tile holds are left to the tiles, which send each membership once as well.  The rounds end with one
+    that links nothing or spares the tiles fewer rows than it took.  Open are the rows (bucket, id) of buckets that may hold
+    several labels, None if there are none.
     """
     known = star.join(comp.select(F.col("node").alias("id"), "component"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
-    turn = 0
+    tiles = lambda n: F.ceil(n / TILE)
+    m, o = F.col("top.n"), F.col("n") - F.col("top.n")
+    rest, took, before, turn = None, 0, 0, 0
     while True:
+        known, _, _ = _kept(known)
         per = known.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-        tops = per.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-        still, n, _ = _kept(known.join(tops.select("bucket", F.col("top.comp").alias("main")), "bucket"))
-        if not n:
-            return links, None
+        tops, _, _ = _kept(per.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+                           .filter("k > 1").select("bucket", F.col("top.comp").alias("main"), "n", (m * tiles(o) + o * (tiles(m) + tiles(o))).alias("sent")))
+        if rest is None:
+            rest, n, _ = _kept(known.join(tops.select("bucket"), "bucket", "left_semi").select("bucket", "id"))
+            if not n:
+                return links, None
+        large = tops.filter(F.col("n") > TILE)
+        n, sent = large.agg(F.sum("n"), F.sum("sent")).first()
+        if not n or turn and before - sent <= took:
+            return links, rest
+        took, before = n, sent
+        still, _, _ = _kept(known.join(large.select("bucket", "main"), "bucket"))
         fresh = still.filter("comp = main").groupBy("bucket").agg(F.max_by("id", F.xxhash64("id", "bucket", F.lit(turn))).alias("f"))
         asked, _, _ = _kept(still.filter("comp != main").join(fresh, "bucket").select(
             F.least("f", "id").alias("a"), F.greatest("f", "id").alias("b"), "main", "comp").distinct())
         best = (likely_of(asked.select("a", "b").distinct()).join(asked, ["a", "b"]).groupBy("main", "comp")
                 .agg(F.max(F.struct("score", "a", "b")).alias("p")).select("p.a", "p.b").distinct())
-        found, n, _ = _kept(confirmed(best))
-        if not n:
-            return links, still.select("bucket", "id")
+        found, linked, _ = _kept(confirmed(best))
+        if not linked:
+            return links, rest
         links = links.unionByName(found)
         # the larger label takes the smallest it is linked with; what that leaves apart meets again in the next round
         joined = asked.join(found, ["a", "b"], "left_semi")
@@ -329,8 +355,9 @@ def _open_links(known: DataFrame, comp: DataFrame, sigs: DataFrame, full: DataFr
     """Links (a, b) between different components whose members share a bucket, from rows (bucket, id) of buckets that may hold
     several."""
     known = known.join(comp.select(F.col("node").alias("id"), "component"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
+    known, _, _ = _kept(known)
     mixed = known.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("bucket")
-    rows = known.join(mixed, "bucket", "left_semi").join(sigs.select("id", "n"), "id")
+    rows, _, _ = _kept(known.join(mixed, "bucket", "left_semi").join(sigs.select("id", "n"), "id"))
     per_comp = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("w"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("x"))
     per = per_comp.groupBy("bucket").agg(F.max(F.struct("n", "comp", "w")).alias("top"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.sum("x").alias("x"))
     # buckets of one membership are compared once; a tile side has about TILE members and TILE_SHINGLES shingles
@@ -341,7 +368,7 @@ def _open_links(known: DataFrame, comp: DataFrame, sigs: DataFrame, full: DataFr
     todo, _, _ = _kept(todo)
     at = lambda n: F.pmod(F.xxhash64("id"), n)
     zero = F.lit(0).cast("long")
-    spread = rows.join(todo, "bucket").withColumn("rest", F.col("comp") != F.col("main"))
+    spread, _, _ = _kept(rows.join(todo, "bucket").withColumn("rest", F.col("comp") != F.col("main")))
     # a largest component whose buckets would send more rows than the component itself is sent once, under its own label
     outside, _, _ = _kept(spread.filter("rest").select("main", "id", "comp", "n").distinct())
     inside = comp.select(F.col("node").alias("id"), F.col("component").alias("main")).join(outside.select("main").distinct(), "main").join(sigs.select("id", "n"), "id")
@@ -371,7 +398,8 @@ def _open_links(known: DataFrame, comp: DataFrame, sigs: DataFrame, full: DataFr
              .select(F.lit(0).alias("scope"), "bucket", F.least("i", "k").alias("x"), F.greatest("i", "k").alias("y"), (F.col("i") > F.col("k")).alias("right"), "id", "comp")
              .unionByName(against(apart, largest, 0, "bucket", "comp")).unionByName(against(far, core, 1, "main", "main")))
     # signature and set meet once per id, so what is dealt over the tiles is joined with one table
-    filled = tiles.join(sigs.select("id", "sig").join(full, "id"), "id")
+    tiles, n, _ = _kept(tiles)
+    filled = tiles.join(sigs.select("id", "sig").join(_only(full, tiles.select("id").distinct(), n), "id"), "id")
     grouped = filled.groupBy("scope", "bucket", "x", "y").agg(F.collect_list(F.struct("right", "id", "comp", "sig", "s")).alias("members"))
 
     def compare(cols, _):

@@ -480,6 +480,29 @@ def test_chunks_encode_like_the_library():
         assert got == tok.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("tile", [128, 8])
+def test_near_rounds_take_no_more_rows_than_they_spare(spark, monkeypatch, tile):
+    """Buckets that a tile holds are asked for once; larger ones again only while that spares the tiles more than it takes."""
+    rng = random.Random(21)
+    rows = []
+    for g in range(12):  # groups whose members lie at about the threshold of each other: few links, many open buckets
+        base = ["g%d_%d" % (g, k) for k in range(90)]
+        for _ in range(20):
+            ws = list(base)
+            for _ in range(rng.randint(1, 4)):
+                ws[rng.randrange(len(ws))] = "e%d" % rng.randint(0, 10 ** 6)
+            rows.append((len(rows), " ".join(ws)))
+    monkeypatch.setattr(neardup, "TILE", tile)
+    asked, inner = [], neardup._confirm
+    monkeypatch.setattr(neardup, "_confirm", lambda pairs, *rest: asked.append(1) or inner(pairs, *rest))
+    opened, tiles = [], neardup._open_links
+    monkeypatch.setattr(neardup, "_open_links", lambda known, *rest: opened.append(known.count()) or tiles(known, *rest))
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs_table(spark, rows)).collect()}
+    assert got == {i: c for i, (_, c) in jaccard_groups(rows, 5, 0.8).items()}
+    assert opened and opened[0] > 0
+    assert len(asked) == 1 if tile == 128 else 1 < len(asked) <= 4
+
+
 def test_near_group_makes_rows_in_proportion(spark):
     """One group of n near copies of one text: rows that joins and generators make grow like n, not like its square."""
     rng = random.Random(5)
