@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rsvpflow.functions.scalars import present
-from rsvpflow.operators.joins import key_join, materialized
+from rsvpflow.operators.joins import fits_broadcast, written
 from rsvpflow.roles import CLIENT_ATTRS, CONTACT_COLS, ROLE_ORDER, ROLES
 
 __all__ = ["ACTIONS", "apply_changes_audit", "contact_of", "contact_rows", "count_columns", "count_rows", "timed_rows", "time_columns"]
@@ -45,8 +45,10 @@ def count_columns(roles: Sequence[str]) -> list[tuple[str, str, str]]:
 
 def timed_rows(changes: DataFrame, roles: Sequence[str] = ROLE_ORDER) -> DataFrame:
     """Per master id of a timed feed: its last event's contacts, per role the marks ``ins_<role>`` and ``upd_<role>``
-    (seq, ts) and the events counted by action (``count_columns``); one aggregation by id."""
+    (seq, ts) and the events counted by action (``count_columns``); one aggregation by id, of the columns that contacts have."""
     marks, sums = [], []
+    fields = dict.fromkeys(["id", "Client_Name", *CLIENT_ATTRS, *[src for r in roles for src in ROLES[r].master_cols().values()]])
+    image = F.when(F.col("new").isNotNull(), F.struct(*[F.col(f"new.{c}").alias(c) for c in fields]))
     for r in roles:
         phone = ROLES[r].phone
         had = F.col("op").isin("U", "D") & F.col("old").isNotNull() & present(f"old.{phone}")
@@ -56,7 +58,7 @@ def timed_rows(changes: DataFrame, roles: Sequence[str] = ROLE_ORDER) -> DataFra
         at = F.struct("seq", "ts")
         marks += [F.max(F.when(kinds["inserted"], at)).alias(f"ins_{r}"), F.max(F.when(kinds["inserted"] | kinds["updated"], at)).alias(f"upd_{r}")]
         sums += [F.count_if(kinds[k]).alias(f"n_{r}_{k}") for k in ACTIONS]
-    last = changes.groupBy("id").agg(F.max("seq").alias("seq"), F.max_by(F.struct("op", "new"), "seq").alias("e"), *marks, *sums)
+    last = changes.groupBy("id").agg(F.max("seq").alias("seq"), F.max_by(F.struct("op", image.alias("new")), "seq").alias("e"), *marks, *sums)
     names = [f"{k}_{r}" for r in roles for k in ("ins", "upd")] + [n for _, _, n in count_columns(roles)]
     return contact_rows(last.select("id", "seq", "e.*", *names), roles, *names)
 
@@ -96,13 +98,17 @@ def apply_changes_audit(contacts: DataFrame, changes: DataFrame, roles: Sequence
     if applied is not None:
         seen = applied.select(F.col("id").alias("__id"), F.col("seq").alias("__seq"))
         rows = rows.join(seen, F.col("id") == F.col("__id"), "left").filter(F.col("__seq").isNull() | (F.col("seq") > F.col("__seq"))).drop("__id", "__seq")
-    rows = materialized(rows)
-    ids = rows.select("id")
+    rows = written(rows)
+    ids, small = fits_broadcast(rows.select("id"), materialize=False)
+    ids = F.broadcast(ids) if small else ids
     names = [name for _, name in TIMES]
-    kept = key_join(contacts, ids, "id", "left_anti", materialize=False)
-    had = key_join(contacts, ids, "id", "left_semi", materialize=False).select(F.col("role").alias("__r"), F.col("id").alias("__i"), *[F.col(n).alias(f"__{n}") for n in names])
+    kept = contacts.join(ids, "id", "left_anti").select(*[contacts[c] for c in contacts.columns])
+    # the stored times meet a row before its contacts are spelled out, so no contact is shuffled for them
+    had = (contacts.select(F.col("id").alias("__id"), "role", *names).join(ids.select(F.col("id").alias("__id")), "__id", "left_semi")
+           .groupBy("__id").agg(F.collect_list(F.struct("role", *names)).alias("__had")))
     marks = [F.col(f"{k}_{r}") for r in roles for k, _ in TIMES]
-    new = rows.select(F.explode("contacts").alias("c"), *marks).select(*[F.col(f"c.{c}").alias(c) for c in CONTACT_COLS], *time_columns(roles))
-    j = new.join(had, (F.col("role") == F.col("__r")) & (F.col("id") == F.col("__i")), "left")
-    new = j.select(*CONTACT_COLS, *[F.coalesce(n, f"__{n}").alias(n) for n in names])
+    some = rows.filter(F.size("contacts") > 0).select("contacts", *marks).join(had, F.get("contacts", F.lit(0))["id"] == F.col("__id"), "left")
+    new = some.select(F.explode("contacts").alias("c"), *marks, "__had")
+    new = new.select("c", *time_columns(roles), F.explode_outer(F.filter("__had", lambda h: h["role"] == F.col("c.role"))).alias("__h"))
+    new = new.select(*[F.col(f"c.{c}").alias(c) for c in CONTACT_COLS], *[F.coalesce(n, f"__h.{n}").alias(n) for n in names])
     return kept.unionByName(new), count_rows(rows, roles)

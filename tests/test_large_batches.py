@@ -7,6 +7,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from rsvpflow.operators import audit as A
 from rsvpflow.operators import contacts as C
 from rsvpflow.operators import joins as JN
 from rsvpflow.plans import fixtures as X
@@ -74,6 +75,37 @@ def test_kept_tables_leave_no_shuffle_files(spark, keep):
     assert spark.conf.get(JN.SHUFFLE_CLEANUP_CONF) == "false" and df.count() == 700 and df.count() == 700
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_audit_of_a_large_batch(spark, seed):
+    """Stored times of contacts that come more than once, of none and of NULL ids; wide contacts are shuffled once, for the anti join."""
+    times = [("Data_Insert_Time", "timestamp_ntz"), ("Last_Updated", "timestamp_ntz")]
+    feed = X.timed(made_feed(spark, 60, seed)[0])
+    later = feed.filter("seq > 300")  # most of these rows are in the table already
+    none = F.lit(None).cast("timestamp_ntz")
+    first, _ = A.apply_changes_audit(table(spark, STORED).withColumns({n: none for n, _ in times}), feed.filter("seq <= 300"))
+    first = table(spark, [r.asDict() for r in first.collect()] * 2, times)
+    small, few = A.apply_changes_audit(first, later)
+    want, counts = bag(small), bag(few)
+    with nothing_small(spark):
+        large, many = A.apply_changes_audit(first, later)
+        assert shuffled(large, "designation") == 1
+        assert bag(large) == want and bag(many) == counts
+    # one new row for each stored one of its role and id, with that one's time where the batch gives none
+    old = {}
+    for r in first.collect():
+        old.setdefault((r.role, r.id), []).append(r.Data_Insert_Time)
+    touched = {r.id for r in later.select("id").distinct().collect()}
+    marks = {r.id: r for r in A.timed_rows(later).collect()}
+    got = {}
+    for r in small.collect():
+        got.setdefault((r.role, r.id), []).append(r.Data_Insert_Time)
+    for i in touched:
+        for c in marks[i].contacts:
+            at = marks[i][f"ins_{c.role}"]
+            assert sorted(map(str, got.pop((c.role, i)))) == sorted(str(at.ts if at else t) for t in old.get((c.role, i), [None]))
+    assert got == {k: v for k, v in old.items() if k[1] not in touched}
+
+
 @pytest.mark.parametrize("policy,keep,overwrite", [("phone_client", "last", True), ("phone_client", "first", True), ("phone", "last", True),
                                                    ("phone", "first", True), ("phone", "last", False)])
 def test_inserts_of_a_large_batch(spark, monkeypatch, policy, keep, overwrite):
