@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rsvpflow.operators.joins import key_join, materialized
 
-__all__ = ["row_hash", "bucket_of", "bucket_digests", "differing_buckets", "bag_differences"]
+__all__ = ["row_hash", "bucket_of", "bucket_digests", "differing_buckets", "bag_differences", "maybe_among"]
 
 _SUMS = [f"h{k}" for k in range(8)]
 
@@ -70,6 +70,15 @@ def _marked(df: DataFrame, marks: DataFrame, first: str, second: str) -> DataFra
     return df.join(F.broadcast(marks), first).filter(f"shiftright(__bits[{second} >> 6], {second} & 63) & 1L = 1L")
 
 
+def maybe_among(df: DataFrame, keys: DataFrame, key: Sequence[str], buckets: int = 4096) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in ``keys`` (NULLs are equal) and some others: those that share a bit of ``MARK_BITS``
+    with a key, one in four when there are 34 million keys.  Nothing but bits is shuffled or sent."""
+    cols, first, second = list(df.columns), "__b1", "__b2"
+    words = max(1, MARK_BITS // 64 // buckets)
+    at = [bucket_of(key, buckets).alias(first), bucket_of(key, 64 * words, 3).alias(second)]
+    return _marked(df.select(*cols, *at), materialized(_marks(keys.select(*at), first, second, words)), first, second).select(*cols)
+
+
 def bag_differences(expected: DataFrame, derived: DataFrame, key: Sequence[str], buckets: int = 4096) -> DataFrame:
     """Rows (the columns of ``expected``) that the tables hold a different number of times, with n_expected and n_derived.
 

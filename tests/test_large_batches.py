@@ -8,12 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from rsvpflow.operators import audit as A
+from rsvpflow.operators import bags as B
 from rsvpflow.operators import contacts as C
 from rsvpflow.operators import joins as JN
 from rsvpflow.plans import fixtures as X
 from rsvpflow.plans import queries as Q
 from rsvpflow.roles import CONTACT_COLS
 from tests.conftest import SF_SMALL
+from tests.test_merge_bruteforce import sim_strict
 from tests.test_ordered import made_feed
 
 NONE_SMALL = {JN.BROADCAST_MAX_ROWS_CONF: "1", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -106,6 +108,39 @@ def test_audit_of_a_large_batch(spark, seed):
     assert got == {k: v for k, v in old.items() if k[1] not in touched}
 
 
+def test_bits_keep_all_that_are_among_the_keys(spark):
+    df = spark.range(4000).selectExpr("if(id % 10 = 3, null, concat('k', id % 500)) as k", "id % 8 as at", "id as n", "repeat('w', 20) as wide")
+    keys = spark.createDataFrame([(None, 3), ("k20", 4), ("k21", 5), ("k20", 5), ("none", 1)], "k string, at long")
+    got = B.maybe_among(df, keys, ["k", "at"])
+    among = df.join(keys.withColumnsRenamed({"k": "__k", "at": "__at"}), F.expr("k <=> __k and at = __at"), "left_semi")
+    assert bag(got) == bag(among) and among.filter("k is null").count() > 0 and got.columns == df.columns
+    assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert B.maybe_among(df, keys.limit(0), ["k", "at"]).count() == 0
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_strict_feed_of_many_keys(spark, monkeypatch, seed):
+    """Of the events' columns only those of events that stay are shuffled, and what decides that leaves no shuffle behind."""
+    seen, among = [], C.maybe_among
+
+    def counted(df, keys, key):
+        out = among(df, keys, key)
+        seen.append((df.count(), out.count(), keys.count()))
+        return out
+
+    monkeypatch.setattr(C, "maybe_among", counted)
+    feed, events = made_feed(spark, 300, seed)
+    empty = C.fan_out(X.master(spark, SF_SMALL)).limit(0)
+    with nothing_small(spark):
+        got = C.apply_changes_by_phone(empty, feed, roles=("tax",), strict_reference=True)
+        rows = sorted(((r.phone, r.client, r.id, r.name) for r in got.collect()), key=str)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    assert rows == sim_strict(events)
+    [(n, left, kept)] = seen
+    assert left == kept < n / 2
+    assert "SortMergeJoin" not in plan.split("Union")[-1]  # the marks of what stays were computed before
+
+
 @pytest.mark.parametrize("policy,keep,overwrite", [("phone_client", "last", True), ("phone_client", "first", True), ("phone", "last", True),
                                                    ("phone", "first", True), ("phone", "last", False)])
 def test_inserts_of_a_large_batch(spark, monkeypatch, policy, keep, overwrite):
